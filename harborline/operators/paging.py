@@ -37,12 +37,12 @@ def apply_page_stop(pages: DataFrame, on_error: str = "fail") -> DataFrame:
             .where(F.col("_stop_at").isNull() | (F.col("offset") <= F.col("_stop_at")))
             .drop("_stop_at"))
     if on_error == "fail":
-        kept = kept.withColumn(
-            "_ok", F.when(F.col("error").isNotNull(),
-                          F.raise_error(F.concat(F.lit("service error on page "),
-                                                 F.col("request"), F.lit("@"),
-                                                 F.col("offset").cast("string"))))
-        ).drop("_ok")
+        # a filter condition, so column pruning cannot remove the check
+        return kept.where(
+            F.when(F.col("error").isNotNull(),
+                   F.raise_error(F.concat(F.lit("service error on page "), F.col("request"),
+                                          F.lit("@"), F.col("offset").cast("string"))))
+            .otherwise(F.lit(True)))
     return kept.where(F.col("error").isNull())
 
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from harborline.functions.dates import event_date
 from harborline.operators import paging, predicates
@@ -19,7 +20,8 @@ from harborline.schemas import DATASETS, page_schema
 
 def read_pages(spark: SparkSession, path: str, dataset: str, multi_line: bool = True) -> DataFrame:
     ds = DATASETS[dataset]
-    return (spark.read.schema(page_schema(ds.attrs).add("request", "string").add("offset", "bigint"))
+    schema = page_schema(ds.attrs).add("request", T.StringType()).add("offset", T.LongType())
+    return (spark.read.schema(schema)
             .option("multiLine", multi_line).json(path))
 
 

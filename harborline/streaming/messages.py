@@ -39,17 +39,22 @@ MESSAGE = T.StructType([
 ])
 
 
+# the parse schema adds a column that receives lines which are not JSON objects
+_PARSE_SCHEMA = T.StructType(MESSAGE.fields + [T.StructField("_corrupt_record", T.StringType())])
+
+
 def parse(df: DataFrame, value: str = "value", received: str = "received") -> DataFrame:
     """One typed row per input line; a line that is not a JSON object gets
     `parsed_ok` = false (counted, then dropped by `valid_ship`)."""
-    m = F.from_json(F.col(value), MESSAGE)
+    m = F.from_json(F.col(value), _PARSE_SCHEMA,
+                    {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
     static = F.col("m.Message.ShipStaticData")
     dest = (F.when(F.coalesce(F.map_contains_key(static, "Destination"), F.lit(False)),
                    static["Destination"])
             .otherwise(F.lit(UNKNOWN_DESTINATION)))
     return df.select(F.col(received).alias("received"), m.alias("m")).select(
         "received",
-        F.col("m").isNotNull().alias("parsed_ok"),
+        (F.col("m").isNotNull() & F.col("m._corrupt_record").isNull()).alias("parsed_ok"),
         F.col("m.MessageType").alias("message_type"),
         F.col("m.MetaData.MMSI").alias("mmsi"),
         strip_ws(F.col("m.MetaData.ShipName")).alias("ship_name"),
