@@ -8,13 +8,15 @@ the load, one row per output row, with an `action` column:
   update  matched and a trigger differs: update columns and `updated_at` change
   insert  source row without a matching target row (null keys never match)
 
-Plan shape (one shuffle per side): rows with a null key component are split off
-before the join, so they can never pile up in one join partition; the source
-count per key is a window on the same hash partitioning the join needs, so it
-costs no extra exchange; then a single full outer sort-merge join on the key.
-A target row matched by more than one source row fails the job (MERGE
-cardinality rule) through `raise_error`; duplicate source keys without a match
-are all inserted.
+Plan shape (one shuffle per side, one pass over each input): a single full
+outer sort-merge join on (key..., salt). The salt is 0 for every row with a
+complete key; a row with a null key component gets a hash of its own values,
+so such rows spread over all join partitions instead of piling up in one
+(they can never match anyway: null = anything is not true). The source count
+per key is a window on the same (key..., salt) hash partitioning the join
+needs, so it adds no exchange. A target row matched by more than one source
+row fails the job (MERGE cardinality rule) through `raise_error`; duplicate
+source keys without a match are all inserted.
 """
 
 from __future__ import annotations
@@ -54,34 +56,28 @@ def _any(cols: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, cols)
 
 
+def _salt(keys: list[str], values: list[str]) -> Column:
+    """0 for a complete key, else a hash of the row (spreads null-key rows)."""
+    incomplete = _any([F.col(k).isNull() for k in keys])
+    return F.when(incomplete, F.xxhash64(*[F.col(c) for c in values])).otherwise(F.lit(0).cast("bigint"))
+
+
 def upsert(target: DataFrame, source: DataFrame, spec: MergeSpec,
            as_of: Column | None = None) -> DataFrame:
     """Merged table rows plus `action`; lazy, nothing is written."""
     as_of = F.current_timestamp() if as_of is None else as_of
     created, updated = spec.audit
     keys, cols = list(spec.keys), list(spec.columns)
+    t_cols = cols + [created, updated]
 
-    t = target.select(*cols, created, updated)
-    s = source.select(*cols)
-
-    t_keyed = _all([F.col(k).isNotNull() for k in keys])
-    s_keyed = _all([F.col(k).isNotNull() for k in keys])
-
-    # rows that can never match: handled without a join
-    t_loose = t.where(~t_keyed).select(
-        *cols, F.col(created), F.col(updated), F.lit("keep").alias("action"))
-    s_loose = s.where(~s_keyed).select(
-        *cols, as_of.alias(created), as_of.alias(updated), F.lit("insert").alias("action"))
+    tk = target.select(*[F.col(c).alias(f"t_{c}") for c in t_cols],
+                       _salt(keys, t_cols).alias("t_salt"), F.lit(True).alias("t_hit"))
+    sk = source.select(*[F.col(c).alias(f"s_{c}") for c in cols],
+                       _salt(keys, cols).alias("s_salt"), F.lit(True).alias("s_hit"))
+    sk = sk.withColumn("_n", F.count(F.lit(1)).over(
+        Window.partitionBy(*[f"s_{k}" for k in keys], "s_salt")))
 
-    tk = t.where(t_keyed).select(
-        *[F.col(c).alias(f"t_{c}") for c in cols + [created, updated]],
-        F.lit(True).alias("t_hit"))
-    sk = (s.where(s_keyed)
-          .withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
-          .select(*[F.col(c).alias(f"s_{c}") for c in cols], "_n",
-                  F.lit(True).alias("s_hit")))
-
-    on = [F.col(f"t_{k}") == F.col(f"s_{k}") for k in keys]
+    on = [F.col(f"t_{k}") == F.col(f"s_{k}") for k in keys] + [F.col("t_salt") == F.col("s_salt")]
     j = tk.join(sk, on=on, how="full_outer")
 
     matched = F.coalesce(F.col("t_hit"), F.lit(False)) & F.coalesce(F.col("s_hit"), F.lit(False))
@@ -101,24 +97,19 @@ def upsert(target: DataFrame, source: DataFrame, spec: MergeSpec,
         .when(F.col("s_hit"), F.lit("insert"))
         .otherwise(F.lit("keep"))
     )
-    j = j.withColumn("action", action)
     a = F.col("action")
     is_ins, is_upd = a == "insert", a == "update"
 
     out_cols = []
     for c in cols:
-        if c in keys:
-            v = F.when(is_ins, F.col(f"s_{c}")).otherwise(F.col(f"t_{c}"))
-        elif c in spec.update_cols:
+        if c in spec.update_cols and c not in keys:
             v = F.when(is_ins | is_upd, F.col(f"s_{c}")).otherwise(F.col(f"t_{c}"))
-        else:
+        else:  # keys, and columns set on insert only
             v = F.when(is_ins, F.col(f"s_{c}")).otherwise(F.col(f"t_{c}"))
         out_cols.append(v.alias(c))
     out_cols.append(F.when(is_ins, as_of).otherwise(F.col(f"t_{created}")).alias(created))
     out_cols.append(F.when(is_ins | is_upd, as_of).otherwise(F.col(f"t_{updated}")).alias(updated))
-    merged = j.select(*out_cols, a)
-
-    return merged.unionByName(t_loose).unionByName(s_loose)
+    return j.withColumn("action", action).select(*out_cols, a)
 
 
 def action_counts(merged: DataFrame) -> DataFrame:

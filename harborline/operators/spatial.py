@@ -1,9 +1,12 @@
 """Point-in-rectangle matching of messages against zones (closed rectangles).
 
-Two physical forms, chosen by a size check on the zone list:
-  * up to INLINE_LIMIT zones: the zones become one OR-of-ranges predicate,
-    evaluated inside whole-stage codegen with no join at all (the zone list
-    is collected only after its row count has been checked);
+Physical forms, chosen by a size check on the zone list:
+  * up to INLINE_LIMIT zones: a broadcast left-semi range join (broadcast
+    nested loop join; each point is tested against the short list once, and
+    the test cannot be pushed below the projection that computes the point,
+    so an expensive upstream expression such as JSON parsing is never
+    repeated per zone). Alternatively the zones become one OR-of-ranges
+    filter (method="predicate"), collected only after the row-count check;
   * more zones: each rectangle is cut into 1-degree grid cells, messages get
     their cell by floor(lat), floor(lon), and a left-semi equi-join on the cell
     (re-checking the exact bounds) keeps each message once. AQE can split a
@@ -49,12 +52,23 @@ def zone_cells(zones: DataFrame) -> DataFrame:
 
 
 def in_any_zone(points: DataFrame, zones: DataFrame, lat: str = "latitude",
-                lon: str = "longitude", inline_limit: int = INLINE_LIMIT) -> DataFrame:
-    """Rows of `points` lying in at least one zone (each row at most once)."""
+                lon: str = "longitude", inline_limit: int = INLINE_LIMIT,
+                method: str = "join") -> DataFrame:
+    """Rows of `points` lying in at least one zone (each row at most once).
+
+    method "join" (default): broadcast left-semi range join against the
+    size-checked zone list; "predicate": the zones inlined as one OR-of-ranges
+    filter. Both fall back to the grid join beyond `inline_limit` zones."""
     n = zones.count()
-    if n <= inline_limit:
+    if n <= inline_limit and method == "predicate":
         rows = zones.collect()  # bounded by the check above
         return points.where(zone_predicate(rows, F.col(lat), F.col(lon)))
+    if n <= inline_limit:
+        z = zones.select(F.least("lat1", "lat2").alias("_la"), F.greatest("lat1", "lat2").alias("_ha"),
+                         F.least("lon1", "lon2").alias("_lo"), F.greatest("lon1", "lon2").alias("_ho"))
+        cond = (F.col(lat).between(F.col("_la"), F.col("_ha"))
+                & F.col(lon).between(F.col("_lo"), F.col("_ho")))
+        return points.join(F.broadcast(z), cond, "left_semi")
     cells = zone_cells(zones)
     p = points.withColumn("cell_lat", F.floor(F.col(lat)).cast("int")) \
               .withColumn("cell_lon", F.floor(F.col(lon)).cast("int"))

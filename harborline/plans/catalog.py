@@ -282,7 +282,7 @@ def zone_filter(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _parsed(spark, sf):
-    return M.parse(fx.messages(_events(spark, sf)))
+    return M.parse(fx.landed_messages(spark, sf))
 
 
 def ais_parse(spark: SparkSession, sf: str) -> DataFrame:
@@ -312,14 +312,12 @@ def ais_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 def ais_summary_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Same answer as ais_summary, computed by a Structured Streaming run over
-    landing files (one folder of files per day) with append-only sinks."""
+    the landing files (several micro-batches, append-only message sink)."""
     root = scratch_path(spark, "ais_stream")
-    landing = f"{root}/landing"
-    msgs = fx.messages(_events(spark, sf))
-    msgs.withColumn("day", F.to_date("received")).write.partitionBy("day").parquet(landing)
-    stream = runner.read_messages(spark, landing, recursiveFileLookup="true")
+    landing = fx.landed_messages_path(spark, sf)
+    stream = runner.read_messages(spark, landing, max_files_per_trigger=4)
     flow = runner.traffic(stream, zones_frame(spark), STREAM_START, STREAM_SECONDS)
-    runner.run_for(runner.start_sinks(flow, f"{root}/sinks"))
+    runner.run_for(runner.start_sinks(flow, f"{root}/sinks", outputs=("messages",)))
     return runner.traffic_summary(spark, f"{root}/sinks")
 
 

@@ -239,14 +239,14 @@ def zone_points(events: DataFrame) -> DataFrame:
     `event_id % 28`; step k = (event_id div 28) % 4 moves the latitude from the
     SW corner by k half-heights (k = 0..2 inside or on the edge, k = 3 outside);
     longitude at the zone centre (plain IEEE arithmetic, no rounding)."""
-    zones = events.sparkSession.createDataFrame(
-        [(i, z[1], z[2], z[3], z[4]) for i, z in enumerate(SHIPPED_ZONES)],
-        "zone_no int, lat1 double, lon1 double, lat2 double, lon2 double")
+    table = F.array(*[F.struct(F.lit(z[1]).alias("lat1"), F.lit(z[2]).alias("lon1"),
+                               F.lit(z[3]).alias("lat2"), F.lit(z[4]).alias("lon2"))
+                      for z in SHIPPED_ZONES])
+    z = F.element_at(table, (F.col("event_id") % len(SHIPPED_ZONES) + 1).cast("int"))
     k = (F.floor(F.col("event_id") / 28) % 4).cast("double")
-    return (events.join(F.broadcast(zones), (F.col("event_id") % 28) == F.col("zone_no"))
-            .withColumn("latitude", F.col("lat1") + (F.col("lat2") - F.col("lat1")) * k * 0.5)
-            .withColumn("longitude", (F.col("lon1") + F.col("lon2")) / 2)
-            .drop("zone_no", "lat1", "lon1", "lat2", "lon2"))
+    return (events
+            .withColumn("latitude", z["lat1"] + (z["lat2"] - z["lat1"]) * k * 0.5)
+            .withColumn("longitude", (z["lon1"] + z["lon2"]) / 2))
 
 
 def messages(events: DataFrame) -> DataFrame:
@@ -284,3 +284,25 @@ def messages(events: DataFrame) -> DataFrame:
              .when(dest_kind == 1, msg(static_null))
              .otherwise(msg(static_absent)))
     return p.select(F.col("ts").alias("received"), value.alias("value"))
+
+
+_LANDED: dict[tuple[str, str], str] = {}
+
+
+def landed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.schema("received timestamp_ntz, value string").parquet(
+        landed_messages_path(spark, sf_dir))
+
+
+def landed_messages_path(spark: SparkSession, sf_dir: str) -> str:
+    """The message feed as landing files in the shared scratch folder (what a
+    collector writes before the stream reads it), written once per session and
+    source folder, then read back like any landing table."""
+    from harborline.session import scratch_path, spread
+
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LANDED:
+        path = scratch_path(spark, "ais_landing")
+        messages(spread(read(spark, sf_dir, "events"))).write.mode("overwrite").parquet(path)
+        _LANDED[key] = path
+    return _LANDED[key]

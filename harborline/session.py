@@ -53,3 +53,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if path.startswith("/") or path.startswith("file:"):
         os.makedirs(path.replace("file:", ""), exist_ok=True)
     return path
+
+
+def spread(df):
+    """Round-robin a frame that has fewer partitions than the cluster has
+    cores (e.g. one small file = one row group = one task) before CPU-heavy
+    per-row work. A no-op for inputs that are already split more widely."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df

@@ -43,12 +43,17 @@ def traffic(stream: DataFrame, zones: DataFrame, start=None, duration_sec: int |
     return msgs
 
 
+SINKS = ("messages", "positions", "statics")
+
+
 def start_sinks(msgs: DataFrame, sink_root: str, available_now: bool = True,
-                processing_time: str | None = None):
-    """Start the three append sinks; returns the started queries."""
+                processing_time: str | None = None, outputs=SINKS):
+    """Start the append sinks named in `outputs` (each is its own streaming
+    query with its own checkpoint); returns the started queries."""
+    frames = {"messages": msgs, "positions": M.positions(msgs), "statics": M.statics(msgs)}
     queries = []
-    for name, frame in (("messages", msgs), ("positions", M.positions(msgs)),
-                        ("statics", M.statics(msgs))):
+    for name in outputs:
+        frame = frames[name]
         w = (frame.writeStream.format("parquet").outputMode("append")
              .option("path", f"{sink_root}/{name}")
              .option("checkpointLocation", f"{sink_root}/_checkpoints/{name}"))
