@@ -256,12 +256,18 @@ def stat_order(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ----------------------------------------------------------- tables and log
+_WRITTEN: dict = {}
+
+
 def stats_read(spark: SparkSession, sf: str) -> DataFrame:
     """Write month-partitioned statistics, read 1995-03-15..1995-05-10 back
     (only three month directories are listed and scanned)."""
-    path = scratch_path(spark, "stats_read")
-    tables.write_months(fx.with_audit(_order_stats(spark, sf)), path)
-    return tables.read_stats(spark, path, "1995-03-15", "1995-05-10").drop(tables.MONTH)
+    key = ("stats_read", spark.sparkContext.applicationId, sf)
+    if key not in _WRITTEN:  # the table is written once per session and input folder
+        path = scratch_path(spark, "stats_read")
+        tables.write_months(fx.with_audit(_order_stats(spark, sf)), path)
+        _WRITTEN[key] = path
+    return tables.read_stats(spark, _WRITTEN[key], "1995-03-15", "1995-05-10").drop(tables.MONTH)
 
 
 def latest_updates(spark: SparkSession, sf: str) -> DataFrame:

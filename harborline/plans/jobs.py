@@ -32,6 +32,7 @@ from harborline.streaming import runner
 
 log = logging.getLogger(__name__)
 
+# Table names as written into commit messages.
 TABLES = {"chokepoints": "portwatch.chokepoints", "ports": "portwatch.ports",
           "chokepoints_master": "portwatch.chokepoints_master",
           "ports_master": "portwatch.ports_master"}
@@ -57,7 +58,7 @@ def _empty_table(spark: SparkSession, schema) -> DataFrame:
 
 def _read_target(spark, path, months, schema) -> DataFrame:
     try:
-        return tables.read_months(spark, path, months).drop(tables.MONTH)
+        return tables.read_months(spark, path, months, schema).drop(tables.MONTH)
     except AnalysisException:
         return _empty_table(spark, schema)
 

@@ -25,19 +25,35 @@ def with_month(df: DataFrame) -> DataFrame:
 
 
 def create_stats(spark: SparkSession, path: str, schema: T.StructType,
-                 audit_type: str = "timestamp") -> None:
+                 audit_type: T.DataType = T.TimestampType()) -> None:
     """Create an empty month-partitioned table at `path` (keeps existing data)."""
     full = T.StructType(schema.fields + [
-        T.StructField("created_at", T._parse_datatype_string(audit_type), True),
-        T.StructField("updated_at", T._parse_datatype_string(audit_type), True),
+        T.StructField("created_at", audit_type, True),
+        T.StructField("updated_at", audit_type, True),
     ])
     empty = spark.createDataFrame([], full)
     with_month(empty).write.mode("append").partitionBy(MONTH).parquet(path)
 
 
-def read_stats(spark: SparkSession, path: str, start=None, end=None) -> DataFrame:
-    """Table rows with event_date in [start, end] (either bound optional)."""
-    df = spark.read.parquet(path)
+def stored_schema(schema: T.StructType, audit_type: T.DataType = T.TimestampType()) -> T.StructType:
+    """Columns as stored: table columns, audit stamps, month partition."""
+    return T.StructType(schema.fields + [
+        T.StructField("created_at", audit_type, True),
+        T.StructField("updated_at", audit_type, True),
+        T.StructField(MONTH, T.DateType(), True),
+    ])
+
+
+def _reader(spark: SparkSession, schema: T.StructType | None):
+    return spark.read if schema is None else spark.read.schema(stored_schema(schema))
+
+
+def read_stats(spark: SparkSession, path: str, start=None, end=None,
+               schema: T.StructType | None = None) -> DataFrame:
+    """Table rows with event_date in [start, end] (either bound optional).
+    With `schema` (the table schema) no inference is needed and an empty
+    table reads as an empty frame."""
+    df = _reader(spark, schema).parquet(path)
     if start is None and end is None:
         return df
     cond = predicates.month_bounds(MONTH, start, end)
@@ -48,9 +64,10 @@ def read_stats(spark: SparkSession, path: str, start=None, end=None) -> DataFram
     return df.where(cond)
 
 
-def read_months(spark: SparkSession, path: str, months: list) -> DataFrame:
+def read_months(spark: SparkSession, path: str, months: list,
+                schema: T.StructType | None = None) -> DataFrame:
     """Rows of the given months only (partition pruning on `event_month`)."""
-    return spark.read.parquet(path).where(F.col(MONTH).isin(months))
+    return _reader(spark, schema).parquet(path).where(F.col(MONTH).isin(months))
 
 
 def write_months(df: DataFrame, path: str) -> None:

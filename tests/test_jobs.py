@@ -27,10 +27,12 @@ def test_backfill_then_rerun_changes_nothing(spark, workdir):
     assert first == {"insert": n}
     table = spark.read.parquet(f"{workdir}/ports")
     assert table.count() == n
+    files = sorted(os.path.join(d, f) for d, _, fs in os.walk(f"{workdir}/ports") for f in fs)
     again = {r["action"]: r["n_rows"] for r in
              jobs.backfill_ports(spark, [src], workdir, "2024-01-01", "2024-01-31",
                                  as_of=dt.datetime(2024, 3, 1)).collect()}
     assert again == {"noop": n}
+    assert files == sorted(os.path.join(d, f) for d, _, fs in os.walk(f"{workdir}/ports") for f in fs)
     assert spark.read.parquet(f"{workdir}/ports").where(F.col("updated_at") > AS_OF).count() == 0
     log = commitlog.read(spark, f"{workdir}/_commits").collect()
     assert len(log) == 2
@@ -73,3 +75,55 @@ def test_master_load_snapshots(spark, workdir):
     c2 = {r["action"]: r["n_rows"] for r in jobs.load_master(spark, pages, workdir, "ports_master").collect()}
     assert c1 == {"insert": 10} and c2 == {"update": 10}
     assert jobs.read_master(spark, workdir, "ports_master").count() == 10
+
+
+def test_create_stats_then_load(spark, workdir):
+    from harborline.schemas import PORTS
+    tables.create_stats(spark, f"{workdir}/ports", PORTS)
+    assert tables.read_stats(spark, f"{workdir}/ports", schema=PORTS).count() == 0
+    src = _port_rows(spark, "2024-01-30", "2024-01-31")
+    jobs.backfill_ports(spark, [src], workdir, "2024-01-30", "2024-01-31", as_of=AS_OF)
+    assert spark.read.parquet(f"{workdir}/ports").count() == src.count()
+
+
+def test_partial_month_update_keeps_other_rows(spark, workdir):
+    a = _port_rows(spark, "2024-01-01", "2024-01-20")
+    jobs.backfill_ports(spark, [a], workdir, "2024-01-01", "2024-01-20", as_of=AS_OF)
+    b = _port_rows(spark, "2024-01-15", "2024-01-31").withColumn("portcalls", F.col("portcalls") + 1)
+    counts = {r["action"]: r["n_rows"] for r in
+              jobs.backfill_ports(spark, [b], workdir, "2024-01-15", "2024-01-31", as_of=AS_OF).collect()}
+    t = spark.read.parquet(f"{workdir}/ports")
+    assert t.count() == a.unionByName(b).select("portid", "event_date").distinct().count()
+    assert counts["keep"] == a.where(F.col("event_date") < "2024-01-15").count()
+    assert t.where((F.col("event_date") < "2024-01-15") & (F.col("updated_at") > AS_OF)).count() == 0
+
+
+def test_chokepoint_job_from_page_files(spark, workdir):
+    import json
+    pages_root = os.path.join(workdir, "pages")
+    recs = [{"attributes": {"date": 1705276800000 + 86400000 * d, "portid": str(p),
+                            "portname": f"C{p}", "n_total": p + d, "capacity": 10 * p}}
+            for d in range(3) for p in range(4)]
+    for i in range(0, len(recs), 5):
+        d = os.path.join(pages_root, "request=q1", f"offset={i}")
+        os.makedirs(d)
+        with open(os.path.join(d, "page.json"), "w") as f:
+            json.dump({"features": recs[i:i + 5], "exceededTransferLimit": i + 5 < len(recs)}, f)
+    from harborline.sources import pages as pg
+    pages = pg.read_pages(spark, pages_root, "daily_chokepoint")
+    counts = {r["action"]: r["n_rows"] for r in jobs.upsert_chokepoints(
+        spark, pages, workdir, "2024-01-15", "2024-01-16", now="2024-01-31", as_of=AS_OF).collect()}
+    assert counts == {"insert": 8}
+    t = spark.read.parquet(f"{workdir}/chokepoints")
+    assert sorted(str(r[0]) for r in t.select("event_date").distinct().collect()) == ["2024-01-15", "2024-01-16"]
+
+
+def test_traffic_summary_job(spark, workdir):
+    from harborline.sources.zones import zones_frame
+    msgs = fx.messages(fx.read(spark, SF, "events"))
+    landing = os.path.join(workdir, "landing")
+    msgs.write.parquet(landing)
+    got = jobs.traffic_summary(spark, landing, zones_frame(spark), os.path.join(workdir, "sinks"),
+                               duration_sec=20 * 86400, start="2024-01-01 00:00:00").collect()[0]
+    assert got["total_messages"] > 0 and got["unique_ships"] > 0
+    assert spark.read.parquet(os.path.join(workdir, "sinks", "positions")).count() > 0
