@@ -226,9 +226,8 @@ def day_calendar(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---------------------------------------------------------------------- pages
 def _event_pages(spark, sf, inject_stops):
-    rows = fx.event_attributes(_events(spark, sf))
-    text = fx.page_requests(rows, PAGE_SIZE, inject_stops)
-    return pg.parse_pages(text, "daily_chokepoint")
+    path = fx.landed_pages_path(spark, sf, PAGE_SIZE, inject_stops)
+    return pg.read_page_log(spark, path, "daily_chokepoint")
 
 
 def _stat_columns(df):

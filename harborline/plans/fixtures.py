@@ -306,3 +306,20 @@ def landed_messages_path(spark: SparkSession, sf_dir: str) -> str:
         messages(spread(read(spark, sf_dir, "events"))).write.mode("overwrite").parquet(path)
         _LANDED[key] = path
     return _LANDED[key]
+
+
+def landed_pages_path(spark: SparkSession, sf_dir: str, page_size: int, inject_stops: bool) -> str:
+    """Service responses stored as a page log (JSON lines with a request/offset
+    envelope, as a downloader appends them), built from `events` once per
+    session and read back with the page-log reader."""
+    from harborline.session import scratch_path, spread
+
+    key = (spark.sparkContext.applicationId, sf_dir, "pages", page_size, inject_stops)
+    if key not in _LANDED:
+        from harborline.sources.pages import page_log_lines
+
+        path = scratch_path(spark, "pages")
+        rows = event_attributes(spread(read(spark, sf_dir, "events")))
+        page_log_lines(page_requests(rows, page_size, inject_stops)).write.text(path)
+        _LANDED[key] = path
+    return _LANDED[key]

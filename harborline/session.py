@@ -7,7 +7,6 @@ that setting is absent (local tests).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -48,11 +47,9 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, never reused sub-folder of the scratch root."""
-    path = f"{scratch_root(spark)}/harborline/{name}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("/") or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
-    return path
+    """A fresh, never reused sub-folder name under the scratch root (created
+    by whichever Spark writer uses it first)."""
+    return f"{scratch_root(spark)}/harborline/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def spread(df):

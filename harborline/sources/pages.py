@@ -19,12 +19,31 @@ from harborline.schemas import DATASETS, page_schema
 
 
 def read_pages(spark: SparkSession, path: str, dataset: str, multi_line: bool = True) -> DataFrame:
+    """Page files laid out as request=<r>/offset=<n>/<file> (one response per
+    file; multi_line=False for one response per line)."""
     ds = DATASETS[dataset]
     schema = page_schema(ds.attrs).add("request", T.StringType()).add("offset", T.LongType())
     return (spark.read.schema(schema)
             .option("multiLine", multi_line).json(path))
 
 
+def read_page_log(spark: SparkSession, path: str, dataset: str) -> DataFrame:
+    """Responses stored as JSON lines with an envelope
+    {"request": r, "offset": n, "response": {...}} -- few large files instead
+    of one file per page, so listing stays cheap however many pages exist."""
+    ds = DATASETS[dataset]
+    schema = T.StructType([T.StructField("request", T.StringType()),
+                           T.StructField("offset", T.LongType()),
+                           T.StructField("response", page_schema(ds.attrs))])
+    return spark.read.schema(schema).json(path).select("request", "offset", "response.*")
+
+
+def page_log_lines(text: DataFrame, body: str = "body") -> DataFrame:
+    """Envelope lines (for `read_page_log`) from (request, offset, body text)."""
+    head = F.regexp_replace(F.to_json(F.struct("request", "offset")), r"\}$", "")
+    return text.select(F.concat(head, F.lit(',"response":'), F.col(body), F.lit("}")).alias("value"))
+
+
 def parse_pages(text: DataFrame, dataset: str, body: str = "body") -> DataFrame:
     """Pages from response text: columns request, offset and `body`."""
     ds = DATASETS[dataset]

@@ -86,3 +86,14 @@ def test_single_page_slice(spark):
     df = spark.range(0, 50)
     got = [r[0] for r in paging.page(df, [F.desc("id")], 10, 5).collect()]
     assert got == [39, 38, 37, 36, 35]
+
+
+def test_page_log_envelope_equals_page_files(spark, workdir):
+    pages = [("r1", 0, _page([1, 2])), ("r1", 2, _page([3], more=False)), ("r2", 0, ERR),
+             ("r3", 0, _page([], more=True))]
+    text = _text(spark, pages)
+    pg.page_log_lines(text).write.text(os.path.join(workdir, "log"))
+    log = pg.read_page_log(spark, os.path.join(workdir, "log"), "daily_chokepoint")
+    a = sorted(int(r["portid"]) for r in pg.stat_rows(log, "keep").collect())
+    b = _ids(spark, pages, "keep")
+    assert a == b == [1, 2, 3]
