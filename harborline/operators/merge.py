@@ -8,15 +8,23 @@ the load, one row per output row, with an `action` column:
   update  matched and a trigger differs: update columns and `updated_at` change
   insert  source row without a matching target row (null keys never match)
 
-Plan shape (one shuffle per side, one pass over each input): a single full
-outer sort-merge join on (key..., salt). The salt is 0 for every row with a
-complete key; a row with a null key component gets a hash of its own values,
-so such rows spread over all join partitions instead of piling up in one
-(they can never match anyway: null = anything is not true). The source count
-per key is a window on the same (key..., salt) hash partitioning the join
-needs, so it adds no exchange. A target row matched by more than one source
-row fails the job (MERGE cardinality rule) through `raise_error`; duplicate
-source keys without a match are all inserted.
+Plan shape. The join is a single full outer sort-merge join on (key..., salt)
+in which every key occurs at most once per side, so no join partition can be
+hot:
+  * salt: 0 for every row with a complete key; a row with a null key
+    component gets a hash of its values, so such rows (which can never match:
+    null = anything is not true) spread over all partitions;
+  * duplicated source keys are found by a grouped count (partial aggregation:
+    a key repeated in a third of all rows adds one row per map task to the
+    shuffle). Their rows bypass the join and are inserted -- MERGE inserts
+    every unmatched source row -- while one probe row per duplicated key goes
+    through the join: if the probe matches a target row, the job fails
+    (MERGE cardinality rule: a target row matched by two source rows). The
+    duplicate-key table is small in practice, so AQE broadcasts it for the
+    semi/anti split at runtime (its measured size is the check).
+`duplicates="window"` instead counts duplicates with a window on the join's
+own partitioning (one scan of the source, no split) for sources whose keys
+are known to be unique or nearly so.
 """
 
 from __future__ import annotations
@@ -63,19 +71,36 @@ def _salt(keys: list[str], values: list[str]) -> Column:
 
 
 def upsert(target: DataFrame, source: DataFrame, spec: MergeSpec,
-           as_of: Column | None = None) -> DataFrame:
+           as_of: Column | None = None, duplicates: str = "split") -> DataFrame:
     """Merged table rows plus `action`; lazy, nothing is written."""
+    if duplicates not in ("split", "window"):
+        raise ValueError("duplicates must be 'split' or 'window'")
     as_of = F.current_timestamp() if as_of is None else as_of
     created, updated = spec.audit
     keys, cols = list(spec.keys), list(spec.columns)
     t_cols = cols + [created, updated]
+    kcols = keys + ["_salt"]
 
     tk = target.select(*[F.col(c).alias(f"t_{c}") for c in t_cols],
                        _salt(keys, t_cols).alias("t_salt"), F.lit(True).alias("t_hit"))
-    sk = source.select(*[F.col(c).alias(f"s_{c}") for c in cols],
-                       _salt(keys, cols).alias("s_salt"), F.lit(True).alias("s_hit"))
-    sk = sk.withColumn("_n", F.count(F.lit(1)).over(
-        Window.partitionBy(*[f"s_{k}" for k in keys], "s_salt")))
+    s0 = source.select(*cols, _salt(keys, cols).alias("_salt"))
+
+    dup_rows = None
+    if duplicates == "split":
+        dup = (s0.groupBy(*kcols).agg(F.count(F.lit(1)).alias("_n"))
+               .where(F.col("_n") > 1).select(*kcols))
+        same = _all([s0[c].eqNullSafe(dup[c]) for c in kcols])
+        dup_rows = s0.join(dup, same, "left_semi")
+        uni = s0.join(dup, same, "left_anti").withColumn("_dup", F.lit(False))
+        s_main = uni.unionByName(dup.withColumn("_dup", F.lit(True)), allowMissingColumns=True)
+    else:
+        s_main = s0.withColumn("_dup", F.lit(False))
+
+    sk = s_main.select(*[F.col(c).alias(f"s_{c}") for c in cols],
+                       F.col("_salt").alias("s_salt"), F.lit(True).alias("s_hit"), "_dup")
+    if duplicates == "window":
+        sk = sk.withColumn("_dup", F.count(F.lit(1)).over(
+            Window.partitionBy(*[f"s_{k}" for k in keys], "s_salt")) > 1)
 
     on = [F.col(f"t_{k}") == F.col(f"s_{k}") for k in keys] + [F.col("t_salt") == F.col("s_salt")]
     j = tk.join(sk, on=on, how="full_outer")
@@ -88,12 +113,14 @@ def upsert(target: DataFrame, source: DataFrame, spec: MergeSpec,
         changed = F.coalesce(
             _any([F.col(f"t_{c}") != F.col(f"s_{c}") for c in spec.trigger]), F.lit(False))
 
+    probe = F.coalesce(F.col("_dup"), F.lit(False))
     action = (
-        F.when(matched & (F.col("_n") > 1),
+        F.when(matched & probe,
                F.raise_error(F.lit("MERGE cardinality violation: a target row "
                                    "matches more than one source row")))
         .when(matched & changed, F.lit("update"))
         .when(matched, F.lit("noop"))
+        .when(F.col("s_hit") & probe & F.lit(duplicates == "split"), F.lit("probe"))
         .when(F.col("s_hit"), F.lit("insert"))
         .otherwise(F.lit("keep"))
     )
@@ -109,7 +136,12 @@ def upsert(target: DataFrame, source: DataFrame, spec: MergeSpec,
         out_cols.append(v.alias(c))
     out_cols.append(F.when(is_ins, as_of).otherwise(F.col(f"t_{created}")).alias(created))
     out_cols.append(F.when(is_ins | is_upd, as_of).otherwise(F.col(f"t_{updated}")).alias(updated))
-    return j.withColumn("action", action).select(*out_cols, a)
+    merged = j.withColumn("action", action).where(a != "probe").select(*out_cols, a)
+    if dup_rows is None:
+        return merged
+    inserts = dup_rows.select(*cols, as_of.alias(created), as_of.alias(updated),
+                              F.lit("insert").alias("action"))
+    return merged.unionByName(inserts)
 
 
 def action_counts(merged: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 """Load jobs: statistics upserts, backfill, master load, traffic summary.
 
 Write path of a statistics load (one job, one commit-log row):
+  0. the typed source rows are checkpointed once (pages parsed once)
   1. months touched by the source (a short driver list, bounded by the window)
   2. read only those month partitions of the table (partition pruning)
   3. upsert -> checkpoint in the shared checkpoint folder (lineage cut, so a
@@ -72,6 +73,10 @@ def load_stats(spark: SparkSession, source: DataFrame, root: str, kind: str,
     scratch_root(spark)
     spec = merge.SPECS[kind]
     schema = DATASETS["daily_chokepoint" if kind == "chokepoints" else "daily_port"].table
+    # the typed source is used by the empty check, the month list, the upsert
+    # branches and the commit summary: parse the pages once, keep the rows in
+    # the shared checkpoint folder
+    source = source.checkpoint()
     if source.isEmpty():
         log.warning("no rows to load into %s", kind)
         return None
@@ -129,7 +134,8 @@ def load_master(spark, pages: DataFrame, root: str, table: str, as_of=None,
     """Upsert master records into `table` (a snapshot table): every matched
     row is rewritten; the result becomes a new snapshot named in the log."""
     spec = merge.SPECS["master"]
-    source = lenient(pg.master_rows(pages), DATASETS["ports_db"].table, null_key=null_key)
+    scratch_root(spark)
+    source = lenient(pg.master_rows(pages), DATASETS["ports_db"].table, null_key=null_key).checkpoint()
     if source.isEmpty():
         log.warning("no master rows for %s", table)
         return None
