@@ -13,7 +13,8 @@ _NUMERIC = r"^\s*-?[0-9]+(\.[0-9]*)?([eE][-+]?[0-9]+)?\s*$"
 def event_date(raw: Column | str) -> Column:
     """Raw `date` attribute (text) -> DATE.
 
-    A number is epoch milliseconds, converted in the session time zone (UTC);
+    A number is epoch milliseconds, taken as a UTC day whatever the session
+    time zone;
     text is taken as a date literal (a bad literal fails the job under ANSI);
     null, empty text and 0 are "no date" and give null.
     """
@@ -23,7 +24,7 @@ def event_date(raw: Column | str) -> Column:
         F.when(raw.isNull() | (F.trim(raw) == ""), F.lit(None).cast("date"))
         .when(raw.rlike(_NUMERIC),
               F.when(num == 0, F.lit(None).cast("date"))
-              .otherwise(F.to_date(F.timestamp_millis(num.cast("bigint")))))
+              .otherwise(F.date_from_unix_date(F.floor(num / 86400000).cast("int"))))
         .otherwise(F.trim(raw).cast("date"))
     )
 

@@ -150,7 +150,7 @@ def epoch_to_date(spark: SparkSession, sf: str) -> DataFrame:
     raw = (F.when(r == 0, F.lit(None).cast("string"))
            .when(r == 1, F.lit("0"))
            .when(r == 2, F.to_date("ts").cast("string"))
-           .otherwise(F.unix_millis(F.to_timestamp("ts")).cast("string")))
+           .otherwise(fx.epoch_millis_utc("ts").cast("string")))
     return ev.select("event_id", event_date(raw).alias("event_date"))
 
 

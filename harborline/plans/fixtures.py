@@ -39,6 +39,11 @@ def ts_ntz(text: str) -> Column:
     return F.expr(f"TIMESTAMP_NTZ '{text}'")
 
 
+def epoch_millis_utc(col: str) -> Column:
+    """Epoch milliseconds of a TIMESTAMP_NTZ read as UTC (session-zone free)."""
+    return F.expr(f"timestampdiff(MILLISECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', {col})")
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
@@ -114,7 +119,7 @@ def raw_attributes(stats: DataFrame) -> DataFrame:
     cols = []
     for name, dtype in stats.dtypes:
         if name == "event_date":
-            cols.append(F.unix_millis(F.to_timestamp(F.col("event_date")))
+            cols.append((F.unix_date(F.col("event_date")).cast("bigint") * 86400000)
                         .cast("string").alias("date"))
         elif name == "iso3":
             cols.append(F.col(name).alias("ISO3"))
@@ -208,7 +213,7 @@ def event_attributes(events: DataFrame) -> DataFrame:
         F.min("event_id").alias("first_id"), F.max("event_id").alias("last_id"))
     kinds = ["tanker", "container", "dry_bulk", "general_cargo", "roro", "cargo"]
     attrs = F.struct(
-        F.unix_millis(F.to_timestamp(day)).cast("string").alias("date"),
+        (F.unix_date(day).cast("bigint") * 86400000).cast("string").alias("date"),
         F.col("user_id").cast("string").alias("portid"),
         F.concat(F.lit("Chokepoint "), F.col("user_id")).alias("portname"),
         *[_is_kind(k).cast("bigint").alias(f"n_{k}") for k in kinds],

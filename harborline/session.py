@@ -41,7 +41,9 @@ def scratch_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="harborline-")
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
+        root = tempfile.mkdtemp(prefix="harborline-")  # local runs only
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 

@@ -76,3 +76,18 @@ def test_stream_equals_batch_and_ignores_file_split(spark, workdir):
     s1 = _stream_summary(spark, msgs, os.path.join(workdir, "a"), F.to_date("received"))
     s2 = _stream_summary(spark, msgs, os.path.join(workdir, "b"), F.hour("received") % 3)
     assert b == s1 == s2 and b[0] > 0
+
+
+def test_live_run_stops_after_duration(spark, workdir):
+    import time
+
+    from harborline.plans import jobs
+    msgs = fx.messages(fx.read(spark, "/root/testdata/sf0.001", "events"))
+    landing = os.path.join(workdir, "landing")
+    msgs.write.parquet(landing)
+    t0 = time.time()
+    got = jobs.traffic_summary(spark, landing, zones_frame(spark), os.path.join(workdir, "sinks"),
+                               duration_sec=8, live=True).collect()[0]
+    assert time.time() - t0 < 60
+    batch = M.summary(runner.traffic(msgs, zones_frame(spark))).collect()[0]
+    assert tuple(got) == tuple(batch)
