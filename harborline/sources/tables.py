@@ -25,14 +25,21 @@ def with_month(df: DataFrame) -> DataFrame:
 
 
 def create_stats(spark: SparkSession, path: str, schema: T.StructType,
-                 audit_type: T.DataType = T.TimestampType()) -> None:
-    """Create an empty month-partitioned table at `path` (keeps existing data)."""
+                 audit_type: T.DataType = T.TimestampType(), recreate: bool = False) -> None:
+    """Create an empty month-partitioned table at `path`.
+
+    recreate=False keeps existing data; recreate=True empties the table (a
+    static overwrite with no rows; nothing reads the path in that job)."""
     full = T.StructType(schema.fields + [
         T.StructField("created_at", audit_type, True),
         T.StructField("updated_at", audit_type, True),
     ])
-    empty = spark.createDataFrame([], full)
-    with_month(empty).write.mode("append").partitionBy(MONTH).parquet(path)
+    empty = with_month(spark.createDataFrame([], full))
+    if recreate:
+        (empty.write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .partitionBy(MONTH).parquet(path))
+    else:
+        empty.write.mode("append").partitionBy(MONTH).parquet(path)
 
 
 def stored_schema(schema: T.StructType, audit_type: T.DataType = T.TimestampType()) -> T.StructType:
@@ -83,3 +90,23 @@ def write_snapshot(df: DataFrame, root: str, snapshot: str) -> str:
     path = f"{root}/snapshot={snapshot}"
     df.write.mode("errorifexists").parquet(path)
     return path
+
+
+def register_views(spark: SparkSession, root: str, names: dict[str, tuple[str, T.StructType | None]]) -> list[str]:
+    """Expose tables under `root` as temporary views for SQL, e.g.
+    `SELECT * FROM ports ORDER BY updated_at DESC LIMIT 5`.
+
+    names: view name -> (folder under root, table schema for statistics tables
+    or None for a snapshot folder, whose newest snapshot is used)."""
+    done = []
+    for view, (folder, schema) in names.items():
+        path = f"{root}/{folder}"
+        if schema is not None:
+            df = read_stats(spark, path, schema=schema).drop(MONTH)
+        else:
+            df = spark.read.parquet(path)
+            latest = df.agg(F.max("snapshot")).first()[0]  # snapshot ids sort by time
+            df = df.where(F.col("snapshot") == latest).drop("snapshot")
+        df.createOrReplaceTempView(view)
+        done.append(view)
+    return done

@@ -75,6 +75,8 @@ def test_master_load_snapshots(spark, workdir):
     c2 = {r["action"]: r["n_rows"] for r in jobs.load_master(spark, pages, workdir, "ports_master").collect()}
     assert c1 == {"insert": 10} and c2 == {"update": 10}
     assert jobs.read_master(spark, workdir, "ports_master").count() == 10
+    tables.register_views(spark, workdir, {"ports_master_v": ("ports_master", None)})
+    assert spark.sql("SELECT count(*) AS n FROM ports_master_v").first()["n"] == 10
 
 
 def test_create_stats_then_load(spark, workdir):
@@ -127,3 +129,14 @@ def test_traffic_summary_job(spark, workdir):
                                duration_sec=20 * 86400, start="2024-01-01 00:00:00").collect()[0]
     assert got["total_messages"] > 0 and got["unique_ships"] > 0
     assert spark.read.parquet(os.path.join(workdir, "sinks", "positions")).count() > 0
+
+
+def test_recreate_and_sql_views(spark, workdir):
+    from harborline.schemas import PORTS
+    src = _port_rows(spark, "2024-01-01", "2024-01-31")
+    jobs.backfill_ports(spark, [src], workdir, "2024-01-01", "2024-01-31", as_of=AS_OF)
+    tables.register_views(spark, workdir, {"ports_v": ("ports", PORTS)})
+    top = spark.sql("SELECT portid, updated_at FROM ports_v ORDER BY updated_at DESC, portid LIMIT 5").collect()
+    assert len(top) == 5 and top[0]["updated_at"] == AS_OF
+    tables.create_stats(spark, f"{workdir}/ports", PORTS, recreate=True)
+    assert tables.read_stats(spark, f"{workdir}/ports", schema=PORTS).count() == 0
