@@ -97,3 +97,15 @@ def test_page_log_envelope_equals_page_files(spark, workdir):
     a = sorted(int(r["portid"]) for r in pg.stat_rows(log, "keep").collect())
     b = _ids(spark, pages, "keep")
     assert a == b == [1, 2, 3]
+
+
+def test_master_pages_drop_nameless_and_sort(spark):
+    from harborline.functions.casts import lenient
+    from harborline.schemas import MASTER
+
+    recs = [{"portid": 3, "portname": "B"}, {"portid": 1, "portname": "B"}, {"portid": 2, "portname": ""},
+            {"portid": 4, "portname": None}, {"portid": 5}, {"portid": "0", "portname": "A"}]
+    body = json.dumps({"features": [{"attributes": r} for r in recs], "exceededTransferLimit": False})
+    pages = pg.parse_pages(_text(spark, [("m", 0, body)]), "ports_db")
+    rows = lenient(pg.master_rows(pages), MASTER).orderBy("portname", "portid").collect()
+    assert [(r["portname"], r["portid"]) for r in rows] == [("A", "0"), ("B", "1"), ("B", "3")]
