@@ -61,14 +61,21 @@ def _chk_stats(spark, sf):
 
 
 # --------------------------------------------------------------------- upserts
+# The daily-statistics sources below are GROUP BY outputs on the table key, so
+# their keys are unique by construction: they use the one-scan variant of the
+# upsert (cardinality window on the join's own partitioning). Sources without
+# that guarantee (backfill_ports, the load jobs) use the default, which splits
+# duplicated keys out of the join.
 def upsert_chokepoints(spark: SparkSession, sf: str) -> DataFrame:
     target, source = _chk_pair(spark, sf)
-    return merge.upsert(target, source, merge.SPECS["chokepoints"], fx.ts_ntz(fx.AS_OF))
+    return merge.upsert(target, source, merge.SPECS["chokepoints"], fx.ts_ntz(fx.AS_OF),
+                        duplicates="window")
 
 
 def upsert_ports(spark: SparkSession, sf: str) -> DataFrame:
     target, source = _port_pair(spark, sf)
-    return merge.upsert(target, source, merge.SPECS["ports"], fx.ts_ntz(fx.AS_OF))
+    return merge.upsert(target, source, merge.SPECS["ports"], fx.ts_ntz(fx.AS_OF),
+                        duplicates="window")
 
 
 def _master(spark, sf):
@@ -79,7 +86,8 @@ def upsert_master(spark: SparkSession, sf: str) -> DataFrame:
     m = _master(spark, sf)
     target = fx.with_audit(lenient(m.where(F.col("s_nationkey") < 15), MASTER))
     source = lenient(m.where(F.col("s_nationkey") >= 10), MASTER)
-    return merge.upsert(target, source, merge.SPECS["master"], fx.ts_ntz(fx.AS_OF))
+    return merge.upsert(target, source, merge.SPECS["master"], fx.ts_ntz(fx.AS_OF),
+                        duplicates="window")  # supplier keys are unique
 
 
 def upsert_dry_run(spark: SparkSession, sf: str) -> DataFrame:
@@ -121,7 +129,9 @@ def project_master(spark: SparkSession, sf: str) -> DataFrame:
 def master_scan(spark: SparkSession, sf: str) -> DataFrame:
     """Master pages (50 records a page) -> stop rule -> nameless rows dropped
     -> lenient casts -> ordered by name, then id."""
-    m = fx.master_json(spark, sf).withColumn("request", F.lit("ports_db"))
+    # one paged request per block of 100,000 ids (the service pages each)
+    m = fx.master_json(spark, sf).withColumn(
+        "request", F.concat(F.lit("ports_db:"), F.floor(F.col("s_suppkey") / 100000).cast("string")))
     last = m.groupBy("request").agg(F.max("s_suppkey").alias("mx"))  # one row per request
     rows = m.join(F.broadcast(last), "request").select(
         "request", F.col("s_suppkey").alias("rn"),
