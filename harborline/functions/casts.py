@@ -8,7 +8,7 @@ Both are a single `select`, so they stay inside whole-stage codegen.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,34 +32,34 @@ def _source(df: DataFrame, table_column: str) -> str | None:
 
 def strict(df: DataFrame, table: T.StructType) -> DataFrame:
     """Project to `table`; missing columns become null, bad values raise."""
-    cols = []
+    exprs = []
     for f in table.fields:
         src = _source(df, f.name)
-        col = F.lit(None) if src is None else F.col(f"`{src}`")
-        cols.append(col.cast(f.dataType).alias(f.name))
-    return df.select(*cols)
+        value = "NULL" if src is None else f"`{src}`"
+        exprs.append(f"CAST({value} AS {f.dataType.simpleString()}) AS `{f.name}`")
+    return df.selectExpr(*exprs)
 
 
-def _lenient_from_variant(v: Column, dtype: T.DataType) -> Column:
+def _lenient_from_variant(v: str, dtype: T.DataType) -> str:
     if isinstance(dtype, T.StringType):
-        return F.try_variant_get(v, "$", "string")
+        return f"try_variant_get({v}, '$', 'string')"
     if isinstance(dtype, (T.LongType, T.IntegerType)):
         # number -> truncated; integer text -> parsed; any other text -> null
-        return F.try_variant_get(v, "$", "bigint").cast(dtype)
+        return f"CAST(try_variant_get({v}, '$', 'bigint') AS {dtype.simpleString()})"
     if isinstance(dtype, T.DoubleType):
-        d = F.try_variant_get(v, "$", "double")
+        d = f"try_variant_get({v}, '$', 'double')"
         # NaN -> null applies to numbers only; the text "NaN" stays NaN
-        return F.when(F.isnan(d) & (F.schema_of_variant(v) != "STRING"),
-                      F.lit(None).cast("double")).otherwise(d)
-    return F.try_variant_get(v, "$", dtype.simpleString())
+        return (f"CASE WHEN isnan({d}) AND schema_of_variant({v}) <> 'STRING' "
+                f"THEN CAST(NULL AS DOUBLE) ELSE {d} END")
+    return f"try_variant_get({v}, '$', '{dtype.simpleString()}')"
 
 
-def _lenient_from_column(c: Column, src_type: T.DataType, dtype: T.DataType) -> Column:
+def _lenient_from_column(c: str, src_type: T.DataType, dtype: T.DataType) -> str:
     if isinstance(dtype, T.StringType):
-        return c.cast("string")
+        return f"CAST({c} AS STRING)"
     if isinstance(src_type, (T.FloatType, T.DoubleType)):
-        c = F.when(F.isnan(c), F.lit(None).cast(src_type)).otherwise(c)
-    return c.try_cast(dtype)
+        c = f"CASE WHEN isnan({c}) THEN NULL ELSE {c} END"
+    return f"try_cast({c} AS {dtype.simpleString()})"
 
 
 def lenient(df: DataFrame, table: T.StructType, key: str = "portid",
@@ -70,21 +70,19 @@ def lenient(df: DataFrame, table: T.StructType, key: str = "portid",
     under the text key 'None', as a str() of a missing value would.
     """
     schema = {f.name: f.dataType for f in df.schema.fields}
-    cols = []
+    exprs = []
     for f in table.fields:
         src = _source(df, f.name)
         if src is None:
-            col = F.lit(None).cast(f.dataType)
+            e = f"CAST(NULL AS {f.dataType.simpleString()})"
+        elif isinstance(schema[src], T.VariantType):
+            e = _lenient_from_variant(f"`{src}`", f.dataType)
         else:
-            st, c = schema[src], F.col(f"`{src}`")
-            if isinstance(st, T.VariantType):
-                col = _lenient_from_variant(c, f.dataType)
-            else:
-                col = _lenient_from_column(c, st, f.dataType)
+            e = _lenient_from_column(f"`{src}`", schema[src], f.dataType)
         if f.name == key and null_key == "text":
-            col = F.coalesce(col, F.lit("None"))
-        cols.append(col.alias(f.name))
-    out = df.select(*cols)
+            e = f"coalesce({e}, 'None')"
+        exprs.append(f"{e} AS `{f.name}`")
+    out = df.selectExpr(*exprs)
     if null_key == "drop":
         out = out.where(F.col(key).isNotNull())
     return out

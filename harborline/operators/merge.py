@@ -64,15 +64,23 @@ def _any(cols: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, cols)
 
 
-def _salt(keys: list[str], values: list[str]) -> Column:
+def _q(name: str) -> str:
+    return f"`{name}`"
+
+
+def _salt_sql(keys: list[str], values: list[str]) -> str:
     """0 for a complete key, else a hash of the row (spreads null-key rows)."""
-    incomplete = _any([F.col(k).isNull() for k in keys])
-    return F.when(incomplete, F.xxhash64(*[F.col(c) for c in values])).otherwise(F.lit(0).cast("bigint"))
+    incomplete = " OR ".join(f"{_q(k)} IS NULL" for k in keys)
+    row = ", ".join(_q(c) for c in values)
+    return f"CASE WHEN {incomplete} THEN xxhash64({row}) ELSE CAST(0 AS BIGINT) END"
 
 
 def upsert(target: DataFrame, source: DataFrame, spec: MergeSpec,
            as_of: Column | None = None, duplicates: str = "split") -> DataFrame:
-    """Merged table rows plus `action`; lazy, nothing is written."""
+    """Merged table rows plus `action`; lazy, nothing is written.
+
+    The wide projections are written as SQL expressions (one call each for
+    all columns), the plan is the same as with Column objects."""
     if duplicates not in ("split", "window"):
         raise ValueError("duplicates must be 'split' or 'window'")
     as_of = F.current_timestamp() if as_of is None else as_of
@@ -81,9 +89,9 @@ def upsert(target: DataFrame, source: DataFrame, spec: MergeSpec,
     t_cols = cols + [created, updated]
     kcols = keys + ["_salt"]
 
-    tk = target.select(*[F.col(c).alias(f"t_{c}") for c in t_cols],
-                       _salt(keys, t_cols).alias("t_salt"), F.lit(True).alias("t_hit"))
-    s0 = source.select(*cols, _salt(keys, cols).alias("_salt"))
+    tk = target.selectExpr(*[f"{_q(c)} AS {_q('t_' + c)}" for c in t_cols],
+                           f"{_salt_sql(keys, t_cols)} AS t_salt", "true AS t_hit")
+    s0 = source.selectExpr(*[_q(c) for c in cols], f"{_salt_sql(keys, cols)} AS _salt")
 
     dup_rows = None
     if duplicates == "split":
@@ -96,47 +104,41 @@ def upsert(target: DataFrame, source: DataFrame, spec: MergeSpec,
     else:
         s_main = s0.withColumn("_dup", F.lit(False))
 
-    sk = s_main.select(*[F.col(c).alias(f"s_{c}") for c in cols],
-                       F.col("_salt").alias("s_salt"), F.lit(True).alias("s_hit"), "_dup")
+    sk = s_main.selectExpr(*[f"{_q(c)} AS {_q('s_' + c)}" for c in cols],
+                           "_salt AS s_salt", "true AS s_hit", "_dup")
     if duplicates == "window":
-        sk = sk.withColumn("_dup", F.count(F.lit(1)).over(
-            Window.partitionBy(*[f"s_{k}" for k in keys], "s_salt")) > 1)
+        part = ", ".join(_q("s_" + k) for k in keys)
+        sk = sk.withColumn("_dup", F.expr(f"count(1) OVER (PARTITION BY {part}, s_salt) > 1"))
 
     on = [F.col(f"t_{k}") == F.col(f"s_{k}") for k in keys] + [F.col("t_salt") == F.col("s_salt")]
     j = tk.join(sk, on=on, how="full_outer")
 
-    matched = F.coalesce(F.col("t_hit"), F.lit(False)) & F.coalesce(F.col("s_hit"), F.lit(False))
+    matched = "coalesce(t_hit, false) AND coalesce(s_hit, false)"
     if spec.trigger is None:
-        changed = F.lit(True)
+        changed = "true"
     else:
         # SQL: WHEN MATCHED AND (t.a != s.a OR ...) -- a null comparison is not true
-        changed = F.coalesce(
-            _any([F.col(f"t_{c}") != F.col(f"s_{c}") for c in spec.trigger]), F.lit(False))
-
-    probe = F.coalesce(F.col("_dup"), F.lit(False))
-    action = (
-        F.when(matched & probe,
-               F.raise_error(F.lit("MERGE cardinality violation: a target row "
-                                   "matches more than one source row")))
-        .when(matched & changed, F.lit("update"))
-        .when(matched, F.lit("noop"))
-        .when(F.col("s_hit") & probe & F.lit(duplicates == "split"), F.lit("probe"))
-        .when(F.col("s_hit"), F.lit("insert"))
-        .otherwise(F.lit("keep"))
-    )
-    a = F.col("action")
-    is_ins, is_upd = a == "insert", a == "update"
-
-    out_cols = []
+        changed = "coalesce(" + " OR ".join(
+            f"{_q('t_' + c)} <> {_q('s_' + c)}" for c in spec.trigger) + ", false)"
+    probe = "coalesce(_dup, false)"
+    action = f"""CASE
+        WHEN {matched} AND {probe} THEN raise_error('MERGE cardinality violation: a target row matches more than one source row')
+        WHEN {matched} AND {changed} THEN 'update'
+        WHEN {matched} THEN 'noop'
+        WHEN coalesce(s_hit, false) AND {probe} AND {str(duplicates == "split").lower()} THEN 'probe'
+        WHEN coalesce(s_hit, false) THEN 'insert'
+        ELSE 'keep' END"""
+
+    out = []
     for c in cols:
-        if c in spec.update_cols and c not in keys:
-            v = F.when(is_ins | is_upd, F.col(f"s_{c}")).otherwise(F.col(f"t_{c}"))
-        else:  # keys, and columns set on insert only
-            v = F.when(is_ins, F.col(f"s_{c}")).otherwise(F.col(f"t_{c}"))
-        out_cols.append(v.alias(c))
-    out_cols.append(F.when(is_ins, as_of).otherwise(F.col(f"t_{created}")).alias(created))
-    out_cols.append(F.when(is_ins | is_upd, as_of).otherwise(F.col(f"t_{updated}")).alias(updated))
-    merged = j.withColumn("action", action).where(a != "probe").select(*out_cols, a)
+        when = "action IN ('insert', 'update')" if (c in spec.update_cols and c not in keys) \
+            else "action = 'insert'"
+        out.append(f"CASE WHEN {when} THEN {_q('s_' + c)} ELSE {_q('t_' + c)} END AS {_q(c)}")
+    out.append(f"CASE WHEN action = 'insert' THEN _as_of ELSE {_q('t_' + created)} END AS {_q(created)}")
+    out.append(f"CASE WHEN action IN ('insert', 'update') THEN _as_of ELSE {_q('t_' + updated)} END "
+               f"AS {_q(updated)}")
+    merged = (j.select("*", F.expr(action).alias("action"), as_of.alias("_as_of"))
+              .where("action <> 'probe'").selectExpr(*out, "action"))
     if dup_rows is None:
         return merged
     inserts = dup_rows.select(*cols, as_of.alias(created), as_of.alias(updated),

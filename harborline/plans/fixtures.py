@@ -57,50 +57,57 @@ def shifted_day(events: DataFrame, hours: int = 9) -> Column:
     return F.to_date(F.col("ts") + F.expr(f"INTERVAL {hours} HOURS"))
 
 
+CENTS_SQL = "CAST(round(value * 100) AS BIGINT)"
+KINDS = ["tanker", "container", "dry_bulk", "general_cargo", "roro", "cargo"]
+
+
 def _cents() -> Column:
-    return F.round(F.col("value") * 100).cast("bigint")
+    return F.expr(CENTS_SQL)
 
 
-def _is_kind(kind: str) -> Column:
+def _kind_sql(kind: str) -> str:
     if kind == "cargo":
-        return F.col("event_type") != "view"
-    return F.col("event_type") == KIND_OF_TYPE[kind]
+        return "event_type <> 'view'"
+    return f"event_type = '{KIND_OF_TYPE[kind]}'"
+
+
+def _is_kind(kind: str) -> Column:
+    return F.expr(_kind_sql(kind))
+
+
+def _grouped(events: DataFrame, day: Column, aggs: list[str]) -> DataFrame:
+    # aggregate expressions as SQL text: one call per column when building
+    return events.groupBy(F.col("user_id"), day.alias("event_date")).agg(
+        *[F.expr(a) for a in aggs])
 
 
 def chokepoint_stats(events: DataFrame, day: Column) -> DataFrame:
     """Daily chokepoint statistics in table types (one row per port and day)."""
-    kinds = ["tanker", "container", "dry_bulk", "general_cargo", "roro", "cargo"]
-    return (events.groupBy(F.col("user_id"), day.alias("event_date"))
-            .agg(*[F.count_if(_is_kind(k)).cast("int").alias(f"n_{k}") for k in kinds],
-                 F.count(F.lit(1)).cast("int").alias("n_total"),
-                 F.sum(_cents()).alias("capacity"))
-            .select(F.col("user_id").cast("string").alias("portid"),
-                    F.concat(F.lit("Chokepoint "), F.col("user_id")).alias("portname"),
-                    *[f"n_{k}" for k in kinds], "n_total", "capacity", "event_date"))
+    aggs = [f"CAST(count_if({_kind_sql(k)}) AS INT) AS n_{k}" for k in KINDS]
+    aggs += ["CAST(count(1) AS INT) AS n_total", f"sum({CENTS_SQL}) AS capacity"]
+    return _grouped(events, day, aggs).selectExpr(
+        "CAST(user_id AS STRING) AS portid", "concat('Chokepoint ', user_id) AS portname",
+        *[f"n_{k}" for k in KINDS], "n_total", "capacity", "event_date")
 
 
-def _money(cond: Column) -> Column:
-    return (F.coalesce(F.sum(F.when(cond, _cents())), F.lit(0)).cast("double")
-            / F.lit(100.0))
+def _money(cond: str) -> str:
+    return f"CAST(coalesce(sum(CASE WHEN {cond} THEN {CENTS_SQL} END), 0) AS DOUBLE) / 100.0D"
 
 
 def port_stats(events: DataFrame, day: Column) -> DataFrame:
     """Daily port statistics in table types (one row per port and day)."""
-    kinds = ["tanker", "container", "dry_bulk", "general_cargo", "roro", "cargo"]
-    even = F.col("event_id") % 2 == 0
-    aggs = [F.count_if(_is_kind(k)).cast("int").alias(f"portcalls_{k}") for k in kinds]
-    aggs.append(F.count(F.lit(1)).cast("int").alias("portcalls"))
-    aggs += [_money(even & _is_kind(k)).alias(f"import_{k}") for k in kinds]
-    aggs.append(_money(even).alias("import"))
-    aggs += [_money(~even & _is_kind(k)).alias(f"export_{k}") for k in kinds]
-    aggs.append(_money(~even).alias("export"))
-    nat = F.col("user_id") % 25
-    return (events.groupBy(F.col("user_id"), day.alias("event_date")).agg(*aggs)
-            .select(F.col("user_id").cast("string").alias("portid"),
-                    F.concat(F.lit("Port "), F.col("user_id")).alias("portname"),
-                    F.concat(F.lit("NATION_"), nat).alias("country"),
-                    F.concat(F.lit("N"), F.lpad(nat.cast("string"), 2, "0")).alias("iso3"),
-                    *[c for c in aggs_names(kinds)], "event_date"))
+    even, odd = "event_id % 2 = 0", "event_id % 2 <> 0"
+    aggs = [f"CAST(count_if({_kind_sql(k)}) AS INT) AS portcalls_{k}" for k in KINDS]
+    aggs.append("CAST(count(1) AS INT) AS portcalls")
+    aggs += [f"{_money(even + ' AND ' + _kind_sql(k))} AS import_{k}" for k in KINDS]
+    aggs.append(f"{_money(even)} AS `import`")
+    aggs += [f"{_money(odd + ' AND ' + _kind_sql(k))} AS export_{k}" for k in KINDS]
+    aggs.append(f"{_money(odd)} AS `export`")
+    return _grouped(events, day, aggs).selectExpr(
+        "CAST(user_id AS STRING) AS portid", "concat('Port ', user_id) AS portname",
+        "concat('NATION_', user_id % 25) AS country",
+        "concat('N', lpad(CAST(user_id % 25 AS STRING), 2, '0')) AS iso3",
+        *[f"`{c}`" for c in aggs_names(KINDS)], "event_date")
 
 
 def aggs_names(kinds):
@@ -244,10 +251,10 @@ def zone_points(events: DataFrame) -> DataFrame:
     `event_id % 28`; step k = (event_id div 28) % 4 moves the latitude from the
     SW corner by k half-heights (k = 0..2 inside or on the edge, k = 3 outside);
     longitude at the zone centre (plain IEEE arithmetic, no rounding)."""
-    table = F.array(*[F.struct(F.lit(z[1]).alias("lat1"), F.lit(z[2]).alias("lon1"),
-                               F.lit(z[3]).alias("lat2"), F.lit(z[4]).alias("lon2"))
-                      for z in SHIPPED_ZONES])
-    z = F.element_at(table, (F.col("event_id") % len(SHIPPED_ZONES) + 1).cast("int"))
+    table = "array(" + ", ".join(
+        f"named_struct('lat1', {z[1]!r}D, 'lon1', {z[2]!r}D, 'lat2', {z[3]!r}D, 'lon2', {z[4]!r}D)"
+        for z in SHIPPED_ZONES) + ")"
+    z = F.expr(f"element_at({table}, CAST(event_id % {len(SHIPPED_ZONES)} + 1 AS INT))")
     k = (F.floor(F.col("event_id") / 28) % 4).cast("double")
     return (events
             .withColumn("latitude", z["lat1"] + (z["lat2"] - z["lat1"]) * k * 0.5)
