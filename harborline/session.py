@@ -13,6 +13,27 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# Settings for a large cluster (e.g. 1,000 executors, ~100 TB of input). They
+# are what the library's plans assume; the platform sets them on the session.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
+    # start high and let AQE coalesce (tens of TB of shuffle / 256 MB)
+    "spark.sql.shuffle.partitions": "100000",
+    "spark.sql.files.maxPartitionBytes": str(256 << 20),
+    # broadcast only what Spark has measured to be small (zones, months, stop offsets)
+    "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.parquet.filterPushdown": "true",
+}
+
+
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8) -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
