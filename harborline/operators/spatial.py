@@ -77,14 +77,3 @@ def in_any_zone(points: DataFrame, zones: DataFrame, lat: str = "latitude",
             & F.col(lon).between(cells.z_lon_lo, cells.z_lon_hi))
     return p.join(cells, cond, "left_semi").drop("cell_lat", "cell_lon")
 
-
-def tag_zone(points: DataFrame, zones: DataFrame, lat: str = "latitude",
-             lon: str = "longitude") -> DataFrame:
-    """Attach the name of the (first listed) zone a point lies in, else null."""
-    n = zones.count()
-    if n > INLINE_LIMIT:
-        raise ValueError("tag_zone is meant for short zone lists")
-    expr = F.lit(None).cast("string")
-    for z in reversed(zones.collect()):
-        expr = F.when(_inside(F.col(lat), F.col(lon), z), F.lit(z.name)).otherwise(expr)
-    return points.withColumn("zone", expr)
