@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from harborline.session import scratch_root
+from harborline.session import materialize
 
 
 def stop_flag(pages: DataFrame):
@@ -62,12 +62,11 @@ def number_rows(df: DataFrame, order: list, size: int | None = None,
     `order` must be a total order for the numbering to be deterministic.
     """
     spark = df.sparkSession
-    scratch_root(spark)  # makes sure a checkpoint folder is set
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id()))
-    ranged = ranged.checkpoint()  # stable ids for both uses below; cuts lineage
+    ranged = materialize(ranged, "row-numbers")  # ids fixed once for both uses below
     counts = (ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"),
                                          F.min("_mid").alias("_first"))
               .withColumn("_base", F.coalesce(

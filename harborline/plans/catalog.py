@@ -109,6 +109,28 @@ def backfill_ports(spark: SparkSession, sf: str) -> DataFrame:
     return merge.upsert(target, source, merge.SPECS["ports"], fx.ts_ntz(fx.AS_OF))
 
 
+def backfill_job(spark: SparkSession, sf: str) -> DataFrame:
+    """The load job end to end on a fresh table root: an initial load (the
+    prior rows, all inserts), then the two-feed backfill as one load (month
+    partitions read, merged, checkpointed, changed months overwritten, commit
+    log appended); returns the table as stored afterwards."""
+    from harborline.plans import jobs
+
+    root = scratch_path(spark, "backfill_job")
+    ev = _events(spark, sf)
+    prior = fx.port_stats(ev.where(F.col("ts") < fx.ts_ntz(TARGET_BEFORE)), fx.shifted_day(ev))
+    jobs.load_stats(spark, prior, root, "ports", as_of=fx.ts_ntz(fx.PRIOR_LOAD))
+    day = fx.utc_day(ev)
+    early = fx.port_stats(ev.where(predicates.between_days(day, "2024-01-10", "2024-01-17")), day)
+    late = fx.port_stats(ev.where(predicates.between_days(day, "2024-01-18", "2024-01-25")), day) \
+        .drop("export_roro")
+    jobs.backfill_ports(spark, [early, late], root, "2024-01-10", "2024-01-25",
+                        as_of=fx.ts_ntz(fx.AS_OF))
+    stored = tables.read_stats(spark, f"{root}/ports", schema=PORTS).drop(tables.MONTH)
+    return (stored.withColumn("created_at", F.col("created_at").cast("timestamp_ntz"))
+            .withColumn("updated_at", F.col("updated_at").cast("timestamp_ntz")))
+
+
 # ----------------------------------------------------------------- projections
 def project_chokepoints(spark: SparkSession, sf: str) -> DataFrame:
     raw = fx.raw_attributes(_chk_stats(spark, sf))
@@ -342,6 +364,7 @@ QUERIES = {
     "upsert_master": upsert_master,
     "upsert_dry_run": upsert_dry_run,
     "backfill_ports": backfill_ports,
+    "backfill_job": backfill_job,
     "project_chokepoints": project_chokepoints,
     "project_ports": project_ports,
     "project_master": project_master,

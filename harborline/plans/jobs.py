@@ -1,12 +1,12 @@
 """Load jobs: statistics upserts, backfill, master load, traffic summary.
 
 Write path of a statistics load (one job, one commit-log row):
-  0. the typed source rows are checkpointed once (pages parsed once)
+  0. the typed source rows are written once to the shared scratch folder
+     (pages parsed once, however often the load reads the rows)
   1. months touched by the source (a short driver list, bounded by the window)
   2. read only those month partitions of the table (partition pruning)
-  3. upsert -> checkpoint in the shared checkpoint folder (lineage cut, so a
-     lost executor recomputes from the checkpoint, never from files that the
-     overwrite is replacing)
+  3. upsert -> written to the shared scratch folder (lineage cut, so a lost
+     executor re-reads those files, never files that the overwrite replaces)
   4. overwrite only months holding an insert or update (dynamic partition
      overwrite); months with nothing but keep/noop rows are not rewritten
   5. append the commit-log row last; rerunning the same load after a crash
@@ -26,7 +26,7 @@ from harborline.functions.casts import lenient, strict
 from harborline.functions.dates import as_date, month_start
 from harborline.operators import commitlog, merge, predicates
 from harborline.schemas import DATASETS
-from harborline.session import scratch_root
+from harborline.session import materialize, scratch_root
 from harborline.sources import pages as pg
 from harborline.sources import tables
 from harborline.streaming import runner
@@ -75,8 +75,8 @@ def load_stats(spark: SparkSession, source: DataFrame, root: str, kind: str,
     schema = DATASETS["daily_chokepoint" if kind == "chokepoints" else "daily_port"].table
     # the typed source is used by the empty check, the month list, the upsert
     # branches and the commit summary: parse the pages once, keep the rows in
-    # the shared checkpoint folder
-    source = source.checkpoint()
+    # the shared scratch folder
+    source = materialize(source, "load-source")
     if source.isEmpty():
         log.warning("no rows to load into %s", kind)
         return None
@@ -87,7 +87,7 @@ def load_stats(spark: SparkSession, source: DataFrame, root: str, kind: str,
     merged = merge.upsert(target, source, spec, _stamp(as_of))
     if dry_run:
         return merge.action_counts(merged)
-    merged = tables.with_month(merged).checkpoint()
+    merged = materialize(tables.with_month(merged), "load-merged")
     changed = [r[0] for r in merged.where(F.col("action").isin("insert", "update"))
                .select(tables.MONTH).distinct().collect()]
     if changed:
@@ -135,7 +135,8 @@ def load_master(spark, pages: DataFrame, root: str, table: str, as_of=None,
     row is rewritten; the result becomes a new snapshot named in the log."""
     spec = merge.SPECS["master"]
     scratch_root(spark)
-    source = lenient(pg.master_rows(pages), DATASETS["ports_db"].table, null_key=null_key).checkpoint()
+    source = materialize(lenient(pg.master_rows(pages), DATASETS["ports_db"].table,
+                                 null_key=null_key), "master-source")
     if source.isEmpty():
         log.warning("no master rows for %s", table)
         return None
@@ -150,7 +151,7 @@ def load_master(spark, pages: DataFrame, root: str, table: str, as_of=None,
     merged = merge.upsert(target, source, spec, _stamp(as_of))
     if dry_run:
         return merge.action_counts(merged)
-    merged = merged.checkpoint()
+    merged = materialize(merged, "master-merged")
     snapshot = _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
     tables.write_snapshot(merged.drop("action"), path, snapshot)
     summary = source.agg(F.count(F.lit(1)).alias("row_count")).select(

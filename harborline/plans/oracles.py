@@ -217,6 +217,7 @@ ORACLES = {
     "upsert_master": UPSERT_MASTER,
     "upsert_dry_run": f"SELECT action, count(*) AS n_rows FROM ({UPSERT_CHOKEPOINTS}) GROUP BY action",
     "backfill_ports": BACKFILL_PORTS,
+    "backfill_job": "SELECT * EXCLUDE (action) FROM (" + BACKFILL_PORTS + ")",
     "project_chokepoints": chk_stats(),
     "project_ports": port_stats(),
     "project_master": master(),

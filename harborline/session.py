@@ -83,3 +83,13 @@ def spread(df):
     if df.rdd.getNumPartitions() < cores:
         return df.repartition(cores)
     return df
+
+
+def materialize(df, name: str = "stage"):
+    """Write `df` as Parquet into a fresh folder under the shared scratch root
+    and read it back: the lineage is cut and every later use reads the files
+    (one computation; an eager RDD checkpoint would compute the plan twice
+    unless cached). Survives the loss of any executor once written."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
