@@ -20,10 +20,13 @@ LANDING_SCHEMA = "received timestamp_ntz, value string"
 
 def read_messages(spark: SparkSession, path: str, fmt: str = "parquet",
                   max_files_per_trigger: int | None = None, **options) -> DataFrame:
-    """Streaming source of (received, value). `fmt` = parquet/json landing
-    files; for Kafka pass fmt="kafka" with its options and map `timestamp`."""
+    """Streaming source of (received, value).
+
+    fmt = "parquet" / "json": landing files with both columns;
+    fmt = "text": raw message lines, arrival = the file's modification time;
+    fmt = "kafka": pass the Kafka options; arrival = the record timestamp."""
     r = spark.readStream.format(fmt)
-    if fmt != "kafka":
+    if fmt in ("parquet", "json"):
         r = r.schema(LANDING_SCHEMA)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -31,7 +34,11 @@ def read_messages(spark: SparkSession, path: str, fmt: str = "parquet",
         r = r.option(k, v)
     df = r.load(path)
     if fmt == "kafka":
-        df = df.selectExpr("timestamp AS received", "CAST(value AS STRING) AS value")
+        df = df.selectExpr("CAST(timestamp AS TIMESTAMP_NTZ) AS received",
+                           "CAST(value AS STRING) AS value")
+    elif fmt == "text":
+        df = df.selectExpr("CAST(_metadata.file_modification_time AS TIMESTAMP_NTZ) AS received",
+                           "value")
     return df
 
 

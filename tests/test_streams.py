@@ -91,3 +91,15 @@ def test_live_run_stops_after_duration(spark, workdir):
     assert time.time() - t0 < 60
     batch = M.summary(runner.traffic(msgs, zones_frame(spark))).collect()[0]
     assert tuple(got) == tuple(batch)
+
+
+def test_raw_message_lines_stream(spark, workdir):
+    msgs = fx.messages(fx.read(spark, "/root/testdata/sf0.001", "events"))
+    raw = os.path.join(workdir, "raw")
+    msgs.select("value").write.text(raw)
+    stream = runner.read_messages(spark, raw, fmt="text")
+    flow = runner.traffic(stream, zones_frame(spark))
+    runner.run_for(runner.start_sinks(flow, os.path.join(workdir, "sinks"), outputs=("messages",)))
+    got = tuple(runner.traffic_summary(spark, os.path.join(workdir, "sinks")).collect()[0])
+    exp = tuple(M.summary(runner.traffic(msgs, zones_frame(spark))).collect()[0])
+    assert got == exp
