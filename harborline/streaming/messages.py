@@ -52,7 +52,13 @@ def parse(df: DataFrame, value: str = "value", received: str = "received") -> Da
     dest = (F.when(F.coalesce(F.map_contains_key(static, "Destination"), F.lit(False)),
                    static["Destination"])
             .otherwise(F.lit(UNKNOWN_DESTINATION)))
-    return df.select(F.col(received).alias("received"), m.alias("m")).select(
+    # The parsed struct comes out of a one-row Generate: predicates on parsed
+    # fields (valid id, zones, types) then stay above it. Pushed below a plain
+    # projection, each predicate term would re-run from_json in a filter that
+    # whole-stage codegen cannot compile (measured ~1.8x slower).
+    parsed = df.select(F.col(received).alias("received"),
+                       F.inline(F.array(F.struct(m.alias("m")))))
+    return parsed.select(
         "received",
         (F.col("m").isNotNull() & F.col("m._corrupt_record").isNull()).alias("parsed_ok"),
         F.col("m.MessageType").alias("message_type"),
