@@ -47,8 +47,11 @@ def page_log_lines(text: DataFrame, body: str = "body") -> DataFrame:
 def parse_pages(text: DataFrame, dataset: str, body: str = "body") -> DataFrame:
     """Pages from response text: columns request, offset and `body`."""
     ds = DATASETS[dataset]
+    p = F.from_json(F.col(body), page_schema(ds.attrs))
+    # parsed through a one-row Generate, so filters on page fields (the stop
+    # rule) stay above the parse instead of re-running from_json per term
     return (text.select("request", F.col("offset").cast("bigint").alias("offset"),
-                        F.from_json(F.col(body), page_schema(ds.attrs)).alias("p"))
+                        F.inline(F.array(F.struct(p.alias("p")))))
             .select("request", "offset", "p.*"))
 
 
