@@ -16,7 +16,7 @@ from harborline.operators import commitlog, merge, paging, predicates
 from harborline.operators.spatial import in_any_zone
 from harborline.plans import fixtures as fx
 from harborline.schemas import CHOKEPOINTS, MASTER, PORTS
-from harborline.session import scratch_path
+from harborline.session import materialize, scratch_path
 from harborline.sources import pages as pg
 from harborline.sources import tables
 from harborline.sources.zones import zones_frame
@@ -106,6 +106,9 @@ def backfill_ports(spark: SparkSession, sf: str) -> DataFrame:
     late = fx.port_stats(ev.where(predicates.between_days(day, "2024-01-18", "2024-01-25")), day) \
         .drop("export_roro")
     source = strict(early.unionByName(late, allowMissingColumns=True), PORTS)
+    # the union is read by four branches of the duplicate-safe upsert (count,
+    # semi, anti, probe): compute it once into the shared scratch folder
+    source = materialize(source, "backfill-source")
     return merge.upsert(target, source, merge.SPECS["ports"], fx.ts_ntz(fx.AS_OF))
 
 
