@@ -154,29 +154,8 @@ def project_master(spark: SparkSession, sf: str) -> DataFrame:
 def master_scan(spark: SparkSession, sf: str) -> DataFrame:
     """Master pages (50 records a page) -> stop rule -> nameless rows dropped
     -> lenient casts -> ordered by name, then id."""
-    # one paged request per block of 100,000 ids (the service pages each)
-    m = fx.master_json(spark, sf).withColumn(
-        "request", F.concat(F.lit("ports_db:"), F.floor(F.col("s_suppkey") / 100000).cast("string")))
-    last = m.groupBy("request").agg(F.max("s_suppkey").alias("mx"))  # one row per request
-    rows = m.join(F.broadcast(last), "request").select(
-        "request", F.col("s_suppkey").alias("rn"),
-        (F.col("s_suppkey") == F.col("mx")).alias("last"), F.col("json").alias("attributes"))
-    pages = _master_pages(rows, 50)
-    recs = pg.master_rows(pages)
-    return lenient(recs, MASTER).orderBy("portname", "portid")
-
-
-def _master_pages(rows: DataFrame, size: int) -> DataFrame:
-    grouped = (rows.withColumn("page", F.floor(F.col("rn") / size).cast("int"))
-               .groupBy("request", "page")
-               .agg(F.collect_list("attributes").alias("attrs"), F.max("last").alias("is_last")))
-    body = F.concat(F.lit('{"features":['),
-                    F.array_join(F.transform("attrs", lambda a: F.concat(F.lit('{"attributes":'), a, F.lit("}"))), ","),
-                    F.lit('],"exceededTransferLimit":'),
-                    F.when(F.col("is_last"), F.lit("false")).otherwise(F.lit("true")),
-                    F.lit("}"))
-    text = grouped.select("request", (F.col("page") * size).alias("offset"), body.alias("body"))
-    return pg.parse_pages(text, "ports_db")
+    pages = pg.parse_pages(fx.master_page_text(spark, sf, 50), "ports_db")
+    return lenient(pg.master_rows(pages), MASTER).orderBy("portname", "portid")
 
 
 def epoch_to_date(spark: SparkSession, sf: str) -> DataFrame:

@@ -178,6 +178,26 @@ def master_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select("s_suppkey", "s_nationkey", text.alias("json"))
 
 
+def master_page_text(spark: SparkSession, sf_dir: str, size: int) -> DataFrame:
+    """Master records as service responses (request, offset, body): one paged
+    request per block of 100,000 ids, `size` records a page, the last page of
+    each request not flagged as truncated."""
+    m = master_json(spark, sf_dir).withColumn(
+        "request", F.concat(F.lit("ports_db:"), F.floor(F.col("s_suppkey") / 100000).cast("string")))
+    last = m.groupBy("request").agg(F.max("s_suppkey").alias("mx"))  # one row per request
+    pages = (m.join(F.broadcast(last), "request")
+             .withColumn("page", F.floor(F.col("s_suppkey") / size).cast("int"))
+             .groupBy("request", "page")
+             .agg(F.collect_list("json").alias("attrs"),  # at most `size` records
+                  F.max(F.col("s_suppkey") == F.col("mx")).alias("is_last")))
+    body = F.concat(F.lit('{"features":['),
+                    F.array_join(F.transform("attrs", lambda a: F.concat(F.lit('{"attributes":'), a, F.lit("}"))), ","),
+                    F.lit('],"exceededTransferLimit":'),
+                    F.when(F.col("is_last"), F.lit("false")).otherwise(F.lit("true")),
+                    F.lit("}"))
+    return pages.select("request", (F.col("page") * size).alias("offset"), body.alias("body"))
+
+
 def master_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Master attributes as the page scan yields them (variant values)."""
     m = master_json(spark, sf_dir)
