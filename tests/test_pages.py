@@ -109,3 +109,19 @@ def test_master_pages_drop_nameless_and_sort(spark):
     pages = pg.parse_pages(_text(spark, [("m", 0, body)]), "ports_db")
     rows = lenient(pg.master_rows(pages), MASTER).orderBy("portname", "portid").collect()
     assert [(r["portname"], r["portid"]) for r in rows] == [("A", "0"), ("B", "1"), ("B", "3")]
+
+
+def test_master_page_files_keep_number_vs_text(spark, workdir):
+    from harborline.functions.casts import lenient
+    from harborline.schemas import MASTER
+
+    d = os.path.join(workdir, "request=m1", "offset=0")
+    os.makedirs(d)
+    recs = [{"portid": 1, "portname": "A", "vessel_count_total": "7", "lat": 12.5},
+            {"portid": "2", "portname": "B", "vessel_count_total": 12.7},
+            {"portid": 3, "portname": "C", "vessel_count_total": "12.5"}]
+    with open(os.path.join(d, "p.json"), "w") as f:
+        json.dump({"features": [{"attributes": r} for r in recs], "exceededTransferLimit": False}, f)
+    rows = lenient(pg.master_rows(pg.read_pages(spark, workdir, "ports_db")), MASTER).collect()
+    got = {r["portid"]: r["vessel_count_total"] for r in rows}
+    assert got == {"1": 7, "2": 12, "3": None}
