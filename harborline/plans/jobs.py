@@ -163,6 +163,15 @@ def load_master(spark, pages: DataFrame, root: str, table: str, as_of=None,
     return merge.action_counts(merged)
 
 
+def load_masters(spark, chokepoint_pages: DataFrame, port_pages: DataFrame, root: str,
+                 as_of=None, dry_run=False) -> dict:
+    """Both master tables, chokepoints first, then ports; each is its own
+    load (and snapshot), not one atomic unit."""
+    return {"chokepoints_master": load_master(spark, chokepoint_pages, root, "chokepoints_master",
+                                              as_of, dry_run),
+            "ports_master": load_master(spark, port_pages, root, "ports_master", as_of, dry_run)}
+
+
 def read_master(spark, root: str, table: str) -> DataFrame:
     snap = commitlog.latest_snapshot(spark, f"{root}/_commits", TABLES[table])
     return spark.read.parquet(f"{_table_path(root, table)}/snapshot={snap}")

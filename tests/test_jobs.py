@@ -71,6 +71,9 @@ def test_master_load_snapshots(spark, workdir):
         F.lit('],"exceededTransferLimit":false}')).alias("body")).withColumn("offset", F.lit(0))
     from harborline.sources import pages as pg
     pages = pg.parse_pages(body, "ports_db")
+    both = jobs.load_masters(spark, pages, pages, workdir, AS_OF, dry_run=True)
+    assert {k: v.collect()[0]["action"] for k, v in both.items()} == {
+        "chokepoints_master": "insert", "ports_master": "insert"}
     c1 = {r["action"]: r["n_rows"] for r in jobs.load_master(spark, pages, workdir, "ports_master", AS_OF).collect()}
     c2 = {r["action"]: r["n_rows"] for r in jobs.load_master(spark, pages, workdir, "ports_master").collect()}
     assert c1 == {"insert": 10} and c2 == {"update": 10}
