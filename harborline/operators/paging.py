@@ -62,7 +62,8 @@ def number_rows(df: DataFrame, order: list, size: int | None = None,
     `order` must be a total order for the numbering to be deterministic.
     """
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # one range per core by default (an explicit count is not coalesced by AQE)
+    n = num_partitions or spark.sparkContext.defaultParallelism
     ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id()))
