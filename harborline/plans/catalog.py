@@ -115,7 +115,7 @@ def backfill_ports(spark: SparkSession, sf: str) -> DataFrame:
 def backfill_job(spark: SparkSession, sf: str) -> DataFrame:
     """The load job end to end on a fresh table root: an initial load (the
     prior rows, all inserts), then the two-feed backfill as one load (month
-    partitions read, merged, checkpointed, changed months overwritten, commit
+    partitions read, merged and staged, changed months overwritten, commit
     log appended); returns the table as stored afterwards."""
     from harborline.plans import jobs
 

@@ -2,8 +2,8 @@
 
 The stream is stateless: parse -> valid id -> zone filter -> duration cut,
 then three append-only Parquet sinks (all valid messages, positions,
-statics), each with its own checkpoint in the shared scratch folder, so a
-restarted query resumes exactly where it stopped. Totals are a batch
+statics), each with its own checkpoint next to its output (a shared folder
+on a cluster), so a restarted query resumes exactly where it stopped. Totals are a batch
 aggregate over the message sink (`messages.summary`), which is exact and
 needs no unbounded per-vessel state in the stream.
 """
