@@ -23,15 +23,20 @@ def stop_flag(pages: DataFrame):
             | ~F.coalesce(F.col("exceededTransferLimit"), F.lit(False)))
 
 
-def apply_page_stop(pages: DataFrame, on_error: str = "fail") -> DataFrame:
+def apply_page_stop(pages: DataFrame, on_error: str = "fail",
+                    meta: DataFrame | None = None) -> DataFrame:
     """Pages that the sequential reader would have read.
 
     on_error = "keep": an error page ends the request, pages before it count;
     on_error = "fail": a read error page fails the job.
+    meta: the same pages read with a metadata-only schema (features as empty
+    structs): the stop offsets are then found without converting any
+    attribute, and only the main pass parses the records.
     """
     if on_error not in ("keep", "fail"):
         raise ValueError("on_error must be 'keep' or 'fail'")
-    stops = (pages.where(stop_flag(pages)).groupBy("request")
+    src = pages if meta is None else meta
+    stops = (src.where(stop_flag(src)).groupBy("request")
              .agg(F.min("offset").alias("_stop_at")))
     kept = (pages.join(stops, "request", "left")
             .where(F.col("_stop_at").isNull() | (F.col("offset") <= F.col("_stop_at")))

@@ -239,9 +239,10 @@ def day_calendar(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------------- pages
-def _event_pages(spark, sf, inject_stops):
+def _event_rows(spark, sf, inject_stops, on_error):
     path = fx.landed_pages_path(spark, sf, PAGE_SIZE, inject_stops)
-    return pg.read_page_log(spark, path, "daily_chokepoint")
+    return pg.stat_rows(pg.read_page_log(spark, path, "daily_chokepoint"), on_error,
+                        meta=pg.read_page_log_meta(spark, path))
 
 
 def _stat_columns(df):
@@ -251,11 +252,11 @@ def _stat_columns(df):
 
 
 def stat_scan(spark: SparkSession, sf: str) -> DataFrame:
-    return _stat_columns(pg.stat_rows(_event_pages(spark, sf, False), on_error="fail"))
+    return _stat_columns(_event_rows(spark, sf, False, on_error="fail"))
 
 
 def page_stop(spark: SparkSession, sf: str) -> DataFrame:
-    return _stat_columns(pg.stat_rows(_event_pages(spark, sf, True), on_error="keep"))
+    return _stat_columns(_event_rows(spark, sf, True, on_error="keep"))
 
 
 def page_slice(spark: SparkSession, sf: str) -> DataFrame:

@@ -38,6 +38,24 @@ def read_page_log(spark: SparkSession, path: str, dataset: str) -> DataFrame:
     return spark.read.schema(schema).json(path).select("request", "offset", "response.*")
 
 
+# a page with its records reduced to empty objects: enough for the stop rule
+META_PAGE = T.StructType([
+    T.StructField("features", T.ArrayType(T.StructType([]))),
+    T.StructField("exceededTransferLimit", T.BooleanType()),
+    T.StructField("error", T.StructType([T.StructField("code", T.LongType())])),
+])
+
+
+def read_page_log_meta(spark: SparkSession, path: str) -> DataFrame:
+    """Page metadata of a page log (request, offset, record count via an
+    array of empty structs, truncation flag, error): the JSON reader skips
+    the records' contents instead of converting them."""
+    schema = T.StructType([T.StructField("request", T.StringType()),
+                           T.StructField("offset", T.LongType()),
+                           T.StructField("response", META_PAGE)])
+    return spark.read.schema(schema).json(path).select("request", "offset", "response.*")
+
+
 def page_log_lines(text: DataFrame, body: str = "body") -> DataFrame:
     """Envelope lines (for `read_page_log`) from (request, offset, body text)."""
     head = F.regexp_replace(F.to_json(F.struct("request", "offset")), r"\}$", "")
@@ -55,10 +73,11 @@ def parse_pages(text: DataFrame, dataset: str, body: str = "body") -> DataFrame:
             .select("request", "offset", "p.*"))
 
 
-def stat_rows(pages: DataFrame, on_error: str = "fail") -> DataFrame:
+def stat_rows(pages: DataFrame, on_error: str = "fail", meta: DataFrame | None = None) -> DataFrame:
     """All features of the pages a sequential reader would have read, with the
-    raw `date` replaced by `event_date` (epoch ms or text; 0/null -> null)."""
-    rows = paging.flatten(paging.apply_page_stop(pages, on_error), keep=("request", "offset"))
+    raw `date` replaced by `event_date` (epoch ms or text; 0/null -> null).
+    `meta`: the pages read by `read_page_log_meta` (cheaper stop pass)."""
+    rows = paging.flatten(paging.apply_page_stop(pages, on_error, meta), keep=("request", "offset"))
     return rows.withColumn("event_date", event_date("date")).drop("date")
 
 

@@ -96,7 +96,9 @@ def test_page_log_envelope_equals_page_files(spark, workdir):
     log = pg.read_page_log(spark, os.path.join(workdir, "log"), "daily_chokepoint")
     a = sorted(int(r["portid"]) for r in pg.stat_rows(log, "keep").collect())
     b = _ids(spark, pages, "keep")
-    assert a == b == [1, 2, 3]
+    meta = pg.read_page_log_meta(spark, os.path.join(workdir, "log"))
+    c = sorted(int(r["portid"]) for r in pg.stat_rows(log, "keep", meta=meta).collect())
+    assert a == b == c == [1, 2, 3]
 
 
 def test_master_pages_drop_nameless_and_sort(spark):
