@@ -96,21 +96,23 @@ def load_stats(spark: SparkSession, source: DataFrame, root: str, kind: str,
     return merge.action_counts(merged)
 
 
-def extract_chokepoints(pages: DataFrame, start, end, now=None) -> DataFrame:
+def extract_chokepoints(pages: DataFrame, start, end, now=None,
+                        meta: DataFrame | None = None) -> DataFrame:
     """Chokepoint rows of [start, end]: the relative window reaching back to
     `start` (plus one day), then the exact inclusive range."""
     now = as_date(now) if now is not None else _dt.datetime.now(_dt.timezone.utc).date()
     days = (now - as_date(start)).days + 1
-    rows = pg.stat_scan(pages, "daily_chokepoint", days=days, now=now)
+    rows = pg.stat_scan(pages, "daily_chokepoint", days=days, now=now, meta=meta)
     rows = rows.where(predicates.between_days("event_date", start, end))
     return strict(rows, DATASETS["daily_chokepoint"].table)
 
 
 def upsert_chokepoints(spark, pages: DataFrame, root: str, start=None, end=None,
-                       now=None, as_of=None, dry_run=False):
+                       now=None, as_of=None, dry_run=False, meta: DataFrame | None = None):
+    """Chokepoint load over [start, end] (default: the 11-day window)."""
     if start is None or end is None:
         start, end = predicates.default_range(now)
-    return load_stats(spark, extract_chokepoints(pages, start, end, now), root,
+    return load_stats(spark, extract_chokepoints(pages, start, end, now, meta), root,
                       "chokepoints", as_of, dry_run)
 
 

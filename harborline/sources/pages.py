@@ -89,10 +89,11 @@ def master_rows(pages: DataFrame, on_error: str = "keep") -> DataFrame:
 
 
 def stat_scan(pages: DataFrame, dataset: str, ids=None, days: int | None = None,
-              start=None, end=None, now=None, on_error: str = "fail") -> DataFrame:
+              start=None, end=None, now=None, on_error: str = "fail",
+              meta: DataFrame | None = None) -> DataFrame:
     """Statistics rows of a dataset under the date and id predicates."""
     ds = DATASETS[dataset]
-    rows = stat_rows(pages, on_error)
+    rows = stat_rows(pages, on_error, meta)
     return predicates.apply(rows,
                             predicates.date_range("event_date", now, days, start, end),
                             predicates.ids(ds.id_column, ids))
