@@ -301,6 +301,13 @@ def zone_filter(spark: SparkSession, sf: str) -> DataFrame:
     return in_any_zone(pts, zones_frame(spark))
 
 
+def zone_filter_grid(spark: SparkSession, sf: str) -> DataFrame:
+    """The same match through the grid-cell equi-join used for long zone
+    lists (forced here for the 28 zones): same rows as zone_filter."""
+    pts = fx.zone_points(_events(spark, sf)).select("event_id", "latitude", "longitude")
+    return in_any_zone(pts, zones_frame(spark), inline_limit=0)
+
+
 def _parsed(spark, sf):
     return M.parse(fx.landed_messages(spark, sf))
 
@@ -370,6 +377,7 @@ QUERIES = {
     "latest_updates": latest_updates,
     "commit_message": commit_message,
     "zone_filter": zone_filter,
+    "zone_filter_grid": zone_filter_grid,
     "ais_parse": ais_parse,
     "ais_positions": ais_positions,
     "ais_statics": ais_statics,

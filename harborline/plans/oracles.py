@@ -259,6 +259,7 @@ ORDER BY updated_at DESC, portid ASC, event_date DESC LIMIT 5""",
   'portwatch.ports' AS "table", count(*) AS row_count, min(event_date) AS min_date, max(event_date) AS max_date
 FROM ({port_stats(SOURCE_WHERE)})""",
     "zone_filter": f"SELECT event_id, latitude, longitude FROM ({ZONE_POINTS}) p WHERE {IN_ANY_ZONE}",
+    "zone_filter_grid": f"SELECT event_id, latitude, longitude FROM ({ZONE_POINTS}) p WHERE {IN_ANY_ZONE}",
     "ais_parse": PARSED,
     "ais_positions": f"""SELECT received, message_type, mmsi, ship_name, latitude, longitude FROM ({IN_ZONE})
 WHERE message_type IN ('PositionReport', 'StandardClassBPositionReport')""",
