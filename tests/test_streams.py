@@ -87,7 +87,7 @@ def test_live_run_stops_after_duration(spark, workdir):
     msgs.write.parquet(landing)
     t0 = time.time()
     got = jobs.traffic_summary(spark, landing, zones_frame(spark), os.path.join(workdir, "sinks"),
-                               duration_sec=8, live=True).collect()[0]
+                               duration_sec=12, live=True).collect()[0]
     assert time.time() - t0 < 60
     batch = M.summary(runner.traffic(msgs, zones_frame(spark))).collect()[0]
     assert tuple(got) == tuple(batch)
