@@ -73,10 +73,11 @@ def load_stats(spark: SparkSession, source: DataFrame, root: str, kind: str,
     scratch_root(spark)
     spec = merge.SPECS[kind]
     schema = DATASETS["daily_chokepoint" if kind == "chokepoints" else "daily_port"].table
-    # the typed source is used by the empty check, the month list, the upsert
-    # branches and the commit summary: parse the pages once, keep the rows in
-    # the shared scratch folder
-    source = materialize(source, "load-source")
+    # rows without a date never reach a load (the date window drops them, as
+    # in the extracts); the typed source is used by the empty check, the month
+    # list, the upsert branches and the commit summary: parse the pages once,
+    # keep the rows in the shared scratch folder
+    source = materialize(source.where(F.col("event_date").isNotNull()), "load-source")
     if source.isEmpty():
         log.warning("no rows to load into %s", kind)
         return None
