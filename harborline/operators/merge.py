@@ -20,8 +20,8 @@ hot:
     every unmatched source row -- while one probe row per duplicated key goes
     through the join: if the probe matches a target row, the job fails
     (MERGE cardinality rule: a target row matched by two source rows). The
-    duplicate-key table is small in practice, so AQE broadcasts it for the
-    semi/anti split at runtime (its measured size is the check).
+    duplicate-key table is written first (small in practice), so the planner
+    broadcasts it for the semi/anti split from its real size.
 `duplicates="window"` instead counts duplicates with a window on the join's
 own partitioning (one scan of the source, no split) for sources whose keys
 are known to be unique or nearly so.
@@ -35,6 +35,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from harborline.session import materialize
+
 ACTIONS = ("keep", "noop", "update", "insert")
 
 
@@ -73,7 +75,8 @@ def _salt_sql(keys: list[str], values: list[str]) -> str:
 
 def upsert(target: DataFrame, source: DataFrame, spec: MergeSpec,
            as_of: Column | None = None, duplicates: str = "split") -> DataFrame:
-    """Merged table rows plus `action`; lazy, nothing is written.
+    """Merged table rows plus `action`; nothing is written to the target (the
+    default mode stages the duplicate-key table in the scratch folder).
 
     The wide projections are written as SQL expressions (one call each for
     all columns), the plan is the same as with Column objects."""
@@ -91,8 +94,11 @@ def upsert(target: DataFrame, source: DataFrame, spec: MergeSpec,
 
     dup_rows = None
     if duplicates == "split":
-        dup = (s0.groupBy(*kcols).agg(F.count(F.lit(1)).alias("_n"))
-               .where(F.col("_n") > 1).select(*kcols))
+        # duplicated keys, written first (one pass over the key columns): the
+        # planner then knows their size and broadcasts them when small, so the
+        # semi/anti split never shuffles the source
+        dup = materialize(s0.groupBy(*kcols).agg(F.count(F.lit(1)).alias("_n"))
+                          .where(F.col("_n") > 1).select(*kcols), "dup-keys")
         same = _all([s0[c].eqNullSafe(dup[c]) for c in kcols])
         dup_rows = s0.join(dup, same, "left_semi")
         uni = s0.join(dup, same, "left_anti").withColumn("_dup", F.lit(False))

@@ -36,8 +36,11 @@ def apply_page_stop(pages: DataFrame, on_error: str = "fail",
     if on_error not in ("keep", "fail"):
         raise ValueError("on_error must be 'keep' or 'fail'")
     src = pages if meta is None else meta
-    stops = (src.where(stop_flag(src)).groupBy("request")
-             .agg(F.min("offset").alias("_stop_at")))
+    # one row per stopped request, written first: the planner then sees its
+    # real size and broadcasts it when small (Spark's threshold is the check),
+    # so the pages themselves are never shuffled for this join
+    stops = materialize(src.where(stop_flag(src)).groupBy("request")
+                        .agg(F.min("offset").alias("_stop_at")), "page-stops")
     kept = (pages.join(stops, "request", "left")
             .where(F.col("_stop_at").isNull() | (F.col("offset") <= F.col("_stop_at")))
             .drop("_stop_at"))
