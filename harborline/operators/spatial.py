@@ -9,9 +9,9 @@ Physical forms, chosen by a size check on the zone list:
     filter (method="predicate"), collected only after the row-count check;
   * more zones: each rectangle is cut into 1-degree grid cells, messages get
     their cell by floor(lat), floor(lon), and a left-semi equi-join on the cell
-    (re-checking the exact bounds) keeps each message once. AQE can split a
-    hot cell on the message side; the cell table is broadcast only when Spark's
-    own size estimate is under the broadcast threshold.
+    (re-checking the exact bounds) keeps each message once. The cell table is
+    written first and broadcast only when its real size is under Spark's
+    threshold; otherwise AQE can split a hot cell on the message side.
 """
 
 from __future__ import annotations
@@ -21,6 +21,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from harborline.session import materialize
+
 INLINE_LIMIT = 256
 
 
@@ -69,7 +71,9 @@ def in_any_zone(points: DataFrame, zones: DataFrame, lat: str = "latitude",
         cond = (F.col(lat).between(F.col("_la"), F.col("_ha"))
                 & F.col(lon).between(F.col("_lo"), F.col("_ho")))
         return points.join(F.broadcast(z), cond, "left_semi")
-    cells = zone_cells(zones)
+    # written first: the planner sees the cell table's real size and
+    # broadcasts it when small, otherwise both sides shuffle on the cell
+    cells = materialize(zone_cells(zones), "zone-cells")
     p = points.withColumn("cell_lat", F.floor(F.col(lat)).cast("int")) \
               .withColumn("cell_lon", F.floor(F.col(lon)).cast("int"))
     cond = ((p.cell_lat == cells.cell_lat) & (p.cell_lon == cells.cell_lon)
