@@ -292,7 +292,9 @@ def latest_updates(spark: SparkSession, sf: str) -> DataFrame:
 
 def commit_message(spark: SparkSession, sf: str) -> DataFrame:
     _, source = _port_pair(spark, sf)
-    return commitlog.summary(source, "portwatch.ports")
+    from harborline.plans.jobs import TABLES
+
+    return commitlog.summary(source, TABLES["ports"])
 
 
 # ------------------------------------------------------------------ zones/AIS

@@ -7,10 +7,12 @@ the intermediate shapes (pages, JSON messages) the Spark queries go through.
 from __future__ import annotations
 
 from harborline.operators.merge import SPECS
+from harborline.plans.jobs import TABLES
 from harborline.plans import fixtures as fx
 from harborline.sources.zones import SHIPPED_ZONES
 
 KINDS = ["tanker", "container", "dry_bulk", "general_cargo", "roro", "cargo"]
+PORTS_TABLE = TABLES["ports"]
 TYPE_OF = {"tanker": "view", "container": "click", "dry_bulk": "signup",
            "general_cargo": "purchase", "roro": "error"}
 
@@ -255,8 +257,8 @@ FROM ({ORDER_STATS}) WHERE event_date BETWEEN DATE '1995-03-15' AND DATE '1995-0
     "latest_updates": f"""SELECT portid, event_date, n_total, updated_at, action FROM ({UPSERT_CHOKEPOINTS})
 ORDER BY updated_at DESC, portid ASC, event_date DESC LIMIT 5""",
     "commit_message": f"""SELECT 'AIS ETL Pipeline' AS author,
-  format('Upsert {{}} rows into portwatch.ports (Range: {{}} to {{}})', count(*), CAST(min(event_date) AS VARCHAR), CAST(max(event_date) AS VARCHAR)) AS message,
-  'portwatch.ports' AS "table", count(*) AS row_count, min(event_date) AS min_date, max(event_date) AS max_date
+  format('Upsert {{}} rows into {PORTS_TABLE} (Range: {{}} to {{}})', count(*), CAST(min(event_date) AS VARCHAR), CAST(max(event_date) AS VARCHAR)) AS message,
+  '{PORTS_TABLE}' AS "table", count(*) AS row_count, min(event_date) AS min_date, max(event_date) AS max_date
 FROM ({port_stats(SOURCE_WHERE)})""",
     "zone_filter": f"SELECT event_id, latitude, longitude FROM ({ZONE_POINTS}) p WHERE {IN_ANY_ZONE}",
     "zone_filter_grid": f"SELECT event_id, latitude, longitude FROM ({ZONE_POINTS}) p WHERE {IN_ANY_ZONE}",
