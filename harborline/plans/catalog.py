@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from harborline.functions.casts import lenient, strict
 from harborline.functions.dates import calendar, event_date
@@ -28,6 +29,9 @@ SOURCE_FROM = "2024-01-15 00:00:00"     # this load re-reads events from here
 PAGE_SIZE = 100
 STREAM_START = "2024-01-01 00:00:00"
 STREAM_SECONDS = 20 * 86400
+# stored columns of the order-derived statistics table (a chokepoint-like subset)
+CHOKEPOINTS_LIKE = T.StructType([f for f in CHOKEPOINTS.fields
+                                 if f.name not in ("n_general_cargo", "n_roro", "n_cargo")])
 
 
 def _events(spark, sf):
@@ -276,12 +280,30 @@ _WRITTEN: dict = {}
 def stats_read(spark: SparkSession, sf: str) -> DataFrame:
     """Write month-partitioned statistics, read 1995-03-15..1995-05-10 back
     (only three month directories are listed and scanned)."""
+    return tables.read_stats(spark, _stats_table(spark, sf), "1995-03-15", "1995-05-10").drop(tables.MONTH)
+
+
+def _stats_table(spark, sf) -> str:
     key = ("stats_read", spark.sparkContext.applicationId, sf)
     if key not in _WRITTEN:  # the table is written once per session and input folder
         path = scratch_path(spark, "stats_read")
         tables.write_months(fx.with_audit(_order_stats(spark, sf)), path)
         _WRITTEN[key] = path
-    return tables.read_stats(spark, _WRITTEN[key], "1995-03-15", "1995-05-10").drop(tables.MONTH)
+    return _WRITTEN[key]
+
+
+def sql_latest(spark: SparkSession, sf: str) -> DataFrame:
+    """Ad-hoc SQL over the stored table through a registered view: the five
+    most recently updated rows of one month range (top-k is the feature)."""
+    root, folder = _stats_table(spark, sf).rsplit("/", 1)
+    view = f"stats_{abs(hash((spark.sparkContext.applicationId, sf))) % 10**8}"
+    tables.register_views(spark, root, {view: (folder, CHOKEPOINTS_LIKE, T.TimestampNTZType())})
+    return spark.sql(f"""
+        SELECT portid, event_date, n_total, updated_at
+        FROM {view}
+        WHERE event_date BETWEEN DATE'1996-01-01' AND DATE'1996-12-31'
+        ORDER BY updated_at DESC, n_total DESC, portid ASC, event_date DESC
+        LIMIT 5""")
 
 
 def latest_updates(spark: SparkSession, sf: str) -> DataFrame:
@@ -377,6 +399,7 @@ QUERIES = {
     "stat_order": stat_order,
     "stats_read": stats_read,
     "latest_updates": latest_updates,
+    "sql_latest": sql_latest,
     "commit_message": commit_message,
     "zone_filter": zone_filter,
     "zone_filter_grid": zone_filter_grid,

@@ -254,6 +254,9 @@ FROM ({port_stats()})""",
     "stat_order": f"SELECT portid, event_date, portcalls FROM ({port_stats()}) ORDER BY portid, event_date DESC",
     "stats_read": f"""SELECT *, TIMESTAMP '{fx.PRIOR_LOAD}' AS created_at, TIMESTAMP '{fx.PRIOR_LOAD}' AS updated_at
 FROM ({ORDER_STATS}) WHERE event_date BETWEEN DATE '1995-03-15' AND DATE '1995-05-10'""",
+    "sql_latest": f"""SELECT portid, event_date, n_total, TIMESTAMP '{fx.PRIOR_LOAD}' AS updated_at
+FROM ({ORDER_STATS}) WHERE event_date BETWEEN DATE '1996-01-01' AND DATE '1996-12-31'
+ORDER BY n_total DESC, portid ASC, event_date DESC LIMIT 5""",
     "latest_updates": f"""SELECT portid, event_date, n_total, updated_at, action FROM ({UPSERT_CHOKEPOINTS})
 ORDER BY updated_at DESC, portid ASC, event_date DESC LIMIT 5""",
     "commit_message": f"""SELECT 'AIS ETL Pipeline' AS author,

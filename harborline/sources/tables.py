@@ -51,16 +51,18 @@ def stored_schema(schema: T.StructType, audit_type: T.DataType = T.TimestampType
     ])
 
 
-def _reader(spark: SparkSession, schema: T.StructType | None):
-    return spark.read if schema is None else spark.read.schema(stored_schema(schema))
+def _reader(spark: SparkSession, schema: T.StructType | None,
+            audit_type: T.DataType = T.TimestampType()):
+    return spark.read if schema is None else spark.read.schema(stored_schema(schema, audit_type))
 
 
 def read_stats(spark: SparkSession, path: str, start=None, end=None,
-               schema: T.StructType | None = None) -> DataFrame:
+               schema: T.StructType | None = None,
+               audit_type: T.DataType = T.TimestampType()) -> DataFrame:
     """Table rows with event_date in [start, end] (either bound optional).
     With `schema` (the table schema) no inference is needed and an empty
     table reads as an empty frame."""
-    df = _reader(spark, schema).parquet(path)
+    df = _reader(spark, schema, audit_type).parquet(path)
     if start is None and end is None:
         return df
     cond = predicates.month_bounds(MONTH, start, end)
@@ -92,17 +94,20 @@ def write_snapshot(df: DataFrame, root: str, snapshot: str) -> str:
     return path
 
 
-def register_views(spark: SparkSession, root: str, names: dict[str, tuple[str, T.StructType | None]]) -> list[str]:
+def register_views(spark: SparkSession, root: str, names: dict) -> list[str]:
     """Expose tables under `root` as temporary views for SQL, e.g.
     `SELECT * FROM ports ORDER BY updated_at DESC LIMIT 5`.
 
     names: view name -> (folder under root, table schema for statistics tables
-    or None for a snapshot folder, whose newest snapshot is used)."""
+    or None for a snapshot folder, whose newest snapshot is used[, type of the
+    stored audit stamps])."""
     done = []
-    for view, (folder, schema) in names.items():
+    for view, spec in names.items():
+        folder, schema = spec[0], spec[1]
+        audit_type = spec[2] if len(spec) > 2 else T.TimestampType()
         path = f"{root}/{folder}"
         if schema is not None:
-            df = read_stats(spark, path, schema=schema).drop(MONTH)
+            df = read_stats(spark, path, schema=schema, audit_type=audit_type).drop(MONTH)
         else:
             df = spark.read.parquet(path)
             latest = df.agg(F.max("snapshot")).first()[0]  # snapshot ids sort by time
