@@ -301,7 +301,8 @@ def sql_latest(spark: SparkSession, sf: str) -> DataFrame:
     return spark.sql(f"""
         SELECT portid, event_date, n_total, updated_at
         FROM {view}
-        WHERE event_date BETWEEN DATE'1996-01-01' AND DATE'1996-12-31'
+        WHERE event_month BETWEEN DATE'1996-01-01' AND DATE'1996-12-01'
+          AND event_date BETWEEN DATE'1996-01-01' AND DATE'1996-12-31'
         ORDER BY updated_at DESC, n_total DESC, portid ASC, event_date DESC
         LIMIT 5""")
 

@@ -107,7 +107,8 @@ def register_views(spark: SparkSession, root: str, names: dict) -> list[str]:
         audit_type = spec[2] if len(spec) > 2 else T.TimestampType()
         path = f"{root}/{folder}"
         if schema is not None:
-            df = read_stats(spark, path, schema=schema, audit_type=audit_type).drop(MONTH)
+            # event_month stays visible so that SQL can prune months with it
+            df = read_stats(spark, path, schema=schema, audit_type=audit_type)
         else:
             df = spark.read.parquet(path)
             latest = df.agg(F.max("snapshot")).first()[0]  # snapshot ids sort by time
