@@ -98,6 +98,15 @@ def upsert_dry_run(spark: SparkSession, sf: str) -> DataFrame:
     return merge.action_counts(upsert_chokepoints(spark, sf))
 
 
+def _backfill_feeds(ev: DataFrame):
+    """Two daily port feeds, 2024-01-10..17 and 2024-01-18..25; the later one
+    lacks `export_roro` (an older schema of the service)."""
+    day = fx.utc_day(ev)
+    early = fx.port_stats(ev.where(predicates.between_days(day, "2024-01-10", "2024-01-17")), day)
+    late = fx.port_stats(ev.where(predicates.between_days(day, "2024-01-18", "2024-01-25")), day)
+    return early, late.drop("export_roro")
+
+
 def backfill_ports(spark: SparkSession, sf: str) -> DataFrame:
     """Backfill 2024-01-10..2024-01-25 as one load: the day range is one
     pushed-down predicate; two feeds (the later one without `export_roro`)
@@ -105,10 +114,7 @@ def backfill_ports(spark: SparkSession, sf: str) -> DataFrame:
     ev = _events(spark, sf)
     target = fx.with_audit(fx.port_stats(
         ev.where(F.col("ts") < fx.ts_ntz(TARGET_BEFORE)), fx.shifted_day(ev)))
-    day = fx.utc_day(ev)
-    early = fx.port_stats(ev.where(predicates.between_days(day, "2024-01-10", "2024-01-17")), day)
-    late = fx.port_stats(ev.where(predicates.between_days(day, "2024-01-18", "2024-01-25")), day) \
-        .drop("export_roro")
+    early, late = _backfill_feeds(ev)
     source = strict(early.unionByName(late, allowMissingColumns=True), PORTS)
     # the union is read by four branches of the duplicate-safe upsert (count,
     # semi, anti, probe): compute it once into the shared scratch folder
@@ -127,10 +133,7 @@ def backfill_job(spark: SparkSession, sf: str) -> DataFrame:
     ev = _events(spark, sf)
     prior = fx.port_stats(ev.where(F.col("ts") < fx.ts_ntz(TARGET_BEFORE)), fx.shifted_day(ev))
     jobs.load_stats(spark, prior, root, "ports", as_of=fx.ts_ntz(fx.PRIOR_LOAD))
-    day = fx.utc_day(ev)
-    early = fx.port_stats(ev.where(predicates.between_days(day, "2024-01-10", "2024-01-17")), day)
-    late = fx.port_stats(ev.where(predicates.between_days(day, "2024-01-18", "2024-01-25")), day) \
-        .drop("export_roro")
+    early, late = _backfill_feeds(ev)
     jobs.backfill_ports(spark, [early, late], root, "2024-01-10", "2024-01-25",
                         as_of=fx.ts_ntz(fx.AS_OF))
     stored = tables.read_stats(spark, f"{root}/ports", schema=PORTS).drop(tables.MONTH)
