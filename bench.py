@@ -27,7 +27,7 @@ HEADLINE = ["upsert_ports", "upsert_chokepoints", "upsert_master", "backfill_por
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    reps = int(os.environ.get("BENCH_REPS", "3"))
+    reps = int(os.environ.get("BENCH_REPS", "5"))
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
     spark = local_session(cpus, shuffle_partitions=int(cpus) * 2)
     times, errors = {}, {}
