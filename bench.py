@@ -20,8 +20,8 @@ from harborline.plans.catalog import QUERIES  # noqa: E402
 from harborline.session import local_session  # noqa: E402
 
 HEADLINE = ["upsert_ports", "upsert_chokepoints", "upsert_master", "backfill_ports",
-            "stat_scan", "page_stop", "zone_filter", "ais_summary", "ais_summary_stream",
-            "stats_read", "page_slice", "master_scan"]
+            "stat_scan", "page_stop", "zone_filter", "zone_filter_grid", "ais_summary",
+            "ais_summary_stream", "stats_read", "sql_latest", "page_slice", "master_scan"]
 
 
 def main():
