@@ -3,9 +3,11 @@
 Statistics tables carry a stored partition column `event_month` (first day
 of the month of `event_date`). Readers add the month predicate matching their
 date predicate, so only the touched month directories are listed and read.
-Writers replace whole months with dynamic partition overwrite only, which
-leaves untouched months in place; a static overwrite of a path that is being
-read would delete the input first, so it is refused.
+The month writer replaces whole months with dynamic partition overwrite
+only, which leaves untouched months in place; a static overwrite of a path
+that is being read would delete the input first, so it is never used for
+loads (only `create_stats(recreate=True)`, which reads nothing, empties a
+table that way).
 """
 
 from __future__ import annotations
