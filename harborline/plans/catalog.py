@@ -94,6 +94,28 @@ def upsert_master(spark: SparkSession, sf: str) -> DataFrame:
                         duplicates="window")  # supplier keys are unique
 
 
+def upsert_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    """Default (duplicate-safe) upsert on a source with real duplicate keys:
+    one row per order keyed by (customer, order day) -- a customer ordering
+    twice on a day repeats the key. The table holds the daily statistics
+    before 1995; the source starts in 1995, so no duplicated key matches and
+    every source row, duplicates included, is inserted."""
+    o = fx.read(spark, sf, "orders")
+    target = fx.with_audit(strict(_order_stats(spark, sf)
+                                  .where(F.col("event_date") < F.lit("1995-01-01").cast("date")),
+                                  CHOKEPOINTS))
+    st = F.col("o_orderstatus")
+    rows = o.where(F.col("o_orderdate") >= fx.ts_ntz("1995-01-01 00:00:00")).select(
+        F.col("o_custkey").cast("string").alias("portid"),
+        F.concat(F.lit("Chokepoint "), F.col("o_custkey")).alias("portname"),
+        (st == "F").cast("int").alias("n_tanker"), (st == "O").cast("int").alias("n_container"),
+        (st == "P").cast("int").alias("n_dry_bulk"), F.lit(1).alias("n_total"),
+        F.round(F.col("o_totalprice") * 100).cast("bigint").alias("capacity"),
+        F.to_date("o_orderdate").alias("event_date"))
+    return merge.upsert(target, strict(rows, CHOKEPOINTS), merge.SPECS["chokepoints"],
+                        fx.ts_ntz(fx.AS_OF))
+
+
 def upsert_dry_run(spark: SparkSession, sf: str) -> DataFrame:
     return merge.action_counts(upsert_chokepoints(spark, sf))
 
@@ -381,6 +403,7 @@ QUERIES = {
     "upsert_ports": upsert_ports,
     "upsert_master": upsert_master,
     "upsert_dry_run": upsert_dry_run,
+    "upsert_duplicates": upsert_duplicates,
     "backfill_ports": backfill_ports,
     "backfill_job": backfill_job,
     "project_chokepoints": project_chokepoints,

@@ -213,10 +213,25 @@ WITHIN_20_DAYS = "received <= TIMESTAMP '2024-01-21 00:00:00'"
 AIS_SUMMARY = (f"SELECT count(*) AS total_messages, count(DISTINCT mmsi) AS unique_ships "
                f"FROM ({IN_ZONE}) WHERE {WITHIN_20_DAYS}")
 
+DUP_COLS = ("portid, portname, n_tanker, n_container, n_dry_bulk, CAST(NULL AS INTEGER) AS n_general_cargo, "
+            "CAST(NULL AS INTEGER) AS n_roro, CAST(NULL AS INTEGER) AS n_cargo, n_total, capacity, event_date")
+UPSERT_DUPLICATES = f"""SELECT {DUP_COLS}, TIMESTAMP '{fx.PRIOR_LOAD}' AS created_at,
+  TIMESTAMP '{fx.PRIOR_LOAD}' AS updated_at, 'keep' AS action
+FROM ({ORDER_STATS}) WHERE event_date < DATE '1995-01-01'
+UNION ALL
+SELECT CAST(o_custkey AS VARCHAR) AS portid, 'Chokepoint ' || CAST(o_custkey AS VARCHAR) AS portname,
+  CAST(o_orderstatus = 'F' AS INTEGER) AS n_tanker, CAST(o_orderstatus = 'O' AS INTEGER) AS n_container,
+  CAST(o_orderstatus = 'P' AS INTEGER) AS n_dry_bulk, CAST(NULL AS INTEGER) AS n_general_cargo,
+  CAST(NULL AS INTEGER) AS n_roro, CAST(NULL AS INTEGER) AS n_cargo, 1 AS n_total,
+  CAST(round(o_totalprice * 100) AS BIGINT) AS capacity, CAST(o_orderdate AS DATE) AS event_date,
+  TIMESTAMP '{fx.AS_OF}' AS created_at, TIMESTAMP '{fx.AS_OF}' AS updated_at, 'insert' AS action
+FROM orders WHERE o_orderdate >= TIMESTAMP '1995-01-01 00:00:00'"""
+
 ORACLES = {
     "upsert_chokepoints": UPSERT_CHOKEPOINTS,
     "upsert_ports": UPSERT_PORTS,
     "upsert_master": UPSERT_MASTER,
+    "upsert_duplicates": UPSERT_DUPLICATES,
     "upsert_dry_run": f"SELECT action, count(*) AS n_rows FROM ({UPSERT_CHOKEPOINTS}) GROUP BY action",
     "backfill_ports": BACKFILL_PORTS,
     "backfill_job": "SELECT * EXCLUDE (action) FROM (" + BACKFILL_PORTS + ")",

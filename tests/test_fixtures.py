@@ -40,3 +40,9 @@ def test_master_values_are_mixed(spark):
     assert m.where(F.col("vessel_count_total").isNull()).count() > 0         # 'n/a'
     assert m.where(F.col("share_country_maritime_export").isNull()).count() > 0  # NaN
     assert m.where(F.col("vessel_count_tanker") < 0).count() > 0             # truncated negatives
+
+
+def test_duplicate_source_keys_reach_the_split_path(spark):
+    out = C.upsert_duplicates(spark, SF).where("action = 'insert'")
+    dups = out.groupBy("portid", "event_date").count().where("count > 1").count()
+    assert dups > 0
