@@ -15,7 +15,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from harborline.plans.catalog import QUERIES  # noqa: E402
 from harborline.session import local_session  # noqa: E402
 
-DEFAULT = ["upsert_ports", "backfill_ports", "stats_read", "sql_latest", "stat_scan", "zone_filter",
+DEFAULT = ["upsert_ports", "upsert_duplicates", "backfill_ports", "stats_read", "sql_latest", "stat_scan", "zone_filter",
            "zone_filter_grid",
            "ais_summary", "page_slice"]
 
