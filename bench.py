@@ -19,7 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from harborline.plans.catalog import QUERIES  # noqa: E402
 from harborline.session import local_session  # noqa: E402
 
-HEADLINE = ["upsert_ports", "upsert_chokepoints", "upsert_master", "backfill_ports",
+HEADLINE = ["upsert_ports", "upsert_chokepoints", "upsert_master", "upsert_duplicates", "backfill_ports",
             "stat_scan", "page_stop", "zone_filter", "zone_filter_grid", "ais_summary",
             "ais_summary_stream", "stats_read", "sql_latest", "page_slice", "master_scan"]
 
