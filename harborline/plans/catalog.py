@@ -183,8 +183,10 @@ def project_master(spark: SparkSession, sf: str) -> DataFrame:
 def master_scan(spark: SparkSession, sf: str) -> DataFrame:
     """Master pages (50 records a page) -> stop rule -> nameless rows dropped
     -> lenient casts -> ordered by name, then id."""
-    pages = pg.parse_pages(fx.master_page_text(spark, sf, 50), "ports_db")
-    return lenient(pg.master_rows(pages), MASTER).orderBy("portname", "portid")
+    path = fx.landed_master_log_path(spark, sf, 50)
+    pages = pg.read_page_log(spark, path, "ports_db")
+    return lenient(pg.master_rows(pages, meta=pg.read_page_log_meta(spark, path)),
+                   MASTER).orderBy("portname", "portid")
 
 
 def epoch_to_date(spark: SparkSession, sf: str) -> DataFrame:

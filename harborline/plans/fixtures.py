@@ -355,3 +355,17 @@ def landed_pages_path(spark: SparkSession, sf_dir: str, page_size: int, inject_s
         page_log_lines(page_requests(rows, page_size, inject_stops)).write.text(path)
         _LANDED[key] = path
     return _LANDED[key]
+
+
+def landed_master_log_path(spark: SparkSession, sf_dir: str, size: int) -> str:
+    """Master responses as a page log in the scratch folder (written once per
+    session), read back through the page-log reader with variant values."""
+    from harborline.session import scratch_path
+    from harborline.sources.pages import page_log_lines
+
+    key = (spark.sparkContext.applicationId, sf_dir, "master", size)
+    if key not in _LANDED:
+        path = scratch_path(spark, "master-pages")
+        page_log_lines(master_page_text(spark, sf_dir, size)).write.text(path)
+        _LANDED[key] = path
+    return _LANDED[key]

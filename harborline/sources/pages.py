@@ -81,9 +81,9 @@ def stat_rows(pages: DataFrame, on_error: str = "fail", meta: DataFrame | None =
     return rows.withColumn("event_date", event_date("date")).drop("date")
 
 
-def master_rows(pages: DataFrame, on_error: str = "keep") -> DataFrame:
+def master_rows(pages: DataFrame, on_error: str = "keep", meta: DataFrame | None = None) -> DataFrame:
     """Master features, nameless rows dropped (values stay variants)."""
-    rows = paging.flatten(paging.apply_page_stop(pages, on_error))
+    rows = paging.flatten(paging.apply_page_stop(pages, on_error, meta))
     name = F.try_variant_get(F.col("portname"), "$", "string")
     return rows.where(name.isNotNull() & (name != ""))
 
