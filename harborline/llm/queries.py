@@ -3,12 +3,18 @@
 from __future__ import annotations
 
 from harborline.llm.best_fit_packing import op1_best_fit_packing
+from harborline.llm import entropy_secrets
+from harborline.llm.entropy_secrets import op5_entropy_secrets
 from harborline.llm.token_files import op6_token_files
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op5_entropy_secrets": op5_entropy_secrets,
     "op6_token_files": op6_token_files,
 }
 
-#: Token ids come from a tokenizer, so neither can be stated in SQL.
-ORACLES: dict[str, str] = {}
+#: None where SQL can't state the result: tokenizers, learned models, random
+#: lexicons. Those are held against brute force in ``tests/llm``.
+ORACLES: dict[str, str] = {
+    "op5_entropy_secrets": entropy_secrets.oracle_sql(),
+}
