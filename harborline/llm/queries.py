@@ -3,18 +3,23 @@
 from __future__ import annotations
 
 from harborline.llm.best_fit_packing import op1_best_fit_packing
-from harborline.llm import entropy_secrets
+from harborline.llm import decontamination, entropy_secrets
+from harborline.llm.decontamination import op10_decontamination
+from harborline.llm.disclosure import op4_disclosure
 from harborline.llm.entropy_secrets import op5_entropy_secrets
 from harborline.llm.token_files import op6_token_files
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op4_disclosure": op4_disclosure,
     "op5_entropy_secrets": op5_entropy_secrets,
     "op6_token_files": op6_token_files,
+    "op10_decontamination": op10_decontamination,
 }
 
 #: None where SQL can't state the result: tokenizers, learned models, random
 #: lexicons. Those are held against brute force in ``tests/llm``.
 ORACLES: dict[str, str] = {
     "op5_entropy_secrets": entropy_secrets.oracle_sql(),
+    "op10_decontamination": decontamination.oracle_sql(),
 }
