@@ -5,6 +5,7 @@ A token file is a folder of Parquet files that carry blocks as binary columns
 ``doc_id`` order: by ``part`` (a folder each), then by ``block``.
 
 * ``vocabulary``: ``rank, id``; rank 0 is the most frequent id.
+* ``parts``: ``part, first``, the ids of all earlier parts.
 * ``blocks``: ``part``, ``block``, ``before`` (ids of the part's earlier
   blocks), ``n_docs``, ``n_ids``, and four buffers: ``doc_ids`` (int64),
   ``sizes`` (uint32 ids of each document), ``control`` and ``data``. The ranks
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from harborline.llm import tokens
-from harborline.llm.common import Stages, documents, shuffle_files_dropped
+from harborline.llm.common import Stages, documents
 
 #: A block ends with the document that brings it to so many ids.
 BLOCK_IDS = 1 << 18
@@ -38,7 +39,7 @@ SIZES = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3).astype(np.uint8)
 _RAW = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("before", pa.int64()), ("n_docs", pa.int32()), ("n_ids", pa.int64()), ("doc_ids", pa.binary()), ("missing", pa.binary()), ("sizes", pa.binary()), ("ids", pa.binary())])
 _RAW_SQL = "part int, block int, before long, n_docs int, n_ids long, doc_ids binary, missing binary, sizes binary, ids binary"
 _FILE = pa.schema([f for f in _RAW if f.name != "ids"] + [("control", pa.binary()), ("data", pa.binary())])
-_FILE_SQL = _RAW_SQL.replace("ids binary", "ids binary").rsplit(", ", 1)[0] + ", control binary, data binary"
+_FILE_SQL = _RAW_SQL.rsplit(", ", 1)[0] + ", control binary, data binary"
 
 
 def encode_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
@@ -141,6 +142,10 @@ def write_token_files(stages: Stages, docs: DataFrame, tokenizer: str, end_id: i
     width = F.when(F.length("ids") == 2 * F.col("n_ids"), "<u2").otherwise("<u4")
     coded = raw.withColumn("width", width).mapInArrow(code, _FILE_SQL).sortWithinPartitions("part", "block")
     stages.write(coded, "blocks", by=["part"])
+    # a row for each part, that is for each task that has written
+    sizes = raw.groupBy("part").agg(F.sum("n_ids").alias("n"))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    stages.write(sizes.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("first")).coalesce(1), "parts")
     stages.drop("raw-blocks")
     return stages.root
 
@@ -158,10 +163,7 @@ def _read(spark: SparkSession, folder: str, column: str, kind: pa.DataType, of)
     for r in vocabulary:
         ids[r["rank"]] = r["id"]
     table = spark.sparkContext.broadcast(ids)
-    # a row for each part, that is for each task that has written
-    parts = blocks.groupBy("part").agg(F.sum("n_ids").alias("n"))
-    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    firsts = parts.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("first"))
+    firsts = spark.read.schema("part int, first long").parquet(f"{folder}/parts")
     placed = blocks.join(firsts, "part").select((F.col("first") + F.col("before")).alias("start"), "n_ids", "doc_ids", "missing", "sizes", "control", "data")
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), (column.split()[0], kind)])
 

@@ -17,11 +17,15 @@ from array import array
 
 import numpy as np
 
-#: Chunks a worker remembers (about 200 bytes each) before it starts anew.
+#: Chunks of a generation. A worker keeps two: when the younger is full, the
+#: older goes; what is met again moves to the younger.
 MEMORY = 300_000
 
-# letters that Unicode normalisation leaves alone, then one run of punctuation
-_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:#*()]*)")
+# punctuation of which a run at a word's end is one token of its own (without
+# what starts a contraction or a special token)
+_MARKS = b"!\"#$%&()*+,-./:;=>?@[\\]^_`{}~"
+# letters that Unicode normalisation leaves alone
+_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -37,6 +41,26 @@ def _byte_letters() -> dict[int, str]:
     return table
 
 
+class _Generation(dict):
+    """Number of each chunk; the ids of chunk ``i`` are
+    ``ids[ends[i]:ends[i + 1]]``. A chunk that is not there is learnt."""
+
+    def __init__(self, learn):
+        self.learn = learn
+        self.ids, self.ends = array("I"), array("q", [0])
+
+    def of(self, chunk: bytes) -> array:
+        i = self[chunk]
+        return self.ids[self.ends[i] : self.ends[i + 1]]
+
+    def __missing__(self, chunk: bytes) -> int:
+        ids = self.learn(chunk)
+        self.ids.extend(ids)
+        self.ends.append(len(self.ids))
+        i = self[chunk] = len(self)
+        return i
+
+
 class WordEncoder:
     """``encode(bytes)``: the ids of a UTF-8 text, as ``uint32``."""
 
@@ -47,47 +71,39 @@ class WordEncoder:
         self.vocabulary = self.tokenizer.get_vocab_size()
         self.memory = memory
         self.letters = _byte_letters()
-        self._forget()
-
-    def _forget(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.words: dict[str, list[int]] = {}
-        self.ids, self.ends = array("I"), array("q", [0])
+        self.known, self.older = _Generation(self._learn), {}
 
     def _bpe(self, word: str) -> list[int]:
-        if (ids := self.words.get(word)) is None:
-            mapped = word.encode().decode("latin-1").translate(self.letters)
-            ids = self.words[word] = [t.id for t in self.tokenizer.model.tokenize(mapped)]
-        return ids
-
-    def _learn(self, chunk: bytes) -> int:
-        text = chunk.decode("utf-8", "replace")
-        if m := _PLAIN.fullmatch(text):
-            ids = self._bpe(m[1].lower())
-            if m[2]:
-                ids = ids + self._bpe(m[2])
-        else:
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        self.ids.extend(ids)
-        self.ends.append(len(self.ids))
-        at = self.known[chunk] = len(self.known)
-        return at
+        return [t.id for t in self.tokenizer.model.tokenize(word)]
+
+    def _learn(self, chunk: bytes):
+        if chunk in self.older:
+            return self.older.of(chunk)
+        if chunk.isalpha():  # ASCII letters, which stand for themselves
+            return self._bpe(chunk.lower().decode())
+        if not (core := chunk.rstrip(_MARKS)):
+            return self._bpe(chunk.decode())
+        if core.isalpha() or _LETTERS.fullmatch(core.decode("utf-8", "replace")):
+            if len(core) < len(chunk):
+                return self.known.of(core) + self.known.of(chunk[len(core) :])
+            return self._bpe(core.decode().lower().encode().decode("latin-1").translate(self.letters))
+        return self.tokenizer.encode(chunk.decode("utf-8", "replace"), add_special_tokens=False).ids
 
     def encode(self, text: bytes) -> np.ndarray:
-        chunks = text.split()
+        # the tokenizer lower-cases all but its special tokens
+        chunks = (text if b"<|" in text else text.lower()).split()
         if not chunks:
             return np.empty(0, np.uint32)
         if len(self.known) > self.memory:
-            self._forget()
-        known, learn = self.known, self._learn
-        at = [known[c] if c in known else learn(c) for c in chunks]
-        at = np.array(at, np.int64)
-        ends = np.frombuffer(self.ends, np.int64)
+            self.known, self.older = _Generation(self._learn), self.known
+        known = self.known
+        at = np.fromiter(map(known.__getitem__, chunks), np.int64, len(chunks))
+        ends = np.frombuffer(known.ends, np.int64)
         first, last = ends[at], ends[at + 1]
         sizes = last - first
         stop = np.cumsum(sizes)
-        places = np.arange(stop[-1] if len(stop) else 0) + np.repeat(first - (stop - sizes), sizes)
-        return np.frombuffer(self.ids, np.uint32)[places] if len(places) else np.empty(0, np.uint32)
+        places = np.arange(stop[-1]) + np.repeat(first - (stop - sizes), sizes)
+        return np.frombuffer(known.ids, np.uint32)[places] if len(places) else np.empty(0, np.uint32)
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
