@@ -7,6 +7,7 @@ from harborline.llm import decontamination, entropy_secrets
 from harborline.llm.decontamination import op10_decontamination
 from harborline.llm.disclosure import op4_disclosure
 from harborline.llm.entropy_secrets import op5_entropy_secrets
+from harborline.llm.jaccard_join import op7_jaccard_join
 from harborline.llm.token_files import op6_token_files
 
 QUERIES = {
@@ -14,6 +15,7 @@ QUERIES = {
     "op4_disclosure": op4_disclosure,
     "op5_entropy_secrets": op5_entropy_secrets,
     "op6_token_files": op6_token_files,
+    "op7_jaccard_join": op7_jaccard_join,
     "op10_decontamination": op10_decontamination,
 }
 
@@ -21,5 +23,6 @@ QUERIES = {
 #: lexicons. Those are held against brute force in ``tests/llm``.
 ORACLES: dict[str, str] = {
     "op5_entropy_secrets": entropy_secrets.oracle_sql(),
+    "op7_jaccard_join": op7_jaccard_join,
     "op10_decontamination": decontamination.oracle_sql(),
 }
