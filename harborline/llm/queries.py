@@ -8,6 +8,7 @@ from harborline.llm.decontamination import op10_decontamination
 from harborline.llm.disclosure import op4_disclosure
 from harborline.llm.entropy_secrets import op5_entropy_secrets
 from harborline.llm.jaccard_join import op7_jaccard_join
+from harborline.llm.substring_dedup import op8_substring_dedup
 from harborline.llm.token_files import op6_token_files
 
 QUERIES = {
@@ -16,6 +17,7 @@ QUERIES = {
     "op5_entropy_secrets": op5_entropy_secrets,
     "op6_token_files": op6_token_files,
     "op7_jaccard_join": op7_jaccard_join,
+    "op8_substring_dedup": op8_substring_dedup,
     "op10_decontamination": op10_decontamination,
 }
 
@@ -24,5 +26,6 @@ QUERIES = {
 ORACLES: dict[str, str] = {
     "op5_entropy_secrets": entropy_secrets.oracle_sql(),
     "op7_jaccard_join": op7_jaccard_join,
+    "op8_substring_dedup": op8_substring_dedup,
     "op10_decontamination": decontamination.oracle_sql(),
 }
