@@ -7,12 +7,14 @@ from harborline.llm import decontamination, entropy_secrets
 from harborline.llm.decontamination import op10_decontamination
 from harborline.llm.disclosure import op4_disclosure
 from harborline.llm.entropy_secrets import op5_entropy_secrets
+from harborline.llm.imatch import op2_imatch
 from harborline.llm.jaccard_join import op7_jaccard_join
 from harborline.llm.substring_dedup import op8_substring_dedup
 from harborline.llm.token_files import op6_token_files
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_imatch": op2_imatch,
     "op4_disclosure": op4_disclosure,
     "op5_entropy_secrets": op5_entropy_secrets,
     "op6_token_files": op6_token_files,
