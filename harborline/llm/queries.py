@@ -11,10 +11,12 @@ from harborline.llm.imatch import op2_imatch
 from harborline.llm.jaccard_join import op7_jaccard_join
 from harborline.llm.substring_dedup import op8_substring_dedup
 from harborline.llm.token_files import op6_token_files
+from harborline.llm.toxicity import op3_toxicity
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_imatch": op2_imatch,
+    "op3_toxicity": op3_toxicity,
     "op4_disclosure": op4_disclosure,
     "op5_entropy_secrets": op5_entropy_secrets,
     "op6_token_files": op6_token_files,
