@@ -94,15 +94,15 @@ def _terms(named: DataFrame) -> DataFrame:
 def disclosing_terms(stages: Stages, docs: DataFrame, named: DataFrame, text: str = "text", support: int = SUPPORT) -> DataFrame:
     """``entity, term, share``: the share of the entity's information that the
     term gives, for pairs met in at least ``support`` documents."""
-    n = docs.agg(F.count("*").cast("double").alias("n_all"))
+    n = F.lit(float(docs.count()))
     entities = named.select("pii_key", F.explode("pii_near.entity").alias("entity")).groupBy("entity").agg(F.count_distinct("pii_key").alias("n_entity")).where(F.col("n_entity") >= support)
     near = stages.write(_terms(named), "pii-terms")
     pairs = near.groupBy("entity", "term").agg(F.count_distinct("pii_key").alias("n_both")).where(F.col("n_both") >= support)
     terms = docs.select(F.explode(F.array_distinct(F.split(F.lower(text_of(docs[text])), NO_TERM))).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
-    found = pairs.join(entities, "entity").join(terms, "term").join(n)
-    content = F.log2(F.col("n_all") / F.col("n_entity"))
-    pmi = F.log2(F.col("n_all") * F.col("n_both") / (F.col("n_term") * F.col("n_entity")))
-    return found.where(F.col("n_entity") < F.col("n_all")).select("entity", "term", (pmi / content).alias("share"))
+    found = pairs.join(entities, "entity").join(terms, "term")
+    content = F.log2(n / F.col("n_entity"))
+    pmi = F.log2(n * F.col("n_both") / (F.col("n_term") * F.col("n_entity")))
+    return found.where(F.col("n_entity") < n).select("entity", "term", (pmi / content).alias("share"))
 
 
 def scan(docs: DataFrame, text: str = "text", generalise: float = GENERALISE, remove: float = REMOVE, support: int = SUPPORT) -> DataFrame:

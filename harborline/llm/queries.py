@@ -7,6 +7,7 @@ from harborline.llm import decontamination, entropy_secrets
 from harborline.llm.decontamination import op10_decontamination
 from harborline.llm.disclosure import op4_disclosure
 from harborline.llm.entropy_secrets import op5_entropy_secrets
+from harborline.llm.gru_lm import op9_gru_lm
 from harborline.llm.imatch import op2_imatch
 from harborline.llm.jaccard_join import op7_jaccard_join
 from harborline.llm.substring_dedup import op8_substring_dedup
@@ -22,6 +23,7 @@ QUERIES = {
     "op6_token_files": op6_token_files,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_substring_dedup": op8_substring_dedup,
+    "op9_gru_lm": op9_gru_lm,
     "op10_decontamination": op10_decontamination,
 }
 
