@@ -20,7 +20,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harborline.llm.common import documents, table, text_of
@@ -156,20 +156,26 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ordinal:
     return fit([np.asarray(t, np.int64).view(np.uint64) for t in got["terms"]], got["grade"].to_numpy())
 
 
-def grade(docs: DataFrame, model: Ordinal, text: str = "text") -> DataFrame:
-    """``docs`` with ``severity`` (expected, double) and ``grade`` (int, the
-    likeliest). Every row stays; a null or empty text is scored as one without
-    features; columns of these names are replaced."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def judged(spark: SparkSession, model: Ordinal, text: Column) -> Column:
+    """``struct<severity, grade>`` of a text; null is scored as empty, which
+    has no features."""
+    shared = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("severity double, grade int")
     def judge(text: pd.Series) -> pd.DataFrame:
         model = shared.value
         score = np.array([model.score(features(t)) for t in text], float)
-        return pd.DataFrame({"severity": model.severity(score), "grade": model.chances(score).argmax(axis=1).astype(np.int32) if len(score) else np.empty(0, np.int32)})
+        return pd.DataFrame({"severity": model.severity(score), "grade": model.chances(score).argmax(axis=1).astype(np.int32)})
+
+    return judge(text_of(text))
 
-    judged = docs.withColumn("_judged", judge(text_of(F.col(text))))
-    return judged.withColumns({"severity": F.col("_judged.severity"), "grade": F.col("_judged.grade")}).drop("_judged")
+
+def grade(docs: DataFrame, model: Ordinal, text: str = "text") -> DataFrame:
+    """``docs`` with ``severity`` (expected, double) and ``grade`` (int, the
+    likeliest). Every row stays, repeated rows too; columns of these names are
+    replaced."""
+    found = docs.withColumn("_judged", judged(docs.sparkSession, model, F.col(text)))
+    return found.withColumns({"severity": F.col("_judged.severity"), "grade": F.col("_judged.grade")}).drop("_judged")
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
