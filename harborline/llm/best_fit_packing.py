@@ -60,7 +60,7 @@ def two_fit(histogram: dict[int, int], capacity: int) -> list[tuple[int, list[tu
                 alone = (mate == larger) & (left[larger] < 2)
                 mate[alone] = below[larger[alone] - 1]
                 sums = np.where(mate > 0, larger + mate, 0)
-                best = int(sums.argmax())
+                best = len(sums) - 1 - int(sums[::-1].argmax())
                 if sums[best] > smallest:
                     left[smallest] += 1
                     used[smallest] -= 1

@@ -32,7 +32,7 @@ EMAIL = "(?:\\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\\.[A-
 IP = "(?:\\G|(?<![0-9]))[0-9]++(?:\\.[0-9]++){3}"
 CARD = "[0-9](?:[\\x20-]?[0-9]){15,}+"
 PHONE = "\\+[0-9][\\x20().0-9-]+[0-9]"
-PART = "0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
+PART = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 
 TERM = "[\\p{L}\\p{N}]+"
 NO_TERM = "[^\\p{L}\\p{N}]+"
@@ -67,14 +67,31 @@ def mentions(docs: DataFrame, text: str = "text") -> DataFrame:
     content = text_of(F.col(text))
     rest = [c for c in docs.columns if c != text and c not in ("pii_key", "pii_base", "pii_near")]
     docs = docs.select(*rest, text).withColumn("pii_key", F.xxhash64(*rest, text)).withColumn("pii_base", base_spans(content))
+    docs = docs.withColumn("pii_rest", F.when(F.size("pii_base") > 0, _blanked(content, F.col("pii_base"))))
+    around = F.col("pii_rest")
     near = F.transform("pii_base", lambda s: F.struct(
         F.concat_ws(":", s["kind"], F.when(s["kind"] == "email", F.lower(s["value"])).when(s["kind"] == "ip", s["value"]).otherwise(_digits(s["value"]))).alias("entity"),
         F.greatest(s["start"] - WINDOW, F.lit(0)).alias("left_at"), s["end"].alias("right_at"),
-        F.substring(content, (F.greatest(s["start"] - WINDOW, F.lit(0)) + 1).cast("int"), F.least(s["start"], F.lit(WINDOW)).cast("int")).alias("left"),
-        F.substring(content, (s["end"] + 1).cast("int"), F.lit(WINDOW)).alias("right"),
-        (s["end"] + WINDOW >= F.length(content)).alias("right_ends"),
+        F.substring(around, (F.greatest(s["start"] - WINDOW, F.lit(0)) + 1).cast("int"), F.least(s["start"], F.lit(WINDOW)).cast("int")).alias("left"),
+        F.substring(around, (s["end"] + 1).cast("int"), F.lit(WINDOW)).alias("right"),
+        (s["end"] + WINDOW >= F.length(around)).alias("right_ends"),
     ))
-    return docs.withColumn("pii_near", near).drop(text)
+    return docs.withColumn("pii_near", near).drop(text, "pii_rest")
+
+
+def _blanked(text: Column, spans: Column) -> Column:
+    """``text`` with blanks in place of the spans, so that no part of an
+    entity counts as a term."""
+    blank = lambda n: F.repeat(F.lit(" "), n.cast("int"))
+    cut = lambda a, n: F.substring(text, (a + 1).cast("int"), n.cast("int"))
+    return F.aggregate(
+        S.ordered(spans, KINDS, by_kind=False), F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at")),
+        lambda acc, s: F.struct(
+            F.concat(acc["out"], F.when(s["start"] > acc["at"], cut(acc["at"], s["start"] - acc["at"])).otherwise(""), blank(F.greatest(s["end"] - F.greatest(s["start"], acc["at"]), F.lit(0)))).alias("out"),
+            F.greatest(s["end"], acc["at"]).alias("at"),
+        ),
+        lambda acc: F.concat(acc["out"], cut(acc["at"], F.length(text))),
+    )
 
 
 def _terms(named: DataFrame) -> DataFrame:
@@ -85,10 +102,8 @@ def _terms(named: DataFrame) -> DataFrame:
         F.transform(F.filter(S.matches(left, "term", TERM), lambda s: (s["start"] > 0) | (F.col("near.left_at") == 0)), lambda s: F.struct(F.lower(s["value"]).alias("term"), (s["start"] + F.col("near.left_at")).alias("start"), (s["end"] + F.col("near.left_at")).alias("end"))),
         F.transform(F.filter(S.matches(right, "term", TERM), lambda s: (s["end"] < F.length(right)) | F.col("near.right_ends")), lambda s: F.struct(F.lower(s["value"]).alias("term"), (s["start"] + F.col("near.right_at")).alias("start"), (s["end"] + F.col("near.right_at")).alias("end"))),
     )
-    spread = named.select("pii_key", "pii_base", F.explode("pii_near").alias("near")).select("pii_key", "pii_base", "near.entity", F.explode(words).alias("w"))
-    # a part of an entity is no term
-    free = ~F.exists("pii_base", lambda b: (b["start"] < F.col("w.end")) & (F.col("w.start") < b["end"]))
-    return spread.where(free).select("pii_key", "entity", "w.term", "w.start", "w.end")
+    spread = named.select("pii_key", F.explode("pii_near").alias("near")).select("pii_key", "near.entity", F.explode(words).alias("w"))
+    return spread.select("pii_key", "entity", "w.term", "w.start", "w.end")
 
 
 def disclosing_terms(stages: Stages, docs: DataFrame, named: DataFrame, text: str = "text", support: int = SUPPORT) -> DataFrame:
