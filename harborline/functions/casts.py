@@ -30,16 +30,31 @@ def _source(df: DataFrame, table_column: str) -> str | None:
     return None
 
 
-def strict(df: DataFrame, table: T.StructType) -> DataFrame:
-    """Project to `table`; missing columns become null, bad values raise."""
+def strict(df: DataFrame, table: T.StructType, optional: tuple[str, ...] = ()) -> DataFrame:
+    """Project to `table`. A value that does not fit raises, and so does an
+    absent column unless `optional` names it (then it becomes null). Variants
+    are cast from whatever they hold: 12.0 and "7" are integers, "abc" fails."""
+    types = {f.name: f.dataType for f in df.schema.fields}
     exprs = []
     for f in table.fields:
-        src = _source(df, f.name)
-        value = "NULL" if src is None else f"`{src}`"
-        exprs.append(f"CAST({value} AS {f.dataType.simpleString()}) AS `{f.name}`")
+        src, kind = _source(df, f.name), f.dataType.simpleString()
+        if src is None:
+            if f.name not in optional:
+                raise ValueError(f"no column for {f.name}; columns: {', '.join(df.columns)}")
+            value = f"CAST(NULL AS {kind})"
+        elif isinstance(types[src], T.VariantType):
+            value = f"variant_get(`{src}`, '$', '{kind}')"
+        else:
+            value = f"CAST(`{src}` AS {kind})"
+        exprs.append(f"{value} AS `{f.name}`")
     return df.selectExpr(*exprs)
 
 
+def strict_columns(df: DataFrame, table: T.StructType) -> list[str]:
+    """Columns of `table` that `strict` finds in `df`."""
+    return [f.name for f in table.fields if _source(df, f.name) is not None]
+
+
 def _lenient_from_variant(v: str, dtype: T.DataType) -> str:
     if isinstance(dtype, T.StringType):
         return f"try_variant_get({v}, '$', 'string')"

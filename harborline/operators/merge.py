@@ -8,23 +8,20 @@ the load, one row per output row, with an `action` column:
   update  matched and a trigger differs: update columns and `updated_at` change
   insert  source row without a matching target row (null keys never match)
 
-Plan shape. The join is a single full outer sort-merge join on (key..., salt)
-in which every key occurs at most once per side, so no join partition can be
-hot:
-  * salt: 0 for every row with a complete key; a row with a null key
-    component gets a hash of its values, so such rows (which can never match:
-    null = anything is not true) spread over all partitions;
-  * duplicated source keys are found by a grouped count (partial aggregation:
-    a key repeated in a third of all rows adds one row per map task to the
-    shuffle). Their rows bypass the join and are inserted -- MERGE inserts
-    every unmatched source row -- while one probe row per duplicated key goes
-    through the join: if the probe matches a target row, the job fails
-    (MERGE cardinality rule: a target row matched by two source rows). The
-    duplicate-key table is written first (small in practice), so the planner
-    broadcasts it for the semi/anti split from its real size.
-`duplicates="window"` instead counts duplicates with a window on the join's
-own partitioning (one scan of the source, no split) for sources whose keys
-are known to be unique or nearly so.
+Plan shape. Two joins on the key, neither a full outer one:
+  * target LEFT JOIN source decides keep/noop/update. A source key occurs once
+    here, so each target row comes out once, also where the target holds a key
+    several times (an earlier load inserted duplicates). Spark broadcasts the
+    source by its size, or AQE splits a target partition that is too large;
+  * source LEFT ANTI JOIN target keys gives the inserts.
+Rows with a null key component can never match (null = anything is not true):
+they go straight to keep or insert and never reach a join.
+Duplicated source keys are found by a grouped count (partial aggregation: a
+key repeated in a third of all rows adds one row per map task to the shuffle)
+and written first, small in practice, so the planner broadcasts them from
+their real size. They take part in the first join as one probe row each: a
+target row that matches it fails the job (MERGE cardinality rule: a target row
+matched by two source rows). Unmatched, each of their rows is inserted.
 """
 
 from __future__ import annotations
@@ -66,86 +63,58 @@ def _q(name: str) -> str:
     return f"`{name}`"
 
 
-def _salt_sql(keys: list[str], values: list[str]) -> str:
-    """0 for a complete key, else a hash of the row (spreads null-key rows)."""
-    incomplete = " OR ".join(f"{_q(k)} IS NULL" for k in keys)
-    row = ", ".join(_q(c) for c in values)
-    return f"CASE WHEN {incomplete} THEN xxhash64({row}) ELSE CAST(0 AS BIGINT) END"
-
-
 def upsert(target: DataFrame, source: DataFrame, spec: MergeSpec,
-           as_of: Column | None = None, duplicates: str = "split") -> DataFrame:
+           as_of: Column | None = None) -> DataFrame:
     """Merged table rows plus `action`; nothing is written to the target (the
-    default mode stages the duplicate-key table in the scratch folder).
+    duplicate-key table is staged in the scratch folder).
 
     The wide projections are written as SQL expressions (one call each for
     all columns), the plan is the same as with Column objects."""
-    if duplicates not in ("split", "window"):
-        raise ValueError("duplicates must be 'split' or 'window'")
     as_of = F.current_timestamp() if as_of is None else as_of
     created, updated = spec.audit
     keys, cols = list(spec.keys), list(spec.columns)
     t_cols = cols + [created, updated]
-    kcols = keys + ["_salt"]
-
-    tk = target.selectExpr(*[f"{_q(c)} AS {_q('t_' + c)}" for c in t_cols],
-                           f"{_salt_sql(keys, t_cols)} AS t_salt", "true AS t_hit")
-    s0 = source.selectExpr(*[_q(c) for c in cols], f"{_salt_sql(keys, cols)} AS _salt")
-
-    dup_rows = None
-    if duplicates == "split":
-        # duplicated keys, written first (one pass over the key columns): the
-        # planner then knows their size and broadcasts them when small, so the
-        # semi/anti split never shuffles the source
-        dup = materialize(s0.groupBy(*kcols).agg(F.count(F.lit(1)).alias("_n"))
-                          .where(F.col("_n") > 1).select(*kcols), "dup-keys")
-        same = _all([s0[c].eqNullSafe(dup[c]) for c in kcols])
-        dup_rows = s0.join(dup, same, "left_semi")
-        uni = s0.join(dup, same, "left_anti").withColumn("_dup", F.lit(False))
-        s_main = uni.unionByName(dup.withColumn("_dup", F.lit(True)), allowMissingColumns=True)
-    else:
-        s_main = s0.withColumn("_dup", F.lit(False))
+    complete = " AND ".join(f"{_q(k)} IS NOT NULL" for k in keys)
 
-    sk = s_main.selectExpr(*[f"{_q(c)} AS {_q('s_' + c)}" for c in cols],
-                           "_salt AS s_salt", "true AS s_hit", "_dup")
-    if duplicates == "window":
-        part = ", ".join(_q("s_" + k) for k in keys)
-        sk = sk.withColumn("_dup", F.expr(f"count(1) OVER (PARTITION BY {part}, s_salt) > 1"))
+    target = target.select(*t_cols)
+    source = source.select(*cols)
+    t_full, s_full = target.where(complete), source.where(complete)
 
-    on = [F.col(f"t_{k}") == F.col(f"s_{k}") for k in keys] + [F.col("t_salt") == F.col("s_salt")]
-    j = tk.join(sk, on=on, how="full_outer")
+    dup = materialize(s_full.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+                      .where("_n > 1").select(*keys), "dup-keys")
+    once = s_full.join(dup, keys, "left_anti").withColumn("_dup", F.lit(False))
+    probes = once.unionByName(dup.withColumn("_dup", F.lit(True)), allowMissingColumns=True)
+    sk = probes.selectExpr(*[f"{_q(c)} AS {_q('s_' + c)}" for c in cols], "true AS s_hit", "_dup")
+    tk = t_full.selectExpr(*[f"{_q(c)} AS {_q('t_' + c)}" for c in t_cols])
+    j = tk.join(sk, [F.col(f"t_{k}") == F.col(f"s_{k}") for k in keys], "left")
 
-    matched = "coalesce(t_hit, false) AND coalesce(s_hit, false)"
+    matched = "coalesce(s_hit, false)"
     if spec.trigger is None:
         changed = "true"
     else:
         # SQL: WHEN MATCHED AND (t.a != s.a OR ...) -- a null comparison is not true
         changed = "coalesce(" + " OR ".join(
             f"{_q('t_' + c)} <> {_q('s_' + c)}" for c in spec.trigger) + ", false)"
-    probe = "coalesce(_dup, false)"
     action = f"""CASE
-        WHEN {matched} AND {probe} THEN raise_error('MERGE cardinality violation: a target row matches more than one source row')
+        WHEN {matched} AND _dup THEN raise_error('MERGE cardinality violation: a target row matches more than one source row')
         WHEN {matched} AND {changed} THEN 'update'
         WHEN {matched} THEN 'noop'
-        WHEN coalesce(s_hit, false) AND {probe} AND {str(duplicates == "split").lower()} THEN 'probe'
-        WHEN coalesce(s_hit, false) THEN 'insert'
         ELSE 'keep' END"""
-
     out = []
     for c in cols:
-        when = "action IN ('insert', 'update')" if (c in spec.update_cols and c not in keys) \
-            else "action = 'insert'"
-        out.append(f"CASE WHEN {when} THEN {_q('s_' + c)} ELSE {_q('t_' + c)} END AS {_q(c)}")
-    out.append(f"CASE WHEN action = 'insert' THEN _as_of ELSE {_q('t_' + created)} END AS {_q(created)}")
-    out.append(f"CASE WHEN action IN ('insert', 'update') THEN _as_of ELSE {_q('t_' + updated)} END "
-               f"AS {_q(updated)}")
-    merged = (j.select("*", F.expr(action).alias("action"), as_of.alias("_as_of"))
-              .where("action <> 'probe'").selectExpr(*out, "action"))
-    if dup_rows is None:
-        return merged
-    inserts = dup_rows.select(*cols, as_of.alias(created), as_of.alias(updated),
-                              F.lit("insert").alias("action"))
-    return merged.unionByName(inserts)
+        if c in spec.update_cols and c not in keys:
+            out.append(f"CASE WHEN action = 'update' THEN {_q('s_' + c)} ELSE {_q('t_' + c)} END AS {_q(c)}")
+        else:
+            out.append(f"{_q('t_' + c)} AS {_q(c)}")
+    out.append(f"{_q('t_' + created)} AS {_q(created)}")
+    out.append(f"CASE WHEN action = 'update' THEN _as_of ELSE {_q('t_' + updated)} END AS {_q(updated)}")
+    kept = j.select("*", F.expr(action).alias("action"), as_of.alias("_as_of")).selectExpr(*out, "action")
+
+    fresh = s_full.join(t_full.select(*keys).distinct(), keys, "left_anti").select(*cols)
+    inserts = fresh.unionByName(source.where(f"NOT ({complete})")).select(
+        *cols, as_of.alias(created), as_of.alias(updated), F.lit("insert").alias("action"))
+    unmatchable = target.where(f"NOT ({complete})").withColumn("action", F.lit("keep"))
+    return kept.unionByName(unmatchable).unionByName(inserts)
 
 
 def action_counts(merged: DataFrame) -> DataFrame:

@@ -56,11 +56,13 @@ def on_day(col: str | Column, day) -> Column:
 
 
 def ids(col: str | Column, values) -> Column | None:
-    """Scalar or list of ids, compared as text; empty/None = no predicate."""
-    if values is None or values == "" or values == []:
+    """Scalar or collection of ids, compared as text; None or an empty text or
+    collection of any kind = no predicate."""
+    if values is None or values == "":
+        return None
+    values = [values] if isinstance(values, (str, int)) else list(values)
+    if not values:
         return None
-    if isinstance(values, (str, int)):
-        values = [values]
     col = F.col(col) if isinstance(col, str) else col
     return col.cast("string").isin([str(v) for v in values])
 

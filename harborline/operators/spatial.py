@@ -1,83 +1,58 @@
 """Point-in-rectangle matching of messages against zones (closed rectangles).
 
-Physical forms, chosen by a size check on the zone list:
-  * up to INLINE_LIMIT zones: a broadcast left-semi range join (broadcast
-    nested loop join; each point is tested against the short list once, and
-    the test cannot be pushed below the projection that computes the point,
-    so an expensive upstream expression such as JSON parsing is never
-    repeated per zone). Alternatively the zones become one OR-of-ranges
-    filter (method="predicate"), collected only after the row-count check;
-  * more zones: each rectangle is cut into 1-degree grid cells, messages get
-    their cell by floor(lat), floor(lon), and a left-semi equi-join on the cell
-    (re-checking the exact bounds) keeps each message once. The cell table is
-    written first and broadcast only when its real size is under Spark's
-    threshold; otherwise AQE can split a hot cell on the message side.
+One plan for every list of zones. Each rectangle is cut into grid cells, fine
+ones (1 degree) or, where it touches more than FINE_CELLS of them, coarse ones
+(30 degrees); a cell's rectangles are gathered into one row. A message gets its
+two cells by flooring its coordinates and is joined with at most one row of
+each cell table, then tested against their exact bounds, so it comes out at
+most once. The cell tables are written first: Spark broadcasts them when their
+real size is under its threshold, and AQE can split a busy cell on the message
+side otherwise.
+
+Coordinates outside -90..90 / -180..180, NaN and null lie in no zone.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harborline.session import materialize
 
-INLINE_LIMIT = 256
-
-
-def _inside(lat: Column, lon: Column, z) -> Column:
-    return (lat.between(F.lit(min(z.lat1, z.lat2)), F.lit(max(z.lat1, z.lat2)))
-            & lon.between(F.lit(min(z.lon1, z.lon2)), F.lit(max(z.lon1, z.lon2))))
+FINE, COARSE = 1, 30
+FINE_CELLS = 64
 
 
-def zone_predicate(zone_rows, lat: Column, lon: Column) -> Column:
-    if not zone_rows:
-        return F.lit(False)
-    return reduce(lambda a, b: a | b, [_inside(lat, lon, z) for z in zone_rows])
+def _cell(value: Column, size: int, limit: int) -> Column:
+    return F.when(value.between(F.lit(-float(limit)), F.lit(float(limit))), F.floor(value / size).cast("int"))
 
 
-def zone_cells(zones: DataFrame) -> DataFrame:
-    """One row per (zone, 1-degree cell) the rectangle touches."""
-    lo_lat = F.floor(F.least("lat1", "lat2")).cast("int")
-    hi_lat = F.floor(F.greatest("lat1", "lat2")).cast("int")
-    lo_lon = F.floor(F.least("lon1", "lon2")).cast("int")
-    hi_lon = F.floor(F.greatest("lon1", "lon2")).cast("int")
-    return (zones
-            .withColumn("cell_lat", F.explode(F.sequence(lo_lat, hi_lat)))
-            .withColumn("cell_lon", F.explode(F.sequence(lo_lon, hi_lon)))
-            .select("cell_lat", "cell_lon",
-                    F.least("lat1", "lat2").alias("z_lat_lo"),
-                    F.greatest("lat1", "lat2").alias("z_lat_hi"),
-                    F.least("lon1", "lon2").alias("z_lon_lo"),
-                    F.greatest("lon1", "lon2").alias("z_lon_hi")))
+def zone_cells(zones: DataFrame, fine_cells: int = FINE_CELLS) -> DataFrame:
+    """One row per cell that a rectangle touches: its size, place, and the
+    bounds of all rectangles that touch it."""
+    la, ha = F.greatest(F.least("lat1", "lat2"), F.lit(-90.0)), F.least(F.greatest("lat1", "lat2"), F.lit(90.0))
+    lo, ho = F.greatest(F.least("lon1", "lon2"), F.lit(-180.0)), F.least(F.greatest("lon1", "lon2"), F.lit(180.0))
+    z = zones.select(la.alias("la"), ha.alias("ha"), lo.alias("lo"), ho.alias("ho")).where("la <= ha AND lo <= ho")
+    fine = (F.floor("ha") - F.floor("la") + 1) * (F.floor("ho") - F.floor("lo") + 1) <= fine_cells
+    z = z.withColumn("size", F.when(fine, FINE).otherwise(COARSE))
+    steps = lambda a, b: F.sequence(F.floor(F.col(a) / F.col("size")).cast("int"), F.floor(F.col(b) / F.col("size")).cast("int"))
+    return (z.withColumn("cell_lat", F.explode(steps("la", "ha")))
+            .withColumn("cell_lon", F.explode(steps("lo", "ho")))
+            .groupBy("size", "cell_lat", "cell_lon")
+            .agg(F.collect_list(F.struct("la", "ha", "lo", "ho")).alias("bounds")))
 
 
 def in_any_zone(points: DataFrame, zones: DataFrame, lat: str = "latitude",
-                lon: str = "longitude", inline_limit: int = INLINE_LIMIT,
-                method: str = "join") -> DataFrame:
-    """Rows of `points` lying in at least one zone (each row at most once).
-
-    method "join" (default): broadcast left-semi range join against the
-    size-checked zone list; "predicate": the zones inlined as one OR-of-ranges
-    filter. Both fall back to the grid join beyond `inline_limit` zones."""
-    n = zones.count()
-    if n <= inline_limit and method == "predicate":
-        rows = zones.collect()  # bounded by the check above
-        return points.where(zone_predicate(rows, F.col(lat), F.col(lon)))
-    if n <= inline_limit:
-        z = zones.select(F.least("lat1", "lat2").alias("_la"), F.greatest("lat1", "lat2").alias("_ha"),
-                         F.least("lon1", "lon2").alias("_lo"), F.greatest("lon1", "lon2").alias("_ho"))
-        cond = (F.col(lat).between(F.col("_la"), F.col("_ha"))
-                & F.col(lon).between(F.col("_lo"), F.col("_ho")))
-        return points.join(F.broadcast(z), cond, "left_semi")
-    # written first: the planner sees the cell table's real size and
-    # broadcasts it when small, otherwise both sides shuffle on the cell
-    cells = materialize(zone_cells(zones), "zone-cells")
-    p = points.withColumn("cell_lat", F.floor(F.col(lat)).cast("int")) \
-              .withColumn("cell_lon", F.floor(F.col(lon)).cast("int"))
-    cond = ((p.cell_lat == cells.cell_lat) & (p.cell_lon == cells.cell_lon)
-            & F.col(lat).between(cells.z_lat_lo, cells.z_lat_hi)
-            & F.col(lon).between(cells.z_lon_lo, cells.z_lon_hi))
-    return p.join(cells, cond, "left_semi").drop("cell_lat", "cell_lon")
-
+                lon: str = "longitude", fine_cells: int = FINE_CELLS) -> DataFrame:
+    """Rows of `points` lying in at least one zone (each row once).
+    `fine_cells`: zones that touch more fine cells get coarse ones."""
+    cells = materialize(zone_cells(zones, fine_cells), "zone-cells")
+    p = points
+    hit = F.lit(False)
+    for name, size in (("_fine", FINE), ("_coarse", COARSE)):
+        own = cells.where(F.col("size") == size).select(
+            F.col("cell_lat").alias(f"{name}_lat"), F.col("cell_lon").alias(f"{name}_lon"), F.col("bounds").alias(name))
+        at = [_cell(F.col(lat), size, 90) == F.col(f"{name}_lat"), _cell(F.col(lon), size, 180) == F.col(f"{name}_lon")]
+        p = p.join(own, at, "left")
+        hit = hit | F.coalesce(F.exists(name, lambda z: F.col(lat).between(z["la"], z["ha"]) & F.col(lon).between(z["lo"], z["ho"])), F.lit(False))
+    return p.where(hit).select(*points.columns)

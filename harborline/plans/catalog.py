@@ -30,8 +30,8 @@ PAGE_SIZE = 100
 STREAM_START = "2024-01-01 00:00:00"
 STREAM_SECONDS = 20 * 86400
 # stored columns of the order-derived statistics table (a chokepoint-like subset)
-CHOKEPOINTS_LIKE = T.StructType([f for f in CHOKEPOINTS.fields
-                                 if f.name not in ("n_general_cargo", "n_roro", "n_cargo")])
+UNUSED = ("n_general_cargo", "n_roro", "n_cargo")
+CHOKEPOINTS_LIKE = T.StructType([f for f in CHOKEPOINTS.fields if f.name not in UNUSED])
 
 
 def _events(spark, sf):
@@ -65,21 +65,14 @@ def _chk_stats(spark, sf):
 
 
 # --------------------------------------------------------------------- upserts
-# The daily-statistics sources below are GROUP BY outputs on the table key, so
-# their keys are unique by construction: they use the one-scan variant of the
-# upsert (cardinality window on the join's own partitioning). Sources without
-# that guarantee (backfill_ports, the load jobs) use the default, which splits
-# duplicated keys out of the join.
 def upsert_chokepoints(spark: SparkSession, sf: str) -> DataFrame:
     target, source = _chk_pair(spark, sf)
-    return merge.upsert(target, source, merge.SPECS["chokepoints"], fx.ts_ntz(fx.AS_OF),
-                        duplicates="window")
+    return merge.upsert(target, source, merge.SPECS["chokepoints"], fx.ts_ntz(fx.AS_OF))
 
 
 def upsert_ports(spark: SparkSession, sf: str) -> DataFrame:
     target, source = _port_pair(spark, sf)
-    return merge.upsert(target, source, merge.SPECS["ports"], fx.ts_ntz(fx.AS_OF),
-                        duplicates="window")
+    return merge.upsert(target, source, merge.SPECS["ports"], fx.ts_ntz(fx.AS_OF))
 
 
 def _master(spark, sf):
@@ -90,8 +83,7 @@ def upsert_master(spark: SparkSession, sf: str) -> DataFrame:
     m = _master(spark, sf)
     target = fx.with_audit(lenient(m.where(F.col("s_nationkey") < 15), MASTER))
     source = lenient(m.where(F.col("s_nationkey") >= 10), MASTER)
-    return merge.upsert(target, source, merge.SPECS["master"], fx.ts_ntz(fx.AS_OF),
-                        duplicates="window")  # supplier keys are unique
+    return merge.upsert(target, source, merge.SPECS["master"], fx.ts_ntz(fx.AS_OF))
 
 
 def upsert_duplicates(spark: SparkSession, sf: str) -> DataFrame:
@@ -103,7 +95,7 @@ def upsert_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     o = fx.read(spark, sf, "orders")
     target = fx.with_audit(strict(_order_stats(spark, sf)
                                   .where(F.col("event_date") < F.lit("1995-01-01").cast("date")),
-                                  CHOKEPOINTS))
+                                  CHOKEPOINTS, optional=UNUSED))
     st = F.col("o_orderstatus")
     rows = o.where(F.col("o_orderdate") >= fx.ts_ntz("1995-01-01 00:00:00")).select(
         F.col("o_custkey").cast("string").alias("portid"),
@@ -112,7 +104,7 @@ def upsert_duplicates(spark: SparkSession, sf: str) -> DataFrame:
         (st == "P").cast("int").alias("n_dry_bulk"), F.lit(1).alias("n_total"),
         F.round(F.col("o_totalprice") * 100).cast("bigint").alias("capacity"),
         F.to_date("o_orderdate").alias("event_date"))
-    return merge.upsert(target, strict(rows, CHOKEPOINTS), merge.SPECS["chokepoints"],
+    return merge.upsert(target, strict(rows, CHOKEPOINTS, optional=UNUSED), merge.SPECS["chokepoints"],
                         fx.ts_ntz(fx.AS_OF))
 
 
@@ -277,9 +269,9 @@ def _event_rows(spark, sf, inject_stops, on_error):
 
 
 def _stat_columns(df):
-    return df.select("portid", "portname", *[f"n_{k}" for k in
-                     ["tanker", "container", "dry_bulk", "general_cargo", "roro", "cargo", "total"]],
-                     "capacity", "event_date")
+    return strict(df, CHOKEPOINTS).select(
+        "portid", "portname", *[F.col(f.name).cast("bigint") for f in CHOKEPOINTS.fields if f.name.startswith("n_")],
+        "capacity", "event_date")
 
 
 def stat_scan(spark: SparkSession, sf: str) -> DataFrame:
@@ -354,10 +346,10 @@ def zone_filter(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def zone_filter_grid(spark: SparkSession, sf: str) -> DataFrame:
-    """The same match through the grid-cell equi-join used for long zone
-    lists (forced here for the 28 zones): same rows as zone_filter."""
+    """The same match with every zone cut into coarse cells, as zones of more
+    than FINE_CELLS fine cells are: same rows as zone_filter."""
     pts = fx.zone_points(_events(spark, sf)).select("event_id", "latitude", "longitude")
-    return in_any_zone(pts, zones_frame(spark), inline_limit=0)
+    return in_any_zone(pts, zones_frame(spark), fine_cells=0)
 
 
 def _parsed(spark, sf):
@@ -365,7 +357,7 @@ def _parsed(spark, sf):
 
 
 def ais_parse(spark: SparkSession, sf: str) -> DataFrame:
-    return _parsed(spark, sf).drop("parsed_ok")
+    return _parsed(spark, sf).drop("parsed_ok", "ship_id")
 
 
 def _in_zone(spark, sf):
@@ -396,7 +388,7 @@ def ais_summary_stream(spark: SparkSession, sf: str) -> DataFrame:
     landing = fx.landed_messages_path(spark, sf)
     stream = runner.read_messages(spark, landing, max_files_per_trigger=4)
     flow = runner.traffic(stream, zones_frame(spark), STREAM_START, STREAM_SECONDS)
-    runner.run_for(runner.start_sinks(flow, f"{root}/sinks", outputs=("messages",)))
+    runner.run_for(runner.start_sink(flow, f"{root}/sinks"))
     return runner.traffic_summary(spark, f"{root}/sinks")
 
 

@@ -183,10 +183,10 @@ def master_page_text(spark: SparkSession, sf_dir: str, size: int) -> DataFrame:
     request per block of 100,000 ids, `size` records a page, the last page of
     each request not flagged as truncated."""
     m = master_json(spark, sf_dir).withColumn(
-        "request", F.concat(F.lit("ports_db:"), F.floor(F.col("s_suppkey") / 100000).cast("string")))
+        "request", F.concat(F.lit("ports_db:"), F.floor((F.col("s_suppkey") - 1) / 100000).cast("string")))
     last = m.groupBy("request").agg(F.max("s_suppkey").alias("mx"))  # one row per request
-    pages = (m.join(F.broadcast(last), "request")
-             .withColumn("page", F.floor(F.col("s_suppkey") / size).cast("int"))
+    pages = (m.join(last, "request")
+             .withColumn("page", F.floor(((F.col("s_suppkey") - 1) % 100000) / size).cast("int"))
              .groupBy("request", "page")
              .agg(F.collect_list("json").alias("attrs"),  # at most `size` records
                   F.max(F.col("s_suppkey") == F.col("mx")).alias("is_last")))
@@ -247,7 +247,7 @@ def event_attributes(events: DataFrame) -> DataFrame:
         F.lit(1).cast("bigint").alias("n_total"),
         _cents().alias("capacity"),
     )
-    return (events.join(F.broadcast(first), day == F.col("day"))
+    return (events.join(first, day == F.col("day"))
             .select(F.col("day").cast("string").alias("request"),
                     (F.col("event_id") - F.col("first_id")).alias("rn"),
                     (F.col("event_id") == F.col("last_id")).alias("last"),

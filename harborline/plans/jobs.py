@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from harborline.functions.casts import lenient, strict
+from harborline.functions.casts import lenient, strict, strict_columns
 from harborline.functions.dates import as_date, month_start
 from harborline.operators import commitlog, merge, predicates
 from harborline.schemas import DATASETS
@@ -121,15 +121,17 @@ def backfill_ports(spark, sources: list[DataFrame], root: str, start=None, end=N
                    now=None, as_of=None, dry_run=False):
     """All days of [start, end] in one load and one commit. `sources` are
     stat-row frames (e.g. one per feed or schema version), concatenated by
-    column name; a column missing from one of them becomes null."""
+    column name; a column missing from one of them becomes null, one missing
+    from all of them fails the load."""
     if start is None or end is None:
         start, end = predicates.default_range(now)
-    rows = sources[0]
-    for s in sources[1:]:
-        rows = rows.unionByName(s, allowMissingColumns=True)
-    rows = rows.where(predicates.between_days("event_date", start, end))
-    return load_stats(spark, strict(rows, DATASETS["daily_port"].table), root, "ports",
-                      as_of, dry_run)
+    table = DATASETS["daily_port"].table
+    had = {c for s in sources for c in strict_columns(s, table)}
+    rows = None
+    for s in sources:
+        own = strict(s, table, optional=tuple(had)).where(predicates.between_days("event_date", start, end))
+        rows = own if rows is None else rows.unionByName(own)
+    return load_stats(spark, rows, root, "ports", as_of, dry_run)
 
 
 def load_master(spark, pages: DataFrame, root: str, table: str, as_of=None,
@@ -180,14 +182,17 @@ def read_master(spark, root: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{_table_path(root, table)}/snapshot={snap}")
 
 
-def traffic_summary(spark, landing: str, zones: DataFrame, sink_root: str,
+def traffic_summary(spark, landing: str | None, zones: DataFrame, sink_root: str,
                     duration_sec: int = 60, start=None, fmt: str = "parquet",
-                    live: bool = False) -> DataFrame:
+                    live: bool = False, **options) -> DataFrame:
     """Run the message stream for `duration_sec` (live) or over everything
-    landed so far, then report total messages and distinct vessels."""
-    stream = runner.read_messages(spark, landing, fmt, recursiveFileLookup="true")
+    landed so far, then report total messages and distinct vessels. `options`
+    go to the source (for Kafka: its servers and topics, with no landing)."""
+    if fmt != "kafka":
+        options = {"recursiveFileLookup": "true", **options}
+    stream = runner.read_messages(spark, landing, fmt, **options)
     flow = runner.traffic(stream, zones, start, duration_sec if start is not None else None)
-    queries = runner.start_sinks(flow, sink_root, available_now=not live,
-                                 processing_time="5 seconds" if live else None)
-    runner.run_for(queries, duration_sec if live else None)
+    query = runner.start_sink(flow, sink_root, available_now=not live,
+                              processing_time="5 seconds" if live else None)
+    runner.run_for(query, duration_sec if live else None)
     return runner.traffic_summary(spark, sink_root)

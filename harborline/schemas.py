@@ -57,17 +57,18 @@ S, I, L, D, DT, TS = (T.StringType(), T.IntegerType(), T.LongType(), T.DoubleTyp
 
 # ---------------------------------------------------------------------------
 # Raw attributes as delivered on a page. `date` is epoch milliseconds or text,
-# so it is read as text and converted by functions.dates.event_date.
+# so it is read as text and converted by functions.dates.event_date. Numbers are
+# read as variants, whatever they arrive as, and cast once, in casts.strict,
+# which fails on what is no number; the JSON reader would turn it into null.
 # ---------------------------------------------------------------------------
 CHOKEPOINT_ATTRS = _struct(
     [("date", S), ("portid", S), ("portname", S)]
-    + [(f, L) for f in CHOKEPOINT_FIELDS[3:]]
+    + [(f, T.VariantType()) for f in CHOKEPOINT_FIELDS[3:]]
 )
 
 PORT_ATTRS = _struct(
     [("date", S), ("portid", S), ("portname", S), ("country", S), ("ISO3", S)]
-    + [(f, L) for f in PORT_FIELDS[5:12]]
-    + [(f, D) for f in PORT_FIELDS[12:]]
+    + [(f, T.VariantType()) for f in PORT_FIELDS[5:]]
 )
 
 # Master values arrive as numbers or as text; a variant keeps which one it was,

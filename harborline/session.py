@@ -62,7 +62,7 @@ def scratch_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
             raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="harborline-")  # local runs only
         spark.sparkContext.setCheckpointDir(root)
@@ -76,13 +76,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def spread(df):
-    """Round-robin a frame that has fewer partitions than the cluster has
-    cores (e.g. one small file = one row group = one task) before CPU-heavy
-    per-row work. A no-op for inputs that are already split more widely."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    """Deal a frame out over the shuffle partitions before CPU-heavy per-row
+    work (one file may be one row group, and so one task)."""
+    return df.repartition()
 
 
 def materialize(df, name: str = "stage"):

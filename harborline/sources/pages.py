@@ -5,6 +5,8 @@ A stored response is one JSON object per page:
 or {"error": {...}}. Pages are read with an explicit schema (no inference)
 either from files laid out as `<root>/request=<r>/offset=<n>/*.json` (partition
 discovery yields `request` and `offset`) or from a DataFrame of response text.
+A response that is no JSON (cut off, say) becomes a row with `unreadable`; it
+is never taken for a page without features.
 """
 
 from __future__ import annotations
@@ -18,24 +20,37 @@ from harborline.operators import paging, predicates
 from harborline.schemas import DATASETS, page_schema
 
 
+CORRUPT = T.StructField("_corrupt_record", T.StringType())
+
+
+def _marked(pages: DataFrame, *columns: str) -> DataFrame:
+    """`columns` and `unreadable`, from rows read with the corrupt-record column."""
+    return pages.select(*columns, F.col("_corrupt_record").isNotNull().alias("unreadable"))
+
+
 def read_pages(spark: SparkSession, path: str, dataset: str, multi_line: bool = True) -> DataFrame:
     """Page files laid out as request=<r>/offset=<n>/<file> (one response per
     file; multi_line=False for one response per line)."""
-    ds = DATASETS[dataset]
-    schema = page_schema(ds.attrs).add("request", T.StringType()).add("offset", T.LongType())
-    return (spark.read.schema(schema)
-            .option("multiLine", multi_line).json(path))
+    page = page_schema(DATASETS[dataset].attrs)
+    schema = T.StructType(page.fields + [T.StructField("request", T.StringType()), T.StructField("offset", T.LongType()), CORRUPT])
+    rows = spark.read.schema(schema).option("multiLine", multi_line).json(path)
+    return _marked(rows, "request", "offset", *page.names)
+
+
+def _log(spark: SparkSession, path: str, page: T.StructType) -> DataFrame:
+    schema = T.StructType([T.StructField("request", T.StringType()),
+                           T.StructField("offset", T.LongType()),
+                           T.StructField("response", page), CORRUPT])
+    return _marked(spark.read.schema(schema).json(path), "request", "offset", "response.*")
 
 
 def read_page_log(spark: SparkSession, path: str, dataset: str) -> DataFrame:
     """Responses stored as JSON lines with an envelope
     {"request": r, "offset": n, "response": {...}} -- few large files instead
-    of one file per page, so listing stays cheap however many pages exist."""
-    ds = DATASETS[dataset]
-    schema = T.StructType([T.StructField("request", T.StringType()),
-                           T.StructField("offset", T.LongType()),
-                           T.StructField("response", page_schema(ds.attrs))])
-    return spark.read.schema(schema).json(path).select("request", "offset", "response.*")
+    of one file per page, so listing stays cheap however many pages exist. A
+    line that is cut off has no request any more; the gap that it leaves in its
+    request is found by the stop rule."""
+    return _log(spark, path, page_schema(DATASETS[dataset].attrs))
 
 
 # a page with its records reduced to empty objects: enough for the stop rule
@@ -50,10 +65,7 @@ def read_page_log_meta(spark: SparkSession, path: str) -> DataFrame:
     """Page metadata of a page log (request, offset, record count via an
     array of empty structs, truncation flag, error): the JSON reader skips
     the records' contents instead of converting them."""
-    schema = T.StructType([T.StructField("request", T.StringType()),
-                           T.StructField("offset", T.LongType()),
-                           T.StructField("response", META_PAGE)])
-    return spark.read.schema(schema).json(path).select("request", "offset", "response.*")
+    return _log(spark, path, META_PAGE)
 
 
 def page_log_lines(text: DataFrame, body: str = "body") -> DataFrame:
@@ -64,13 +76,14 @@ def page_log_lines(text: DataFrame, body: str = "body") -> DataFrame:
 
 def parse_pages(text: DataFrame, dataset: str, body: str = "body") -> DataFrame:
     """Pages from response text: columns request, offset and `body`."""
-    ds = DATASETS[dataset]
-    p = F.from_json(F.col(body), page_schema(ds.attrs))
+    page = page_schema(DATASETS[dataset].attrs)
+    p = F.from_json(F.col(body), T.StructType(page.fields + [CORRUPT]), {"columnNameOfCorruptRecord": CORRUPT.name})
     # parsed through a one-row Generate, so filters on page fields (the stop
     # rule) stay above the parse instead of re-running from_json per term
-    return (text.select("request", F.col("offset").cast("bigint").alias("offset"),
-                        F.inline(F.array(F.struct(p.alias("p")))))
-            .select("request", "offset", "p.*"))
+    rows = text.select("request", F.col("offset").cast("bigint").alias("offset"),
+                       F.inline(F.array(F.struct(p.alias("p")))))
+    return rows.select("request", "offset", *(f"p.{c}" for c in page.names),
+                       (F.col("p").isNull() | F.col("p._corrupt_record").isNotNull()).alias("unreadable"))
 
 
 def stat_rows(pages: DataFrame, on_error: str = "fail", meta: DataFrame | None = None) -> DataFrame:

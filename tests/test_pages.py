@@ -127,3 +127,89 @@ def test_master_page_files_keep_number_vs_text(spark, workdir):
     rows = lenient(pg.master_rows(pg.read_pages(spark, workdir, "ports_db")), MASTER).collect()
     got = {r["portid"]: r["vessel_count_total"] for r in rows}
     assert got == {"1": 7, "2": 12, "3": None}
+
+
+def _cut(body):
+    return body[: len(body) * 2 // 3]
+
+
+def test_unreadable_page_is_an_error(spark, workdir):
+    pages = [("r", 0, _page([1, 2])), ("r", 2, _cut(_page([3, 4]))), ("r", 4, _page([5], more=False)), ("s", 0, _page([6], more=False))]
+    assert _ids(spark, pages) == [1, 2, 6]
+    with pytest.raises(Exception, match="unreadable page r@2"):
+        _ids(spark, pages, "fail")
+    for req, off, body in pages:
+        d = os.path.join(workdir, f"request={req}", f"offset={off}")
+        os.makedirs(d)
+        with open(os.path.join(d, "page.json"), "w") as f:
+            f.write(body)
+    files = pg.read_pages(spark, workdir, "daily_chokepoint")
+    assert sorted(int(r["portid"]) for r in pg.stat_rows(files, "keep").collect()) == [1, 2, 6]
+    with pytest.raises(Exception, match="unreadable page r@2"):
+        pg.stat_rows(files).collect()
+
+
+def test_cut_line_of_a_page_log(spark, workdir):
+    log = os.path.join(workdir, "log")
+    os.makedirs(log)
+    with open(os.path.join(log, "a.json"), "w") as f:
+        for off, body in [(0, _page([1, 2])), (2, _page([3, 4])), (4, _page([5], more=False))]:
+            line = json.dumps({"request": "r", "offset": off, "response": json.loads(body)})
+            f.write((_cut(line) if off == 2 else line) + "\n")
+    pages, meta = pg.read_page_log(spark, log, "daily_chokepoint"), pg.read_page_log_meta(spark, log)
+    for m in (None, meta):
+        assert sorted(int(r["portid"]) for r in pg.stat_rows(pages, "keep", meta=m).collect()) == [1, 2]
+        with pytest.raises(Exception, match="unreadable page|missing page"):
+            pg.stat_rows(pages, "fail", meta=m).collect()
+
+
+@pytest.mark.parametrize("pages,what", [
+    ([("r", 0, _page([1, 2])), ("r", 4, _page([5], more=False))], "missing page before r@4"),
+    ([("r", 2, _page([1], more=False))], "missing page before r@0"),
+    ([("r", 0, _page([1, 2])), ("r", 2, _page([3]))], "no last page of r"),
+])
+def test_incomplete_request_fails(spark, pages, what):
+    with pytest.raises(Exception, match=what):
+        _ids(spark, pages, "fail")
+
+
+def test_incomplete_request_keeps_what_came_before(spark):
+    assert _ids(spark, [("r", 0, _page([1, 2])), ("r", 4, _page([5], more=False))]) == [1, 2]
+    assert _ids(spark, [("r", 2, _page([1], more=False))]) == []
+    assert _ids(spark, [("r", 0, _page([1, 2])), ("r", 2, _page([3]))]) == [1, 2, 3]
+
+
+def _strict_total(spark, value):
+    from harborline.functions.casts import strict
+    from harborline.schemas import CHOKEPOINTS
+
+    rec = dict.fromkeys([f.name for f in CHOKEPOINTS.fields if f.name != "event_date"], 0)
+    rec |= {"date": 1709251200000, "portid": "1", "portname": "P", "n_total": value}
+    body = json.dumps({"features": [{"attributes": rec}], "exceededTransferLimit": False})
+    rows = pg.stat_rows(pg.parse_pages(_text(spark, [("r", 0, body)]), "daily_chokepoint"))
+    return strict(rows, CHOKEPOINTS).first()["n_total"]
+
+
+@pytest.mark.parametrize("value,expected", [(12, 12), (12.0, 12), ("7", 7), (12.7, 12), (None, None)])
+def test_numbers_in_any_form(spark, value, expected):
+    assert _strict_total(spark, value) == expected
+
+
+def test_no_number_fails(spark):
+    with pytest.raises(Exception, match="(?i)cast"):
+        _strict_total(spark, "abc")
+
+
+def test_absent_column_fails_unless_optional(spark):
+    from harborline.functions.casts import strict
+    from harborline.schemas import CHOKEPOINTS
+
+    with pytest.raises(ValueError, match="n_tanker"):
+        strict(spark.range(1), CHOKEPOINTS, optional=("portid", "portname"))
+    assert strict(spark.range(1), CHOKEPOINTS, optional=tuple(CHOKEPOINTS.names)).first()["capacity"] is None
+
+
+def test_empty_collections_of_ids_are_no_filter():
+    from harborline.operators.predicates import ids
+
+    assert all(ids("portid", v) is None for v in (None, "", [], (), set(), iter(())))

@@ -65,7 +65,7 @@ def _stream_summary(spark, msgs, root, split_col):
     msgs.withColumn("part", split_col).write.partitionBy("part").parquet(landing)
     stream = runner.read_messages(spark, landing, recursiveFileLookup="true")
     flow = runner.traffic(stream, zones_frame(spark), "2024-01-01 00:00:00", 20 * 86400)
-    runner.run_for(runner.start_sinks(flow, os.path.join(root, "sinks")))
+    runner.run_for(runner.start_sink(flow, os.path.join(root, "sinks")))
     return tuple(runner.traffic_summary(spark, os.path.join(root, "sinks")).collect()[0])
 
 
@@ -88,7 +88,7 @@ def test_live_run_stops_after_duration(spark, workdir):
     t0 = time.time()
     got = jobs.traffic_summary(spark, landing, zones_frame(spark), os.path.join(workdir, "sinks"),
                                duration_sec=12, live=True).collect()[0]
-    assert time.time() - t0 < 60
+    assert time.time() - t0 < 12 + 10
     batch = M.summary(runner.traffic(msgs, zones_frame(spark))).collect()[0]
     assert tuple(got) == tuple(batch)
 
@@ -99,7 +99,33 @@ def test_raw_message_lines_stream(spark, workdir):
     msgs.select("value").write.text(raw)
     stream = runner.read_messages(spark, raw, fmt="text")
     flow = runner.traffic(stream, zones_frame(spark))
-    runner.run_for(runner.start_sinks(flow, os.path.join(workdir, "sinks"), outputs=("messages",)))
+    runner.run_for(runner.start_sink(flow, os.path.join(workdir, "sinks")))
     got = tuple(runner.traffic_summary(spark, os.path.join(workdir, "sinks")).collect()[0])
     exp = tuple(M.summary(runner.traffic(msgs, zones_frame(spark))).collect()[0])
     assert got == exp
+
+
+def test_odd_fields_do_not_cost_the_message(spark):
+    lines = ['{"MessageType":"PositionReport","MetaData":{"MMSI":"3","latitude":"25.9","longitude":56.5}}',
+             '{"MessageType":"PositionReport","MetaData":{"MMSI":4,"latitude":"x","longitude":null},"Message":"y"}',
+             '{"MessageType":"ShipStaticData","MetaData":{"MMSI":"0"}}',
+             '{"MetaData":{"MMSI":0}}', '{"MetaData":{"MMSI":""}}', '{"MetaData":{"MMSI":null}}', '{"MetaData":{"MMSI":false}}',
+             '{"MetaData":"z"}', "[1]", '{"MetaData":{"MMSI":5', ""]
+    p = M.parse(_msgs(spark, list(enumerate(lines))))
+    v = M.valid_ship(p)
+    assert sorted(r["ship_id"] for r in v.collect()) == ["0", "3", "4"]
+    assert {r["ship_id"]: r["latitude"] for r in v.collect()} == {"0": None, "3": 25.9, "4": None}
+    assert tuple(M.summary(v).first()) == (3, 3)
+    assert tuple(M.bad_lines(p).first()) == (11, 3)
+
+
+def test_sink_holds_each_kind(spark, workdir):
+    msgs = fx.messages(fx.read(spark, "/root/testdata/sf0.001", "events"))
+    landing = os.path.join(workdir, "landing")
+    msgs.write.parquet(landing)
+    flow = runner.traffic(runner.read_messages(spark, landing), zones_frame(spark))
+    runner.run_for(runner.start_sink(flow, os.path.join(workdir, "sinks")))
+    batch = runner.traffic(msgs, zones_frame(spark))
+    for what, frame in (("positions", M.positions(batch)), ("statics", M.statics(batch))):
+        got = runner.read_sink(spark, os.path.join(workdir, "sinks"), what)
+        assert got.count() == frame.count() > 0 and got.exceptAll(frame).isEmpty()

@@ -60,11 +60,21 @@ def test_overlapping_zones_match_once(spark):
     assert got == [1, 2, 3, 4, 5]
 
 
-def test_grid_join_equals_inline_predicate(spark):
+def test_cells_equal_the_bounds(spark):
     pts = spark.range(0, 5000).select(
         F.col("id"), (F.rand(1) * 140 - 70).alias("latitude"), (F.rand(2) * 360 - 180).alias("longitude"))
-    zones = zones_frame(spark, SHIPPED_ZONES + [("wide", -10.0, -20.0, 10.0, 40.0)])
-    a = sorted(r["id"] for r in in_any_zone(pts, zones).collect())
-    b = sorted(r["id"] for r in in_any_zone(pts, zones, inline_limit=0).collect())
-    assert a == b and len(a) > 0
-
+    rects = [z[-4:] for z in SHIPPED_ZONES] + [(-10.0, -20.0, 10.0, 40.0), (-60.0, -170.0, -50.0, -169.5)]
+    zones = zones_frame(spark, SHIPPED_ZONES + [("wide", -10.0, -20.0, 10.0, 40.0), ("thin", -60.0, -170.0, -50.0, -169.5)])
+    want = sorted(r["id"] for r in pts.collect()
+                  if any(min(a, c) <= r["latitude"] <= max(a, c) and min(b, d) <= r["longitude"] <= max(b, d) for a, b, c, d in rects))
+    for fine_cells in (64, 0, 10**6):
+        got = sorted(r["id"] for r in in_any_zone(pts, zones, fine_cells=fine_cells).collect())
+        assert got == want and got
+
+
+def test_wild_coordinates_are_in_no_zone(spark):
+    pts = spark.createDataFrame([(1, 25.9, 56.5), (2, float("nan"), 56.5), (3, 1e12, 56.5), (4, None, 56.5), (5, 25.9, -1e300), (6, float("inf"), float("nan"))],
+                                "id int, latitude double, longitude double")
+    for n in (1, 300):
+        zones = zones_frame(spark, [("z%d" % i, 25.0, 56.0, 26.0, 57.0 + i / 1000) for i in range(n)] + [("all", -90.0, -180.0, 90.0, 180.0)])
+        assert [r["id"] for r in in_any_zone(pts, zones).collect()] == [1]
