@@ -78,7 +78,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def spread(df):
     """Deal a frame out over the shuffle partitions before CPU-heavy per-row
     work (one file may be one row group, and so one task)."""
-    return df.repartition()
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def materialize(df, name: str = "stage"):
