@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from harborline.llm.best_fit_packing import op1_best_fit_packing
-from harborline.llm import decontamination, entropy_secrets
+from harborline.llm import decontamination, entropy_secrets, substring_dedup
 from harborline.llm.decontamination import op10_decontamination
 from harborline.llm.disclosure import op4_disclosure
 from harborline.llm.entropy_secrets import op5_entropy_secrets
@@ -33,5 +33,6 @@ ORACLES: dict[str, str] = {
     "op5_entropy_secrets": entropy_secrets.oracle_sql(),
     "op7_jaccard_join": op7_jaccard_join,
     "op8_substring_dedup": op8_substring_dedup,
+    "op8_substring_dedup": substring_dedup.oracle_sql(),
     "op10_decontamination": decontamination.oracle_sql(),
 }

@@ -192,3 +192,16 @@ def longest_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _dropped(documents(spark, sf_dir), LENGTH, "kept_sha256 string", pa.string(), lambda words: hashlib.sha256(b" ".join(words)).hexdigest())
+
+
+def oracle_sql() -> str:
+    """DuckDB text: every window of every document, and where it first starts."""
+    return f"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+    g AS (SELECT r, doc_id, i, array_to_string(w[i:i + {LENGTH - 1}], ' ') AS g FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - {LENGTH - 2})) AS i FROM d)),
+    f AS (SELECT g, min(doc_id) AS first FROM g GROUP BY g),
+    c AS (SELECT DISTINCT r, unnest(range(i, i + {LENGTH})) AS i FROM g JOIN f USING (g) WHERE doc_id > first),
+    k AS (SELECT r, list(i) AS gone FROM c GROUP BY r)
+    SELECT doc_id, len(w) AS n_words, coalesce(len(gone), 0) AS n_removed,
+      sha256(array_to_string(CASE WHEN gone IS NULL THEN w ELSE list_transform(list_filter(list_zip(w, range(1, len(w) + 1)), lambda z: NOT list_contains(gone, z[2])), lambda z: z[1]) END, ' ')) AS kept_sha256
+    FROM d LEFT JOIN k USING (r)"""
