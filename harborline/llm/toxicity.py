@@ -27,7 +27,7 @@ from harborline.llm.common import documents, table, text_of
 from harborline.llm.imatch import terms
 
 #: Labelled documents to fit on, at most; so the sample can be broadcast.
-SAMPLE = 20_000
+SAMPLE = 10_000
 GRADES = 3
 #: Expected severity from which a document is rejected.
 REJECT = 0.5
@@ -84,8 +84,12 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, n_grades: int = GRADES) -> O
     upto = np.cumsum(share)[:-1]
     start = np.log(upto / (1 - upto))
     first, gaps = start[0], np.log(np.maximum(np.diff(start), 1e-2))
-    known, place = np.unique(np.concatenate(rows), return_inverse=True)
-    owner = np.repeat(np.arange(n), [len(r) for r in rows])
+    # only what is in several rows can tell
+    known, often = np.unique(np.concatenate(rows), return_counts=True)
+    known = known[often >= 3]
+    found = [_places(known, r) for r in rows]
+    place = np.concatenate(found).astype(np.int64)
+    owner = np.repeat(np.arange(n, dtype=np.int32), [len(f) for f in found])
     telling = _telling(place, owner, grades > 0, len(known))
     known, kept = known[telling], telling[place]
     place, owner = (np.cumsum(telling) - 1)[place[kept]], owner[kept]
@@ -95,6 +99,14 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, n_grades: int = GRADES) -> O
     return Ordinal(known, w, _ascending(heads))
 
 
+def _places(known: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Where ``own`` stand in ``known``, both sorted, without those that don't."""
+    if not len(known):
+        return np.empty(0, np.int64)
+    at = np.minimum(np.searchsorted(known, own), len(known) - 1)
+    return at[known[at] == own]
+
+
 def _telling(place: np.ndarray, owner: np.ndarray, toxic: np.ndarray, width: int) -> np.ndarray:
     """Features whose rows are toxic more or less often than others, by a
     chi-squared test at ``LEVEL`` over all features together."""
@@ -149,11 +161,12 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ordinal:
     def extract(batches):
         for batch in batches:
             rows = [features(t) for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array([r.view(np.int64) for r in rows], pa.list_(pa.int64())), batch.column(1)], names=["terms", "grade"])
+            yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in rows], pa.binary()), batch.column(1)], names=["terms", "grade"])
 
     texts = docs.select("doc_id", text_of(docs["text"]).alias("text")).join(F.broadcast(drawn), "doc_id")
-    got = texts.select("text", "grade").mapInArrow(extract, "terms array<long>, grade int").toPandas()
-    return fit([np.asarray(t, np.int64).view(np.uint64) for t in got["terms"]], got["grade"].to_numpy())
+    # bounded by the sample; the terms of a text come as the bytes of their hashes
+    got = texts.select("text", "grade").mapInArrow(extract, "terms binary, grade int").toArrow()
+    return fit([np.frombuffer(t, np.uint64) for t in got["terms"].to_pylist()], got["grade"].to_numpy())
 
 
 def judged(spark: SparkSession, model: Ordinal, text: Column) -> Column:
