@@ -13,8 +13,7 @@ PY_WHITESPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
-# Commit author and message format of a table load.
-COMMIT_AUTHOR = "AIS ETL Pipeline"
+# Fixed value: message format of a table load.
 COMMIT_FORMAT = "Upsert %d rows into %s (Range: %s to %s)"
 
 

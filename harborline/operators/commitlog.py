@@ -1,35 +1,51 @@
-"""Commit log of table loads: one row per load, appended after the data write.
+"""Commit log of table loads: one row per load, and what makes it visible.
 
-author, message `Upsert {n} rows into {table} (Range: {min} to {max})`,
-table, row count and date range of the loaded set, time, snapshot.
+A load writes its data to a folder of its own, then appends its row: author,
+message `Upsert {n} rows into {table} (Range: {min} to {max})`, table, row
+count and date range of the loaded set, time, `snapshot` (the folder) and
+`months` (those that the folder replaces; null for a whole table). Readers take
+from the log which folders count, so a load that stopped before its row left
+nothing to be seen, and the row is one file that appears at once.
+
+Snapshots sort by the time they were written, whatever `committed_at` the
+caller gives; one writer at a time is assumed for a table.
 """
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
-from harborline.functions.text import COMMIT_AUTHOR, commit_message
+from harborline.functions.text import commit_message
 from harborline.schemas import COMMIT_LOG
 
 
-def summary(source: DataFrame, table: str, date_col: str = "event_date") -> DataFrame:
+def summary(source: DataFrame, table: str, author: str, date_col: str = "event_date") -> DataFrame:
     """Row count and date range of a loaded set, in one aggregation pass."""
     agg = source.agg(F.count(F.lit(1)).alias("row_count"),
                      F.min(date_col).alias("min_date"),
                      F.max(date_col).alias("max_date"))
     return agg.select(
-        F.lit(COMMIT_AUTHOR).alias("author"),
+        F.lit(author).alias("author"),
         commit_message(table, F.col("row_count"), F.col("min_date"), F.col("max_date")).alias("message"),
         F.lit(table).alias("table"), "row_count", "min_date", "max_date")
 
 
+def new_snapshot() -> str:
+    return _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
+
+
 def append(log_path: str, summary_df: DataFrame, committed_at: Column | None = None,
-           snapshot: str | None = None) -> None:
+           snapshot: str | None = None, months: list | None = None) -> None:
     committed_at = F.current_timestamp() if committed_at is None else committed_at
+    listed = F.lit(None) if months is None else F.array(*[F.lit(m) for m in months])
     row = summary_df.select(*[c for c in summary_df.columns],
                             committed_at.cast("timestamp").alias("committed_at"),
-                            F.lit(snapshot).cast("string").alias("snapshot"))
+                            F.lit(snapshot).cast("string").alias("snapshot"),
+                            listed.cast("array<date>").alias("months"))
     row.select(*[f.name for f in COMMIT_LOG.fields]).coalesce(1) \
         .write.mode("append").parquet(log_path)
 
@@ -38,7 +54,26 @@ def read(spark: SparkSession, log_path: str) -> DataFrame:
     return spark.read.schema(COMMIT_LOG).parquet(log_path)
 
 
+def _committed(spark: SparkSession, log_path: str, table: str) -> DataFrame | None:
+    try:
+        return read(spark, log_path).where((F.col("table") == table) & F.col("snapshot").isNotNull())
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None  # nothing has been committed yet
+
+
 def latest_snapshot(spark: SparkSession, log_path: str, table: str) -> str | None:
-    row = (read(spark, log_path).where((F.col("table") == table) & F.col("snapshot").isNotNull())
-           .agg(F.max_by("snapshot", "committed_at").alias("s")).first())
-    return None if row is None else row["s"]
+    """The newest committed folder of a whole-table load."""
+    rows = _committed(spark, log_path, table)
+    return None if rows is None else rows.agg(F.max("snapshot").alias("s")).first()["s"]
+
+
+def current_months(spark: SparkSession, log_path: str, table: str) -> dict:
+    """{month: the newest committed folder that holds it}; one entry for each
+    month that the table has."""
+    rows = _committed(spark, log_path, table)
+    if rows is None:
+        return {}
+    months = rows.select("snapshot", F.explode("months").alias("month")).groupBy("month").agg(F.max("snapshot").alias("s"))
+    return {r["month"]: r["s"] for r in months.collect()}

@@ -150,7 +150,7 @@ def backfill_job(spark: SparkSession, sf: str) -> DataFrame:
     early, late = _backfill_feeds(ev)
     jobs.backfill_ports(spark, [early, late], root, "2024-01-10", "2024-01-25",
                         as_of=fx.ts_ntz(fx.AS_OF))
-    stored = tables.read_stats(spark, f"{root}/ports", schema=PORTS).drop(tables.MONTH)
+    stored = jobs.read_stats(spark, root, "ports").drop(tables.MONTH)
     return (stored.withColumn("created_at", F.col("created_at").cast("timestamp_ntz"))
             .withColumn("updated_at", F.col("updated_at").cast("timestamp_ntz")))
 
@@ -292,36 +292,89 @@ def stat_order(spark: SparkSession, sf: str) -> DataFrame:
         .orderBy(F.asc("portid"), F.desc("event_date"))
 
 
-# ----------------------------------------------------------- tables and log
-_WRITTEN: dict = {}
+def page_corrupt(spark: SparkSession, sf: str) -> DataFrame:
+    """Page 2 of each day is cut off in the page log: kept are the pages before."""
+    path = fx.landed_pages_path(spark, sf, PAGE_SIZE, False, cut_page=2)
+    return _stat_columns(pg.stat_rows(pg.read_page_log(spark, path, "daily_chokepoint"), "keep",
+                                      meta=pg.read_page_log_meta(spark, path)))
+
+
+def stat_scan_mixed(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts that arrive as numbers, text, floats or null."""
+    path = fx.landed_pages_path(spark, sf, PAGE_SIZE, False, mixed=True)
+    return _stat_columns(pg.stat_rows(pg.read_page_log(spark, path, "daily_chokepoint")))
+
+
+def chokepoint_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """The chokepoint scan from stored pages, by names and range."""
+    path = fx.landed_pages_path(spark, sf, PAGE_SIZE, False)
+    return _stat_columns(pg.stat_scan(pg.read_page_log(spark, path, "daily_chokepoint"), "daily_chokepoint",
+                                      ids=["Chokepoint 3", "Chokepoint 17", "Chokepoint 42"],
+                                      start="2024-01-05", end="2024-01-20", now=fx.NOW))
+
+
+def chokepoint_job(spark: SparkSession, sf: str) -> DataFrame:
+    """The chokepoint load from stored pages into a new table, then read back
+    as committed. (The fixture has a record for each event, so keys repeat and
+    all rows of the range are inserted.)"""
+    from harborline.plans import jobs
+
+    path, root = fx.landed_pages_path(spark, sf, PAGE_SIZE, False), scratch_path(spark, "chokepoint_job")
+    jobs.upsert_chokepoints(spark, pg.read_page_log(spark, path, "daily_chokepoint"), root, "2024-01-05", "2024-01-20",
+                            now=fx.NOW, as_of=fx.ts_ntz(fx.AS_OF), meta=pg.read_page_log_meta(spark, path))
+    stored = jobs.read_stats(spark, root, "chokepoints").drop(tables.MONTH)
+    return (stored.withColumn("created_at", F.col("created_at").cast("timestamp_ntz"))
+            .withColumn("updated_at", F.col("updated_at").cast("timestamp_ntz")))
+
+
+def page_one(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows 1000 to 1099 of the port statistics in order."""
+    s = _port_stats(spark, sf).select("portid", "event_date")
+    return paging.page(s, [F.asc("portid"), F.desc("event_date")], 1000, 100)
+
+
+def upsert_hot_target(spark: SparkSession, sf: str) -> DataFrame:
+    """A target that holds keys several times (a row for each order, as an
+    earlier load inserted them) and equal rows without a key, on both sides."""
+    o = fx.read(spark, sf, "orders")
+    day, hidden = F.to_date("o_orderdate"), F.col("o_custkey") % 10 == 0
+    rows = o.select(
+        F.when(~hidden, F.col("o_custkey").cast("string")).alias("portid"), F.lit("C").alias("portname"),
+        F.lit(1).alias("n_tanker"), F.lit(0).alias("n_container"), F.lit(0).alias("n_dry_bulk"), F.lit(1).alias("n_total"),
+        F.when(hidden, F.lit(0)).otherwise(F.year("o_orderdate")).cast("bigint").alias("capacity"),
+        F.when(hidden, F.lit("1995-01-01").cast("date")).otherwise(F.trunc(day, "year")).alias("event_date"))
+    target = fx.with_audit(strict(rows.where(F.col("event_date") < F.lit("1996-01-01").cast("date")), CHOKEPOINTS, optional=UNUSED))
+    source = rows.where("portid IS NOT NULL").dropDuplicates(["portid", "event_date"]).withColumn(
+        "capacity", F.col("capacity") + F.col("portid").cast("bigint") % 2)
+    source = source.unionByName(rows.where("portid IS NULL"))
+    return merge.upsert(target, strict(source, CHOKEPOINTS, optional=UNUSED), merge.SPECS["chokepoints"], fx.ts_ntz(fx.AS_OF))
 
 
+# ----------------------------------------------------------- tables and log
 def stats_read(spark: SparkSession, sf: str) -> DataFrame:
     """Write month-partitioned statistics, read 1995-03-15..1995-05-10 back
     (only three month directories are listed and scanned)."""
     return tables.read_stats(spark, _stats_table(spark, sf), "1995-03-15", "1995-05-10").drop(tables.MONTH)
 
 
-def _stats_table(spark, sf) -> str:
-    key = ("stats_read", spark.sparkContext.applicationId, sf)
-    if key not in _WRITTEN:  # the table is written once per session and input folder
-        path = scratch_path(spark, "stats_read")
-        tables.write_months(fx.with_audit(_order_stats(spark, sf)), path)
-        _WRITTEN[key] = path
-    return _WRITTEN[key]
+def _stats_table(spark, sf, stamped: bool = False) -> str:
+    path = scratch_path(spark, "stats_read")
+    rows = fx.with_audit(_order_stats(spark, sf))
+    if stamped:  # rows of many loads
+        rows = rows.withColumn("updated_at", F.expr("updated_at + make_dt_interval(0, 0, 0, capacity % 86400)"))
+    tables.write_months(rows, path)
+    return path
 
 
 def sql_latest(spark: SparkSession, sf: str) -> DataFrame:
     """Ad-hoc SQL over the stored table through a registered view: the five
-    most recently updated rows of one month range (top-k is the feature)."""
-    root, folder = _stats_table(spark, sf).rsplit("/", 1)
+    most recently updated rows (top-k is the feature)."""
+    root, folder = _stats_table(spark, sf, stamped=True).rsplit("/", 1)
     view = f"stats_{abs(hash((spark.sparkContext.applicationId, sf))) % 10**8}"
     tables.register_views(spark, root, {view: (folder, CHOKEPOINTS_LIKE, T.TimestampNTZType())})
     return spark.sql(f"""
         SELECT portid, event_date, n_total, updated_at
         FROM {view}
-        WHERE event_month BETWEEN DATE'1996-01-01' AND DATE'1996-12-01'
-          AND event_date BETWEEN DATE'1996-01-01' AND DATE'1996-12-31'
         ORDER BY updated_at DESC, n_total DESC, portid ASC, event_date DESC
         LIMIT 5""")
 
@@ -333,10 +386,9 @@ def latest_updates(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def commit_message(spark: SparkSession, sf: str) -> DataFrame:
-    _, source = _port_pair(spark, sf)
-    from harborline.plans.jobs import TABLES
+    from harborline.plans.jobs import AUTHOR, TABLES
 
-    return commitlog.summary(source, TABLES["ports"])
+    return commitlog.summary(_port_stats(spark, sf), TABLES["ports"], AUTHOR)
 
 
 # ------------------------------------------------------------------ zones/AIS
@@ -352,6 +404,14 @@ def zone_filter_grid(spark: SparkSession, sf: str) -> DataFrame:
     return in_any_zone(pts, zones_frame(spark), fine_cells=0)
 
 
+def zone_wild(spark: SparkSession, sf: str) -> DataFrame:
+    """The match with latitudes that are null, NaN or wild, which lie in no zone."""
+    pts = fx.zone_points(_events(spark, sf))
+    k = F.col("event_id") % 97
+    wild = (F.when(k == 0, F.lit(None)).when(k == 1, F.lit(float("nan"))).when(k == 2, F.lit(1e12)).otherwise(F.col("latitude")))
+    return in_any_zone(pts.select("event_id", wild.cast("double").alias("latitude"), "longitude"), zones_frame(spark))
+
+
 def _parsed(spark, sf):
     return M.parse(fx.landed_messages(spark, sf))
 
@@ -381,6 +441,28 @@ def ais_summary(spark: SparkSession, sf: str) -> DataFrame:
     return M.summary(M.within_duration(_in_zone(spark, sf), STREAM_START, STREAM_SECONDS))
 
 
+def _odd(spark, sf):
+    return M.parse(fx.odd_messages(_events(spark, sf)))
+
+
+def ais_summary_odd(spark: SparkSession, sf: str) -> DataFrame:
+    """Totals of a feed with ids and latitudes as text and lines cut off."""
+    msgs = in_any_zone(M.valid_ship(_odd(spark, sf)), zones_frame(spark))
+    return M.summary(M.within_duration(msgs, STREAM_START, STREAM_SECONDS))
+
+
+def ais_bad_lines(spark: SparkSession, sf: str) -> DataFrame:
+    return M.bad_lines(_odd(spark, sf))
+
+
+def traffic_job(spark: SparkSession, sf: str) -> DataFrame:
+    """The traffic job over everything landed."""
+    from harborline.plans import jobs
+
+    return jobs.traffic_summary(spark, fx.landed_messages_path(spark, sf), zones_frame(spark),
+                                scratch_path(spark, "traffic_job"), STREAM_SECONDS, STREAM_START)
+
+
 def ais_summary_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Same answer as ais_summary, computed by a Structured Streaming run over
     the landing files (several micro-batches, append-only message sink)."""
@@ -405,6 +487,16 @@ QUERIES = {
     "project_master": project_master,
     "master_scan": master_scan,
     "epoch_to_date": epoch_to_date,
+    "page_corrupt": page_corrupt,
+    "stat_scan_mixed": stat_scan_mixed,
+    "chokepoint_scan": chokepoint_scan,
+    "chokepoint_job": chokepoint_job,
+    "page_one": page_one,
+    "upsert_hot_target": upsert_hot_target,
+    "zone_wild": zone_wild,
+    "ais_summary_odd": ais_summary_odd,
+    "ais_bad_lines": ais_bad_lines,
+    "traffic_job": traffic_job,
     "month_partition": month_partition,
     "filter_range": filter_range,
     "filter_since": filter_since,

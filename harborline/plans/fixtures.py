@@ -208,9 +208,10 @@ def master_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 # pages of the statistics service
 # ---------------------------------------------------------------------------
-def page_requests(rows: DataFrame, page_size: int, inject_stops: bool) -> DataFrame:
+def page_requests(rows: DataFrame, page_size: int, inject_stops: bool, cut_page: int | None = None) -> DataFrame:
     """Group numbered attribute rows (`request`, `rn`, `attributes` struct) into
-    response pages as JSON text."""
+    response pages as JSON text; `cut_page`: the text of that page of each
+    request ends in the middle."""
     pg = (rows.withColumn("page", F.floor(F.col("rn") / page_size).cast("int"))
           .groupBy("request", "page")
           .agg(F.collect_list("attributes").alias("attrs"),
@@ -228,10 +229,20 @@ def page_requests(rows: DataFrame, page_size: int, inject_stops: bool) -> DataFr
     text = F.to_json(body)
     if inject_stops:
         text = F.when((dom % 7 == 3) & (F.col("page") == 2), err).otherwise(text)
+    if cut_page is not None:
+        text = F.when(F.col("page") == cut_page, F.expr("left(body, CAST(length(body) * 2 / 3 AS INT))")).otherwise(F.col("body"))
+        return pg.withColumn("body", F.to_json(body)).select("request", (F.col("page") * page_size).alias("offset"), text.alias("body"))
     return pg.select("request", (F.col("page") * page_size).alias("offset"),
                      text.alias("body"))
 
 
+def mixed_counts(rows: DataFrame) -> DataFrame:
+    """The records with `n_total` as the service may send it: 1, "1", 1.0 or
+    null, by the record's place in its request."""
+    form = F.element_at(F.array(F.lit("1"), F.lit('"1"'), F.lit("1.0"), F.lit("null")), (F.col("rn") % 4 + 1).cast("int"))
+    return rows.withColumn("attributes", F.col("attributes").withField("n_total", F.parse_json(form)))
+
+
 def event_attributes(events: DataFrame) -> DataFrame:
     """One raw statistics record per event (the finest grain the service could
     publish): portid, portname, date epoch-ms, counts of one vessel, capacity."""
@@ -281,7 +292,7 @@ def zone_points(events: DataFrame) -> DataFrame:
             .withColumn("longitude", (z["lon1"] + z["lon2"]) / 2))
 
 
-def messages(events: DataFrame) -> DataFrame:
+def messages(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Vessel messages as the feed delivers them: (received, value JSON text).
 
     Names are padded with blanks, tabs and newlines; every 10th vessel sends a
@@ -315,10 +326,18 @@ def messages(events: DataFrame) -> DataFrame:
              .when(dest_kind == 0, msg(static_set))
              .when(dest_kind == 1, msg(static_null))
              .otherwise(msg(static_absent)))
-    return p.select(F.col("ts").alias("received"), value.alias("value"))
+    return p.select(F.col("ts").alias("received"), value.alias("value"), *(F.col(c) for c in keep))
 
 
-_LANDED: dict[tuple[str, str], str] = {}
+def odd_messages(events: DataFrame) -> DataFrame:
+    """The feed with odd lines: ids as text (event_id % 5 = 1), latitudes as
+    text (event_id % 7 = 2), and lines cut off (event_id % 50 = 0)."""
+    value = F.col("value")
+    e = F.col("event_id")
+    value = F.when((e % 5 == 1) & (F.col("user_id") != 0), F.regexp_replace(value, '"MMSI":([0-9]+)', '"MMSI":"$1"')).otherwise(value)
+    value = F.when(e % 7 == 2, F.regexp_replace(value, '"latitude":([^,]+),', '"latitude":"$1",')).otherwise(value)
+    value = F.when(e % 50 == 0, F.substring(value, 1, 30)).otherwise(value)
+    return messages(events, keep=("event_id", "user_id")).select("received", value.alias("value"))
 
 
 def landed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -328,44 +347,37 @@ def landed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def landed_messages_path(spark: SparkSession, sf_dir: str) -> str:
     """The message feed as landing files in the shared scratch folder (what a
-    collector writes before the stream reads it), written once per session and
-    source folder, then read back like any landing table."""
+    collector writes before the stream reads it), then read back like any
+    landing table."""
     from harborline.session import scratch_path, spread
 
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _LANDED:
-        path = scratch_path(spark, "ais_landing")
-        messages(spread(read(spark, sf_dir, "events"))).write.mode("overwrite").parquet(path)
-        _LANDED[key] = path
-    return _LANDED[key]
+    path = scratch_path(spark, "ais_landing")
+    messages(spread(read(spark, sf_dir, "events"))).write.parquet(path)
+    return path
 
 
-def landed_pages_path(spark: SparkSession, sf_dir: str, page_size: int, inject_stops: bool) -> str:
+def landed_pages_path(spark: SparkSession, sf_dir: str, page_size: int, inject_stops: bool,
+                      cut_page: int | None = None, mixed: bool = False) -> str:
     """Service responses stored as a page log (JSON lines with a request/offset
-    envelope, as a downloader appends them), built from `events` once per
-    session and read back with the page-log reader."""
+    envelope, as a downloader appends them), built from `events` and read back
+    with the page-log reader."""
     from harborline.session import scratch_path, spread
 
-    key = (spark.sparkContext.applicationId, sf_dir, "pages", page_size, inject_stops)
-    if key not in _LANDED:
-        from harborline.sources.pages import page_log_lines
+    from harborline.sources.pages import page_log_lines
 
-        path = scratch_path(spark, "pages")
-        rows = event_attributes(spread(read(spark, sf_dir, "events")))
-        page_log_lines(page_requests(rows, page_size, inject_stops)).write.text(path)
-        _LANDED[key] = path
-    return _LANDED[key]
+    path = scratch_path(spark, "pages")
+    rows = event_attributes(spread(read(spark, sf_dir, "events")))
+    rows = mixed_counts(rows) if mixed else rows
+    page_log_lines(page_requests(rows, page_size, inject_stops, cut_page)).write.text(path)
+    return path
 
 
 def landed_master_log_path(spark: SparkSession, sf_dir: str, size: int) -> str:
-    """Master responses as a page log in the scratch folder (written once per
-    session), read back through the page-log reader with variant values."""
+    """Master responses as a page log in the scratch folder, read back through
+    the page-log reader with variant values."""
     from harborline.session import scratch_path
     from harborline.sources.pages import page_log_lines
 
-    key = (spark.sparkContext.applicationId, sf_dir, "master", size)
-    if key not in _LANDED:
-        path = scratch_path(spark, "master-pages")
-        page_log_lines(master_page_text(spark, sf_dir, size)).write.text(path)
-        _LANDED[key] = path
-    return _LANDED[key]
+    path = scratch_path(spark, "master-pages")
+    page_log_lines(master_page_text(spark, sf_dir, size)).write.text(path)
+    return path

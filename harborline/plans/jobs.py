@@ -4,13 +4,14 @@ Write path of a statistics load (one job, one commit-log row):
   0. the typed source rows are written once to the shared scratch folder
      (pages parsed once, however often the load reads the rows)
   1. months touched by the source (a short driver list, bounded by the window)
-  2. read only those month partitions of the table (partition pruning)
-  3. upsert -> written to the shared scratch folder (lineage cut, so a lost
-     executor re-reads those files, never files that the overwrite replaces)
-  4. overwrite only months holding an insert or update (dynamic partition
-     overwrite); months with nothing but keep/noop rows are not rewritten
-  5. append the commit-log row last; rerunning the same load after a crash
-     changes only what is still missing
+  2. read only the folders that the log names for those months
+  3. upsert -> written to the shared scratch folder (lineage cut)
+  4. months holding an insert or update are written to a folder of this load;
+     months with nothing but keep/noop rows are not rewritten
+  5. the commit-log row, which names the folder and its months, publishes the
+     load at once. A load that stops before it leaves the table as it was, and
+     running it again does all of it.
+Scratch folders are removed when the job ends.
 """
 
 from __future__ import annotations
@@ -20,20 +21,21 @@ import logging
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from harborline.functions.casts import lenient, strict, strict_columns
 from harborline.functions.dates import as_date, month_start
 from harborline.operators import commitlog, merge, predicates
 from harborline.schemas import DATASETS
-from harborline.session import materialize, scratch_root
+from harborline.session import Staging
 from harborline.sources import pages as pg
 from harborline.sources import tables
 from harborline.streaming import runner
 
 log = logging.getLogger(__name__)
 
-# Table names as written into commit messages.
+# Author of a load unless the caller names one, and table names as
+# written into commit messages.
+AUTHOR = "AIS ETL Pipeline"
 TABLES = {"chokepoints": "portwatch.chokepoints", "ports": "portwatch.ports",
           "chokepoints_master": "portwatch.chokepoints_master",
           "ports_master": "portwatch.ports_master"}
@@ -57,44 +59,60 @@ def _empty_table(spark: SparkSession, schema) -> DataFrame:
              .withColumn("updated_at", F.lit(None).cast("timestamp"))
 
 
-def _read_target(spark, path, months, schema) -> DataFrame:
-    try:
-        return tables.read_months(spark, path, months, schema).drop(tables.MONTH)
-    except AnalysisException:
-        return _empty_table(spark, schema)
+def read_stats(spark: SparkSession, root: str, kind: str, start=None, end=None) -> DataFrame:
+    """The `kind` table ("chokepoints"/"ports") as committed, rows of
+    [start, end] (either bound optional)."""
+    months = commitlog.current_months(spark, f"{root}/_commits", TABLES[kind])
+    lo, hi = (as_date(d).replace(day=1) if d else None for d in (start, end))
+    months = {m: load for m, load in months.items() if (lo is None or m >= lo) and (hi is None or m <= hi)}
+    rows = tables.read_loads(spark, _table_path(root, kind), months, _stats_schema(kind))
+    if start:
+        rows = rows.where(F.col("event_date") >= F.lit(as_date(start)))
+    if end:
+        rows = rows.where(F.col("event_date") <= F.lit(as_date(end)))
+    return rows
+
+
+def _stats_schema(kind: str):
+    return DATASETS["daily_chokepoint" if kind == "chokepoints" else "daily_port"].table
+
+
+def _counts(spark: SparkSession, merged: DataFrame) -> DataFrame:
+    """The action counts, taken now (four rows at most): what they are counted
+    from goes when the job ends."""
+    counts = merge.action_counts(merged)
+    return spark.createDataFrame(counts.collect(), counts.schema)
 
 
 def load_stats(spark: SparkSession, source: DataFrame, root: str, kind: str,
-               as_of=None, dry_run: bool = False) -> DataFrame | None:
+               as_of=None, dry_run: bool = False, author: str = AUTHOR) -> DataFrame | None:
     """Upsert typed statistics rows into the `kind` table ("chokepoints"/"ports").
 
     Returns the per-action counts (also for a dry run, which writes nothing);
     None when the source is empty (nothing written, nothing logged)."""
-    scratch_root(spark)
-    spec = merge.SPECS[kind]
-    schema = DATASETS["daily_chokepoint" if kind == "chokepoints" else "daily_port"].table
-    # rows without a date never reach a load (the date window drops them, as
-    # in the extracts); the typed source is used by the empty check, the month
-    # list, the upsert branches and the commit summary: parse the pages once,
-    # keep the rows in the shared scratch folder
-    source = materialize(source.where(F.col("event_date").isNotNull()), "load-source")
-    if source.isEmpty():
-        log.warning("no rows to load into %s", kind)
-        return None
-    path = _table_path(root, kind)
-    months = [r[0] for r in source.select(month_start("event_date").alias("m"))
-              .where(F.col("m").isNotNull()).distinct().collect()]
-    target = _read_target(spark, path, months, schema)
-    merged = merge.upsert(target, source, spec, _stamp(as_of))
-    if dry_run:
-        return merge.action_counts(merged)
-    merged = materialize(tables.with_month(merged), "load-merged")
-    changed = [r[0] for r in merged.where(F.col("action").isin("insert", "update"))
-               .select(tables.MONTH).distinct().collect()]
-    if changed:
-        tables.write_months(merged.where(F.col(tables.MONTH).isin(changed)).drop("action"), path)
-    commitlog.append(f"{root}/_commits", commitlog.summary(source, TABLES[kind]), _stamp(as_of))
-    return merge.action_counts(merged)
+    spec, log_path = merge.SPECS[kind], f"{root}/_commits"
+    with Staging(spark) as stage:
+        # rows without a date never reach a load (the date window drops them,
+        # as in the extracts)
+        source = stage(source.where(F.col("event_date").isNotNull()), "load-source")
+        if source.isEmpty():
+            log.warning("no rows to load into %s", kind)
+            return None
+        touched = {r[0] for r in source.select(month_start("event_date").alias("m")).distinct().collect()}
+        months = commitlog.current_months(spark, log_path, TABLES[kind])
+        target = tables.read_loads(spark, _table_path(root, kind), {m: v for m, v in months.items() if m in touched},
+                                   _stats_schema(kind)).drop(tables.MONTH)
+        merged = merge.upsert(target, source, spec, _stamp(as_of))
+        if dry_run:
+            return _counts(spark, merged)
+        merged = stage(tables.with_month(merged), "load-merged")
+        changed = [r[0] for r in merged.where(F.col("action").isin("insert", "update"))
+                   .select(tables.MONTH).distinct().collect()]
+        snapshot = commitlog.new_snapshot() if changed else None
+        if changed:
+            tables.write_load(merged.where(F.col(tables.MONTH).isin(changed)).drop("action"), _table_path(root, kind), snapshot)
+        commitlog.append(log_path, commitlog.summary(source, TABLES[kind], author), _stamp(as_of), snapshot, changed)
+        return _counts(spark, merged)
 
 
 def extract_chokepoints(pages: DataFrame, start, end, now=None,
@@ -135,37 +153,31 @@ def backfill_ports(spark, sources: list[DataFrame], root: str, start=None, end=N
 
 
 def load_master(spark, pages: DataFrame, root: str, table: str, as_of=None,
-                dry_run=False, null_key: str = "drop") -> DataFrame | None:
+                dry_run=False, null_key: str = "drop", author: str = AUTHOR) -> DataFrame | None:
     """Upsert master records into `table` (a snapshot table): every matched
     row is rewritten; the result becomes a new snapshot named in the log."""
-    spec = merge.SPECS["master"]
-    scratch_root(spark)
-    source = materialize(lenient(pg.master_rows(pages), DATASETS["ports_db"].table,
-                                 null_key=null_key), "master-source")
-    if source.isEmpty():
-        log.warning("no master rows for %s", table)
-        return None
-    log_path = f"{root}/_commits"
-    path = _table_path(root, table)
-    try:
+    spec, log_path, path = merge.SPECS["master"], f"{root}/_commits", _table_path(root, table)
+    with Staging(spark) as stage:
+        source = stage(lenient(pg.master_rows(pages), DATASETS["ports_db"].table, null_key=null_key), "master-source")
+        if source.isEmpty():
+            log.warning("no master rows for %s", table)
+            return None
         snap = commitlog.latest_snapshot(spark, log_path, TABLES[table])
-    except AnalysisException:
-        snap = None
-    target = (spark.read.parquet(f"{path}/snapshot={snap}") if snap
-              else _empty_table(spark, DATASETS["ports_db"].table))
-    merged = merge.upsert(target, source, spec, _stamp(as_of))
-    if dry_run:
-        return merge.action_counts(merged)
-    merged = materialize(merged, "master-merged")
-    snapshot = _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
-    tables.write_snapshot(merged.drop("action"), path, snapshot)
-    summary = source.agg(F.count(F.lit(1)).alias("row_count")).select(
-        F.lit(commitlog.COMMIT_AUTHOR).alias("author"),
-        F.format_string("Upsert %d rows into %s", F.col("row_count"), F.lit(TABLES[table])).alias("message"),
-        F.lit(TABLES[table]).alias("table"), "row_count",
-        F.lit(None).cast("date").alias("min_date"), F.lit(None).cast("date").alias("max_date"))
-    commitlog.append(log_path, summary, _stamp(as_of), snapshot)
-    return merge.action_counts(merged)
+        target = (spark.read.parquet(f"{path}/snapshot={snap}") if snap
+                  else _empty_table(spark, DATASETS["ports_db"].table))
+        merged = merge.upsert(target, source, spec, _stamp(as_of))
+        if dry_run:
+            return _counts(spark, merged)
+        merged = stage(merged, "master-merged")
+        snapshot = commitlog.new_snapshot()
+        tables.write_snapshot(merged.drop("action"), path, snapshot)
+        summary = source.agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(author).alias("author"),
+            F.format_string("Upsert %d rows into %s", F.col("row_count"), F.lit(TABLES[table])).alias("message"),
+            F.lit(TABLES[table]).alias("table"), "row_count",
+            F.lit(None).cast("date").alias("min_date"), F.lit(None).cast("date").alias("max_date"))
+        commitlog.append(log_path, summary, _stamp(as_of), snapshot)
+        return _counts(spark, merged)
 
 
 def load_masters(spark, chokepoint_pages: DataFrame, port_pages: DataFrame, root: str,
@@ -177,6 +189,16 @@ def load_masters(spark, chokepoint_pages: DataFrame, port_pages: DataFrame, root
             "ports_master": load_master(spark, port_pages, root, "ports_master", as_of, dry_run)}
 
 
+def register_views(spark, root: str, names: dict) -> list[str]:
+    """Committed tables as temporary views: view name -> "ports",
+    "chokepoints", "ports_master" or "chokepoints_master". `event_month` stays
+    visible in the statistics views."""
+    for view, table in names.items():
+        frame = read_master(spark, root, table) if table.endswith("_master") else read_stats(spark, root, table)
+        frame.createOrReplaceTempView(view)
+    return list(names)
+
+
 def read_master(spark, root: str, table: str) -> DataFrame:
     snap = commitlog.latest_snapshot(spark, f"{root}/_commits", TABLES[table])
     return spark.read.parquet(f"{_table_path(root, table)}/snapshot={snap}")

@@ -6,13 +6,96 @@ the intermediate shapes (pages, JSON messages) the Spark queries go through.
 
 from __future__ import annotations
 
-from harborline.operators.merge import SPECS
-from harborline.plans.jobs import TABLES
-from harborline.plans import fixtures as fx
-from harborline.sources.zones import SHIPPED_ZONES
+from typing import NamedTuple
+
+# Everything below is stated in full here, not taken from the library: keys,
+# triggers, update lists, names, stamps and zones of the loads under test.
+AS_OF, PRIOR_LOAD = '2024-02-01 00:00:00', '2024-01-21 00:00:00'
+PORTS_TABLE = 'portwatch.ports'
+
+
+class Spec(NamedTuple):
+    keys: tuple
+    columns: tuple
+    trigger: tuple | None
+    update_cols: tuple
+
+
+SPECS = {
+    "chokepoints": Spec(
+        keys=('portid', 'event_date'),
+        columns=('portid', 'portname', 'n_tanker', 'n_container', 'n_dry_bulk', 'n_general_cargo', 'n_roro',
+            'n_cargo', 'n_total', 'capacity', 'event_date',),
+        trigger=('n_total', 'capacity',),
+        update_cols=('n_tanker', 'n_container', 'n_dry_bulk', 'n_general_cargo', 'n_roro', 'n_cargo', 'n_total',
+            'capacity',),
+    ),
+    "ports": Spec(
+        keys=('portid', 'event_date'),
+        columns=('portid', 'portname', 'country', 'iso3', 'portcalls_tanker', 'portcalls_container',
+            'portcalls_dry_bulk', 'portcalls_general_cargo', 'portcalls_roro',
+            'portcalls_cargo', 'portcalls', 'import_tanker', 'import_container',
+            'import_dry_bulk', 'import_general_cargo', 'import_roro', 'import_cargo',
+            'import', 'export_tanker', 'export_container', 'export_dry_bulk',
+            'export_general_cargo', 'export_roro', 'export_cargo', 'export', 'event_date',),
+        trigger=('portcalls', 'import', 'export',),
+        update_cols=('portcalls_tanker', 'portcalls_container', 'portcalls_dry_bulk', 'portcalls_general_cargo',
+            'portcalls_roro', 'portcalls_cargo', 'portcalls', 'import_tanker',
+            'import_container', 'import_dry_bulk', 'import_general_cargo', 'import_roro',
+            'import_cargo', 'import', 'export_tanker', 'export_container',
+            'export_dry_bulk', 'export_general_cargo', 'export_roro', 'export_cargo',
+            'export',),
+    ),
+    "master": Spec(
+        keys=('portid',),
+        columns=('portid', 'portname', 'country', 'iso3', 'continent', 'fullname', 'lat', 'lon',
+            'vessel_count_total', 'vessel_count_container', 'vessel_count_dry_bulk',
+            'vessel_count_general_cargo', 'vessel_count_roro', 'vessel_count_tanker',
+            'industry_top1', 'industry_top2', 'industry_top3',
+            'share_country_maritime_import', 'share_country_maritime_export', 'locode',
+            'pageid', 'countrynoaccents',),
+        trigger=None,
+        update_cols=('portname', 'country', 'iso3', 'continent', 'fullname', 'lat', 'lon', 'vessel_count_total',
+            'vessel_count_container', 'vessel_count_dry_bulk', 'vessel_count_general_cargo',
+            'vessel_count_roro', 'vessel_count_tanker', 'industry_top1', 'industry_top2',
+            'industry_top3', 'share_country_maritime_import',
+            'share_country_maritime_export', 'locode', 'pageid', 'countrynoaccents',),
+    ),
+}
+
+# name, lat1, lon1, lat2, lon2
+SHIPPED_ZONES = [
+    ('Suez Canal', 30.0933, 31.9369, 31.0933, 32.9369),
+    ('Panama Canal', 8.90949, -79.97498, 9.43281, -79.45587),
+    ('Bosporus Strait', 40.98508, 28.95721, 41.23961, 29.16733),
+    ('Bab el-Mandeb Strait', 12.4473, 43.20374, 12.86536, 43.6322),
+    ('Malacca Strait', 2.74553, 99.00879, 5.02528, 101.90918),
+    ('Strait of Hormuz', 25.7969, 56.3598, 26.7969, 57.3598),
+    ('Cape of Good Hope', -35.90685, 17.66602, -33.44978, 27.00439),
+    ('Gibraltar Strait', 35.65283, -5.92712, 36.19553, -5.32837),
+    ('Dover Strait', 50.82676, 1.27441, 51.17934, 1.66992),
+    ('Oresund Strait', 55.60318, 12.50244, 56.0078, 13.1012),
+    ('Taiwan Strait', 23.09994, 116.71875, 27.37177, 121.37695),
+    ('Korea Strait', 33.25706, 128.37524, 35.24562, 130.61646),
+    ('Tsugaru Strait', 41.17038, 140.18005, 41.81636, 140.89417),
+    ('Luzon Strait', 19.9889, 120.8523, 20.9889, 121.8523),
+    ('Lombok Strait', -8.51584, 115.60913, -8.32021, 116.10901),
+    ('Ombai Strait', -8.62447, 125.08484, -8.27401, 125.56274),
+    ('Bohai Strait', 37.77506, 120.56946, 38.78835, 121.20667),
+    ('Torres Strait', -10.96816, 142.21802, -9.19429, 142.66846),
+    ('Sunda Strait', -6.07228, 105.72693, -5.83462, 105.96039),
+    ('Makassar Strait', 0.0769, 118.78418, 1.02167, 119.90479),
+    ('Magellan Strait', -52.53296, -69.63135, -52.44598, -69.5105),
+    ('Yucatan Channel', 21.08963, -86.92383, 22.41103, -83.93555),
+    ('Windward Passage', 19.68397, -74.1975, 20.2725, -73.31177),
+    ('Mona Passage', 18.0832, -68.44482, 18.65665, -67.00562),
+    ('Balabac Strait', 6.92643, 116.69128, 8.3963, 117.30103),
+    ('Bering Strait', 65.52207, -169.99707, 66.16051, -167.76123),
+    ('Mindoro Strait', 12.09304, 120.17944, 12.80109, 120.91553),
+    ('Kerch Strait', 45.08904, 36.38123, 45.47939, 36.8866),
+]
 
 KINDS = ["tanker", "container", "dry_bulk", "general_cargo", "roro", "cargo"]
-PORTS_TABLE = TABLES["ports"]
 TYPE_OF = {"tanker": "view", "container": "click", "dry_bulk": "signup",
            "general_cargo": "purchase", "roro": "error"}
 
@@ -71,7 +154,7 @@ def port_stats(where: str = "TRUE", day: str = UTC_DAY, drop=()) -> str:
 FROM events WHERE {where} GROUP BY user_id, {day}"""
 
 
-def with_audit(sql: str, stamp: str = fx.PRIOR_LOAD) -> str:
+def with_audit(sql: str, stamp: str = PRIOR_LOAD) -> str:
     return (f"SELECT *, TIMESTAMP '{stamp}' AS created_at, TIMESTAMP '{stamp}' AS updated_at "
             f"FROM ({sql})")
 
@@ -109,7 +192,7 @@ def master(where: str = "TRUE") -> str:
     return f"SELECT {cols} FROM ({MASTER_SQL}) WHERE {where}"
 
 
-def merge_sql(spec, target: str, source: str, as_of: str = fx.AS_OF) -> str:
+def merge_sql(spec, target: str, source: str, as_of: str = AS_OF) -> str:
     """MERGE result (with action) as a full outer join, mirroring the spec."""
     cols = list(spec.columns)
     stamp = f"TIMESTAMP '{as_of}'"
@@ -215,8 +298,8 @@ AIS_SUMMARY = (f"SELECT count(*) AS total_messages, count(DISTINCT mmsi) AS uniq
 
 DUP_COLS = ("portid, portname, n_tanker, n_container, n_dry_bulk, CAST(NULL AS INTEGER) AS n_general_cargo, "
             "CAST(NULL AS INTEGER) AS n_roro, CAST(NULL AS INTEGER) AS n_cargo, n_total, capacity, event_date")
-UPSERT_DUPLICATES = f"""SELECT {DUP_COLS}, TIMESTAMP '{fx.PRIOR_LOAD}' AS created_at,
-  TIMESTAMP '{fx.PRIOR_LOAD}' AS updated_at, 'keep' AS action
+UPSERT_DUPLICATES = f"""SELECT {DUP_COLS}, TIMESTAMP '{PRIOR_LOAD}' AS created_at,
+  TIMESTAMP '{PRIOR_LOAD}' AS updated_at, 'keep' AS action
 FROM ({ORDER_STATS}) WHERE event_date < DATE '1995-01-01'
 UNION ALL
 SELECT CAST(o_custkey AS VARCHAR) AS portid, 'Chokepoint ' || CAST(o_custkey AS VARCHAR) AS portname,
@@ -224,9 +307,20 @@ SELECT CAST(o_custkey AS VARCHAR) AS portid, 'Chokepoint ' || CAST(o_custkey AS
   CAST(o_orderstatus = 'P' AS INTEGER) AS n_dry_bulk, CAST(NULL AS INTEGER) AS n_general_cargo,
   CAST(NULL AS INTEGER) AS n_roro, CAST(NULL AS INTEGER) AS n_cargo, 1 AS n_total,
   CAST(round(o_totalprice * 100) AS BIGINT) AS capacity, CAST(o_orderdate AS DATE) AS event_date,
-  TIMESTAMP '{fx.AS_OF}' AS created_at, TIMESTAMP '{fx.AS_OF}' AS updated_at, 'insert' AS action
+  TIMESTAMP '{AS_OF}' AS created_at, TIMESTAMP '{AS_OF}' AS updated_at, 'insert' AS action
 FROM orders WHERE o_orderdate >= TIMESTAMP '1995-01-01 00:00:00'"""
 
+HOT_ROWS = """SELECT CASE WHEN o_custkey % 10 <> 0 THEN CAST(o_custkey AS VARCHAR) END AS portid, 'C' AS portname,
+  1 AS n_tanker, 0 AS n_container, 0 AS n_dry_bulk, CAST(NULL AS INTEGER) AS n_general_cargo,
+  CAST(NULL AS INTEGER) AS n_roro, CAST(NULL AS INTEGER) AS n_cargo, 1 AS n_total,
+  CAST(CASE WHEN o_custkey % 10 = 0 THEN 0 ELSE year(o_orderdate) END AS BIGINT) AS capacity,
+  CASE WHEN o_custkey % 10 = 0 THEN DATE '1995-01-01' ELSE CAST(date_trunc('year', o_orderdate) AS DATE) END AS event_date
+FROM orders"""
+UPSERT_HOT_TARGET = merge_sql(
+    SPECS["chokepoints"], with_audit(f"SELECT * FROM ({HOT_ROWS}) WHERE event_date < DATE '1996-01-01'"),
+    f"""SELECT * FROM ({HOT_ROWS}) WHERE portid IS NULL UNION ALL
+    SELECT DISTINCT * REPLACE (capacity + CAST(portid AS BIGINT) % 2 AS capacity) FROM ({HOT_ROWS}) WHERE portid IS NOT NULL""")
+
 ORACLES = {
     "upsert_chokepoints": UPSERT_CHOKEPOINTS,
     "upsert_ports": UPSERT_PORTS,
@@ -239,6 +333,20 @@ ORACLES = {
     "project_ports": port_stats(),
     "project_master": master(),
     "master_scan": master() + " ORDER BY portname, portid",
+    "page_corrupt": f"SELECT {STAT_COLS} FROM ({EVENT_PAGES}) WHERE page < 2",
+    "stat_scan_mixed": f"""SELECT {STAT_COLS.replace('n_total', 'CASE WHEN place % 4 = 3 THEN NULL ELSE n_total END AS n_total')}
+FROM ({EVENT_PAGES.replace('// 100 AS page', '// 100 AS page, event_id - min(event_id) OVER (PARTITION BY ' + UTC_DAY + ') AS place')})""",
+    "chokepoint_scan": f"""SELECT {STAT_COLS} FROM ({EVENT_PAGES})
+WHERE event_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20' AND portname IN ('Chokepoint 3', 'Chokepoint 17', 'Chokepoint 42')""",
+    "chokepoint_job": f"""SELECT {STAT_COLS}, TIMESTAMP '{AS_OF}' AS created_at, TIMESTAMP '{AS_OF}' AS updated_at
+FROM ({EVENT_PAGES}) WHERE event_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'""",
+    "page_one": f"SELECT portid, event_date FROM ({port_stats()}) ORDER BY portid, event_date DESC LIMIT 100 OFFSET 1000",
+    "upsert_hot_target": UPSERT_HOT_TARGET,
+    "zone_wild": f"SELECT event_id, latitude, longitude FROM ({ZONE_POINTS}) p WHERE event_id % 97 > 2 AND {IN_ANY_ZONE}",
+    "ais_summary_odd": f"""SELECT count(*) AS total_messages, count(DISTINCT user_id) AS unique_ships
+FROM ({ZONE_POINTS}) p WHERE user_id <> 0 AND event_id % 50 <> 0 AND {IN_ANY_ZONE} AND ts <= TIMESTAMP '2024-01-21 00:00:00'""",
+    "ais_bad_lines": "SELECT count(*) AS lines, count_if(event_id % 50 = 0) AS bad_lines FROM events",
+    "traffic_job": AIS_SUMMARY,
     "epoch_to_date": """SELECT event_id,
   CASE WHEN event_id % 20 IN (0, 1) THEN NULL ELSE CAST(ts AS DATE) END AS event_date
 FROM events""",
@@ -267,17 +375,17 @@ WHERE NOT (page >= 2 AND (day(event_date) % 7 = 3 OR day(event_date) % 5 = 0))""
   (row_number() OVER (ORDER BY portid, event_date DESC) - 1) // 1000 AS page_no
 FROM ({port_stats()})""",
     "stat_order": f"SELECT portid, event_date, portcalls FROM ({port_stats()}) ORDER BY portid, event_date DESC",
-    "stats_read": f"""SELECT *, TIMESTAMP '{fx.PRIOR_LOAD}' AS created_at, TIMESTAMP '{fx.PRIOR_LOAD}' AS updated_at
+    "stats_read": f"""SELECT *, TIMESTAMP '{PRIOR_LOAD}' AS created_at, TIMESTAMP '{PRIOR_LOAD}' AS updated_at
 FROM ({ORDER_STATS}) WHERE event_date BETWEEN DATE '1995-03-15' AND DATE '1995-05-10'""",
-    "sql_latest": f"""SELECT portid, event_date, n_total, TIMESTAMP '{fx.PRIOR_LOAD}' AS updated_at
-FROM ({ORDER_STATS}) WHERE event_date BETWEEN DATE '1996-01-01' AND DATE '1996-12-31'
-ORDER BY n_total DESC, portid ASC, event_date DESC LIMIT 5""",
+    "sql_latest": f"""SELECT portid, event_date, n_total, TIMESTAMP '{PRIOR_LOAD}' + to_seconds(capacity % 86400) AS updated_at
+FROM ({ORDER_STATS})
+ORDER BY updated_at DESC, n_total DESC, portid ASC, event_date DESC LIMIT 5""",
     "latest_updates": f"""SELECT portid, event_date, n_total, updated_at, action FROM ({UPSERT_CHOKEPOINTS})
 ORDER BY updated_at DESC, portid ASC, event_date DESC LIMIT 5""",
     "commit_message": f"""SELECT 'AIS ETL Pipeline' AS author,
   format('Upsert {{}} rows into {PORTS_TABLE} (Range: {{}} to {{}})', count(*), CAST(min(event_date) AS VARCHAR), CAST(max(event_date) AS VARCHAR)) AS message,
   '{PORTS_TABLE}' AS "table", count(*) AS row_count, min(event_date) AS min_date, max(event_date) AS max_date
-FROM ({port_stats(SOURCE_WHERE)})""",
+FROM ({port_stats()})""",
     "zone_filter": f"SELECT event_id, latitude, longitude FROM ({ZONE_POINTS}) p WHERE {IN_ANY_ZONE}",
     "zone_filter_grid": f"SELECT event_id, latitude, longitude FROM ({ZONE_POINTS}) p WHERE {IN_ANY_ZONE}",
     "ais_parse": PARSED,

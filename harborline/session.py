@@ -75,6 +75,32 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/harborline/{name}-{uuid.uuid4().hex[:12]}"
 
 
+class Staging:
+    """Written intermediate tables of one job, removed when the job ends.
+
+    with Staging(spark) as stage:
+        rows = stage(df, "rows")
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self):
+        return self
+
+    def __call__(self, df, name: str):
+        path = scratch_path(self.spark, name)
+        self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __exit__(self, *_):
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        for path in self.paths:
+            p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(conf).delete(p, True)
+
+
 def spread(df):
     """Deal a frame out over the shuffle partitions before CPU-heavy per-row
     work (one file may be one row group, and so one task)."""

@@ -1,5 +1,10 @@
 """Month-partitioned statistics tables and snapshot master tables on Parquet.
 
+Two kinds of statistics tables: plain ones (`write_months`/`read_stats`), whose
+months are replaced in place, and loaded ones (`write_load`/`read_loads`), where
+each load writes the months it replaces to a folder of its own and the commit
+log says which folder holds each month now.
+
 Statistics tables carry a stored partition column `event_month` (first day
 of the month of `event_date`). Readers add the month predicate matching their
 date predicate, so only the touched month directories are listed and read.
@@ -17,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from harborline.functions.dates import month_start
-from harborline.operators import predicates
+from harborline.operators import commitlog, predicates
 
 MONTH = "event_month"
 
@@ -75,20 +80,36 @@ def read_stats(spark: SparkSession, path: str, start=None, end=None,
     return df.where(cond)
 
 
-def read_months(spark: SparkSession, path: str, months: list,
-                schema: T.StructType | None = None) -> DataFrame:
-    """Rows of the given months only (partition pruning on `event_month`)."""
-    return _reader(spark, schema).parquet(path).where(F.col(MONTH).isin(months))
-
-
 def write_months(df: DataFrame, path: str) -> None:
     """Replace exactly the months present in `df`; other months stay."""
     if MONTH not in df.columns:
         df = with_month(df)
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (_by_month(df).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(MONTH).parquet(path))
 
 
+def _by_month(df: DataFrame) -> DataFrame:
+    """Each month's rows together before a write, so a month gets files by its
+    size and not one from each task (AQE also splits a large month)."""
+    return df.hint("rebalance", F.col(MONTH))
+
+
+def write_load(df: DataFrame, path: str, load: str) -> None:
+    """The months of a load, in its own folder; nothing else is touched."""
+    _by_month(df).write.mode("errorifexists").partitionBy(MONTH).parquet(f"{path}/load={load}")
+
+
+def read_loads(spark: SparkSession, path: str, months: dict, schema: T.StructType,
+               audit_type: T.DataType = T.TimestampType()) -> DataFrame:
+    """Rows of {month: load} as the commit log lists them; only those folders
+    are listed and read. No months: an empty frame."""
+    stored = stored_schema(schema, audit_type)
+    if not months:
+        return spark.createDataFrame([], stored)
+    folders = [f"{path}/load={load}/{MONTH}={month}" for month, load in sorted(months.items())]
+    return spark.read.schema(stored).option("basePath", path).parquet(*folders).select(*stored.names)
+
+
 def write_snapshot(df: DataFrame, root: str, snapshot: str) -> str:
     """Write an unpartitioned table as a new snapshot directory; returns it."""
     path = f"{root}/snapshot={snapshot}"
@@ -101,20 +122,20 @@ def register_views(spark: SparkSession, root: str, names: dict) -> list[str]:
     `SELECT * FROM ports ORDER BY updated_at DESC LIMIT 5`.
 
     names: view name -> (folder under root, table schema for statistics tables
-    or None for a snapshot folder, whose newest snapshot is used[, type of the
-    stored audit stamps])."""
+    [, type of the stored audit stamps]; or None for a snapshot folder, whose
+    newest committed snapshot is used[, table name in the commit log])."""
     done = []
     for view, spec in names.items():
         folder, schema = spec[0], spec[1]
-        audit_type = spec[2] if len(spec) > 2 else T.TimestampType()
+        audit_type = spec[2] if schema is not None and len(spec) > 2 else T.TimestampType()
         path = f"{root}/{folder}"
         if schema is not None:
             # event_month stays visible so that SQL can prune months with it
             df = read_stats(spark, path, schema=schema, audit_type=audit_type)
         else:
-            df = spark.read.parquet(path)
-            latest = df.agg(F.max("snapshot")).first()[0]  # snapshot ids sort by time
-            df = df.where(F.col("snapshot") == latest).drop("snapshot")
+            # the snapshot that the commit log names, as every reader takes it
+            table = spec[2] if len(spec) > 2 else folder
+            df = spark.read.parquet(f"{path}/snapshot={commitlog.latest_snapshot(spark, f'{root}/_commits', table)}")
         df.createOrReplaceTempView(view)
         done.append(view)
     return done
