@@ -30,17 +30,17 @@ def test_event_date_bad_text_fails(spark):
 def test_strict_casts_and_overflow_fails(spark):
     raw = spark.createDataFrame([("1", "A", 5, 7, dt.date(2024, 1, 1))],
                                 "portid string, portname string, n_total bigint, capacity bigint, event_date date")
-    out = strict(raw, CHOKEPOINTS).collect()[0]
+    out = strict(raw, CHOKEPOINTS, optional=CHOKEPOINTS.names).collect()[0]
     assert out["n_total"] == 5 and out["n_tanker"] is None
     big = spark.createDataFrame([("1", 2 ** 40)], "portid string, n_total bigint")
     with pytest.raises(Exception):
-        strict(big, CHOKEPOINTS).collect()
+        strict(big, CHOKEPOINTS, optional=CHOKEPOINTS.names).collect()
 
 
 def test_strict_nan_to_int_fails(spark):
     df = spark.createDataFrame([("1", float("nan"))], "portid string, n_total double")
     with pytest.raises(Exception):
-        strict(df, CHOKEPOINTS).collect()
+        strict(df, CHOKEPOINTS, optional=CHOKEPOINTS.names).collect()
 
 
 def _master(spark, pairs):
