@@ -199,7 +199,9 @@ class _Join:
         stages.drop("postings")
 
         # each set of a signature against the smallest one
-        tested = stages.write(live.where("node <> lo").select(F.col("lo").alias("a"), F.col("node").alias("b")).distinct(), "tested-0")
+        hub = live.where("node = lo").select("sig", F.col("place").alias("hub_place")).distinct()
+        near = live.where("node <> lo").join(hub, "sig").where(self.can_link(F.col("place"), F.col("hub_place")))
+        tested = stages.write(near.select(F.col("lo").alias("a"), F.col("node").alias("b")).distinct(), "tested-0")
         found = self.links(tested)
         # where there are more than two sets: against one drawn by hash, for each signature another
         third = live.where("node <> lo and node <> hi").select("sig").distinct()
@@ -209,8 +211,8 @@ class _Join:
                 break
             member = components(stages, found, f"components-{draw}")
             many = self.split(many, member, f"split-{draw}")
-            hub = many.groupBy("sig").agg(F.min(F.struct(F.xxhash64("node", "sig", F.lit(draw)).alias("h"), F.col("node").alias("hub"), F.col("component").alias("hub_component"))).alias("m")).select("sig", "m.hub", "m.hub_component")
-            drawn = many.join(hub, "sig").where("component <> hub_component").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+            hub = many.groupBy("sig").agg(F.min(F.struct(F.xxhash64("node", "sig", F.lit(draw)).alias("h"), F.col("node").alias("hub"), F.col("component").alias("hub_component"), F.col("place").alias("hub_place"))).alias("m")).select("sig", "m.hub", "m.hub_component", "m.hub_place")
+            drawn = many.join(hub, "sig").where("component <> hub_component").where(self.can_link(F.col("place"), F.col("hub_place"))).select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
             fresh = stages.write(drawn.join(tested, ["a", "b"], "left_anti"), f"tested-{draw + 1}")
             tested = tested.union(fresh)
             found = found.union(self.links(fresh))
@@ -232,19 +234,23 @@ class _Join:
         several = own.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("sig")
         return self.stages.write(own.join(several, "sig"), label)
 
+    def can_link(self, x: Column, y: Column) -> Column:
+        """Whether two sets with the places ``x`` and ``y`` of a signature can
+        link, by their sizes and what is left after those places. The first
+        token that two linked sets share passes this."""
+        n_x, n_y = F.shiftright(x, 32), F.shiftright(y, 32)
+        left = F.least(n_x - x.bitwiseAND(F.lit(0xFFFFFFFF).cast("long")), n_y - y.bitwiseAND(F.lit(0xFFFFFFFF).cast("long")))
+        return (self.percent * F.greatest(n_x, n_y) <= 100 * F.least(n_x, n_y)) & (left >= self.overlap(n_x, n_y))
+
     def rest(self, many: DataFrame) -> DataFrame:
         """Pairs of sets of a signature in different components that can
-        still link, by their sizes, the signature's places and bitmaps. The
-        first token that two linked sets share passes this."""
+        still link, by their places and bitmaps."""
         bits = many.join(self.nodes.select("node", "bitmap"), "node")
         x, y = bits.alias("x"), bits.alias("y")
         n_x, n_y = F.shiftright("x.place", 32), F.shiftright("y.place", 32)
-        at = lambda c: F.col(c).bitwiseAND(F.lit(0xFFFFFFFF).cast("long"))
-        need = self.overlap(n_x, n_y)
         both = x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.component") != F.col("y.component"))
-                      & (self.percent * F.greatest(n_x, n_y) <= 100 * F.least(n_x, n_y))
-                      & (F.least(n_x - at("x.place"), n_y - at("y.place")) >= need)
-                      & (_hamming(F.col("x.bitmap"), F.col("y.bitmap")) <= n_x + n_y - 2 * need))
+                      & self.can_link(F.col("x.place"), F.col("y.place"))
+                      & (_hamming(F.col("x.bitmap"), F.col("y.bitmap")) <= n_x + n_y - 2 * self.overlap(n_x, n_y)))
         return both.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
 
 
