@@ -16,7 +16,7 @@ import heapq
 
 import numpy as np
 
-HIDDEN = 24
+HIDDEN = 12
 SHAPES = ("inputs", "recurrent", "classes", "class_bias", "words", "word_bias")
 
 
@@ -159,7 +159,7 @@ class Network:
             there = own >= 0
             yield x[np.maximum(own, 0)], first[at : at + steps, :n], there, own[there], y[own[there]]
 
-    def score(self, texts: list[tuple[np.ndarray, np.ndarray]], n_lanes: int = 512, steps: int = 64) -> np.ndarray:
+    def score(self, texts: list[tuple[np.ndarray, np.ndarray]], n_lanes: int = 2048, steps: int = 32) -> np.ndarray:
         """Natural log-probability of each token, text after text."""
         found = np.zeros(sum(len(t[0]) for t in texts), np.float64)
         h = None
@@ -210,7 +210,7 @@ class Network:
         call. Returns the number of tokens."""
         total = sum(len(t[0]) for t in texts)
         h = None
-        for x, first, there, _, y in self.windows(texts, int(np.clip(total // 4096, 16, 512)), steps):
+        for x, first, there, _, y in self.windows(texts, int(np.clip(total // 4096, 16, 1024)), steps):
             h = np.zeros((x.shape[1], self.layout.hidden), np.float32) if h is None else h[: x.shape[1]]
             learn, h, _ = self.gradients(x, first, there, y, h)
             adam["n"] = n = adam.get("n", 0) + 1

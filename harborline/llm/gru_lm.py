@@ -7,7 +7,7 @@ word with count ``c`` the chance ``(c + 0.5) / (N + 0.5 (V + 1))``.
 predicted by a GRU with a class-factored softmax (``gru``). All other words
 are one class; within it, the base model's chances hold. So each text has a
 probability, whatever its words. Its inputs are the known words, and of other
-words their last two letters.
+words a number from their last two letters.
 
 *Training.* Every training text is learnt from once, in ``ROUNDS`` rounds.
 In a round each task trains a copy of the network on its own texts; the
@@ -28,27 +28,24 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harborline.llm import gru
 from harborline.llm.common import Stages, documents, text_of
-from harborline.llm.shingles import word_hashes
+from harborline.llm.shingles import MEMORY, word_hashes
 
 #: Words the network knows, their classes, and input places for other words.
-KNOWN, CLASSES, OTHERS = 512, 16, 64
-ROUNDS, RATE = 2, 0.01
+KNOWN, CLASSES, OTHERS = 256, 8, 64
+ROUNDS, RATE = 2, 0.02
 SHARE = 2_000_000
 FOLDS, HELD_OUT = 5, 1
 
 #: The hash that stands for the end of a text.
 END = np.uint64(0x9E6C63D0676A9A99)
 
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
-
-
 def fold(doc_id) -> int:
     """Null counts as empty text."""
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % FOLDS
@@ -59,13 +56,17 @@ def tokens(text: bytes) -> np.ndarray:
     return np.append(word_hashes(text.lower().split()), END)
 
 
-def _endings(text: bytes) -> np.ndarray:
-    """For each word a place from its last two bytes."""
-    raw = np.frombuffer(text, np.uint8)
-    blank = _SPACE[raw]
-    last = np.flatnonzero(~blank & np.append(blank[1:], True))
-    before = np.where(blank[np.maximum(last - 1, 0)] | (last == 0), 0, raw[np.maximum(last - 1, 0)])
-    return (raw[last].astype(np.int64) * 31 + before) % OTHERS
+class _Places(dict):
+    """Of each word met: its place in the list and one (0: not listed), times
+    ``OTHERS``, and a number below that from its last two bytes."""
+
+    def __init__(self, listed: np.ndarray):
+        self.listed = {h: i for i, h in enumerate(listed.tolist())}
+
+    def __missing__(self, word: bytes) -> int:
+        at = self.listed.get(xxhash.xxh3_64_intdigest(word), -1) + 1
+        code = self[word] = at * OTHERS + (word[-1] * 31 + (word[-2] if len(word) > 1 else 0)) % OTHERS
+        return code
 
 
 class Vocabulary:
@@ -78,7 +79,7 @@ class Vocabulary:
         rank = np.lexsort((self.words, -self.counts))
         rank = np.concatenate([rank[self.words[rank] == END], rank[self.words[rank] != END]])[:KNOWN]
         rank = rank[np.argsort(-self.counts[rank], kind="stable")]
-        self.known = np.full(len(self.words), -1, np.int64)
+        self.known = np.full(len(self.words) + 1, -1, np.int64)
         self.known[rank] = np.arange(len(rank))
         self.n_known = len(rank)
         self.shares = self.chance(self.counts[rank])
@@ -90,23 +91,24 @@ class Vocabulary:
     def layout(self) -> gru.Layout:
         return gru.Layout(self.shares, CLASSES, self.n_known + OTHERS + 1)
 
-    def find(self, own: np.ndarray) -> np.ndarray:
-        """Place of each word in the list, -1 for others."""
-        if not len(self.words):
-            return np.full(len(own), -1)
-        at = np.minimum(np.searchsorted(self.words, own), len(self.words) - 1)
-        return np.where(self.words[at] == own, at, -1)
-
-    def steps(self, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Inputs, words to predict, and place in the list of each token."""
-        text = text.lower()
-        at = self.find(np.append(word_hashes(text.split()), END))
-        known = np.where(at >= 0, self.known[at], -1) if len(self.words) else at
-        y = np.where(known >= 0, known, self.n_known)
-        x = np.empty(len(y), np.int32)
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "places"}
+
+    def steps(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Inputs, words to predict, and place in the list (-1: none) of each
+        token, the end included."""
+        if "places" not in self.__dict__ or len(self.places) > MEMORY:
+            self.places = _Places(self.words)
+            self.end = int(np.append(np.flatnonzero(self.words == END), -1)[0]) + 1
+        code = np.empty(len(words) + 1, np.int64)
+        code[:-1] = np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
+        code[-1] = self.end * OTHERS
+        at = code // OTHERS - 1
+        known = self.known[at]  # of place -1 the last, which is none
+        x = np.empty(len(code), np.int32)
         x[0] = self.n_known + OTHERS
-        x[1:] = np.where(known[:-1] >= 0, known[:-1], self.n_known + _endings(text)) if len(y) > 1 else 0
-        return x, y, at
+        x[1:] = np.where(known >= 0, known, self.n_known + code % OTHERS)[:-1]
+        return x, np.where(known >= 0, known, self.n_known), at
 
 
 def _counts(docs: DataFrame) -> DataFrame:
@@ -129,7 +131,7 @@ def _round(docs: DataFrame, vocabulary, weights: dict[str, np.ndarray]) -> dict[
         net = gru.Network(vocabulary.value.layout(), {k: w.copy() for k, w in start.value.items()})
         adam, n = {}, 0
         for batch in batches:
-            texts = [vocabulary.value.steps(t)[:2] for t in batch.column(0).cast(pa.binary()).to_pylist()]
+            texts = [vocabulary.value.steps(t.lower().split())[:2] for t in batch.column(0).cast(pa.binary()).to_pylist()]
             n += net.train(texts, adam, RATE)
         if n:
             values = gru.flat(net.w).astype(np.float64)
@@ -178,11 +180,13 @@ def score(docs: DataFrame) -> DataFrame:
             steps, rows, rare, owner = [], [], [], []
             ids, held = batch.column(0).to_pylist(), batch.column(2).to_pylist()
             for doc_id, text, out in zip(ids, batch.column(1).cast(pa.binary()).to_pylist(), held):
-                x, y, at = v.steps(text)
+                words = text.lower().split()
+                x, y, at = v.steps(words)
                 own = at[at >= 0]
                 rows.append((key, None, len(x), doc_id, out, len(own), float(base_of[own].sum()), 0.0))
                 if len(own) < len(at):
-                    word, n = np.unique(word_hashes(text.lower().split())[at[:-1] < 0] if at[-1] >= 0 else tokens(text.lower())[at < 0], return_counts=True)
+                    others = word_hashes([words[i] for i in np.flatnonzero(at[:-1] < 0)])
+                    word, n = np.unique(others if at[-1] >= 0 else np.append(others, END), return_counts=True)
                     rare.append((word, n))
                     owner.append(np.full(len(word), key))
                 steps.append((x, y))
