@@ -16,7 +16,7 @@ import heapq
 
 import numpy as np
 
-HIDDEN = 12
+HIDDEN = 24
 SHAPES = ("inputs", "recurrent", "classes", "class_bias", "words", "word_bias")
 
 

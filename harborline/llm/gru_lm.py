@@ -3,8 +3,10 @@
 *Counts.* All words of the training texts are counted. The base model gives a
 word with count ``c`` the chance ``(c + 0.5) / (N + 0.5 (V + 1))``.
 
-*Network.* The ``KNOWN`` most frequent words (and the end of a text) are
-predicted by a GRU with a class-factored softmax (``gru``). All other words
+*Network.* The most frequent words that make up ``COVER`` of the training
+tokens, ``KNOWN`` at least (and the end of a text), are predicted by a GRU with
+a class-factored softmax (``gru``) of about as many classes as a class has
+words. So the known words grow with the input's vocabulary. All other words
 are one class; within it, the base model's chances hold. So each text has a
 probability, whatever its words. Its inputs are the known words, and of other
 words a number from their last two letters.
@@ -37,8 +39,11 @@ from harborline.llm import gru
 from harborline.llm.common import Stages, documents, text_of
 from harborline.llm.shingles import MEMORY, word_hashes
 
-#: Words the network knows, their classes, and input places for other words.
-KNOWN, CLASSES, OTHERS = 256, 8, 64
+#: Share of the training tokens whose words the network knows; words and
+#: classes at least; input places for other words.
+COVER, KNOWN, CLASSES, OTHERS = 0.7, 512, 16, 64
+#: Weights in a row, where copies are averaged.
+CHUNK = 1 << 13
 ROUNDS, RATE = 2, 0.02
 SHARE = 2_000_000
 FOLDS, HELD_OUT = 5, 1
@@ -77,7 +82,8 @@ class Vocabulary:
         self.words, self.counts = words[order], counts[order]
         self.n_tokens, self.n_words = n_tokens, n_words
         rank = np.lexsort((self.words, -self.counts))
-        rank = np.concatenate([rank[self.words[rank] == END], rank[self.words[rank] != END]])[:KNOWN]
+        rank = np.concatenate([rank[self.words[rank] == END], rank[self.words[rank] != END]])
+        rank = rank[: max(KNOWN, int(np.searchsorted(np.cumsum(self.counts[rank]), COVER * n_tokens)) + 1)]
         rank = rank[np.argsort(-self.counts[rank], kind="stable")]
         self.known = np.full(len(self.words) + 1, -1, np.int64)
         self.known[rank] = np.arange(len(rank))
@@ -89,7 +95,7 @@ class Vocabulary:
         return (counts + 0.5) / (self.n_tokens + 0.5 * (self.n_words + 1))
 
     def layout(self) -> gru.Layout:
-        return gru.Layout(self.shares, CLASSES, self.n_known + OTHERS + 1)
+        return gru.Layout(self.shares, max(CLASSES, math.isqrt(self.n_known)), self.n_known + OTHERS + 1)
 
     def __getstate__(self) -> dict:
         return {k: v for k, v in self.__dict__.items() if k != "places"}
@@ -134,13 +140,19 @@ def _round(docs: DataFrame, vocabulary, weights: dict[str, np.ndarray]) -> dict[
             texts = [vocabulary.value.steps(t.lower().split())[:2] for t in batch.column(0).cast(pa.binary()).to_pylist()]
             n += net.train(texts, adam, RATE)
         if n:
-            values = gru.flat(net.w).astype(np.float64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(values))), pa.array(values * n), pa.array(np.full(len(values), float(n)))], names=["i", "total", "n"])
-
-    # as many rows as the network has weights
-    mean = docs.select("text").mapInArrow(train, "i long, total double, n double").groupBy("i").agg((F.sum("total") / F.sum("n")).alias("w")).toPandas()
-    values = gru.flat(weights).astype(np.float64)
-    values[mean["i"].to_numpy(np.int64)] = mean["w"].to_numpy(float)
+            values = gru.flat(net.w)
+            parts = [values[at : at + CHUNK].tobytes() for at in range(0, len(values), CHUNK)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(parts))), pa.array(np.full(len(parts), float(n))), pa.array(parts, pa.binary())], names=["chunk", "n", "w"])
+
+    def mean(copies: pa.Table) -> pa.Table:
+        n = copies["n"].to_numpy()
+        total = sum(k * np.frombuffer(w, np.float32).astype(np.float64) for k, w in zip(n, copies["w"].to_pylist()))
+        return pa.table({"chunk": copies["chunk"][:1], "w": pa.array([(total / n.sum()).tobytes()], pa.binary())})
+
+    # as many numbers as the network has weights
+    copies = docs.select("text").mapInArrow(train, "chunk long, n double, w binary")
+    got = copies.groupBy("chunk").applyInArrow(mean, "chunk long, w binary").toArrow().sort_by("chunk")
+    values = np.frombuffer(b"".join(got["w"].to_pylist()), np.float64) if len(got) else gru.flat(weights)
     return gru.unflat(values, weights)
 
 

@@ -64,6 +64,21 @@ def test_odd_rows(docs):
     assert all(r["score"] == pytest.approx(r["base_score"], abs=1e-3 * r["n_tokens"]) for r in got)
 
 
+def test_known_words_follow_the_tokens():
+    """However large the vocabulary, the network knows the words that make up
+    ``COVER`` of the tokens."""
+    for n in (300, 3000, 30000):
+        counts = np.append(10**6 // np.arange(1, n + 1), 500)
+        words = np.append(np.random.default_rng(n).integers(0, 1 << 63, n).astype(np.uint64), L.END)
+        v = L.Vocabulary(words, counts, int(counts.sum()), len(words))
+        known = v.known[:-1] >= 0
+        assert v.n_known == known.sum() and known[v.words == L.END].all()
+        assert v.counts[known].sum() >= 0.69 * counts.sum() and v.n_known >= min(512, n + 1)
+        assert v.counts[known & (v.words != L.END)].min() >= v.counts[~known].max(initial=0)
+        layout = v.layout()
+        assert layout.n_classes >= 16 and layout.hidden >= 24
+
+
 def small(seed=0, dtype=np.float64):
     rng = np.random.default_rng(seed)
     shares = 1 / np.arange(1, 21.0)
