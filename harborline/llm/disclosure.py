@@ -1,22 +1,26 @@
 """Information-theoretic sanitisation of personal data.
 
 Protected entities are the e-mail addresses, IP addresses, card and phone
-numbers that patterns find. Terms near an entity can give it away even when
-the entity itself is masked: how strongly, corpus co-occurrence tells. With
-``N`` documents, of which ``n(e)`` have the entity, ``n(t)`` have the term and
-``n(t,e)`` have the term within ``WINDOW`` code points of the entity,
+numbers that patterns find. Other terms of a document can give an entity away
+even when the entity itself is masked: how strongly, corpus co-occurrence tells.
+With ``N`` documents, of which ``n(e)`` have the entity, ``n(t)`` have the term
+and ``n(t,e)`` have both,
 
     PMI(t;e) = log2(N * n(t,e) / (n(t) * n(e)))   and   IC(e) = log2(N / n(e)),
 
-the share of the entity's information that the term gives is PMI / IC. A term
-near an entity is generalised from ``GENERALISE`` on and removed from
-``REMOVE`` on, given ``SUPPORT`` documents that have both. All counts are over
-all documents. Only DataFrame and SQL functions are used.
+the share of the entity's information that the term gives is PMI / IC. In each
+document that has the entity, a term is generalised wherever it stands from
+``GENERALISE`` on and removed from ``REMOVE`` on, given ``SUPPORT`` documents
+that have both. All counts are over all documents. Only DataFrame and SQL functions are used.
+
+Entities of the same documents have the same shares and are judged as one. As
+``n(t,e) <= n(e)``, a term of more than ``N ** (1 - g) * n(e) ** g`` documents
+has a share below ``g``, and is not paired.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from harborline.llm import spans as S
@@ -37,7 +41,8 @@ PART = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 TERM = "[\\p{L}\\p{N}]+"
 NO_TERM = "[^\\p{L}\\p{N}]+"
 
-WINDOW = 64
+#: Code points about an entity in which terms count: any text's length.
+WINDOW = (1 << 31) - 1
 SUPPORT = 2
 GENERALISE, REMOVE = 0.75, 0.95
 
@@ -62,21 +67,14 @@ def _luhn(value: Column) -> Column:
 
 def mentions(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` without texts: its other columns, ``pii_key`` (the same for
-    equal rows), ``pii_base``, and ``pii_near``: for each entity that is named
-    its form and the texts before and after it."""
+    equal rows), ``pii_base``, and of texts with entities ``pii_entities``,
+    their forms, and ``pii_rest``, the text without them."""
     content = text_of(F.col(text))
-    rest = [c for c in docs.columns if c != text and c not in ("pii_key", "pii_base", "pii_near")]
+    rest = [c for c in docs.columns if c != text and c not in ("pii_key", "pii_base", "pii_entities", "pii_rest")]
     docs = docs.select(*rest, text).withColumn("pii_key", F.xxhash64(*rest, text)).withColumn("pii_base", base_spans(content))
-    docs = docs.withColumn("pii_rest", F.when(F.size("pii_base") > 0, _blanked(content, F.col("pii_base"))))
-    around = F.col("pii_rest")
-    near = F.transform("pii_base", lambda s: F.struct(
-        F.concat_ws(":", s["kind"], F.when(s["kind"] == "email", F.lower(s["value"])).when(s["kind"] == "ip", s["value"]).otherwise(_digits(s["value"]))).alias("entity"),
-        F.greatest(s["start"] - WINDOW, F.lit(0)).alias("left_at"), s["end"].alias("right_at"),
-        F.substring(around, (F.greatest(s["start"] - WINDOW, F.lit(0)) + 1).cast("int"), F.least(s["start"], F.lit(WINDOW)).cast("int")).alias("left"),
-        F.substring(around, (s["end"] + 1).cast("int"), F.lit(WINDOW)).alias("right"),
-        (s["end"] + WINDOW >= F.length(around)).alias("right_ends"),
-    ))
-    return docs.withColumn("pii_near", near).drop(text, "pii_rest")
+    entity = lambda s: F.concat_ws(":", s["kind"], F.when(s["kind"] == "email", F.lower(s["value"])).when(s["kind"] == "ip", s["value"]).otherwise(_digits(s["value"])))
+    docs = docs.withColumn("pii_entities", F.array_distinct(F.transform("pii_base", entity)))
+    return docs.withColumn("pii_rest", F.when(F.size("pii_base") > 0, _blanked(content, F.col("pii_base")))).drop(text)
 
 
 def _blanked(text: Column, spans: Column) -> Column:
@@ -95,29 +93,39 @@ def _blanked(text: Column, spans: Column) -> Column:
 
 
 def _terms(named: DataFrame) -> DataFrame:
-    """``pii_key, entity, term, start, end`` of the whole terms near each
-    entity; those that the window cuts are left out."""
-    left, right = F.col("near.left"), F.col("near.right")
-    words = F.concat(
-        F.transform(F.filter(S.matches(left, "term", TERM), lambda s: (s["start"] > 0) | (F.col("near.left_at") == 0)), lambda s: F.struct(F.lower(s["value"]).alias("term"), (s["start"] + F.col("near.left_at")).alias("start"), (s["end"] + F.col("near.left_at")).alias("end"))),
-        F.transform(F.filter(S.matches(right, "term", TERM), lambda s: (s["end"] < F.length(right)) | F.col("near.right_ends")), lambda s: F.struct(F.lower(s["value"]).alias("term"), (s["start"] + F.col("near.right_at")).alias("start"), (s["end"] + F.col("near.right_at")).alias("end"))),
-    )
-    spread = named.select("pii_key", F.explode("pii_near").alias("near")).select("pii_key", "near.entity", F.explode(words).alias("w"))
-    return spread.select("pii_key", "entity", "w.term", "w.start", "w.end")
-
-
-def disclosing_terms(stages: Stages, docs: DataFrame, named: DataFrame, text: str = "text", support: int = SUPPORT) -> DataFrame:
-    """``entity, term, share``: the share of the entity's information that the
-    term gives, for pairs met in at least ``support`` documents."""
+    """``pii_key, term, start, end`` of all terms of the texts with entities,
+    equal rows once."""
+    texts = named.where("pii_rest is not null").select("pii_key", "pii_rest").dropDuplicates(["pii_key"])
+    parts = F.arrays_zip(F.regexp_extract_all("pii_rest", F.lit(TERM), F.lit(0)).alias("value"), F.split("pii_rest", TERM, -1).alias("gap"))
+    rows = texts.select("pii_key", F.posexplode(parts).alias("i", "p")).where("p.value is not null")
+    # the window needs no shuffle: equal rows were brought together by the key
+    end = F.sum(F.length("p.gap") + F.length("p.value")).over(Window.partitionBy("pii_key").orderBy("i").rowsBetween(Window.unboundedPreceding, 0))
+    return rows.select("pii_key", "p.value", end.alias("end")).select("pii_key", F.lower("value").alias("term"), (F.col("end") - F.length("value")).alias("start"), "end")
+
+
+def disclosing_terms(stages: Stages, docs: DataFrame, named: DataFrame, near: DataFrame, text: str = "text", generalise: float = GENERALISE, support: int = SUPPORT) -> DataFrame:
+    """``pii_key, term, share``: of each text with entities the terms that give
+    at least ``generalise`` of an entity's information, by the largest share.
+    ``near``: the terms of those texts."""
     n = F.lit(float(docs.count()))
-    entities = named.select("pii_key", F.explode("pii_near.entity").alias("entity")).groupBy("entity").agg(F.count_distinct("pii_key").alias("n_entity")).where(F.col("n_entity") >= support)
-    near = stages.write(_terms(named), "pii-terms")
-    pairs = near.groupBy("entity", "term").agg(F.count_distinct("pii_key").alias("n_both")).where(F.col("n_both") >= support)
-    terms = docs.select(F.explode(F.array_distinct(F.split(F.lower(text_of(docs[text])), NO_TERM))).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
-    found = pairs.join(entities, "entity").join(terms, "term")
-    content = F.log2(n / F.col("n_entity"))
+    owned = named.where("pii_rest is not null").dropDuplicates(["pii_key"]).select("pii_key", F.explode("pii_entities").alias("entity"))
+    own = [F.bit_xor(F.xxhash64("pii_key", F.lit(k))) for k in (1, 2)]
+    alike = owned.groupBy("entity").agg(F.count("*").alias("n_entity"), own[0].alias("a"), own[1].alias("b")).where((F.col("n_entity") >= support) & (F.col("n_entity") < n))
+    alike = alike.select("entity", "n_entity", F.xxhash64("n_entity", "a", "b").alias("group"))
+    owned = stages.write(owned.join(alike, "entity").select("pii_key", "group", "n_entity").distinct(), "pii-groups")
+    # the most documents that a term of the text can be in; a little more, for the last digit
+    most = (1 + 1e-9) * F.pow(n, F.lit(1 - generalise)) * F.pow("n_entity", F.lit(generalise))
+    terms = docs.select(F.explode(F.array_distinct(F.split(F.lower(text_of(docs[text])), NO_TERM))).alias("term")).groupBy("term").agg(F.count("*").alias("n_all"))
+    has = near.select("pii_key", "term").distinct()
+    # what is left of a word beside an entity may be no term of any text
+    counted = has.groupBy("term").agg(F.count("*").alias("n_near")).join(terms, "term", "left").select("term", F.coalesce("n_all", "n_near").alias("n_term"))
+    largest = owned.agg(F.max(most)).first()[0] or 0.0
+    pairs = has.join(counted.where(F.col("n_term") <= largest), "term").join(owned, "pii_key").where(F.col("n_term") <= most)
+    pairs = stages.write(pairs.select("pii_key", "group", "n_entity", "term", "n_term"), "pii-pairs")
+    both = pairs.groupBy("group", "term").agg(F.count("*").alias("n_both"), F.first("n_entity").alias("n_entity"), F.first("n_term").alias("n_term")).where(F.col("n_both") >= support)
     pmi = F.log2(n * F.col("n_both") / (F.col("n_term") * F.col("n_entity")))
-    return found.where(F.col("n_entity") < n).select("entity", "term", (pmi / content).alias("share"))
+    found = both.select("group", "term", (pmi / F.log2(n / F.col("n_entity"))).alias("share")).where(F.col("share") >= generalise)
+    return pairs.select("pii_key", "group", "term").join(found, ["group", "term"]).groupBy("pii_key", "term").agg(F.max("share").alias("share"))
 
 
 def scan(docs: DataFrame, text: str = "text", generalise: float = GENERALISE, remove: float = REMOVE, support: int = SUPPORT) -> DataFrame:
@@ -128,16 +136,14 @@ def scan(docs: DataFrame, text: str = "text", generalise: float = GENERALISE, re
     all documents has no information, so no term discloses it."""
     stages = Stages(docs.sparkSession, "disclosure")
     named = stages.write(mentions(docs, text), "pii-mentions")
-    pairs = disclosing_terms(stages, docs, named, text, support).where(F.col("share") >= generalise)
-    near = docs.sparkSession.read.parquet(stages.path("pii-terms"))
-    # one span of a place, by the strongest of its disclosures
-    strong = near.join(pairs, ["entity", "term"]).groupBy("pii_key", "start", "end").agg(F.max("share").alias("share"))
+    near = stages.write(_terms(named), "pii-terms")
+    strong = near.join(disclosing_terms(stages, docs, named, near, text, generalise, support), ["pii_key", "term"])
     kind = F.when(F.col("share") >= remove, "removed").otherwise("generalised")
     span = F.struct(kind.alias("kind"), "start", "end", F.lit("").alias("value"), F.lit("").alias("part")).cast(S.SPAN)
     added = strong.select("pii_key", span.alias("span")).groupBy("pii_key").agg(F.collect_list("span").alias("pii_added"))
     found = named.join(added, "pii_key", "left")
     spans = S.ordered(F.concat("pii_base", F.coalesce("pii_added", S.no_spans())), KINDS, by_kind=True)
-    return found.withColumn("pii_spans", spans).drop("pii_key", "pii_near", "pii_added")
+    return found.withColumn("pii_spans", spans).drop("pii_key", "pii_entities", "pii_rest", "pii_added")
 
 
 def sanitise(text: Column, spans: Column) -> Column:
