@@ -10,8 +10,9 @@ and ``n(t,e)`` have both,
 
 the share of the entity's information that the term gives is PMI / IC. In each
 document that has the entity, a term is generalised wherever it stands from
-``GENERALISE`` on and removed from ``REMOVE`` on, given ``SUPPORT`` documents
-that have both. All counts are over all documents. Only DataFrame and SQL functions are used.
+``GENERALISE`` on and removed from ``REMOVE`` on. All entities are judged; for
+one of a single document the share is ``1 - log2 n(t) / log2 N``. All counts
+are over all documents. Only DataFrame and SQL functions are used.
 
 Entities of the same documents have the same shares and are judged as one. As
 ``n(t,e) <= n(e)``, a term of more than ``N ** (1 - g) * n(e) ** g`` documents
@@ -41,9 +42,10 @@ PART = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 TERM = "[\\p{L}\\p{N}]+"
 NO_TERM = "[^\\p{L}\\p{N}]+"
 
-#: Code points about an entity in which terms count: any text's length.
+#: Code points about an entity in which terms count: any text's length. And
+#: documents that must have both: each pair is judged.
 WINDOW = (1 << 31) - 1
-SUPPORT = 2
+SUPPORT = 1
 GENERALISE, REMOVE = 0.75, 0.95
 
 

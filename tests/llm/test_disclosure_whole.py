@@ -50,3 +50,22 @@ def test_terms_far_from_the_entity(docs):
     assert got[70] == got[71] == [("email", 335, 341), ("removed", 0, 4), ("removed", 672, 676)]
     got = dict(spans_of(docs, rows + [(80, "nick")]))  # in another document as well
     assert got[70] == [("email", 335, 341), ("generalised", 0, 4), ("generalised", 672, 676)] and got[80] == []
+
+
+def test_entities_of_one_document(docs):
+    """A term that no other document has gives such an entity away, too."""
+    rows = [(i, f"common words of text{i % 4}") for i in range(40)] + [(50, "common zanzibar a@b.cc words"), (51, "+1 (017) 555-7713 common text1 yonder")]
+    got = dict(spans_of(docs, rows))
+    assert got[50] == [("email", 16, 22), ("removed", 7, 15)]
+    assert got[51] == [("phone", 0, 17), ("removed", 31, 37)]
+    assert not any(got[i] for i in range(40))
+
+
+def test_all_pairs(docs):
+    rng = random.Random(5)
+    rows = [(i, "".join(rng.choice(PARTS) for _ in range(rng.randrange(25)))) for i in range(200)]
+    rows += [(200 + i, " ".join(rng.choice([f"t{rng.randrange(90)}", f"p{rng.randrange(30)}@m.ee", "the"]) for _ in range(rng.randrange(30)))) for i in range(150)]
+    rows += [(1, None), (2, ""), (None, "see a@b.cc now"), (600, "see a@b.cc now"), (600, "see a@b.cc now"), (601, "9 " * 20000 + "1." * 400 + "q@r.s")]
+    got = sorted(spans_of(docs, rows), key=str)
+    assert got == sorted(brute(rows), key=str)
+    assert {s[0] for _, spans in got for s in spans} >= {"removed", "generalised"}
