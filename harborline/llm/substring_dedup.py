@@ -55,9 +55,9 @@ def _batch(keys: list[np.ndarray], ids: list[int], names: list[str]) -> pa.Recor
     return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.repeat(np.array(ids, np.int64), sizes))], names=names)
 
 
-def _seeds(docs: DataFrame, length: int) -> DataFrame:
+def _seeds(docs: DataFrame, length: int, copies: bool = False) -> DataFrame:
     """``key, doc_id``: the seeds of each document; of equal texts in a task
-    those of the smallest id."""
+    those of the smallest id, or with ``copies`` those of each."""
 
     def seeds(batches):
         posted: dict[bytes, int] = {}
@@ -72,8 +72,8 @@ def _seeds(docs: DataFrame, length: int) -> DataFrame:
             posted |= least
             keys, owners = [], []
             for doc_id, mark, text in zip(ids, marks, texts):
-                if least.get(mark) == doc_id and doc_id is not None:
-                    del least[mark]
+                if doc_id is not None and (copies or least.get(mark) == doc_id):
+                    least.pop(mark, None)
                     keys.append(np.unique(least_seeds(word_hashes(text.split()), length)))
                     owners.append(doc_id)
             yield _batch(keys, owners, ["key", "doc_id"])
@@ -163,7 +163,7 @@ def longest_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     the one that follows it, both of them repeated; it ends when none survive."""
     stages = Stages(docs.sparkSession, "longest-repeats")
     docs = docs.select("doc_id", text_of(docs["text"]).alias("text"))
-    alive = _survivors(stages, stages.write(_seeds(docs, length), "seeds"), "alive-0", later=False)
+    alive = _survivors(stages, stages.write(_seeds(docs, length, copies=True), "seeds"), "alive-0", later=False)
     rows = stages.write(_extended(docs, alive, length), "windows-0")
     found, size, n = None, length, 0
     while True:

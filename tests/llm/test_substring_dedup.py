@@ -70,3 +70,12 @@ def test_longest_repeats(docs):
     rows = [(1, " ".join(p)), (2, "x " + " ".join(p[:30])), (3, " ".join(p[30:43]) + " y"), (4, "q " * 30 + "z"), (5, " ".join(p))]
     assert {tuple(r) for r in S.longest_repeats(docs(rows)).collect()} == {(1, 52), (5, 52), (2, 26), (3, 13)}
     assert S.longest_repeats(docs(rows[3:4])).collect() == []
+
+
+def test_longest_repeats_of_copies_in_a_task(docs):
+    p = [f"p{i}" for i in range(60)]
+    rows = [(1, " ".join(p)), (2, "x " + " ".join(p[:30])), (5, " ".join(p)), (5, " ".join(p)), (None, " ".join(p))]
+    for n in (1, 4):
+        assert {tuple(r) for r in S.longest_repeats(docs(rows).coalesce(1).repartition(n)).collect()} == {(1, 52), (5, 52), (2, 26)}
+    alone = [(7, " ".join(p)), (8, " ".join(p))]
+    assert {tuple(r) for r in S.longest_repeats(docs(alone).coalesce(1)).collect()} == {(7, 52), (8, 52)}
