@@ -6,12 +6,12 @@ the last return the columns of ``documents``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from harborline.llm import tokens
 from harborline.llm.best_fit_packing import pack_documents
-from harborline.llm.common import Stages, table
+from harborline.llm.common import Stages, table, text_of
 from harborline.llm.decontamination import contained_items
 from harborline.llm.entropy_secrets import redact
 from harborline.llm.jaccard_join import similar_groups
@@ -28,17 +28,30 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that near copies make: that with the
     smallest id. Texts without words, and rows without an id, are in no group
-    and stay; of rows with one id that are not linked, each stays."""
-    groups = similar_groups(docs)
-    # ids that stand for a group, and those that a group drops
-    dropped = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    and stay; of rows with one id that are not linked, each stays, and of those
+    that are, one. Rows are told apart by a hash of id and text; of equal ones,
+    that with the smallest other columns stays."""
+    stages, key = Stages(spark, "near-copies"), "_row_key"
+    keyed = docs.withColumn(key, F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", text_of(docs["text"]))))
+    groups = stages.write(similar_groups(keyed.select(F.col(key).alias("doc_id"), "text")), "groups")
+    members = groups.where("doc_id is not null and n_shingles > 0").groupBy(F.col("doc_id").alias(key), F.col("component_id").alias("group")).agg(F.count("*").alias("n"))
+    members = stages.write(members.join(keyed.select(key, "doc_id").distinct(), key), "members")
+    least = members.groupBy("group").agg(F.min(F.struct("doc_id", key)).alias("least")).select("group", F.col("least")[key].alias("kept_key"))
+    dropped = members.join(least, "group").where(F.col(key) != F.col("kept_key")).select(key)
+    repeated = members.where("n > 1").select(key)
+    kept = keyed.join(dropped, key, "left_anti")
+    order = Window.partitionBy(key).orderBy(*(c for c in docs.columns if c not in ("doc_id", "text")), F.lit(0))
+    one = kept.join(repeated, key, "left_semi").withColumn("_row_number", F.row_number().over(order)).where("_row_number = 1")
+    return kept.join(repeated, key, "left_anti").select(*docs.columns).union(one.select(*docs.columns))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain no benchmark item."""
-    found = contained_items(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    """Documents that contain no benchmark item, each judged by its own text,
+    whatever its id."""
+    key = "_text_key"
+    keyed = docs.withColumn(key, F.xxhash64(text_of(docs["text"])))
+    found = contained_items(keyed.select(F.col(key).alias("doc_id"), "text"), table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias(key)).distinct()
+    return keyed.join(found, key, "left_anti").select(*docs.columns)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

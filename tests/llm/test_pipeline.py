@@ -89,3 +89,22 @@ def test_packing_odd_rows(spark, odd):
     got = P.pack_sequences(spark, odd, SF).collect()
     assert sorted(str(r["doc_id"]) for r in got if r["piece"] == 0) == sorted(str(r[0]) for r in odd.collect())
     assert P.pack_sequences(spark, odd.where("false"), SF).count() == 0
+
+
+def repeated(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+
+
+def test_near_copies_of_repeated_ids(spark):
+    """Only the linked row of an id goes, and of equal rows one stays."""
+    p, q, r = (" ".join(f"{c}{i}" for i in range(40)) for c in "pqr")
+    keep = [(1, p, "en", "a", 1), (5, q, "en", "a", 1), (7, r, "en", "a", 2), (7, "", "en", "a", 0), (7, "", "en", "a", 0), (None, p, "en", "a", 1), (None, p, "en", "a", 1)]
+    gone = [(5, p + " end", "en", "a", 1), (7, r, "en", "a", 3), (7, r, "en", "b", 2), (1, p, "en", "a", 1), (9, r + " end", "en", "a", 1)]
+    assert rows_of(P.drop_near_copies(spark, repeated(spark, keep + gone), SF)) == sorted(keep, key=str)
+
+
+def test_contaminated_rows_of_repeated_ids(spark):
+    item = max((r["text"] for r in table(spark, SF, "benchmark").collect()), key=len)
+    keep = [(1, "clean words only, none of them an item of any test", "en", "a", 1), (None, "clean as well", "en", "a", 1), (2, None, "en", "a", None)]
+    gone = [(1, f"see {item} here", "en", "a", 1), (None, item, "en", "a", 1), (2, item, "en", "a", 1)]
+    assert rows_of(P.drop_contaminated(spark, repeated(spark, keep + gone), SF)) == sorted(keep, key=str)
