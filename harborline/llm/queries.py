@@ -31,8 +31,6 @@ QUERIES = {
 #: lexicons. Those are held against brute force in ``tests/llm``.
 ORACLES: dict[str, str] = {
     "op5_entropy_secrets": entropy_secrets.oracle_sql(),
-    "op7_jaccard_join": op7_jaccard_join,
-    "op8_substring_dedup": op8_substring_dedup,
     "op8_substring_dedup": substring_dedup.oracle_sql(),
     "op10_decontamination": decontamination.oracle_sql(),
 }
