@@ -166,7 +166,8 @@ def _tree(row: dict, slots: dict) -> list[list[bytes]]:
 def _tops(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = [(row["key"], row["block"], row["n"], bytes.fromhex(_tree(row, slots)[-1][0].decode())) for row, slots in _blocks_of(batch)]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [()] * 4, (pa.string(), pa.int64(), pa.int64(), pa.binary()), strict=True)], ["key", "block", "n", "leaf"])
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.string(), pa.int64(), pa.int64(), pa.binary()), strict=True)], ["key", "at", "n", "leaf"])
 
 
 def _paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,25 +179,29 @@ def _paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array([row["key"]] * len(path), pa.string()), pa.array(at, pa.int64()), pa.array(path, pa.string())], ["key", "at", "path"])
 
 
-def blocks(nodes: DataFrame, payload: list[str]) -> DataFrame:
-    """``key, block, n, slots`` from ``key, at, n`` and ``payload``."""
+def blocks(nodes: DataFrame, sizes: DataFrame, payload: list[str]) -> DataFrame:
+    """``key, block, n, slots`` from ``key, at`` and ``payload``, and ``key,
+    n``. The sizes meet blocks, not nodes, so a large source is not dealt by
+    its key alone."""
     slot = F.struct(F.expr(f"CAST(at % {BLOCK} AS INT)").alias("slot"), *payload)
-    grouped = nodes.withColumn("block", F.expr(f"at div {BLOCK}")).groupBy("key", "block")
-    return grouped.agg(F.first("n").alias("n"), F.array_sort(F.collect_list(slot)).alias("slots"))
+    grouped = nodes.groupBy("key", F.expr(f"at div {BLOCK}").alias("block"))
+    return grouped.agg(F.array_sort(F.collect_list(slot)).alias("slots")).join(sizes, "key").select("key", "block", "n", "slots")
 
 
-def climb(stages: Stages, nodes: DataFrame, payload: list[str], label: str) -> tuple[list[DataFrame], DataFrame]:
-    """Rounds of blocks over ``key, at, n`` (nodes of the key), ``leaf`` and
-    ``payload``, and ``key, leaf`` of the one digest left of each key."""
+def climb(stages: Stages, nodes: DataFrame, sizes: DataFrame, payload: list[str], label: str) -> tuple[list[DataFrame], DataFrame]:
+    """Rounds of blocks over nodes (``key, at, leaf`` and ``payload``) and the
+    number of each key's (``key, n``), and ``key, leaf`` of the one digest
+    left of each key."""
     rounds, roots = [], None
     while True:
-        rounds.append(stages.write(blocks(nodes, payload), f"{label}-{len(rounds)}"))
-        tops = stages.write(rounds[-1].mapInArrow(_tops, "key string, block long, n long, leaf binary"), f"{label}-tops-{len(rounds)}")
+        rounds.append(stages.write(blocks(nodes, sizes, payload), f"{label}-{len(rounds)}"))
+        tops = stages.write(rounds[-1].mapInArrow(_tops, "key string, at long, n long, leaf binary"), f"{label}-tops-{len(rounds)}")
         done = tops.where(f"n <= {BLOCK}").select("key", "leaf")
         roots = done if roots is None else roots.unionByName(done)
-        nodes, payload = tops.where(f"n > {BLOCK}").select("key", F.col("block").alias("at"), F.expr(f"(n + {BLOCK - 1}) div {BLOCK}").alias("n"), "leaf"), ["leaf"]
+        nodes, payload = tops.where(f"n > {BLOCK}").select("key", "at", "leaf"), ["leaf"]
         if nodes.isEmpty():
             return rounds, roots
+        sizes = sizes.where(f"n > {BLOCK}").select("key", F.expr(f"(n + {BLOCK - 1}) div {BLOCK}").alias("n"))
 
 
 def descend(stages: Stages, rounds: list[DataFrame], above: DataFrame, label: str) -> DataFrame:
@@ -241,17 +246,18 @@ def manifest(docs: DataFrame) -> DataFrame:
     stages = Stages(spark, "merkle")
     rows = stages.write(leaves(docs), "leaves")
     nodes = stages.write(placed(stages, rows), "placed")
-    sizes = nodes.groupBy("key").agg(F.count("*").alias("n"))
-    rounds, subroots = climb(stages, nodes.join(sizes, "key"), ["doc_id", "leaf", "altered"], "blocks")
+    sizes = stages.write(nodes.groupBy("key").agg(F.count("*").alias("n")), "sizes")
+    rounds, subroots = climb(stages, nodes, sizes, ["doc_id", "leaf", "altered"], "blocks")
     subroots = stages.write(subroots, "subroots")
-    sources = stages.write(number_rows(subroots, [F.col("key")]).withColumnRenamed("row_no", "at").withColumnRenamed("key", "source"), "sources")
-    over, root = climb(stages, sources.withColumn("key", F.lit("")).withColumn("n", F.lit(sources.count())), ["leaf"], "sources-blocks")
+    sources = stages.write(number_rows(subroots, [F.col("key")]).withColumnRenamed("row_no", "at").withColumnRenamed("key", "source").withColumn("key", F.lit("")), "sources")
+    n_sources = spark.createDataFrame([("", sources.count())], "key string, n long")
+    over, root = climb(stages, sources, n_sources, ["leaf"], "sources-blocks")
     root = root.first()
     if root is None:
         return spark.createDataFrame([], PROOF)
     top = descend(stages, over, spark.createDataFrame([("", "")], "key string, above string"), "sources")
     paths = top.mapInArrow(_paths, "key string, at long, path string").select("at", F.col("path").alias("above"))
-    above = stages.write(sources.join(paths, "at").select(F.col("source").alias("key"), "above"), "above")
+    above = stages.write(sources.drop("key").join(paths, "at").select(F.col("source").alias("key"), "above"), "above")
     named = subroots.select("key", F.lower(F.hex("leaf")).alias("subroot"), F.lit(root["leaf"].hex()).alias("root"))
     found = descend(stages, rounds, above, "leaves").join(named, "key")
     return found.mapInArrow(_proofs, PROOF)
