@@ -184,8 +184,9 @@ def distinct_blocks(stages: Stages, rows: DataFrame) -> DataFrame:
     it owns none)."""
     once = rows.groupBy("key").agg(F.min("conv_id").alias("conv_id"), F.count("*").alias("n"), *(F.first(c).alias(c) for c in ("parent", "block", "nodes", "bytes")))
     once = stages.write(once, "distinct-blocks")
-    alone = once.groupBy("parent").agg(F.count("*").alias("n")).where("n = 1").select("parent", F.lit(False).alias("split"))
-    once = stages.write(once.join(alone, "parent", "left").withColumn("split", F.coalesce("split", F.lit(True))), "siblings")
+    # joined by the block, not by the parent, which may have any number of them
+    alone = once.groupBy("parent").agg(F.count("*").alias("n"), F.min("key").alias("key")).where("n = 1").select("key", F.lit(False).alias("split"))
+    once = stages.write(once.join(alone, "key", "left").withColumn("split", F.coalesce("split", F.lit(True))), "siblings")
     turns = _turns_of(once.where("split")).select("key", "conv_id", "i", "node")
     owners = turns.groupBy("node").agg(F.min("conv_id").alias("owner"))
     first = turns.join(owners, "node").where("conv_id = owner").groupBy("key").agg(F.min("i").alias("first"))
