@@ -45,7 +45,7 @@ def brute(rows):
     """Spans of each row of (id, text)."""
     texts = [(i, t or "") for i, t in rows]
     words = lambda t: re.finditer(r"[^\W_]+", t)
-    has, near, places, n_term = defaultdict(set), defaultdict(set), defaultdict(list), Counter()
+    has, near, beside, places, n_term = defaultdict(set), defaultdict(set), defaultdict(set), defaultdict(list), Counter()
     for k, (i, t) in enumerate(texts):
         key = (i, t)
         spans = base(t)
@@ -61,6 +61,7 @@ def brute(rows):
                     s = (m.start() + at, m.end() + at)
                     if not cut(m.span(), len(part)):
                         near[e, m[0].lower()].add(key)
+                        beside[m[0].lower()].add(key)
                         places[key].append((e, m[0].lower(), *s))
     n, out = len(texts), []
     for i, t in texts:
@@ -68,7 +69,7 @@ def brute(rows):
         for e, w, a, z in places[i, t]:
             both, of_e = len(near[e, w]), len(has[e])
             if both >= D.SUPPORT and of_e < n:
-                share = math.log2(n * both / (n_term[w] * of_e)) / math.log2(n / of_e)
+                share = math.log2(n * both / ((n_term[w] or len(beside[w])) * of_e)) / math.log2(n / of_e)
                 best[a, z] = max(share, best.get((a, z), -9))
         added = [("removed" if s >= D.REMOVE else "generalised", a, z) for (a, z), s in best.items() if s >= D.GENERALISE]
         order = lambda s: (D.KINDS.index(s[0]), s[1])
