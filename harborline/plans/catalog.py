@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from harborline.functions.casts import lenient, strict
 from harborline.functions.dates import calendar, event_date
 from harborline.operators import commitlog, merge, paging, predicates
-from harborline.operators.spatial import in_any_zone
+from harborline.operators.spatial import in_any_zone, tag_zones
 from harborline.plans import fixtures as fx
 from harborline.schemas import CHOKEPOINTS, MASTER, PORTS
 from harborline.session import materialize, scratch_path
@@ -22,7 +22,7 @@ from harborline.sources import pages as pg
 from harborline.sources import tables
 from harborline.sources.zones import zones_frame
 from harborline.streaming import messages as M
-from harborline.streaming import runner
+from harborline.streaming import runner, running
 
 TARGET_BEFORE = "2024-01-21 00:00:00"   # prior load saw events before this
 SOURCE_FROM = "2024-01-15 00:00:00"     # this load re-reads events from here
@@ -474,6 +474,66 @@ def ais_summary_stream(spark: SparkSession, sf: str) -> DataFrame:
     return runner.traffic_summary(spark, f"{root}/sinks")
 
 
+# what the sink may hold back: two of the fixture's six writes of 5 days
+LATE, WINDOW = "10 days", "1 day"
+
+
+def _sunk(spark, sf, root):
+    stream = runner.read_messages(spark, fx.landed_in_order(spark, sf), max_files_per_trigger=4)
+    runner.run_for(runner.start_sink(runner.traffic(stream, zones_frame(spark)), root))
+    return running.follow_sink(spark, root, max_files_per_trigger=4)
+
+
+def ais_distinct_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The vessels seen, each appended once by streaming state that follows
+    the message sink over several micro-batches."""
+    root = scratch_path(spark, "ais_ships")
+    running.run_all([running.start(running.ships(_sunk(spark, sf, root)), root, "ships")])
+    return running.read_ships(spark, root)
+
+
+def ais_counts_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The windows that the watermark has closed, with running totals."""
+    root = scratch_path(spark, "ais_counts")
+    running.run_all([running.start(running.counts(_sunk(spark, sf, root), WINDOW, LATE), root, "counts")])
+    return running.read_counts(spark, root)
+
+
+def ais_running_job(spark: SparkSession, sf: str) -> DataFrame:
+    """The traffic job with its running figures, over everything landed."""
+    from harborline.plans import jobs
+
+    return jobs.traffic_running(spark, fx.landed_in_order(spark, sf), zones_frame(spark), scratch_path(spark, "ais_running"),
+                                window=WINDOW, late=LATE)
+
+
+def ais_resume_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The totals of a run that was stopped after its first micro-batch and
+    started again from its checkpoint: those of one run."""
+    root = scratch_path(spark, "ais_resume")
+    landing = fx.landed_in_order(spark, sf)
+
+    def query(available_now):
+        stream = runner.read_messages(spark, landing, max_files_per_trigger=2)
+        return runner.start_sink(runner.traffic(stream, zones_frame(spark), STREAM_START, STREAM_SECONDS), root, available_now)
+
+    runner.run_batches(query(False), 1)
+    runner.run_for(query(True))
+    return runner.traffic_summary(spark, root)
+
+
+def zone_traffic(spark: SparkSession, sf: str) -> DataFrame:
+    """Messages and distinct vessels of each zone; zones overlap."""
+    zones = zones_frame(spark, fx.overlapping_zones())
+    return M.zone_traffic(tag_zones(M.valid_ship(_parsed(spark, sf)), zones))
+
+
+def zone_tags(spark: SparkSession, sf: str) -> DataFrame:
+    """Every pair of a point and a zone that it lies in."""
+    pts = fx.zone_points(_events(spark, sf)).select("event_id", "latitude", "longitude")
+    return tag_zones(pts, zones_frame(spark, fx.overlapping_zones())).select("event_id", "zone")
+
+
 QUERIES = {
     "upsert_chokepoints": upsert_chokepoints,
     "upsert_ports": upsert_ports,
@@ -522,4 +582,10 @@ QUERIES = {
     "ais_duration": ais_duration,
     "ais_summary": ais_summary,
     "ais_summary_stream": ais_summary_stream,
+    "ais_distinct_stream": ais_distinct_stream,
+    "ais_counts_stream": ais_counts_stream,
+    "ais_running_job": ais_running_job,
+    "ais_resume_stream": ais_resume_stream,
+    "zone_traffic": zone_traffic,
+    "zone_tags": zone_tags,
 }

@@ -356,6 +356,29 @@ def landed_messages_path(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+def landed_in_order(spark: SparkSession, sf_dir: str, steps: int = 6) -> str:
+    """The feed landed in `steps` writes, one after the other in the order of
+    arrival, as a collector does; each covers an equal span of time."""
+    from harborline.session import scratch_path, spread
+
+    path = scratch_path(spark, "ais_ordered")
+    events = spread(read(spark, sf_dir, "events"))
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    bounds = [first + (last - first) / steps * i for i in range(1, steps)]
+    for lo, hi in zip([None, *bounds], [*bounds, None]):
+        part = events if lo is None else events.where(F.col("ts") >= ts_ntz(str(lo)))
+        part = part if hi is None else part.where(F.col("ts") < ts_ntz(str(hi)))
+        messages(part).write.mode("append").parquet(path)
+    return path
+
+
+def overlapping_zones() -> list[tuple]:
+    """The shipped zones, their surroundings (a degree more on each side), and
+    two of many cells that lie over some of them."""
+    near = [(f"Off {z[0]}", z[1] - 1.0, z[2] - 1.0, z[3] + 1.0, z[4] + 1.0) for z in SHIPPED_ZONES]
+    return SHIPPED_ZONES + near + [("East", -60.0, 90.0, 60.0, 180.0), ("Tropics", -23.5, -180.0, 23.5, 180.0)]
+
+
 def landed_pages_path(spark: SparkSession, sf_dir: str, page_size: int, inject_stops: bool,
                       cut_page: int | None = None, mixed: bool = False) -> str:
     """Service responses stored as a page log (JSON lines with a request/offset

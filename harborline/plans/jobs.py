@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import logging
+import time
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +30,7 @@ from harborline.schemas import DATASETS
 from harborline.session import Staging
 from harborline.sources import pages as pg
 from harborline.sources import tables
-from harborline.streaming import runner
+from harborline.streaming import runner, running
 
 log = logging.getLogger(__name__)
 
@@ -218,3 +219,35 @@ def traffic_summary(spark, landing: str | None, zones: DataFrame, sink_root: str
                               processing_time="5 seconds" if live else None)
     runner.run_for(query, duration_sec if live else None)
     return runner.traffic_summary(spark, sink_root)
+
+
+def traffic_running(spark, landing: str | None, zones: DataFrame, sink_root: str, duration_sec: int | None = None,
+                    fmt: str = "parquet", window: str = "1 minute", late: str = "1 minute", **options) -> DataFrame:
+    """The message stream with running figures: distinct vessels and messages
+    by window, as streaming state beside the message sink. Runs for
+    `duration_sec`, all three queries at a time, or over everything landed so
+    far; a later call with the same `sink_root` goes on where this one ended.
+    Returns the totals as of the end (`running.totals`)."""
+    if fmt != "kafka":
+        options = {"recursiveFileLookup": "true", **options}
+
+    how = {"available_now": duration_sec is None, "processing_time": None if duration_sec is None else "5 seconds"}
+
+    def followers(**how):
+        yield running.start(running.ships(running.follow_sink(spark, sink_root)), sink_root, "ships", **how)
+        yield running.start(running.counts(running.follow_sink(spark, sink_root), window, late), sink_root, "counts", **how)
+
+    flow = runner.traffic(runner.read_messages(spark, landing, fmt, **options), zones)
+    deadline = None if duration_sec is None else time.monotonic() + duration_sec
+    query = runner.start_sink(flow, sink_root, **how)
+    if duration_sec is None:
+        running.run_all([query])
+    else:
+        # the sink can be followed once it has committed its first files
+        while query.isActive and time.monotonic() < deadline and not running.sink_has_files(spark, sink_root):
+            query.awaitTermination(0.2)
+        live = list(followers(**how)) if running.sink_has_files(spark, sink_root) else []
+        running.run_all([query, *live], deadline - time.monotonic())
+    if running.sink_has_files(spark, sink_root):
+        running.run_all(list(followers()))  # what the sink has committed last
+    return running.totals(spark, sink_root)

@@ -321,6 +321,16 @@ UPSERT_HOT_TARGET = merge_sql(
     f"""SELECT * FROM ({HOT_ROWS}) WHERE portid IS NULL UNION ALL
     SELECT DISTINCT * REPLACE (capacity + CAST(portid AS BIGINT) % 2 AS capacity) FROM ({HOT_ROWS}) WHERE portid IS NOT NULL""")
 
+ALL_ZONES = (SHIPPED_ZONES + [("Off " + z[0], z[1] - 1.0, z[2] - 1.0, z[3] + 1.0, z[4] + 1.0) for z in SHIPPED_ZONES]
+             + [("East", -60.0, 90.0, 60.0, 180.0), ("Tropics", -23.5, -180.0, 23.5, 180.0)])
+TAGGED = f"""SELECT p.*, t.zone FROM ({ZONE_POINTS}) p JOIN (VALUES {", ".join(
+    f"('{z[0]}', {z[1]!r}::DOUBLE, {z[2]!r}::DOUBLE, {z[3]!r}::DOUBLE, {z[4]!r}::DOUBLE)" for z in ALL_ZONES)}) AS t(zone, a, b, c, d)
+  ON p.latitude BETWEEN t.a AND t.c AND p.longitude BETWEEN t.b AND t.d"""
+
+# windows of a day that the latest arrival less ten days has passed
+CLOSED = f"""SELECT date_trunc('day', received)::TIMESTAMP AS window_start, date_trunc('day', received)::TIMESTAMP + INTERVAL 1 DAY AS window_end, count(*) AS n_messages
+FROM ({IN_ZONE}) GROUP BY 1, 2 HAVING window_end <= (SELECT max(received) - INTERVAL 10 DAY FROM ({IN_ZONE}))"""
+
 ORACLES = {
     "upsert_chokepoints": UPSERT_CHOKEPOINTS,
     "upsert_ports": UPSERT_PORTS,
@@ -395,4 +405,11 @@ WHERE message_type IN ('PositionReport', 'StandardClassBPositionReport')""",
     "ais_duration": f"SELECT received, mmsi, message_type FROM ({VALID}) WHERE received <= TIMESTAMP '2024-01-16 00:00:00'",
     "ais_summary": AIS_SUMMARY,
     "ais_summary_stream": AIS_SUMMARY,
+    "ais_distinct_stream": f"SELECT DISTINCT CAST(mmsi AS VARCHAR) AS ship_id FROM ({IN_ZONE})",
+    "ais_counts_stream": f"SELECT *, CAST(sum(n_messages) OVER (ORDER BY window_start) AS BIGINT) AS running_messages FROM ({CLOSED})",
+    "ais_running_job": f"""SELECT max(window_end) AS counted_until, CAST(sum(n_messages) AS BIGINT) AS total_messages,
+  (SELECT count(DISTINCT mmsi) FROM ({IN_ZONE})) AS unique_ships FROM ({CLOSED})""",
+    "ais_resume_stream": AIS_SUMMARY,
+    "zone_traffic": f"SELECT zone, count(*) AS total_messages, count(DISTINCT user_id) AS unique_ships FROM ({TAGGED}) WHERE user_id <> 0 GROUP BY zone",
+    "zone_tags": f"SELECT event_id, zone FROM ({TAGGED})",
 }

@@ -102,3 +102,10 @@ def summary(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("total_messages"),
                   F.count_distinct("ship_id").alias("unique_ships"))
 
+
+def zone_traffic(tagged: DataFrame, tag: str = "zone") -> DataFrame:
+    """Messages and exact number of distinct vessels of each zone, from
+    messages tagged by `spatial.tag_zones`. Vessels are de-duplicated map-side
+    by (zone, vessel), so a busy zone does not gather its messages."""
+    return tagged.groupBy(tag).agg(F.count(F.lit(1)).alias("total_messages"),
+                                   F.count_distinct("ship_id").alias("unique_ships"))

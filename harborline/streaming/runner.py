@@ -81,6 +81,18 @@ def run_for(query, seconds: float | None = None) -> None:
         query.stop()
 
 
+def run_batches(query, n: int, step: float = 0.05) -> None:
+    """Wait until `n` micro-batches are done (or the query ends), then stop
+    it; the checkpoint keeps what they did. A failure is raised here."""
+    try:
+        while query.isActive and (query.lastProgress is None or query.lastProgress["batchId"] + 1 < n):
+            query.awaitTermination(step)
+        if not query.isActive:
+            query.awaitTermination()
+    finally:
+        query.stop()
+
+
 def read_sink(spark: SparkSession, sink_root: str, what: str = "messages") -> DataFrame:
     """All messages of a sink, or its 'positions' or 'statics' (only their
     folder is read)."""

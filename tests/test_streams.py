@@ -129,3 +129,91 @@ def test_sink_holds_each_kind(spark, workdir):
     for what, frame in (("positions", M.positions(batch)), ("statics", M.statics(batch))):
         got = runner.read_sink(spark, os.path.join(workdir, "sinks"), what)
         assert got.count() == frame.count() > 0 and got.exceptAll(frame).isEmpty()
+
+
+def _land(spark, path, lo, hi, n=40):
+    items = [(i, _m("PositionReport", mmsi=100 + i % 7 + (i // n) * 3)) for i in range(lo, hi)]
+    _msgs(spark, items).coalesce(2).write.mode("append").parquet(path)
+
+
+def test_running_figures_over_several_calls(spark, workdir):
+    """Two calls over a growing landing give the figures of one over all of
+    it; state holds a row a vessel, and a few windows."""
+    from harborline.plans import jobs
+    from harborline.streaming import running
+
+    landing, root, once = (os.path.join(workdir, d) for d in ("l", "r", "o"))
+    z = zones_frame(spark)
+    _land(spark, landing, 0, 60)
+    first = jobs.traffic_running(spark, landing, z, root, window="10 seconds", late="20 seconds").first()
+    assert (first["total_messages"], first["unique_ships"]) == (30, 10)  # 59 s less 20 s: closed up to 30 s
+    _land(spark, landing, 60, 200)
+    second = jobs.traffic_running(spark, landing, z, root, window="10 seconds", late="20 seconds").first()
+    whole = jobs.traffic_running(spark, landing, z, once, window="10 seconds", late="20 seconds").first()
+    assert second == whole and second["counted_until"] == T + dt.timedelta(seconds=170) and second["total_messages"] == 170
+    ships = running.start(running.ships(running.follow_sink(spark, once)), os.path.join(workdir, "again"), "ships")
+    running.run_all([ships])
+    n = running.state_size(ships)
+    assert n["rows"] == second["unique_ships"] == running.read_ships(spark, root).count() and n["bytes"] > 0
+    counts = running.read_counts(spark, root).orderBy("window_start").collect()
+    assert [r["running_messages"] for r in counts] == [10 * (i + 1) for i in range(17)]
+
+
+def test_live_running_job_stops_in_time(spark, workdir):
+    from harborline.plans import jobs
+
+    landing = os.path.join(workdir, "l")
+    _land(spark, landing, 0, 100)
+    got = jobs.traffic_running(spark, landing, zones_frame(spark), os.path.join(workdir, "r"), duration_sec=12, window="10 seconds", late="20 seconds").first()
+    assert (got["total_messages"], got["unique_ships"]) == (70, 13)
+
+
+def test_nothing_landed(spark, workdir):
+    from harborline.plans import jobs
+
+    landing = os.path.join(workdir, "l")
+    _land(spark, landing, 0, 0)
+    got = jobs.traffic_running(spark, landing, zones_frame(spark), os.path.join(workdir, "r")).first()
+    assert (got["counted_until"], got["total_messages"], got["unique_ships"]) == (None, 0, 0)
+
+
+def test_stop_and_resume(spark, workdir):
+    """A run stopped after its first micro-batch and started again has the
+    rows of one run, each once."""
+    landing, root = os.path.join(workdir, "l"), os.path.join(workdir, "s")
+    for i in range(5):
+        _land(spark, landing, 20 * i, 20 * i + 20)
+    def query(now):
+        return runner.start_sink(runner.traffic(runner.read_messages(spark, landing, max_files_per_trigger=1), zones_frame(spark)), root, now)
+    runner.run_batches(query(False), 1)
+    before = runner.read_sink(spark, root).count()
+    assert 0 < before < 100
+    runner.run_for(query(True))
+    got = runner.read_sink(spark, root)
+    assert got.count() == got.select("received").distinct().count() == 100
+
+
+def test_failure_is_raised_and_the_run_can_go_on(spark, workdir):
+    """A landing file that cannot be read fails the run; with the file mended
+    the next start has all rows once."""
+    import pytest
+    from pyspark.errors import StreamingQueryException
+
+    landing, root = os.path.join(workdir, "l"), os.path.join(workdir, "s")
+    _land(spark, landing, 0, 20)
+    def query():
+        return runner.start_sink(runner.traffic(runner.read_messages(spark, landing), zones_frame(spark)), root)
+    runner.run_for(query())
+    bad = os.path.join(landing, "part-bad.parquet")
+    with open(bad, "wb") as f:
+        f.write(b"PAR1 no parquet PAR1")
+    with pytest.raises(StreamingQueryException):
+        runner.run_for(query())
+    _land(spark, os.path.join(workdir, "good"), 20, 40)
+    good = next(f for f in os.listdir(os.path.join(workdir, "good")) if f.endswith(".parquet"))
+    with open(bad, "wb") as f, open(os.path.join(workdir, "good", good), "rb") as g:
+        f.write(g.read())
+    runner.run_for(query())
+    got = runner.read_sink(spark, root)
+    n = 20 + spark.read.parquet(os.path.join(workdir, "good", good)).count()
+    assert got.count() == got.select("received").distinct().count() == n

@@ -78,3 +78,28 @@ def test_wild_coordinates_are_in_no_zone(spark):
     for n in (1, 300):
         zones = zones_frame(spark, [("z%d" % i, 25.0, 56.0, 26.0, 57.0 + i / 1000) for i in range(n)] + [("all", -90.0, -180.0, 90.0, 180.0)])
         assert [r["id"] for r in in_any_zone(pts, zones).collect()] == [1]
+
+
+def test_tags_equal_the_bounds(spark):
+    """Every pair of a point and a zone, once: overlapping zones, points on
+    edges and cell corners, zones of both cell sizes, wild coordinates."""
+    import random
+
+    from harborline.operators.spatial import tag_zones
+    from harborline.sources.zones import zones_frame
+
+    rng = random.Random(4)
+    zones = [(f"z{i}", *(rng.choice([-90.0, -30.0, 0.0, 1.0, 12.5, 30.0, 90.0]) for _ in range(4))) for i in range(40)]
+    zones += [("same", 0.0, 0.0, 2.0, 2.0), ("same", 1.0, 1.0, 3.0, 3.0), ("dot", 5.0, 5.0, 5.0, 5.0)]
+    at = [-90.0, -30.0, 0.0, 0.5, 1.0, 2.0, 5.0, 12.5, 30.0, 90.0, float("nan"), None, 1e9]
+    points = [(i, a, o) for i, (a, o) in enumerate((a, o) for a in at for o in at)]
+    frame = spark.createDataFrame(points, "id long, latitude double, longitude double")
+    def inside(p, z):
+        return all(v is not None and v == v and min(z[k], z[k + 2]) <= v <= max(z[k], z[k + 2]) and abs(v) <= (90 if k == 1 else 180) for k, v in ((1, p[1]), (2, p[2])))
+    want = sorted({(p[0], z[0]) for p in points for z in zones if inside(p, z)})
+    for fine_cells in (64, 0):
+        got = tag_zones(frame, zones_frame(spark, zones), fine_cells=fine_cells)
+        assert sorted((r["id"], r["zone"]) for r in got.collect()) == want
+    import pytest
+    with pytest.raises(ValueError):
+        tag_zones(frame.withColumn("zone", frame["id"]), zones_frame(spark, zones))
