@@ -3,10 +3,15 @@
 A load writes its data to a folder of its own, then appends its row: author,
 message `Upsert {n} rows into {table} (Range: {min} to {max})`, table, row
 count and date range of the loaded set, time, `snapshot` (the folder) and
-`months` (those that the folder replaces; null for a whole table). Readers take
+`months` (those that the folder replaces; null for a whole table), `cursor` (the
+latest ingest that the load took, of one from a staged landing). Readers take
 from the log which folders count, so a load that stopped before its row left
 nothing to be seen, and the row is one file that appears at once.
 
+Every state of a table that has not been removed can be read again: the log's
+rows up to a commit, or up to a time, name the folders that held its months
+then (`months_at`).
+
 Snapshots sort by the time they were written, whatever `committed_at` the
 caller gives; one writer at a time is assumed for a table.
 """
@@ -39,13 +44,14 @@ def new_snapshot() -> str:
 
 
 def append(log_path: str, summary_df: DataFrame, committed_at: Column | None = None,
-           snapshot: str | None = None, months: list | None = None) -> None:
+           snapshot: str | None = None, months: list | None = None, cursor: int | None = None) -> None:
     committed_at = F.current_timestamp() if committed_at is None else committed_at
     listed = F.lit(None) if months is None else F.array(*[F.lit(m) for m in months])
     row = summary_df.select(*[c for c in summary_df.columns],
                             committed_at.cast("timestamp").alias("committed_at"),
                             F.lit(snapshot).cast("string").alias("snapshot"),
-                            listed.cast("array<date>").alias("months"))
+                            listed.cast("array<date>").alias("months"),
+                            F.lit(cursor).cast("bigint").alias("cursor"))
     row.select(*[f.name for f in COMMIT_LOG.fields]).coalesce(1) \
         .write.mode("append").parquet(log_path)
 
@@ -55,8 +61,13 @@ def read(spark: SparkSession, log_path: str) -> DataFrame:
 
 
 def _committed(spark: SparkSession, log_path: str, table: str) -> DataFrame | None:
+    rows = _rows(spark, log_path, table)
+    return None if rows is None else rows.where(F.col("snapshot").isNotNull())
+
+
+def _rows(spark: SparkSession, log_path: str, table: str) -> DataFrame | None:
     try:
-        return read(spark, log_path).where((F.col("table") == table) & F.col("snapshot").isNotNull())
+        return read(spark, log_path).where(F.col("table") == table)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -69,11 +80,52 @@ def latest_snapshot(spark: SparkSession, log_path: str, table: str) -> str | Non
     return None if rows is None else rows.agg(F.max("snapshot").alias("s")).first()["s"]
 
 
+def latest_cursor(spark: SparkSession, log_path: str, table: str) -> int | None:
+    """The latest ingest that the table's loads have taken."""
+    rows = _rows(spark, log_path, table)
+    return None if rows is None else rows.agg(F.max("cursor").alias("c")).first()["c"]
+
+
 def current_months(spark: SparkSession, log_path: str, table: str) -> dict:
     """{month: the newest committed folder that holds it}; one entry for each
     month that the table has."""
+    return months_at(spark, log_path, table)
+
+
+def months_at(spark: SparkSession, log_path: str, table: str, commit: str | None = None, time=None, before: str | None = None) -> dict:
+    """{month: folder} as it was after `commit` (a snapshot's name), before
+    the commit `before`, or at `time` (by `committed_at`); now if none is
+    given. A commit that the table does not have is an error."""
     rows = _committed(spark, log_path, table)
+    for c in (commit, before):
+        if c is not None and (rows is None or rows.where(F.col("snapshot") == c).isEmpty()):
+            raise ValueError(f"{table} has no commit {c}")
     if rows is None:
         return {}
+    if commit is not None:
+        rows = rows.where(F.col("snapshot") <= commit)
+    if before is not None:
+        rows = rows.where(F.col("snapshot") < before)
+    if time is not None:
+        rows = rows.where(F.col("committed_at") <= F.lit(time).cast("timestamp"))
     months = rows.select("snapshot", F.explode("months").alias("month")).groupBy("month").agg(F.max("snapshot").alias("s"))
     return {r["month"]: r["s"] for r in months.collect()}
+
+
+def commit_months(spark: SparkSession, log_path: str, table: str, commit: str) -> list:
+    """The months that a commit replaced."""
+    rows = _committed(spark, log_path, table)
+    found = None if rows is None else rows.where(F.col("snapshot") == commit).select("months").first()
+    if found is None:
+        raise ValueError(f"{table} has no commit {commit}")
+    return list(found["months"] or [])
+
+
+def replaced(spark: SparkSession, log_path: str, table: str, before) -> list[tuple]:
+    """(month, folder) that no state since `before` (by `committed_at`) reads."""
+    rows = _committed(spark, log_path, table)
+    if rows is None:
+        return []
+    pairs = rows.select("snapshot", (F.col("committed_at") > F.lit(before).cast("timestamp")).alias("recent"), F.explode("months").alias("month"))
+    kept = set(months_at(spark, log_path, table, time=before).items()) | set(months_at(spark, log_path, table).items())
+    return sorted((r["month"], r["snapshot"]) for r in pairs.where("NOT recent").collect() if (r["month"], r["snapshot"]) not in kept)

@@ -126,6 +126,29 @@ def changed_rows(merged: DataFrame) -> DataFrame:
     return merged.where(F.col("action").isin("insert", "update"))
 
 
+def difference(before: DataFrame, after: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """What makes `after` of `before`: each row that one has more often, with
+    `n_rows` (how much more often) and `action`:
+
+      insert  in `after`, and no row with its key has gone
+      update  in `after`, and a row with its key has gone
+      was     gone from `before`, and a row with its key has come
+      delete  gone from `before`, and none has come
+
+    Rows with a null key component are inserted or deleted. One grouping by
+    whole rows, partly done map-side (equal rows of both sides cancel out
+    there where they meet), then joins of what has changed by key."""
+    cols = before.columns
+    both = after.withColumn("_w", F.lit(1)).unionByName(before.withColumn("_w", F.lit(-1)))
+    changed = materialize(both.groupBy(*cols).agg(F.sum("_w").alias("_w")).where("_w <> 0"), "difference")
+    side = lambda sign, name: changed.where(f"_w {sign} 0").select(*keys).distinct().withColumn(name, F.lit(True))
+    marked = changed.join(side("<", "_gone"), list(keys), "left").join(side(">", "_come"), list(keys), "left")
+    new = F.col("_w") > 0
+    action = (F.when(new & F.col("_gone").isNotNull(), "update").when(new, "insert")
+              .when(F.col("_come").isNotNull(), "was").otherwise("delete"))
+    return marked.select(*cols, action.alias("action"), F.abs("_w").alias("n_rows"))
+
+
 def _names(schema) -> tuple[str, ...]:
     return tuple(f.name for f in schema.fields)
 

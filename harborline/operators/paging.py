@@ -26,9 +26,16 @@ def unreadable(pages: DataFrame) -> Column:
     return F.coalesce(F.col("unreadable"), F.lit(False)) if "unreadable" in pages.columns else F.lit(False)
 
 
+def n_features(pages: DataFrame) -> Column:
+    """Records of a page: its head, where the page came with one (then the
+    records themselves need not be read)."""
+    n = F.col("n_features") if "n_features" in pages.columns else F.size("features")
+    return F.greatest(F.coalesce(n, F.lit(0)), F.lit(0))
+
+
 def stop_flag(pages: DataFrame) -> Column:
     return (F.col("error").isNotNull() | unreadable(pages)
-            | (F.coalesce(F.size("features"), F.lit(0)) <= 0)
+            | (n_features(pages) <= 0)
             | ~F.coalesce(F.col("exceededTransferLimit"), F.lit(False)))
 
 
@@ -36,7 +43,7 @@ def request_ends(pages: DataFrame) -> DataFrame:
     """Per request: `_stop_at`, its first stop page, and `_gap_at`, the first
     page (or 0) that does not start where another one ends; null if none."""
     heads = materialize(pages.where(F.col("request").isNotNull()).select(
-        "request", "offset", F.greatest(F.coalesce(F.size("features"), F.lit(0)), F.lit(0)).alias("n"),
+        "request", "offset", n_features(pages).alias("n"),
         stop_flag(pages).alias("stop")), "page-heads")
     ends = heads.where("NOT stop").select("request", (F.col("offset") + F.col("n")).alias("offset")).distinct()
     gaps = heads.where("offset <> 0").join(ends, ["request", "offset"], "left_anti") \

@@ -175,7 +175,7 @@ def project_master(spark: SparkSession, sf: str) -> DataFrame:
 def master_scan(spark: SparkSession, sf: str) -> DataFrame:
     """Master pages (50 records a page) -> stop rule -> nameless rows dropped
     -> lenient casts -> ordered by name, then id."""
-    path = fx.landed_master_log_path(spark, sf, 50)
+    path = fx.landed_master_log_path(spark, sf, 50)  # some records have no name
     pages = pg.read_page_log(spark, path, "ports_db")
     return lenient(pg.master_rows(pages, meta=pg.read_page_log_meta(spark, path)),
                    MASTER).orderBy("portname", "portid")
@@ -479,9 +479,9 @@ LATE, WINDOW = "10 days", "1 day"
 
 
 def _sunk(spark, sf, root):
-    stream = runner.read_messages(spark, fx.landed_in_order(spark, sf), max_files_per_trigger=4)
+    stream = runner.read_messages(spark, fx.landed_in_order(spark, sf), max_files_per_trigger=16)
     runner.run_for(runner.start_sink(runner.traffic(stream, zones_frame(spark)), root))
-    return running.follow_sink(spark, root, max_files_per_trigger=4)
+    return running.follow_sink(spark, root, max_files_per_trigger=48)
 
 
 def ais_distinct_stream(spark: SparkSession, sf: str) -> DataFrame:
@@ -514,7 +514,7 @@ def ais_resume_stream(spark: SparkSession, sf: str) -> DataFrame:
     landing = fx.landed_in_order(spark, sf)
 
     def query(available_now):
-        stream = runner.read_messages(spark, landing, max_files_per_trigger=2)
+        stream = runner.read_messages(spark, landing, max_files_per_trigger=16)
         return runner.start_sink(runner.traffic(stream, zones_frame(spark), STREAM_START, STREAM_SECONDS), root, available_now)
 
     runner.run_batches(query(False), 1)
@@ -534,6 +534,109 @@ def zone_tags(spark: SparkSession, sf: str) -> DataFrame:
     return tag_zones(pts, zones_frame(spark, fx.overlapping_zones())).select("event_id", "zone")
 
 
+# ------------------------------------------------- new responses, commits
+def _plain_stamps(stored: DataFrame) -> DataFrame:
+    return (stored.drop(tables.MONTH).withColumn("created_at", F.col("created_at").cast("timestamp_ntz"))
+            .withColumn("updated_at", F.col("updated_at").cast("timestamp_ntz")))
+
+
+#: fetch day, event days from and to, whether a tenth of the events is missing yet
+FETCHES = [("2024-01-12", "2024-01-01", "2024-01-11", True), ("2024-01-20", "2024-01-09", "2024-01-19", False), ("2024-02-01", "2024-01-18", "2024-01-31", False)]
+
+
+def incremental_job(spark: SparkSession, sf: str) -> DataFrame:
+    """Three fetches land one after the other; after each, a load takes what
+    is new. The second and third correct days of the ones before."""
+    from harborline.plans import jobs
+
+    base = scratch_path(spark, "incremental")
+    ev = _events(spark, sf)
+    for fetch_day, first, last, partial in FETCHES:
+        rows = ev.where(predicates.between_days(fx.utc_day(ev), first, last))
+        rows = rows.where(F.col("event_id") % 10 != 0) if partial else rows
+        fx.land_stats(fx.chokepoint_stats(rows, fx.utc_day(ev)), f"{base}/landing", "daily_chokepoint", fetch_day, PAGE_SIZE)
+        jobs.load_new_chokepoints(spark, f"{base}/landing", f"{base}/stage", f"{base}/tables", "2024-01-01", "2024-01-31",
+                                  now=fx.NOW, as_of=fx.ts_ntz(f"{fetch_day} 00:00:00"))
+    return _plain_stamps(jobs.read_stats(spark, f"{base}/tables", "chokepoints"))
+
+
+def port_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """The port scan by ids and range, from a staged landing."""
+    from harborline.sources import landing
+
+    base = scratch_path(spark, "port_scan")
+    fx.land_stats(_port_stats(spark, sf), f"{base}/landing", "daily_port", "2024-02-01", PAGE_SIZE)
+    landing.ingest(spark, f"{base}/landing", f"{base}/stage", "daily_port")
+    rows = pg.stat_scan(landing.read_stage(spark, f"{base}/stage", "daily_port"), "daily_port", ids=["1", "2", "3", "10", "100"],
+                        start="2024-01-08", end="2024-01-12", now=fx.NOW)
+    return strict(rows, PORTS)
+
+
+def master_job(spark: SparkSession, sf: str) -> DataFrame:
+    """Both master tables from stored responses, loaded twice: chokepoints
+    (nations below 3, then the same), ports (below 15, then from 10 on).
+    Nameless records are dropped."""
+    from harborline.plans import jobs
+
+    root = scratch_path(spark, "master_job")
+    for ports, stamp in (("s_nationkey < 15", fx.PRIOR_LOAD), ("s_nationkey >= 10", fx.AS_OF)):
+        pages = [pg.read_page_log(spark, fx.landed_master_log_path(spark, sf, 50, where, dataset), dataset)
+                 for where, dataset in (("s_nationkey < 3", "chokepoints_db"), (ports, "ports_db"))]
+        jobs.load_masters(spark, *pages, root, as_of=fx.ts_ntz(stamp))
+    stored = [jobs.read_master(spark, root, t).withColumn("table", F.lit(t)) for t in ("chokepoints_master", "ports_master")]
+    return _plain_stamps(stored[0].unionByName(stored[1]))
+
+
+def project_master_text_key(spark: SparkSession, sf: str) -> DataFrame:
+    """Master rows whose missing keys are kept as the text 'None'."""
+    m = _master(spark, sf)
+    key = F.when(F.try_variant_get("portid", "$", "bigint") % 19 != 0, F.col("portid"))
+    return lenient(m.withColumn("portid", key), MASTER, null_key="text")
+
+
+def default_window_job(spark: SparkSession, sf: str) -> DataFrame:
+    """A load of the default window, then one that finds no rows: it writes
+    and logs nothing, so the log still has one row."""
+    from harborline.plans import jobs
+
+    base = scratch_path(spark, "default_window")
+    root, stats = f"{base}/tables", _chk_stats(spark, sf)
+    for fetch_day, part in (("2024-02-01", stats), ("2024-02-02", stats.where(predicates.between_days("event_date", "2024-01-01", "2024-01-05")))):
+        fx.land_stats(part, f"{base}/landing", "daily_chokepoint", fetch_day, PAGE_SIZE)
+        jobs.load_new_chokepoints(spark, f"{base}/landing", f"{base}/stage", root, now=fx.NOW, as_of=fx.ts_ntz(fx.AS_OF))
+    n_commits = jobs.commits(spark, root, "chokepoints").count()
+    return _plain_stamps(jobs.read_stats(spark, root, "chokepoints")).withColumn("n_commits", F.lit(n_commits).cast("bigint"))
+
+
+def _three_loads(spark, sf):
+    """A prior load, the backfill, and a later load of the last days."""
+    from harborline.plans import jobs
+
+    root = scratch_path(spark, "commits")
+    ev = _events(spark, sf)
+    jobs.load_stats(spark, fx.port_stats(ev.where(F.col("ts") < fx.ts_ntz(TARGET_BEFORE)), fx.shifted_day(ev)), root, "ports", as_of=fx.ts_ntz(fx.PRIOR_LOAD))
+    jobs.backfill_ports(spark, [*_backfill_feeds(ev)], root, "2024-01-10", "2024-01-25", as_of=fx.ts_ntz(fx.AS_OF))
+    jobs.load_stats(spark, _port_stats(spark, sf).where("event_date >= '2024-01-20'"), root, "ports", as_of=fx.ts_ntz("2024-02-05 00:00:00"))
+    return root, [r["snapshot"] for r in jobs.commits(spark, root, "ports").collect()]
+
+
+def stats_as_of(spark: SparkSession, sf: str) -> DataFrame:
+    """The table as it was after the second of three commits."""
+    from harborline.plans import jobs
+
+    root, snapshots = _three_loads(spark, sf)
+    return _plain_stamps(jobs.read_stats(spark, root, "ports", commit=snapshots[1]))
+
+
+def commit_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """The rows that the second of three commits wrote anew or changed."""
+    from harborline.plans import jobs
+
+    root, snapshots = _three_loads(spark, sf)
+    changed = jobs.commit_changes(spark, root, "ports", snapshots[1])
+    return _plain_stamps(changed.where("action IN ('insert', 'update')"))
+
+
 QUERIES = {
     "upsert_chokepoints": upsert_chokepoints,
     "upsert_ports": upsert_ports,
@@ -588,4 +691,11 @@ QUERIES = {
     "ais_resume_stream": ais_resume_stream,
     "zone_traffic": zone_traffic,
     "zone_tags": zone_tags,
+    "incremental_job": incremental_job,
+    "port_scan": port_scan,
+    "master_job": master_job,
+    "project_master_text_key": project_master_text_key,
+    "default_window_job": default_window_job,
+    "stats_as_of": stats_as_of,
+    "commit_changes": commit_changes,
 }

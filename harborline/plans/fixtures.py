@@ -16,7 +16,7 @@ Mapping (a fixture choice, not a behaviour of the loads):
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from harborline.schemas import MASTER_ATTRS
@@ -140,15 +140,16 @@ def raw_attributes(stats: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 # master records
 # ---------------------------------------------------------------------------
-def master_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Master attributes as JSON text (numbers and text mixed, NaN and n/a)."""
+def master_json(spark: SparkSession, sf_dir: str, nameless: bool = False) -> DataFrame:
+    """Master attributes as JSON text (numbers and text mixed, NaN and n/a).
+    `nameless`: every 23rd record has a null name, every 29th an empty one."""
     s = read(spark, sf_dir, "supplier")
     n = read(spark, sf_dir, "nation")
     k = F.col("s_suppkey")
     j = s.join(n, s.s_nationkey == n.n_nationkey, "left")
     attrs = F.struct(
         k.alias("portid"),
-        F.col("s_name").alias("portname"),
+        (F.when(k % 23 == 0, F.lit(None)).when(k % 29 == 0, F.lit("")).otherwise(F.col("s_name")) if nameless else F.col("s_name")).alias("portname"),
         F.col("n_name").alias("country"),
         F.concat(F.lit("N"), F.lpad(F.col("s_nationkey").cast("string"), 2, "0")).alias("ISO3"),
         F.concat(F.lit("REGION_"), F.col("n_regionkey")).alias("continent"),
@@ -178,18 +179,18 @@ def master_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select("s_suppkey", "s_nationkey", text.alias("json"))
 
 
-def master_page_text(spark: SparkSession, sf_dir: str, size: int) -> DataFrame:
+def master_page_text(spark: SparkSession, sf_dir: str, size: int, where: str = "true", dataset: str = "ports_db") -> DataFrame:
     """Master records as service responses (request, offset, body): one paged
     request per block of 100,000 ids, `size` records a page, the last page of
     each request not flagged as truncated."""
-    m = master_json(spark, sf_dir).withColumn(
-        "request", F.concat(F.lit("ports_db:"), F.floor((F.col("s_suppkey") - 1) / 100000).cast("string")))
-    last = m.groupBy("request").agg(F.max("s_suppkey").alias("mx"))  # one row per request
-    pages = (m.join(last, "request")
-             .withColumn("page", F.floor(((F.col("s_suppkey") - 1) % 100000) / size).cast("int"))
+    block = Window.partitionBy("request")
+    m = master_json(spark, sf_dir, nameless=True).where(where).withColumn(
+        "request", F.concat(F.lit(f"{dataset}:"), F.floor((F.col("s_suppkey") - 1) / 100000).cast("string")))
+    m = m.withColumn("rn", F.row_number().over(block.orderBy("s_suppkey")) - 1).withColumn("n", F.count(F.lit(1)).over(block))
+    pages = (m.withColumn("page", F.floor(F.col("rn") / size).cast("int"))
              .groupBy("request", "page")
              .agg(F.collect_list("json").alias("attrs"),  # at most `size` records
-                  F.max(F.col("s_suppkey") == F.col("mx")).alias("is_last")))
+                  F.max(F.col("rn") == F.col("n") - 1).alias("is_last")))
     body = F.concat(F.lit('{"features":['),
                     F.array_join(F.transform("attrs", lambda a: F.concat(F.lit('{"attributes":'), a, F.lit("}"))), ","),
                     F.lit('],"exceededTransferLimit":'),
@@ -368,7 +369,7 @@ def landed_in_order(spark: SparkSession, sf_dir: str, steps: int = 6) -> str:
     for lo, hi in zip([None, *bounds], [*bounds, None]):
         part = events if lo is None else events.where(F.col("ts") >= ts_ntz(str(lo)))
         part = part if hi is None else part.where(F.col("ts") < ts_ntz(str(hi)))
-        messages(part).write.mode("append").parquet(path)
+        messages(part).coalesce(8).write.mode("append").parquet(path)
     return path
 
 
@@ -395,12 +396,27 @@ def landed_pages_path(spark: SparkSession, sf_dir: str, page_size: int, inject_s
     return path
 
 
-def landed_master_log_path(spark: SparkSession, sf_dir: str, size: int) -> str:
+def land_stats(stats: DataFrame, landing: str, dataset: str, fetch_day: str, page_size: int) -> None:
+    """One day's fetch of `stats` (table rows) in the landing: a request for
+    each event day, `page_size` records a page."""
+    from harborline.sources.pages import page_log_lines
+
+    day = Window.partitionBy("event_date")
+    rows = stats.withColumn("request", F.concat(F.lit(f"{fetch_day}/"), F.col("event_date").cast("string")))
+    rows = rows.withColumn("rn", F.row_number().over(day.orderBy("portid")) - 1).withColumn("last", F.col("rn") == F.count(F.lit(1)).over(day) - 1)
+    raw = raw_attributes(rows.drop("request", "rn", "last")).columns
+    date = (F.unix_date("event_date").cast("bigint") * 86400000).cast("string").alias("date")
+    fields = [date if c == "date" else F.col("iso3").alias("ISO3") if c == "ISO3" else F.col(c) for c in raw]
+    pages = page_requests(rows.select("request", "rn", "last", F.struct(*fields).alias("attributes")), page_size, False)
+    page_log_lines(pages).write.text(f"{landing}/{dataset}/fetch_day={fetch_day}")
+
+
+def landed_master_log_path(spark: SparkSession, sf_dir: str, size: int, where: str = "true", dataset: str = "ports_db") -> str:
     """Master responses as a page log in the scratch folder, read back through
     the page-log reader with variant values."""
     from harborline.session import scratch_path
     from harborline.sources.pages import page_log_lines
 
     path = scratch_path(spark, "master-pages")
-    page_log_lines(master_page_text(spark, sf_dir, size)).write.text(path)
+    page_log_lines(master_page_text(spark, sf_dir, size, where, dataset)).write.text(path)
     return path

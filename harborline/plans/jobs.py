@@ -28,6 +28,7 @@ from harborline.functions.dates import as_date, month_start
 from harborline.operators import commitlog, merge, predicates
 from harborline.schemas import DATASETS
 from harborline.session import Staging
+from harborline.sources import landing as landed
 from harborline.sources import pages as pg
 from harborline.sources import tables
 from harborline.streaming import runner, running
@@ -60,10 +61,11 @@ def _empty_table(spark: SparkSession, schema) -> DataFrame:
              .withColumn("updated_at", F.lit(None).cast("timestamp"))
 
 
-def read_stats(spark: SparkSession, root: str, kind: str, start=None, end=None) -> DataFrame:
+def read_stats(spark: SparkSession, root: str, kind: str, start=None, end=None, commit: str | None = None, time=None) -> DataFrame:
     """The `kind` table ("chokepoints"/"ports") as committed, rows of
-    [start, end] (either bound optional)."""
-    months = commitlog.current_months(spark, f"{root}/_commits", TABLES[kind])
+    [start, end] (either bound optional); as it was after `commit` or at
+    `time`, if given."""
+    months = commitlog.months_at(spark, f"{root}/_commits", TABLES[kind], commit, time)
     lo, hi = (as_date(d).replace(day=1) if d else None for d in (start, end))
     months = {m: load for m, load in months.items() if (lo is None or m >= lo) and (hi is None or m <= hi)}
     rows = tables.read_loads(spark, _table_path(root, kind), months, _stats_schema(kind))
@@ -74,6 +76,32 @@ def read_stats(spark: SparkSession, root: str, kind: str, start=None, end=None)
     return rows
 
 
+def commits(spark: SparkSession, root: str, kind: str) -> DataFrame:
+    """The commit-log rows of a table, oldest first."""
+    return commitlog.read(spark, f"{root}/_commits").where(F.col("table") == TABLES[kind]).orderBy("snapshot")
+
+
+def commit_changes(spark: SparkSession, root: str, kind: str, commit: str) -> DataFrame:
+    """What a commit changed, as `merge.difference`: only the months that it
+    replaced are read, as they were before it and after."""
+    log_path, path = f"{root}/_commits", _table_path(root, kind)
+    touched = commitlog.commit_months(spark, log_path, TABLES[kind], commit)
+    earlier = commitlog.months_at(spark, log_path, TABLES[kind], before=commit)
+    sides = [{m: load for m, load in earlier.items() if m in touched}, {m: commit for m in touched}]
+    before, after = (tables.read_loads(spark, path, months, _stats_schema(kind)).drop(tables.MONTH) for months in sides)
+    return merge.difference(before, after, merge.SPECS[kind].keys)
+
+
+def remove_replaced(spark: SparkSession, root: str, kind: str, before) -> list[tuple]:
+    """Delete the month folders that later commits had replaced by `before`;
+    states since then can still be read. Returns (month, folder) of each."""
+    gone = commitlog.replaced(spark, f"{root}/_commits", TABLES[kind], before)
+    for month, load in gone:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{_table_path(root, kind)}/load={load}/{tables.MONTH}={month}")
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return gone
+
+
 def _stats_schema(kind: str):
     return DATASETS["daily_chokepoint" if kind == "chokepoints" else "daily_port"].table
 
@@ -86,8 +114,9 @@ def _counts(spark: SparkSession, merged: DataFrame) -> DataFrame:
 
 
 def load_stats(spark: SparkSession, source: DataFrame, root: str, kind: str,
-               as_of=None, dry_run: bool = False, author: str = AUTHOR) -> DataFrame | None:
+               as_of=None, dry_run: bool = False, author: str = AUTHOR, cursor: int | None = None) -> DataFrame | None:
     """Upsert typed statistics rows into the `kind` table ("chokepoints"/"ports").
+    `cursor` is kept in the commit-log row.
 
     Returns the per-action counts (also for a dry run, which writes nothing);
     None when the source is empty (nothing written, nothing logged)."""
@@ -112,7 +141,7 @@ def load_stats(spark: SparkSession, source: DataFrame, root: str, kind: str,
         snapshot = commitlog.new_snapshot() if changed else None
         if changed:
             tables.write_load(merged.where(F.col(tables.MONTH).isin(changed)).drop("action"), _table_path(root, kind), snapshot)
-        commitlog.append(log_path, commitlog.summary(source, TABLES[kind], author), _stamp(as_of), snapshot, changed)
+        commitlog.append(log_path, commitlog.summary(source, TABLES[kind], author), _stamp(as_of), snapshot, changed, cursor)
         return _counts(spark, merged)
 
 
@@ -153,6 +182,41 @@ def backfill_ports(spark, sources: list[DataFrame], root: str, start=None, end=N
     return load_stats(spark, rows, root, "ports", as_of, dry_run)
 
 
+def _new_pages(spark, landing: str, stage: str, dataset: str, log_path: str, table: str):
+    """What the landing has that the table's loads have not taken: pages and
+    their cursor, (None, None) if there are none."""
+    landed.ingest(spark, landing, stage, dataset)
+    pages = landed.read_stage(spark, stage, dataset, after=commitlog.latest_cursor(spark, log_path, table))
+    upto = landed.cursor(pages)
+    if upto is None:
+        log.warning("nothing new in %s", dataset)
+        return None, None
+    return pages.where(F.col(landed.INGEST) <= F.lit(upto)), upto
+
+
+def load_new_chokepoints(spark, landing: str, stage: str, root: str, start=None, end=None,
+                         now=None, as_of=None, dry_run=False):
+    """Chokepoint load of what has come to the landing since the last one."""
+    if start is None or end is None:
+        start, end = predicates.default_range(now)
+    pages, cursor = _new_pages(spark, landing, stage, "daily_chokepoint", f"{root}/_commits", TABLES["chokepoints"])
+    if pages is None:
+        return None
+    return load_stats(spark, extract_chokepoints(pages, start, end, now), root, "chokepoints", as_of, dry_run, cursor=cursor)
+
+
+def load_new_ports(spark, landing: str, stage: str, root: str, start=None, end=None,
+                   now=None, as_of=None, dry_run=False):
+    """Port load of what has come to the landing since the last one."""
+    if start is None or end is None:
+        start, end = predicates.default_range(now)
+    pages, cursor = _new_pages(spark, landing, stage, "daily_port", f"{root}/_commits", TABLES["ports"])
+    if pages is None:
+        return None
+    rows = strict(pg.stat_rows(pages).where(predicates.between_days("event_date", start, end)), DATASETS["daily_port"].table)
+    return load_stats(spark, rows, root, "ports", as_of, dry_run, cursor=cursor)
+
+
 def load_master(spark, pages: DataFrame, root: str, table: str, as_of=None,
                 dry_run=False, null_key: str = "drop", author: str = AUTHOR) -> DataFrame | None:
     """Upsert master records into `table` (a snapshot table): every matched

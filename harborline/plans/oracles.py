@@ -331,6 +331,29 @@ TAGGED = f"""SELECT p.*, t.zone FROM ({ZONE_POINTS}) p JOIN (VALUES {", ".join(
 CLOSED = f"""SELECT date_trunc('day', received)::TIMESTAMP AS window_start, date_trunc('day', received)::TIMESTAMP + INTERVAL 1 DAY AS window_end, count(*) AS n_messages
 FROM ({IN_ZONE}) GROUP BY 1, 2 HAVING window_end <= (SELECT max(received) - INTERVAL 10 DAY FROM ({IN_ZONE}))"""
 
+def days(first: str, last: str) -> str:
+    return f"{UTC_DAY} BETWEEN DATE '{first}' AND DATE '{last}'"
+
+
+def after_merge(spec, target: str, source: str, as_of: str) -> str:
+    return f"SELECT * EXCLUDE (action) FROM ({merge_sql(spec, target, source, as_of)})"
+
+
+FETCHED = with_audit(chk_stats(days('2024-01-01', '2024-01-11') + " AND event_id % 10 <> 0"), '2024-01-12 00:00:00')
+FETCHED = after_merge(SPECS["chokepoints"], FETCHED, chk_stats(days('2024-01-09', '2024-01-19')), '2024-01-20 00:00:00')
+FETCHED = after_merge(SPECS["chokepoints"], FETCHED, chk_stats(days('2024-01-18', '2024-01-31')), '2024-02-01 00:00:00')
+
+NAMED = "CAST(portid AS BIGINT) % 23 <> 0 AND CAST(portid AS BIGINT) % 29 <> 0"
+
+
+def named(where: str) -> str:
+    return f"SELECT * FROM ({master(where)}) WHERE {NAMED}"
+
+
+MASTER_JOB = " UNION ALL BY NAME ".join(
+    f"SELECT *, '{table}' AS \"table\" FROM ({after_merge(SPECS['master'], with_audit(named(first)), named(then), AS_OF)})"
+    for table, first, then in (("chokepoints_master", "s_nationkey < 3", "s_nationkey < 3"), ("ports_master", "s_nationkey < 15", "s_nationkey >= 10")))
+
 ORACLES = {
     "upsert_chokepoints": UPSERT_CHOKEPOINTS,
     "upsert_ports": UPSERT_PORTS,
@@ -342,7 +365,7 @@ ORACLES = {
     "project_chokepoints": chk_stats(),
     "project_ports": port_stats(),
     "project_master": master(),
-    "master_scan": master() + " ORDER BY portname, portid",
+    "master_scan": named("TRUE") + " ORDER BY portname, portid",
     "page_corrupt": f"SELECT {STAT_COLS} FROM ({EVENT_PAGES}) WHERE page < 2",
     "stat_scan_mixed": f"""SELECT {STAT_COLS.replace('n_total', 'CASE WHEN place % 4 = 3 THEN NULL ELSE n_total END AS n_total')}
 FROM ({EVENT_PAGES.replace('// 100 AS page', '// 100 AS page, event_id - min(event_id) OVER (PARTITION BY ' + UTC_DAY + ') AS place')})""",
@@ -412,4 +435,12 @@ WHERE message_type IN ('PositionReport', 'StandardClassBPositionReport')""",
     "ais_resume_stream": AIS_SUMMARY,
     "zone_traffic": f"SELECT zone, count(*) AS total_messages, count(DISTINCT user_id) AS unique_ships FROM ({TAGGED}) WHERE user_id <> 0 GROUP BY zone",
     "zone_tags": f"SELECT event_id, zone FROM ({TAGGED})",
+    "incremental_job": FETCHED,
+    "port_scan": f"""SELECT * FROM ({port_stats()})
+WHERE event_date BETWEEN DATE '2024-01-08' AND DATE '2024-01-12' AND portid IN ('1', '2', '3', '10', '100')""",
+    "master_job": MASTER_JOB,
+    "project_master_text_key": f"SELECT * REPLACE (CASE WHEN CAST(portid AS BIGINT) % 19 = 0 THEN 'None' ELSE portid END AS portid) FROM ({master()})",
+    "default_window_job": f"SELECT *, CAST(1 AS BIGINT) AS n_commits FROM ({with_audit(chk_stats(days('2024-01-22', '2024-02-01')), AS_OF)})",
+    "stats_as_of": "SELECT * EXCLUDE (action) FROM (" + BACKFILL_PORTS + ")",
+    "commit_changes": "SELECT *, CAST(1 AS BIGINT) AS n_rows FROM (" + BACKFILL_PORTS + ") WHERE action IN ('insert', 'update')",
 }

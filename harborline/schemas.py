@@ -115,7 +115,7 @@ MASTER = _struct(
 COMMIT_LOG = _struct([
     ("author", S), ("message", S), ("table", S), ("row_count", L),
     ("min_date", DT), ("max_date", DT), ("committed_at", TS), ("snapshot", S),
-    ("months", T.ArrayType(DT)),
+    ("months", T.ArrayType(DT)), ("cursor", L),
 ])
 
 
