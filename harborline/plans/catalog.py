@@ -18,6 +18,7 @@ from harborline.operators.spatial import in_any_zone, tag_zones
 from harborline.plans import fixtures as fx
 from harborline.schemas import CHOKEPOINTS, MASTER, PORTS
 from harborline.session import materialize, scratch_path
+from harborline.sources import landing
 from harborline.sources import pages as pg
 from harborline.sources import tables
 from harborline.sources.zones import zones_frame
@@ -176,9 +177,7 @@ def master_scan(spark: SparkSession, sf: str) -> DataFrame:
     """Master pages (50 records a page) -> stop rule -> nameless rows dropped
     -> lenient casts -> ordered by name, then id."""
     path = fx.landed_master_log_path(spark, sf, 50)  # some records have no name
-    pages = pg.read_page_log(spark, path, "ports_db")
-    return lenient(pg.master_rows(pages, meta=pg.read_page_log_meta(spark, path)),
-                   MASTER).orderBy("portname", "portid")
+    return lenient(pg.master_rows(landing.read_log_once(spark, path, "ports_db")), MASTER).orderBy("portname", "portid")
 
 
 def epoch_to_date(spark: SparkSession, sf: str) -> DataFrame:
@@ -264,8 +263,7 @@ def day_calendar(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------------- pages
 def _event_rows(spark, sf, inject_stops, on_error):
     path = fx.landed_pages_path(spark, sf, PAGE_SIZE, inject_stops)
-    return pg.stat_rows(pg.read_page_log(spark, path, "daily_chokepoint"), on_error,
-                        meta=pg.read_page_log_meta(spark, path))
+    return pg.stat_rows(landing.read_log_once(spark, path, "daily_chokepoint"), on_error)
 
 
 def _stat_columns(df):
@@ -295,20 +293,19 @@ def stat_order(spark: SparkSession, sf: str) -> DataFrame:
 def page_corrupt(spark: SparkSession, sf: str) -> DataFrame:
     """Page 2 of each day is cut off in the page log: kept are the pages before."""
     path = fx.landed_pages_path(spark, sf, PAGE_SIZE, False, cut_page=2)
-    return _stat_columns(pg.stat_rows(pg.read_page_log(spark, path, "daily_chokepoint"), "keep",
-                                      meta=pg.read_page_log_meta(spark, path)))
+    return _stat_columns(pg.stat_rows(landing.read_log_once(spark, path, "daily_chokepoint"), "keep"))
 
 
 def stat_scan_mixed(spark: SparkSession, sf: str) -> DataFrame:
     """Counts that arrive as numbers, text, floats or null."""
     path = fx.landed_pages_path(spark, sf, PAGE_SIZE, False, mixed=True)
-    return _stat_columns(pg.stat_rows(pg.read_page_log(spark, path, "daily_chokepoint")))
+    return _stat_columns(pg.stat_rows(landing.read_log_once(spark, path, "daily_chokepoint")))
 
 
 def chokepoint_scan(spark: SparkSession, sf: str) -> DataFrame:
     """The chokepoint scan from stored pages, by names and range."""
     path = fx.landed_pages_path(spark, sf, PAGE_SIZE, False)
-    return _stat_columns(pg.stat_scan(pg.read_page_log(spark, path, "daily_chokepoint"), "daily_chokepoint",
+    return _stat_columns(pg.stat_scan(landing.read_log_once(spark, path, "daily_chokepoint"), "daily_chokepoint",
                                       ids=["Chokepoint 3", "Chokepoint 17", "Chokepoint 42"],
                                       start="2024-01-05", end="2024-01-20", now=fx.NOW))
 
@@ -320,8 +317,8 @@ def chokepoint_job(spark: SparkSession, sf: str) -> DataFrame:
     from harborline.plans import jobs
 
     path, root = fx.landed_pages_path(spark, sf, PAGE_SIZE, False), scratch_path(spark, "chokepoint_job")
-    jobs.upsert_chokepoints(spark, pg.read_page_log(spark, path, "daily_chokepoint"), root, "2024-01-05", "2024-01-20",
-                            now=fx.NOW, as_of=fx.ts_ntz(fx.AS_OF), meta=pg.read_page_log_meta(spark, path))
+    jobs.upsert_chokepoints(spark, landing.read_log_once(spark, path, "daily_chokepoint"), root, "2024-01-05", "2024-01-20",
+                            now=fx.NOW, as_of=fx.ts_ntz(fx.AS_OF))
     stored = jobs.read_stats(spark, root, "chokepoints").drop(tables.MONTH)
     return (stored.withColumn("created_at", F.col("created_at").cast("timestamp_ntz"))
             .withColumn("updated_at", F.col("updated_at").cast("timestamp_ntz")))
@@ -562,8 +559,6 @@ def incremental_job(spark: SparkSession, sf: str) -> DataFrame:
 
 def port_scan(spark: SparkSession, sf: str) -> DataFrame:
     """The port scan by ids and range, from a staged landing."""
-    from harborline.sources import landing
-
     base = scratch_path(spark, "port_scan")
     fx.land_stats(_port_stats(spark, sf), f"{base}/landing", "daily_port", "2024-02-01", PAGE_SIZE)
     landing.ingest(spark, f"{base}/landing", f"{base}/stage", "daily_port")
@@ -580,7 +575,7 @@ def master_job(spark: SparkSession, sf: str) -> DataFrame:
 
     root = scratch_path(spark, "master_job")
     for ports, stamp in (("s_nationkey < 15", fx.PRIOR_LOAD), ("s_nationkey >= 10", fx.AS_OF)):
-        pages = [pg.read_page_log(spark, fx.landed_master_log_path(spark, sf, 50, where, dataset), dataset)
+        pages = [landing.read_log_once(spark, fx.landed_master_log_path(spark, sf, 50, where, dataset), dataset)
                  for where, dataset in (("s_nationkey < 3", "chokepoints_db"), (ports, "ports_db"))]
         jobs.load_masters(spark, *pages, root, as_of=fx.ts_ntz(stamp))
     stored = [jobs.read_master(spark, root, t).withColumn("table", F.lit(t)) for t in ("chokepoints_master", "ports_master")]

@@ -26,9 +26,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from harborline.functions.dates import as_date
 from harborline.schemas import DATASETS, page_schema
+from harborline.session import materialize
 from harborline.sources.pages import CORRUPT
-from harborline.functions.dates import as_date
 
 INGEST, FETCH_DAY = "ingest", "fetch_day"
 
@@ -53,6 +54,13 @@ def parse_log_lines(lines: DataFrame, dataset: str) -> DataFrame:
         (F.col("p").isNull() | F.col(f"p.{CORRUPT.name}").isNotNull()).alias("unreadable"), *(c for c in lines.columns if c != "value"))
 
 
+def read_log_once(spark: SparkSession, path: str, dataset: str) -> DataFrame:
+    """A page log (JSON lines with an envelope, `pages.read_page_log`) parsed
+    once into staged Parquet pages, for a load that takes the whole log."""
+    pages = parse_log_lines(spark.read.text(path), dataset)
+    return materialize(pages, "parsed-pages")
+
+
 def ingest(spark: SparkSession, landing: str, stage: str, dataset: str, max_files_per_trigger: int | None = None) -> int:
     """Read the files that the landing has and no earlier call has read;
     returns the number of their lines."""
