@@ -33,12 +33,22 @@ def summary(source: DataFrame, table: str, author: str, date_col: str = "event_d
     agg = source.agg(F.count(F.lit(1)).alias("row_count"),
                      F.min(date_col).alias("min_date"),
                      F.max(date_col).alias("max_date"))
+    return _described(agg, table, author)
+
+
+def _described(agg: DataFrame, table: str, author: str) -> DataFrame:
     return agg.select(
         F.lit(author).alias("author"),
         commit_message(table, F.col("row_count"), F.col("min_date"), F.col("max_date")).alias("message"),
         F.lit(table).alias("table"), "row_count", "min_date", "max_date")
 
 
+def summary_of(row_count: int, min_date, max_date, spark: SparkSession, table: str, author: str) -> DataFrame:
+    """`summary` of a set whose figures are known."""
+    agg = spark.createDataFrame([(row_count, min_date, max_date)], "row_count long, min_date date, max_date date")
+    return _described(agg, table, author)
+
+
 def new_snapshot() -> str:
     return _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
 

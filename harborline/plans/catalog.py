@@ -18,7 +18,7 @@ from harborline.operators.spatial import in_any_zone, tag_zones
 from harborline.plans import fixtures as fx
 from harborline.schemas import CHOKEPOINTS, MASTER, PORTS
 from harborline.session import materialize, scratch_path
-from harborline.sources import landing
+from harborline.sources import landing, ordered
 from harborline.sources import pages as pg
 from harborline.sources import tables
 from harborline.sources.zones import zones_frame
@@ -325,11 +325,33 @@ def chokepoint_job(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def page_one(spark: SparkSession, sf: str) -> DataFrame:
-    """Rows 1000 to 1099 of the port statistics in order."""
+    """Rows 1000 to 1099 of the port statistics in order, of a table without
+    an order index."""
     s = _port_stats(spark, sf).select("portid", "event_date")
     return paging.page(s, [F.asc("portid"), F.desc("event_date")], 1000, 100)
 
 
+def page_seek(spark: SparkSession, sf: str) -> DataFrame:
+    """The same page by seek, from a table stored in the order."""
+    path = scratch_path(spark, "ordered")
+    ordered.write_ordered(_port_stats(spark, sf), path, [("portid", True), ("event_date", False)])
+    return ordered.read_page(spark, path, 1000, 100).select("portid", "event_date")
+
+
+def stats_by_id(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of five ids in 1995 and 1996, of months clustered by id."""
+    rows = tables.read_stats(spark, _stats_table(spark, sf), "1995-01-01", "1996-12-31", ids=["1", "2", "77", "500", "1499"])
+    return rows.drop(tables.MONTH)
+
+
+def commit_range(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows and date range of a table after its loads, from file footers."""
+    from harborline.plans import jobs
+
+    root, _ = _three_loads(spark, sf)
+    return jobs.table_summary(spark, root, "ports")
+
+
 def upsert_hot_target(spark: SparkSession, sf: str) -> DataFrame:
     """A target that holds keys several times (a row for each order, as an
     earlier load inserted them) and equal rows without a key, on both sides."""
@@ -693,4 +715,7 @@ QUERIES = {
     "default_window_job": default_window_job,
     "stats_as_of": stats_as_of,
     "commit_changes": commit_changes,
+    "commit_range": commit_range,
+    "page_seek": page_seek,
+    "stats_by_id": stats_by_id,
 }

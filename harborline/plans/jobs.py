@@ -61,14 +61,15 @@ def _empty_table(spark: SparkSession, schema) -> DataFrame:
              .withColumn("updated_at", F.lit(None).cast("timestamp"))
 
 
-def read_stats(spark: SparkSession, root: str, kind: str, start=None, end=None, commit: str | None = None, time=None) -> DataFrame:
+def read_stats(spark: SparkSession, root: str, kind: str, start=None, end=None, commit: str | None = None, time=None, ids=None) -> DataFrame:
     """The `kind` table ("chokepoints"/"ports") as committed, rows of
-    [start, end] (either bound optional); as it was after `commit` or at
+    [start, end] (either bound optional) and of `ids`, if given; as it was after `commit` or at
     `time`, if given."""
     months = commitlog.months_at(spark, f"{root}/_commits", TABLES[kind], commit, time)
     lo, hi = (as_date(d).replace(day=1) if d else None for d in (start, end))
     months = {m: load for m, load in months.items() if (lo is None or m >= lo) and (hi is None or m <= hi)}
     rows = tables.read_loads(spark, _table_path(root, kind), months, _stats_schema(kind))
+    rows = predicates.apply(rows, predicates.ids(tables.ID, ids))
     if start:
         rows = rows.where(F.col("event_date") >= F.lit(as_date(start)))
     if end:
@@ -76,6 +77,15 @@ def read_stats(spark: SparkSession, root: str, kind: str, start=None, end=None,
     return rows
 
 
+def table_summary(spark: SparkSession, root: str, kind: str, author: str = AUTHOR) -> DataFrame:
+    """Rows and date range of the whole table as committed, in the form of a
+    commit-log row, from the footers of its files."""
+    path = _table_path(root, kind)
+    folders = tables.load_folders(path, commitlog.current_months(spark, f"{root}/_commits", TABLES[kind]))
+    found = tables.date_bounds(spark, folders, path).first() if folders else (0, None, None)
+    return commitlog.summary_of(*found, spark, TABLES[kind], author)
+
+
 def commits(spark: SparkSession, root: str, kind: str) -> DataFrame:
     """The commit-log rows of a table, oldest first."""
     return commitlog.read(spark, f"{root}/_commits").where(F.col("table") == TABLES[kind]).orderBy("snapshot")

@@ -443,4 +443,11 @@ WHERE event_date BETWEEN DATE '2024-01-08' AND DATE '2024-01-12' AND portid IN (
     "default_window_job": f"SELECT *, CAST(1 AS BIGINT) AS n_commits FROM ({with_audit(chk_stats(days('2024-01-22', '2024-02-01')), AS_OF)})",
     "stats_as_of": "SELECT * EXCLUDE (action) FROM (" + BACKFILL_PORTS + ")",
     "commit_changes": "SELECT *, CAST(1 AS BIGINT) AS n_rows FROM (" + BACKFILL_PORTS + ") WHERE action IN ('insert', 'update')",
+    "page_seek": f"SELECT portid, event_date FROM ({port_stats()}) ORDER BY portid, event_date DESC LIMIT 100 OFFSET 1000",
+    "stats_by_id": f"""SELECT *, TIMESTAMP '{PRIOR_LOAD}' AS created_at, TIMESTAMP '{PRIOR_LOAD}' AS updated_at
+FROM ({ORDER_STATS}) WHERE event_date BETWEEN DATE '1995-01-01' AND DATE '1996-12-31' AND portid IN ('1', '2', '77', '500', '1499')""",
+    "commit_range": f"""SELECT 'AIS ETL Pipeline' AS author,
+  format('Upsert {{}} rows into {PORTS_TABLE} (Range: {{}} to {{}})', count(*), CAST(min(event_date) AS VARCHAR), CAST(max(event_date) AS VARCHAR)) AS message,
+  '{PORTS_TABLE}' AS "table", count(*) AS row_count, min(event_date) AS min_date, max(event_date) AS max_date
+FROM ({after_merge(SPECS["ports"], "SELECT * EXCLUDE (action) FROM (" + BACKFILL_PORTS + ")", port_stats("ts >= TIMESTAMP '2024-01-20 00:00:00'"), '2024-02-05 00:00:00')})""",
 }

@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from harborline.functions.dates import month_start
 from harborline.operators import commitlog, predicates
 
-MONTH = "event_month"
+MONTH, ID = "event_month", "portid"
 
 
 def with_month(df: DataFrame) -> DataFrame:
@@ -65,11 +65,11 @@ def _reader(spark: SparkSession, schema: T.StructType | None,
 
 def read_stats(spark: SparkSession, path: str, start=None, end=None,
                schema: T.StructType | None = None,
-               audit_type: T.DataType = T.TimestampType()) -> DataFrame:
-    """Table rows with event_date in [start, end] (either bound optional).
-    With `schema` (the table schema) no inference is needed and an empty
+               audit_type: T.DataType = T.TimestampType(), ids=None) -> DataFrame:
+    """Table rows with event_date in [start, end] (either bound optional) and
+    with one of `ids`, if given. With `schema` (the table schema) no inference is needed and an empty
     table reads as an empty frame."""
-    df = _reader(spark, schema, audit_type).parquet(path)
+    df = predicates.apply(_reader(spark, schema, audit_type).parquet(path), predicates.ids(ID, ids))
     if start is None and end is None:
         return df
     cond = predicates.month_bounds(MONTH, start, end)
@@ -80,23 +80,33 @@ def read_stats(spark: SparkSession, path: str, start=None, end=None,
     return df.where(cond)
 
 
-def write_months(df: DataFrame, path: str) -> None:
-    """Replace exactly the months present in `df`; other months stay."""
+def write_months(df: DataFrame, path: str, layout: dict | None = None) -> None:
+    """Replace exactly the months present in `df`; other months stay.
+    `layout`: Parquet options of the files besides those of `_writer`."""
     if MONTH not in df.columns:
         df = with_month(df)
-    (_by_month(df).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(MONTH).parquet(path))
+    _writer(df, layout).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(path)
+
 
+#: Written beside an id column whose values are too many for a dictionary.
+BLOOM = {"parquet.bloom.filter.enabled": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
 
-def _by_month(df: DataFrame) -> DataFrame:
-    """Each month's rows together before a write, so a month gets files by its
-    size and not one from each task (AQE also splits a large month)."""
-    return df.hint("rebalance", F.col(MONTH))
 
+def _writer(df: DataFrame, layout: dict | None = None):
+    """Writer of rows clustered by month, then id: each file holds one range
+    of ids of a month and is sorted by it, so a month gets files by its size
+    (AQE joins small ranges), and a reader that asks for ids skips files, row
+    groups and pages by their bounds, and row groups by dictionary or Bloom
+    filter."""
+    if ID not in df.columns:
+        return df.hint("rebalance", F.col(MONTH)).write.options(**(layout or {}))
+    clustered = df.repartitionByRange(F.col(MONTH), F.col(ID)).sortWithinPartitions(MONTH, ID)
+    return clustered.write.options(**{f"{k}#{ID}": v for k, v in BLOOM.items()}, **(layout or {}))
 
-def write_load(df: DataFrame, path: str, load: str) -> None:
+
+def write_load(df: DataFrame, path: str, load: str, layout: dict | None = None) -> None:
     """The months of a load, in its own folder; nothing else is touched."""
-    _by_month(df).write.mode("errorifexists").partitionBy(MONTH).parquet(f"{path}/load={load}")
+    _writer(df, layout).mode("errorifexists").partitionBy(MONTH).parquet(f"{path}/load={load}")
 
 
 def read_loads(spark: SparkSession, path: str, months: dict, schema: T.StructType,
@@ -106,8 +116,24 @@ def read_loads(spark: SparkSession, path: str, months: dict, schema: T.StructTyp
     stored = stored_schema(schema, audit_type)
     if not months:
         return spark.createDataFrame([], stored)
-    folders = [f"{path}/load={load}/{MONTH}={month}" for month, load in sorted(months.items())]
-    return spark.read.schema(stored).option("basePath", path).parquet(*folders).select(*stored.names)
+    return spark.read.schema(stored).option("basePath", path).parquet(*load_folders(path, months)).select(*stored.names)
+
+
+def date_bounds(spark: SparkSession, folders: list[str], base: str, date_col: str = "event_date") -> DataFrame:
+    """`row_count, min_date, max_date` of stored folders, one row, from file
+    footers: the DataSource V2 Parquet reader takes count, min and max of a
+    date without reading rows. The reader is chosen by session settings, so
+    this frame belongs to a session of its own; collect it."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    rows = own.read.option("basePath", base).parquet(*folders)
+    return rows.agg(F.count(F.lit(1)).alias("row_count"), F.min(date_col).alias("min_date"), F.max(date_col).alias("max_date"))
+
+
+def load_folders(path: str, months: dict) -> list[str]:
+    """The folders of {month: load} as the commit log lists them."""
+    return [f"{path}/load={load}/{MONTH}={month}" for month, load in sorted(months.items())]
 
 
 def write_snapshot(df: DataFrame, root: str, snapshot: str) -> str:
