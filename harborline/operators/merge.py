@@ -117,6 +117,45 @@ def upsert(target: DataFrame, source: DataFrame, spec: MergeSpec,
     return kept.unionByName(unmatchable).unionByName(inserts)
 
 
+#: Positions of the key filter: 2^24 bits, so at most 2^18 words of 16 bytes.
+FILTER_BITS = 24
+
+
+def key_filter(source: DataFrame, keys: tuple[str, ...], bits: int = FILTER_BITS) -> DataFrame:
+    """`_word, _bits`: a Bloom filter (one hash) of the source's keys as 64-bit
+    words, merged map-side; at most 2^(bits - 6) rows, whatever the source."""
+    at = F.pmod(F.xxhash64(*keys), F.lit(1 << bits))
+    complete = " AND ".join(f"{_q(k)} IS NOT NULL" for k in keys)
+    marks = source.where(complete).select(F.shiftright(at, 6).alias("_word"), at.bitwiseAND(63).cast("int").alias("_bit"))
+    return marks.groupBy("_word").agg(F.bit_or(F.expr("shiftleft(1L, _bit)")).alias("_bits"))
+
+
+def split_target(target: DataFrame, source: DataFrame, spec: MergeSpec, bits: int = FILTER_BITS) -> DataFrame:
+    """`target` with `_may`: whether a row's key can be among the source's.
+
+    The filter is broadcast (its size is bounded by `bits`, not by the data),
+    so target rows are marked where they are read: no shuffle. A row that is
+    not marked has no match; one that is marked without need takes part in the
+    joins like any other. Write the result by `_may` and give the marked part
+    to `upsert`: a target far larger than its source is read once, and only
+    the rows that may change are shuffled."""
+    at = F.pmod(F.xxhash64(*spec.keys), F.lit(1 << bits))
+    complete = " AND ".join(f"{_q(k)} IS NOT NULL" for k in spec.keys)
+    marked = target.withColumn("_at", F.when(F.expr(complete), at)).withColumn("_word", F.shiftright("_at", 6))
+    hit = F.getbit("_bits", F.col("_at").bitwiseAND(63).cast("int")) == 1
+    return marked.join(F.broadcast(key_filter(source, spec.keys, bits)), "_word", "left").withColumn(
+        "_may", F.coalesce(hit, F.lit(False))).select(*target.columns, "_may")
+
+
+def upsert_narrow(target: DataFrame, source: DataFrame, spec: MergeSpec, as_of: Column | None = None,
+                  bits: int = FILTER_BITS) -> DataFrame:
+    """`upsert`, for a target far larger than its source: same rows. Stages the
+    target, split by the key filter."""
+    split = materialize(split_target(target.select(*spec.columns, *spec.audit), source, spec, bits), "split-target", by=["_may"])
+    changed = upsert(split.where("_may"), source, spec, as_of)
+    return changed.unionByName(split.where("NOT _may").drop("_may").withColumn("action", F.lit("keep")))
+
+
 def action_counts(merged: DataFrame) -> DataFrame:
     """Dry-run report: rows per action (the load itself is not performed)."""
     return merged.groupBy("action").agg(F.count(F.lit(1)).alias("n_rows"))

@@ -109,6 +109,16 @@ def upsert_duplicates(spark: SparkSession, sf: str) -> DataFrame:
                         fx.ts_ntz(fx.AS_OF))
 
 
+def upsert_narrow(spark: SparkSession, sf: str) -> DataFrame:
+    """A table of all days, and a source of a few: corrected counts of 1997-06
+    and new days of ports 1 to 50. Most target rows are read and passed on."""
+    stats = strict(_order_stats(spark, sf), CHOKEPOINTS, optional=UNUSED)
+    june = F.trunc("event_date", "month") == F.lit("1997-06-01").cast("date")
+    fixed = stats.where(june).withColumn("capacity", F.col("capacity") + F.col("n_total") % 2)
+    fresh = stats.where("CAST(portid AS INT) <= 50").withColumn("event_date", F.add_months("event_date", 120))
+    return merge.upsert_narrow(fx.with_audit(stats), fixed.unionByName(fresh), merge.SPECS["chokepoints"], fx.ts_ntz(fx.AS_OF))
+
+
 def upsert_dry_run(spark: SparkSession, sf: str) -> DataFrame:
     return merge.action_counts(upsert_chokepoints(spark, sf))
 
@@ -718,4 +728,5 @@ QUERIES = {
     "commit_range": commit_range,
     "page_seek": page_seek,
     "stats_by_id": stats_by_id,
+    "upsert_narrow": upsert_narrow,
 }

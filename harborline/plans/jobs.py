@@ -4,8 +4,10 @@ Write path of a statistics load (one job, one commit-log row):
   0. the typed source rows are written once to the shared scratch folder
      (pages parsed once, however often the load reads the rows)
   1. months touched by the source (a short driver list, bounded by the window)
-  2. read only the folders that the log names for those months
-  3. upsert -> written to the shared scratch folder (lineage cut)
+  2. read only the folders that the log names for those months, once: a filter
+     of the source's keys splits the rows into those that may change and the
+     others, written to the shared scratch folder
+  3. upsert of the first part -> written to the scratch folder (lineage cut)
   4. months holding an insert or update are written to a folder of this load;
      months with nothing but keep/noop rows are not rewritten
   5. the commit-log row, which names the folder and its months, publishes the
@@ -142,12 +144,17 @@ def load_stats(spark: SparkSession, source: DataFrame, root: str, kind: str,
         months = commitlog.current_months(spark, log_path, TABLES[kind])
         target = tables.read_loads(spark, _table_path(root, kind), {m: v for m, v in months.items() if m in touched},
                                    _stats_schema(kind)).drop(tables.MONTH)
-        merged = merge.upsert(target, source, spec, _stamp(as_of))
+        # the target is read once, and split: rows that the source can't
+        # match are not shuffled, and go from here to the load's folder
+        split = stage(merge.split_target(target, source, spec), "load-target", by=["_may"])
+        others = tables.with_month(split.where("NOT _may").drop("_may").withColumn("action", F.lit("keep")))
+        merged = merge.upsert(split.where("_may"), source, spec, _stamp(as_of))
         if dry_run:
-            return _counts(spark, merged)
+            return _counts(spark, tables.with_month(merged).unionByName(others))
         merged = stage(tables.with_month(merged), "load-merged")
         changed = [r[0] for r in merged.where(F.col("action").isin("insert", "update"))
                    .select(tables.MONTH).distinct().collect()]
+        merged = merged.unionByName(others)
         snapshot = commitlog.new_snapshot() if changed else None
         if changed:
             tables.write_load(merged.where(F.col(tables.MONTH).isin(changed)).drop("action"), _table_path(root, kind), snapshot)

@@ -354,6 +354,11 @@ MASTER_JOB = " UNION ALL BY NAME ".join(
     f"SELECT *, '{table}' AS \"table\" FROM ({after_merge(SPECS['master'], with_audit(named(first)), named(then), AS_OF)})"
     for table, first, then in (("chokepoints_master", "s_nationkey < 3", "s_nationkey < 3"), ("ports_master", "s_nationkey < 15", "s_nationkey >= 10")))
 
+NARROW_TARGET = f"SELECT {DUP_COLS} FROM ({ORDER_STATS})"
+UPSERT_NARROW = merge_sql(SPECS["chokepoints"], with_audit(NARROW_TARGET), f"""
+    SELECT * REPLACE (capacity + n_total % 2 AS capacity) FROM ({NARROW_TARGET}) WHERE date_trunc('month', event_date) = DATE '1997-06-01' UNION ALL
+    SELECT * REPLACE (CAST(event_date + INTERVAL 120 MONTH AS DATE) AS event_date) FROM ({NARROW_TARGET}) WHERE CAST(portid AS BIGINT) <= 50""")
+
 ORACLES = {
     "upsert_chokepoints": UPSERT_CHOKEPOINTS,
     "upsert_ports": UPSERT_PORTS,
@@ -443,6 +448,7 @@ WHERE event_date BETWEEN DATE '2024-01-08' AND DATE '2024-01-12' AND portid IN (
     "default_window_job": f"SELECT *, CAST(1 AS BIGINT) AS n_commits FROM ({with_audit(chk_stats(days('2024-01-22', '2024-02-01')), AS_OF)})",
     "stats_as_of": "SELECT * EXCLUDE (action) FROM (" + BACKFILL_PORTS + ")",
     "commit_changes": "SELECT *, CAST(1 AS BIGINT) AS n_rows FROM (" + BACKFILL_PORTS + ") WHERE action IN ('insert', 'update')",
+    "upsert_narrow": UPSERT_NARROW,
     "page_seek": f"SELECT portid, event_date FROM ({port_stats()}) ORDER BY portid, event_date DESC LIMIT 100 OFFSET 1000",
     "stats_by_id": f"""SELECT *, TIMESTAMP '{PRIOR_LOAD}' AS created_at, TIMESTAMP '{PRIOR_LOAD}' AS updated_at
 FROM ({ORDER_STATS}) WHERE event_date BETWEEN DATE '1995-01-01' AND DATE '1996-12-31' AND portid IN ('1', '2', '77', '500', '1499')""",

@@ -90,10 +90,10 @@ class Staging:
     def __enter__(self):
         return self
 
-    def __call__(self, df, name: str):
+    def __call__(self, df, name: str, by: list[str] | None = None):
         path = scratch_path(self.spark, name)
         self.paths.append(path)
-        df.write.parquet(path)
+        (df.write.partitionBy(*by) if by else df.write).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def __exit__(self, *_):
@@ -109,11 +109,12 @@ def spread(df):
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def materialize(df, name: str = "stage"):
+def materialize(df, name: str = "stage", by: list[str] | None = None):
     """Write `df` as Parquet into a fresh folder under the shared scratch root
     and read it back: the lineage is cut and every later use reads the files
     (one computation; an eager RDD checkpoint would compute the plan twice
-    unless cached). Survives the loss of any executor once written."""
+    unless cached). Survives the loss of any executor once written. `by`:
+    partition columns."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.write.partitionBy(*by) if by else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

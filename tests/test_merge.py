@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from harborline.operators import merge
 from harborline.operators.merge import SPECS, upsert
 from harborline.schemas import CHOKEPOINTS, PORTS
 
@@ -196,3 +197,41 @@ def test_hot_duplicate_key_is_inserted_outside_the_join(spark):
     with pytest.raises(Exception, match="cardinality"):
         t2 = chk(spark, [row("h")])
         upsert(t2, s, SPECS["chokepoints"], F.lit(AS_OF)).collect()
+
+
+def test_narrow_upsert_equals_upsert(spark):
+    """Also where the filter marks nearly all rows, and with null and repeated
+    keys on both sides."""
+    import random
+
+    rng = random.Random(7)
+    spec = merge.MergeSpec(keys=("k", "d"), columns=("k", "d", "v"), trigger=("v",), update_cols=("v",))
+    stamp = dt.datetime(2024, 1, 1)
+    day = lambda: rng.choice([None, dt.date(2024, 1, rng.randrange(1, 9))])
+    target = [(rng.choice([None, f"p{rng.randrange(60)}"]), day(), rng.randrange(4), stamp, stamp) for _ in range(600)]
+    keys = [(f"p{i}", dt.date(2024, 1, d)) for i in range(50, 70) for d in range(1, 9)]
+    source = [(*k, rng.randrange(4)) for k in rng.sample(keys, 60)] + [(None, dt.date(2024, 1, 1), 1), ("p1", None, 2)]
+    t = spark.createDataFrame(target, "k string, d date, v int, created_at timestamp, updated_at timestamp").repartition(3)
+    s = spark.createDataFrame(source, "k string, d date, v int")
+    at = F.lit(dt.datetime(2024, 2, 2))
+    want = sorted(map(str, merge.upsert(t, s, spec, at).collect()))
+    for bits in (6, 10, 24):
+        assert sorted(map(str, merge.upsert_narrow(t, s, spec, at, bits).collect())) == want
+    empty = s.where("false")
+    assert {r["action"] for r in merge.upsert_narrow(t, empty, spec, at).collect()} == {"keep"}
+
+
+def test_split_reads_the_target_once_and_does_not_shuffle_it(spark, workdir):
+    import os
+
+    path = os.path.join(workdir, "t")
+    spark.range(1000).selectExpr("concat('p', id) AS k", "id AS v").write.parquet(path)
+    spec = merge.MergeSpec(keys=("k",), columns=("k", "v"), trigger=("v",), update_cols=("v",))
+    source = spark.createDataFrame([("p3", 9), ("q", 1)], "k string, v long")
+    split = merge.split_target(spark.read.parquet(path), source, spec)
+    rows = split.collect()
+    plan = split._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan parquet") == 1 and "BroadcastHashJoin" in plan
+    scan = plan[:plan.index("FileScan parquet")].rsplit("Broadcast", 1)[0]
+    assert "Exchange hashpartitioning" not in scan and "rangepartitioning" not in plan
+    assert {r["k"] for r in rows if r["_may"]} >= {"p3"} and sum(r["_may"] for r in rows) < 5
