@@ -386,6 +386,7 @@ def stats_read(spark: SparkSession, sf: str) -> DataFrame:
     return tables.read_stats(spark, _stats_table(spark, sf), "1995-03-15", "1995-05-10").drop(tables.MONTH)
 
 
+@fx.written
 def _stats_table(spark, sf, stamped: bool = False) -> str:
     path = scratch_path(spark, "stats_read")
     rows = fx.with_audit(_order_stats(spark, sf))
