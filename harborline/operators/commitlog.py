@@ -8,6 +8,11 @@ latest ingest that the load took, of one from a staged landing). Readers take
 from the log which folders count, so a load that stopped before its row left
 nothing to be seen, and the row is one file that appears at once.
 
+The log itself stays short: after `COMPACT_AFTER` files they are gathered into
+one (`compact`), with the name of the file that each row came from. That file
+appears at once; the gathered ones are deleted after it, and until they are,
+readers leave out those it names, so a stop in between counts no row twice.
+
 Every state of a table that has not been removed can be read again: the log's
 rows up to a commit, or up to a time, name the folders that held its months
 then (`months_at`).
@@ -64,10 +69,52 @@ def append(log_path: str, summary_df: DataFrame, committed_at: Column | None = N
                             F.lit(cursor).cast("bigint").alias("cursor"))
     row.select(*[f.name for f in COMMIT_LOG.fields]).coalesce(1) \
         .write.mode("append").parquet(log_path)
+    if len(_files(row.sparkSession, log_path)) >= COMPACT_AFTER:
+        compact(row.sparkSession, log_path)
+
+
+#: Log files that make a load compact the log.
+COMPACT_AFTER = 64
+# hidden from readers of the log's folder, as its name starts with _
+GATHERED, FILE = "_gathered", "_file"
+
+
+def _listed(spark: SparkSession, path: str) -> list:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [s.getPath() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def _files(spark: SparkSession, log_path: str) -> list:
+    return [p for p in _listed(spark, log_path) if p.getName().endswith(".parquet")]
+
+
+def _gathered(spark: SparkSession, log_path: str) -> str | None:
+    """The newest whole gathering."""
+    whole = [p for p in _listed(spark, f"{log_path}/{GATHERED}") if any(f.getName() == "_SUCCESS" for f in _listed(spark, p.toString()))]
+    return max((p.toString() for p in whole), default=None)
+
+
+def _with_files(spark: SparkSession, log_path: str) -> DataFrame:
+    rows = spark.read.schema(COMMIT_LOG).parquet(log_path).select("*", F.col("_metadata.file_name").alias(FILE))
+    path = _gathered(spark, log_path)
+    if path is None:
+        return rows
+    kept = spark.read.schema(rows.schema).parquet(path)
+    return kept.unionByName(rows.join(kept.select(FILE).distinct(), FILE, "left_anti"))
 
 
 def read(spark: SparkSession, log_path: str) -> DataFrame:
-    return spark.read.schema(COMMIT_LOG).parquet(log_path)
+    return _with_files(spark, log_path).drop(FILE)
+
+
+def compact(spark: SparkSession, log_path: str) -> None:
+    """Gather the log's files into one; the rows stay the same. One compaction
+    of a log at a time (loads of other tables may go on)."""
+    files, before = _files(spark, log_path), _gathered(spark, log_path)
+    _with_files(spark, log_path).coalesce(1).write.parquet(f"{log_path}/{GATHERED}/{new_snapshot()}")
+    for path in [*files, *(p for p in _listed(spark, f"{log_path}/{GATHERED}") if p.toString() == before)]:
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def _committed(spark: SparkSession, log_path: str, table: str) -> DataFrame | None:

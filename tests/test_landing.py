@@ -182,3 +182,29 @@ def test_replaced_folders_are_removed(spark, workdir):
     assert jobs.remove_replaced(spark, workdir, "chokepoints", dt.datetime(2024, 6, 1)) == [(jan, snapshots[0]), (feb, snapshots[0])]
     assert state(spark, workdir) == STATES[2]
     assert tables.read_loads(spark, f"{workdir}/chokepoints", commitlog.current_months(spark, f"{workdir}/_commits", jobs.TABLES["chokepoints"]), CHOKEPOINTS).count() == 5
+
+
+def test_log_is_compacted(spark, workdir, monkeypatch):
+    """States and cursors are those of the log; a stop before the gathered
+    files are deleted counts nothing twice, one before the gathering is whole
+    loses nothing."""
+    monkeypatch.setattr(commitlog, "COMPACT_AFTER", 2)
+    snapshots = three_loads(spark, workdir)
+    log = f"{workdir}/_commits"
+    files = lambda: sorted(f for f in os.listdir(log) if f.endswith(".parquet"))
+    assert len(files()) == 1 and len(os.listdir(f"{log}/{commitlog.GATHERED}")) == 1
+    rows = sorted(map(str, commitlog.read(spark, log).collect()))
+    assert len(rows) == 3 and [state(spark, workdir, commit=s) for s in snapshots] == STATES
+    whole = os.listdir(f"{log}/{commitlog.GATHERED}")[0]
+    os.makedirs(f"{log}/{commitlog.GATHERED}/99990101T000000000000")  # begun, not whole
+    assert sorted(map(str, commitlog.read(spark, log).collect())) == rows
+    # the files that were gathered are still there
+    gathered = spark.read.parquet(f"{log}/{commitlog.GATHERED}/{whole}")
+    name = gathered.first()[commitlog.FILE]
+    with open(f"{log}/{files()[0]}", "rb") as f, open(f"{log}/{name}", "wb") as g:
+        g.write(f.read())
+    assert sorted(map(str, commitlog.read(spark, log).collect())) == rows
+    commitlog.compact(spark, log)
+    assert files() == [] and sorted(map(str, commitlog.read(spark, log).collect())) == rows
+    commitlog.compact(spark, log)
+    assert sorted(map(str, commitlog.read(spark, log).collect())) == rows
