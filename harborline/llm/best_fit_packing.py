@@ -135,8 +135,8 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int) -> DataF
         encoder, end = tokens.encoder(tokenizer), np.array([end_id], np.uint32)
         for batch in batches:
             out = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
-                ids = np.concatenate([encoder.encode(text or b""), end]).astype("<u4")
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode_all(batch.column(1)), strict=True):
+                ids = np.concatenate([ids, end]).astype("<u4")
                 for piece, start in enumerate(range(0, len(ids), capacity)):
                     part = ids[start : start + capacity]
                     out.append((doc_id, piece, start, len(part), zlib.crc32(part)))

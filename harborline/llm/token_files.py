@@ -83,9 +83,9 @@ def _raw_blocks(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
             return _rows([{"part": part, "block": block, "before": before, "n_docs": len(names), "n_ids": len(ids), "doc_ids": np.array([x or 0 for x in names], "<i8").tobytes(), "missing": bytes(x is None for x in names), "sizes": np.array([len(x) for x in parts], "<u4").tobytes(), "ids": ids.astype("<u4" if encoder.vocabulary > 1 << 16 else "<u2").tobytes()}], _RAW)
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode_all(batch.column(1)), strict=True):
                 names.append(doc_id)
-                parts.append(np.concatenate([encoder.encode(text or b""), end]))
+                parts.append(np.concatenate([ids, end]))
                 size += len(parts[-1])
                 if size >= BLOCK_IDS:
                     yield full()

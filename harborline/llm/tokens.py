@@ -4,8 +4,9 @@ at a time.
 The word tokenizer drops white space and never merges across it, so a text's
 ids are the ids of its white-space-separated chunks, one after the other. Each
 Python worker keeps the ids of the chunks it has met (a bounded memory), so
-the library encodes a chunk once instead of at each occurrence. Chunks of
-plain Latin letters with trailing punctuation go straight to the library's BPE
+the library encodes a chunk once instead of at each occurrence; texts are split
+and their chunks numbered in Arrow, some MB at a time, so that this memory is
+asked once for each distinct chunk of those. Chunks of plain Latin letters with trailing punctuation go straight to the library's BPE
 model; all others through the whole tokenizer. ``tests/llm`` holds both
 against encoding the text in one piece.
 """
@@ -14,13 +15,19 @@ from __future__ import annotations
 
 import re
 from array import array
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Chunks of a generation. A worker keeps two: when the younger is full, the
 #: older goes; what is met again moves to the younger.
 MEMORY = 300_000
 
+#: Bytes of text whose chunks are numbered together (one text at least).
+TOGETHER = 24 << 20
+
 # punctuation of which a run at a word's end is one token of its own (without
 # what starts a contraction or a special token)
 _MARKS = b"!\"#$%&()*+,-./:;=>?@[\\]^_`{}~"
@@ -92,18 +99,43 @@ class WordEncoder:
     def encode(self, text: bytes) -> np.ndarray:
         # the tokenizer lower-cases all but its special tokens
         chunks = (text if b"<|" in text else text.lower()).split()
-        if not chunks:
-            return np.empty(0, np.uint32)
+        return self._ids(chunks, np.arange(len(chunks)))[0]
+
+    def _ids(self, chunks: list[bytes], at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of ``chunks[i]`` for each ``i`` of ``at``, one after the
+        other, and where those of each end."""
         if len(self.known) > self.memory:
             self.known, self.older = _Generation(self._learn), self.known
         known = self.known
-        at = np.fromiter(map(known.__getitem__, chunks), np.int64, len(chunks))
+        numbers = np.fromiter(map(known.__getitem__, chunks), np.int64, len(chunks))
         ends = np.frombuffer(known.ends, np.int64)
-        first, last = ends[at], ends[at + 1]
-        sizes = last - first
+        first = ends[numbers]
+        sizes = (ends[numbers + 1] - first)[at]
         stop = np.cumsum(sizes)
-        places = np.arange(stop[-1]) + np.repeat(first - (stop - sizes), sizes)
-        return np.frombuffer(known.ids, np.uint32)[places] if len(places) else np.empty(0, np.uint32)
+        if not len(stop) or not stop[-1]:
+            return np.empty(0, np.uint32), stop
+        places = np.repeat(first[at] - (stop - sizes), sizes)
+        places += np.arange(stop[-1])
+        return np.frombuffer(known.ids, np.uint32)[places], stop
+
+    def encode_all(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text of a string array; a null text has none."""
+        sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        upto, start = np.cumsum(sizes), 0
+        while start < len(texts):
+            stop = max(start + 1, int(np.searchsorted(upto, (upto[start - 1] if start else 0) + TOGETHER, "right")))
+            yield from self._together(texts.slice(start, stop - start))
+            start = stop
+
+    def _together(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        special = pc.fill_null(pc.match_substring(texts, "<|"), False)
+        split = pc.ascii_split_whitespace(pc.if_else(special, "", pc.fill_null(pc.ascii_lower(texts), "")))
+        numbered = split.flatten().dictionary_encode()
+        chunks = numbered.dictionary.cast(pa.binary()).to_pylist()
+        ids, ends = self._ids(chunks, numbered.indices.to_numpy())
+        ends = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy())])]
+        for i, own in enumerate(special.to_pylist()):
+            yield self.encode(texts[i].as_buffer().to_pybytes()) if own else ids[ends[i] : ends[i + 1]]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
