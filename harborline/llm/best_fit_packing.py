@@ -126,7 +126,7 @@ def pack(stages: Stages, items: DataFrame, capacity: int, length: str = "length"
     return placed.drop(*[c for c in placed.columns if c.startswith("_pack")])
 
 
-def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, together: int | None = None) -> DataFrame:
     """Token pieces of every document (``doc_id``, ``text``): its ids, then
     ``end_id``; only documents longer than ``capacity`` are cut. A null text
     counts as empty, a null id stays null, repeated rows give repeated pieces."""
@@ -135,7 +135,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int) -> DataF
         encoder, end = tokens.encoder(tokenizer), np.array([end_id], np.uint32)
         for batch in batches:
             out = []
-            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode_all(batch.column(1)), strict=True):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode_all(batch.column(1), together), strict=True):
                 ids = np.concatenate([ids, end]).astype("<u4")
                 for piece, start in enumerate(range(0, len(ids), capacity)):
                     part = ids[start : start + capacity]
@@ -147,11 +147,11 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int) -> DataF
     return docs.select("doc_id", "text").mapInArrow(cut, PIECES)
 
 
-def pack_documents(spark: SparkSession, docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 1) -> DataFrame:
+def pack_documents(spark: SparkSession, docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 1, together: int | None = None) -> DataFrame:
     """Tokenise ``docs`` (``doc_id``, ``text``) and pack all of them; a row
     for each piece with its ``sequence_id`` and ``offset``."""
-    return pack(Stages(spark, "packing"), pieces(docs, tokenizer, capacity, end_id), capacity)
+    return pack(Stages(spark, "packing"), pieces(docs, tokenizer, capacity, end_id, together), capacity)
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(spark, documents(spark, sf_dir), tokens.public_path("word_bpe_49k.json"))
+    return pack_documents(spark, documents(spark, sf_dir), tokens.public_path("word_bpe_49k.json"), together=tokens.TOGETHER)

@@ -69,7 +69,7 @@ def _rows(rows: list[dict], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[f.name] for r in rows], f.type) for f in schema], schema=schema)
 
 
-def _raw_blocks(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
+def _raw_blocks(docs: DataFrame, tokenizer: str, end_id: int, together: int | None = None) -> DataFrame:
     """Uncoded blocks of the documents in order; ``part`` is the task's place
     in that order."""
 
@@ -83,7 +83,7 @@ def _raw_blocks(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
             return _rows([{"part": part, "block": block, "before": before, "n_docs": len(names), "n_ids": len(ids), "doc_ids": np.array([x or 0 for x in names], "<i8").tobytes(), "missing": bytes(x is None for x in names), "sizes": np.array([len(x) for x in parts], "<u4").tobytes(), "ids": ids.astype("<u4" if encoder.vocabulary > 1 << 16 else "<u2").tobytes()}], _RAW)
 
         for batch in batches:
-            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode_all(batch.column(1)), strict=True):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode_all(batch.column(1), together), strict=True):
                 names.append(doc_id)
                 parts.append(np.concatenate([ids, end]))
                 size += len(parts[-1])
@@ -115,13 +115,13 @@ def _counts(raw: DataFrame) -> DataFrame:
     return raw.select("ids", "n_ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
-def write_token_files(stages: Stages, docs: DataFrame, tokenizer: str, end_id: int = 1) -> str:
+def write_token_files(stages: Stages, docs: DataFrame, tokenizer: str, end_id: int = 1, together: int | None = None) -> str:
     """Write the ids of ``docs`` (``doc_id``, ``text``), each document's ended
     by ``end_id``; returns the folder. A null text is empty, a null id comes
     first and is kept, repeated ids stand next to each other, and an empty
     table gives files without blocks."""
     spark = docs.sparkSession
-    raw = stages.write(_raw_blocks(docs, tokenizer, end_id), "raw-blocks")
+    raw = stages.write(_raw_blocks(docs, tokenizer, end_id, together), "raw-blocks")
     # one row for each id of the vocabulary that occurs
     ranked = sorted(_counts(raw).collect(), key=lambda r: (-r["n"], r["id"]))
     ids = np.array([r["id"] for r in ranked], np.int64)
@@ -183,5 +183,5 @@ def _read(spark: SparkSession, folder: str, column: str, kind: pa.DataType, of)
 
 
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = write_token_files(Stages(spark, "token-files"), documents(spark, sf_dir), tokens.public_path("word_bpe_49k.json"))
+    folder = write_token_files(Stages(spark, "token-files"), documents(spark, sf_dir), tokens.public_path("word_bpe_49k.json"), together=tokens.TOGETHER)
     return _read(spark, folder, "ids_crc32 long", pa.int64(), zlib.crc32)

@@ -25,7 +25,8 @@ import pyarrow.compute as pc
 #: older goes; what is met again moves to the younger.
 MEMORY = 300_000
 
-#: Bytes of text whose chunks are numbered together (one text at least).
+#: Bytes of text whose chunks are numbered together (one text at least), where
+#: a job has the executors to itself: about ten times as many are held meanwhile.
 TOGETHER = 24 << 20
 
 # punctuation of which a run at a word's end is one token of its own (without
@@ -118,12 +119,17 @@ class WordEncoder:
         places += np.arange(stop[-1])
         return np.frombuffer(known.ids, np.uint32)[places], stop
 
-    def encode_all(self, texts: pa.Array) -> Iterator[np.ndarray]:
-        """The ids of each text of a string array; a null text has none."""
+    def encode_all(self, texts: pa.Array, together: int | None = None) -> Iterator[np.ndarray]:
+        """The ids of each text of a string array; a null text has none.
+        ``together``: bytes whose chunks are numbered together; None: one text
+        at a time, which takes longer and the least memory."""
+        if together is None:
+            yield from (self.encode(text or b"") for text in texts.cast(pa.binary()).to_pylist())
+            return
         sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         upto, start = np.cumsum(sizes), 0
         while start < len(texts):
-            stop = max(start + 1, int(np.searchsorted(upto, (upto[start - 1] if start else 0) + TOGETHER, "right")))
+            stop = max(start + 1, int(np.searchsorted(upto, (upto[start - 1] if start else 0) + together, "right")))
             yield from self._together(texts.slice(start, stop - start))
             start = stop
 

@@ -9,16 +9,15 @@ from tokenizers import Tokenizer
 from harborline.llm import tokens
 
 
-@pytest.mark.parametrize("together", [1, 200, 1 << 24])
-def test_batches(monkeypatch, together):
-    monkeypatch.setattr(tokens, "TOGETHER", together)
+@pytest.mark.parametrize("together", [None, 1, 200, 1 << 24])
+def test_batches(together):
     path = tokens.public_path("word_bpe_49k.json")
-    rng, library, encoder = random.Random(together), Tokenizer.from_file(path), tokens.WordEncoder(path, memory=40)
+    rng, library, encoder = random.Random(together or 0), Tokenizer.from_file(path), tokens.WordEncoder(path, memory=40)
     parts = ["Word", "wórd", "it's", "I'LL", "don't.", "...", "a1b2", "x_y", "<|endoftext|>", "<|", "|>", "é", "É", "é", "😀", "ß", "ﬁ", "中文", "100,000.5", "C++"]
     spaces = [" ", "\n", "\t ", "\x0b", "\x0c\r", " ", " ", "\x85", "\x1c", "  ", ""]
     texts = ["".join(rng.choice(parts) + rng.choice(spaces) for _ in range(rng.randrange(12))) for _ in range(400)] + ["", " ", "\n", None, "end " * 3000]
-    got = list(encoder.encode_all(pa.array(texts, pa.string()).slice(3)))
+    got = list(encoder.encode_all(pa.array(texts, pa.string()).slice(3), together))
     assert len(got) == len(texts) - 3
     for text, ids in zip(texts[3:], got):
         assert ids.tolist() == library.encode(text or "", add_special_tokens=False).ids
-    assert list(encoder.encode_all(pa.array([], pa.string()))) == []
+    assert list(encoder.encode_all(pa.array([], pa.string()), together)) == []
