@@ -8,6 +8,11 @@ Texts run side by side in lanes, each lane's texts one after the other. A
 window takes some steps of all lanes; the state goes on from window to window
 and starts anew with each text. Training goes back through the steps of one
 window (truncated backpropagation).
+
+An update touches what a window has met: the rows of its inputs, whose moments
+are decayed by the steps missed, and the words of a class once the class has
+been met by ``1 / RIPE`` as many tokens as it has words, so that the cost of updates a
+token does not grow with the number of words.
 """
 
 from __future__ import annotations
@@ -17,6 +22,12 @@ import heapq
 import numpy as np
 
 HIDDEN = 24
+#: Words of a class for each token that an update of the class takes.
+RIPE = 8
+#: Lanes of a training window at least (if there are as many texts) and at most.
+LANES = 256, 1024
+#: Tokens of a piece of a long text at least, in training.
+PIECE = 512
 SHAPES = ("inputs", "recurrent", "classes", "class_bias", "words", "word_bias")
 
 
@@ -43,7 +54,7 @@ class Layout:
         return {
             "inputs": small(self.n_inputs, 3 * h), "recurrent": small(h, 3 * h) * 3,
             "classes": small(h, self.n_classes) * 0.1, "class_bias": np.log(by_class / by_class.sum()).astype(np.float32),
-            "words": small(h, self.n_words) * 0.1, "word_bias": np.log(within[:-1]).astype(np.float32),
+            "words": small(self.n_words, h) * 0.1, "word_bias": np.log(within[:-1]).astype(np.float32),
         }
 
 
@@ -56,10 +67,24 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return np.reciprocal(x, out=x)
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x -= x.max(axis=1, keepdims=True)
-    x -= np.log(np.exp(x).sum(axis=1, keepdims=True))
-    return x
+def _powers(state: np.ndarray, weights: np.ndarray, bias: np.ndarray, at: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """e to the power of the logits ``state @ weights + bias``, each row's sum
+    of it, and the log-probability of the outputs ``at``. The largest logit of
+    each row is only taken off where the sums would not be finite without."""
+    x = state @ weights
+    x += bias
+    found = x[at]
+    with np.errstate(over="ignore"):
+        np.exp(x, out=x)
+    total = x @ np.ones(x.shape[1], x.dtype)
+    if not (np.isfinite(total).all() and total.min(initial=1) > 1e-30):
+        x = state @ weights + bias
+        top = x.max(axis=1)
+        x = np.exp(x - top[:, None])
+        total = x.sum(axis=1)
+        found -= top
+    found -= np.log(total)
+    return x, total, found
 
 
 def lanes(texts: list[np.ndarray], n_lanes: int) -> tuple[np.ndarray, np.ndarray]:
@@ -90,141 +115,224 @@ class Network:
     def __init__(self, layout: Layout, weights: dict[str, np.ndarray]):
         self.layout, self.w = layout, weights
 
-    def _steps(self, x: np.ndarray, fresh: np.ndarray, h: np.ndarray, keep: list | None = None) -> np.ndarray:
+    def _steps(self, x: np.ndarray, fresh: np.ndarray, h: np.ndarray, keep: dict | None = None) -> np.ndarray:
         """States after each step of a window; ``keep`` gets what the way back
         needs."""
-        n, out = self.layout.hidden, np.empty((len(x), x.shape[1], self.layout.hidden), np.float32)
+        n = self.layout.hidden
+        g, u = self.w["inputs"][x], self.w["recurrent"]
+        out = np.empty((*x.shape, n), g.dtype)
+        if keep is not None:
+            keep.update(before=np.empty_like(out), pre=np.empty_like(out), gates=g[:, :, : 2 * n], new=g[:, :, 2 * n :])
+        some = fresh.any(axis=1)
         for t in range(len(x)):
-            if fresh[t].any():
-                h = np.where(fresh[t][:, None], np.float32(0), h)
-            g, a = self.w["inputs"][x[t]], h @ self.w["recurrent"]
-            gates = _sigmoid(g[:, : 2 * n] + a[:, : 2 * n])
-            r, z = gates[:, :n], gates[:, n:]
-            new = r * a[:, 2 * n :]
-            new += g[:, 2 * n :]
-            np.tanh(new, out=new)
+            if some[t]:
+                h = np.where(fresh[t][:, None], g.dtype.type(0), h)
+            a = h @ u
+            gates, new = g[t, :, : 2 * n], g[t, :, 2 * n :]
+            gates += a[:, : 2 * n]
+            _sigmoid(gates)
+            pre = a[:, 2 * n :]
             if keep is not None:
-                keep.append((h, r, z, new, a[:, 2 * n :]))
-            h = h - new
-            h *= z
+                keep["before"][t], keep["pre"][t] = h, pre
+            new += gates[:, :n] * pre
+            np.tanh(new, out=new)
+            h = np.subtract(h, new, out=out[t])
+            h *= gates[:, n:]
             h += new
-            out[t] = h
         return out
 
     def _outputs(self, state: np.ndarray, y: np.ndarray, learn: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
         """Log-probabilities of the words ``y``; with ``learn``, gradients of
-        their negative sum are put there, and those of the states returned."""
+        their negative sum are put there (of words: by class met, with its
+        tokens), and those of the states returned."""
         layout, w = self.layout, self.w
-        of = layout.class_of[y]
-        by_class = _log_softmax(state @ w["classes"] + w["class_bias"])
-        at = np.arange(len(y))
-        found = by_class[at, of]
+        order = np.argsort(layout.class_of[y], kind="stable")
+        state, y = state[order], y[order]
+        of, at = layout.class_of[y], np.arange(len(y))
+        x, total, found = _powers(state, w["classes"], w["class_bias"], (at, of))
         back = None
         if learn is not None:
-            d = np.exp(by_class)
-            d[at, of] -= 1
-            learn["classes"] = state.T @ d
-            learn["class_bias"] = d.sum(axis=0)
-            learn["words"], learn["word_bias"] = np.zeros_like(w["words"]), np.zeros_like(w["word_bias"])
-            back = d @ w["classes"].T
-        order = np.argsort(of, kind="stable")
-        bounds = np.searchsorted(of[order], np.arange(layout.n_classes))
+            x[at, of] -= total
+            share = 1 / total
+            learn["classes"], learn["class_bias"], learn["words"] = (state * share[:, None]).T @ x, share @ x, {}
+            back = x @ w["classes"].T
+            back *= share[:, None]
+        bounds = np.searchsorted(of, np.arange(layout.n_classes)).tolist()
+        words, bias, edges = w["words"], w["word_bias"], layout.edges.tolist()
         for c in range(layout.n_classes - 1):
-            rows = order[bounds[c] : bounds[c + 1]]
-            lo, hi = layout.edges[c], layout.edges[c + 1]
-            if hi - lo < 2 or not len(rows):
+            i, j, lo, hi = bounds[c], bounds[c + 1], edges[c], edges[c + 1]
+            if hi - lo < 2 or i == j:
                 continue
-            own = state[rows]
-            within = _log_softmax(own @ w["words"][:, lo:hi] + w["word_bias"][lo:hi])
-            found[rows] += within[np.arange(len(rows)), y[rows] - lo]
+            own = state[i:j]
+            target = (at[: j - i], y[i:j] - lo)
+            x, total, within = _powers(own, words[lo:hi].T, bias[lo:hi], target)
+            found[i:j] += within
             if learn is not None:
-                d = np.exp(within)
-                d[np.arange(len(rows)), y[rows] - lo] -= 1
-                learn["words"][:, lo:hi] = own.T @ d
-                learn["word_bias"][lo:hi] = d.sum(axis=0)
-                back[rows] += d @ w["words"][:, lo:hi].T
-        return found, back
-
-    def windows(self, texts: list[tuple[np.ndarray, np.ndarray]], n_lanes: int, steps: int):
+                x[target] -= total
+                share = 1 / total
+                learn["words"][c] = x.T @ (own * share[:, None]), share @ x, j - i
+                own = x @ words[lo:hi]
+                own *= share[:, None]
+                back[i:j] += own
+        as_given = np.empty_like(order)
+        as_given[order] = at
+        return found[as_given], back if back is None else back[as_given]
+
+    def windows(self, texts: list[tuple[np.ndarray, np.ndarray]], n_lanes: int, steps: int, least: int = 0):
         """Windows over ``texts`` (inputs and words to predict): inputs, which
-        steps start a text, which have a token, its place, words."""
+        steps start a text, which have a token, its place, words. Where few
+        lanes are left, they have so many steps as to hold ``least`` tokens."""
         if not texts:
             return
         x, y = (np.concatenate([t[i] for t in texts]) for i in (0, 1))
         place, first = lanes([t[0] for t in texts], n_lanes)
-        for at in range(0, len(place), steps):
-            own = place[at : at + steps]
-            n = int((own[0] >= 0).sum())  # lanes get shorter from left to right
-            own = own[:, :n]
+        at = 0
+        while at < len(place):
+            n = int((place[at] >= 0).sum())  # lanes get shorter from left to right
+            until = at + max(steps, least // max(n, 1))
+            own = place[at:until, :n]
             there = own >= 0
-            yield x[np.maximum(own, 0)], first[at : at + steps, :n], there, own[there], y[own[there]]
+            yield x[np.maximum(own, 0)], first[at:until, :n], there, own[there], y[own[there]]
+            at = until
 
-    def score(self, texts: list[tuple[np.ndarray, np.ndarray]], n_lanes: int = 2048, steps: int = 32) -> np.ndarray:
+    def score(self, texts: list[tuple[np.ndarray, np.ndarray]], n_lanes: int = 512, steps: int = 16) -> np.ndarray:
         """Natural log-probability of each token, text after text."""
         found = np.zeros(sum(len(t[0]) for t in texts), np.float64)
         h = None
-        for x, first, there, place, y in self.windows(texts, n_lanes, steps):
+        for x, first, there, place, y in self.windows(texts, n_lanes, steps, 8192):
             h = np.zeros((x.shape[1], self.layout.hidden), np.float32) if h is None else h[: x.shape[1]]
             states = self._steps(x, first, h)
             h = states[-1]
             found[place] = self._outputs(states[there], y)[0]
         return found
 
-    def gradients(self, x, first, there, y, h) -> tuple[dict[str, np.ndarray], np.ndarray, float]:
-        """Of the mean negative log-probability of a window's words."""
-        keep: list = []
+    def _back(self, x, first, there, y, h) -> tuple[dict, np.ndarray, float]:
+        """Gradients of the negative log-probability of a window's words:
+        ``inputs`` as rows met and theirs, ``words`` by class."""
+        keep: dict = {}
         states = self._steps(x, first, h, keep)
-        learn: dict[str, np.ndarray] = {}
+        learn: dict = {}
         found, back = self._outputs(states[there], y, learn)
-        n, hidden = max(len(y), 1), self.layout.hidden
+        n, u = self.layout.hidden, self.w["recurrent"]
         d_states = np.zeros_like(states)
         d_states[there] = back
-        d_recurrent = np.zeros_like(self.w["recurrent"])
-        d_inputs = np.empty((*x.shape, 3 * hidden), np.float32)
-        d_next = np.zeros_like(h)
-        u = self.w["recurrent"]
+        before, new = keep["before"], keep["new"]
+        r, z = keep["gates"][:, :, :n], keep["gates"][:, :, n:]
+        by_new = (1 - z) * (1 - new * new)
+        by_z = (before - new) * z * (1 - z)
+        by_r = keep["pre"] * r * (1 - r)
+        d_inputs = np.empty((*x.shape, 3 * n), states.dtype)
+        d_a = np.empty_like(d_inputs)
+        d_next, some = np.zeros_like(states[0]), first.any(axis=1)
         for t in range(len(x) - 1, -1, -1):
-            before, r, z, new, pre = keep[t]
-            d = d_states[t] + d_next
-            d_new = d * (1 - z) * (1 - new * new)
-            d_z = d * (before - new) * z * (1 - z)
-            d_r = d_new * pre * r * (1 - r)
+            d = d_states[t]
+            d += d_next
             d_g = d_inputs[t]
-            d_g[:, :hidden], d_g[:, hidden : 2 * hidden], d_g[:, 2 * hidden :] = d_r, d_z, d_new
-            d_a = d_g.copy()
-            d_a[:, 2 * hidden :] *= r
-            d_recurrent += before.T @ d_a
-            d_next = d * z + d_a @ u.T
-            if first[t].any():
+            np.multiply(d, by_new[t], out=d_g[:, 2 * n :])
+            np.multiply(d, by_z[t], out=d_g[:, n : 2 * n])
+            np.multiply(d_g[:, 2 * n :], by_r[t], out=d_g[:, :n])
+            d_a[t, :, : 2 * n] = d_g[:, : 2 * n]
+            np.multiply(d_g[:, 2 * n :], r[t], out=d_a[t, :, 2 * n :])
+            d_next = d_a[t] @ u.T
+            d_next += d * z[t]
+            if some[t]:
                 d_next[first[t]] = 0
-        learn["recurrent"] = d_recurrent
-        flat, order = x.reshape(-1), np.argsort(x.reshape(-1), kind="stable")
-        ids, at = np.unique(flat[order], return_index=True)
-        learn["inputs"] = np.zeros_like(self.w["inputs"])
-        if len(ids):
-            learn["inputs"][ids] = np.add.reduceat(d_inputs.reshape(-1, 3 * hidden)[order], at, axis=0)
-        return {k: g / n for k, g in learn.items()}, states[-1], float(-found.sum())
+        learn["recurrent"] = before.reshape(-1, n).T @ d_a.reshape(-1, 3 * n)
+        order = np.argsort(x.reshape(-1), kind="stable")
+        ids, at = np.unique(x.reshape(-1)[order], return_index=True)
+        rows = np.add.reduceat(d_inputs.reshape(-1, 3 * n)[order], at, axis=0) if len(ids) else d_inputs.reshape(-1, 3 * n)
+        learn["inputs"] = ids, rows
+        return learn, states[-1], float(-found.sum())
+
+    def gradients(self, x, first, there, y, h) -> tuple[dict[str, np.ndarray], np.ndarray, float]:
+        """Of the mean negative log-probability of a window's words, of the
+        shapes of the weights."""
+        learn, h, loss = self._back(x, first, there, y, h)
+        whole = {k: learn[k] if k in learn and k not in ("inputs", "words") else np.zeros_like(self.w[k]) for k in SHAPES}
+        ids, rows = learn["inputs"]
+        whole["inputs"][ids] = rows
+        for c, (of_words, of_bias, _) in learn["words"].items():
+            own = slice(self.layout.edges[c], self.layout.edges[c + 1])
+            whole["words"][own], whole["word_bias"][own] = of_words, of_bias
+        return {k: g / max(len(y), 1) for k, g in whole.items()}, h, loss
 
     def train(self, texts: list[tuple[np.ndarray, np.ndarray]], adam: dict, rate: float, steps: int = 16) -> int:
         """One pass over ``texts`` by Adam; ``adam`` is kept from call to
-        call. Returns the number of tokens."""
+        call. Returns the number of tokens. A text longer than the lanes is
+        learnt from in several pieces, each with a state of its own, so that
+        no window is left with a few lanes."""
         total = sum(len(t[0]) for t in texts)
+        n_lanes = int(np.clip(total // 4096, *LANES))
+        size = max(PIECE, total // n_lanes)
+        texts = [(x[i : i + size], y[i : i + size]) for x, y in texts for i in range(0, len(x), size)]
+        adam = adam.setdefault("adam", Adam(self.layout, self.w))
         h = None
-        for x, first, there, _, y in self.windows(texts, int(np.clip(total // 4096, 16, 1024)), steps):
+        for x, first, there, _, y in self.windows(texts, n_lanes, steps):
             h = np.zeros((x.shape[1], self.layout.hidden), np.float32) if h is None else h[: x.shape[1]]
-            learn, h, _ = self.gradients(x, first, there, y, h)
-            adam["n"] = n = adam.get("n", 0) + 1
-            step = rate / (1 + n / 400) ** 0.5 * (1 - 0.99**n) ** 0.5 / (1 - 0.9**n)
-            for k in SHAPES:
-                m, v = adam.setdefault(k, (np.zeros_like(self.w[k]), np.zeros_like(self.w[k])))
-                m *= np.float32(0.9)
-                m += np.float32(0.1) * learn[k]
-                v *= np.float32(0.99)
-                v += np.float32(0.01) * learn[k] * learn[k]
-                self.w[k] -= np.float32(step) * m / (np.sqrt(v) + np.float32(1e-6))
+            learn, h, _ = self._back(x, first, there, y, h)
+            adam.update(learn, max(len(y), 1), rate)
         return total
 
 
+class Adam:
+    """Moments of the weights ``w``, and updates of those that a window has
+    met."""
+
+    def __init__(self, layout: Layout, w: dict[str, np.ndarray]):
+        self.layout, self.w, self.n = layout, w, 0
+        self.m, self.v = ({k: np.zeros_like(w[k]) for k in SHAPES} for _ in range(2))
+        self.last = np.zeros(layout.n_inputs, np.int32)
+        #: By class: gradients of its words not yet applied, tokens, updates.
+        self.waiting: dict[int, list] = {}
+        self.times = np.zeros(layout.n_classes, np.int64)
+
+    def _rate(self, rate: float, n: int) -> np.float32:
+        return np.float32(rate / (1 + self.n / 400) ** 0.5 * (1 - 0.99**n) ** 0.5 / (1 - 0.9**n))
+
+    @staticmethod
+    def _step(w, m, v, g, rate) -> None:
+        """In place."""
+        m *= np.float32(0.9)
+        m += np.float32(0.1) * g
+        v *= np.float32(0.99)
+        g *= g
+        g *= np.float32(0.01)
+        v += g
+        np.sqrt(v, out=g)
+        g += np.float32(1e-6)
+        np.divide(m, g, out=g)
+        g *= rate
+        w -= g
+
+    def update(self, learn: dict, n_tokens: int, rate: float) -> None:
+        self.n += 1
+        step, share = self._rate(rate, self.n), np.float32(1 / n_tokens)
+        for k in ("recurrent", "classes", "class_bias"):
+            self._step(self.w[k], self.m[k], self.v[k], learn[k] * share, step)
+        ids, rows = learn["inputs"]
+        missed = (self.n - 1 - self.last[ids]).astype(np.float32)[:, None]
+        self.last[ids] = self.n
+        w, m, v = (x["inputs"][ids] for x in (self.w, self.m, self.v))
+        m *= np.float32(0.9) ** missed
+        v *= np.float32(0.99) ** missed
+        self._step(w, m, v, rows * share, step)
+        self.w["inputs"][ids], self.m["inputs"][ids], self.v["inputs"][ids] = w, m, v
+        for c, (of_words, of_bias, n) in learn["words"].items():
+            lo, hi = self.layout.edges[c], self.layout.edges[c + 1]
+            if (old := self.waiting.pop(c, None)) is not None:
+                of_words += old[0]
+                of_bias += old[1]
+                n += old[2]
+            if n * RIPE < hi - lo:
+                self.waiting[c] = [of_words, of_bias, n]
+                continue
+            self.times[c] += 1
+            step_c, share_c = self._rate(rate, int(self.times[c])), np.float32(1 / n)
+            for k, g in (("words", of_words), ("word_bias", of_bias)):
+                g *= share_c
+                self._step(self.w[k][lo:hi], self.m[k][lo:hi], self.v[k][lo:hi], g, step_c)
+
+
 def flat(weights: dict[str, np.ndarray]) -> np.ndarray:
     return np.concatenate([weights[k].reshape(-1) for k in SHAPES])
 

@@ -11,10 +11,15 @@ are one class; within it, the base model's chances hold. So each text has a
 probability, whatever its words. Its inputs are the known words, and of other
 words a number from their last two letters.
 
+*Places.* Texts are split and their words numbered in Arrow, some MB at a time;
+each token's place among the network's inputs is written once, and training and
+scoring read that.
+
 *Training.* Every training text is learnt from once, in ``ROUNDS`` rounds.
-In a round each task trains a copy of the network on its own texts; the
-copies' weights are averaged by the tokens they have seen. The network starts
-from the base model's shares, so it is never far below it.
+In a round each task trains a copy of the network on its own texts, of
+``TASK`` tokens on average at least; the copies' weights are averaged by the
+tokens they have seen, first within groups of copies, then over these. The
+network starts from the base model's shares, so it is never far below it.
 
 *Scoring.* Each task runs all its texts side by side, carrying the state from
 window to window, so a score is that of the complete text. Words that are
@@ -30,6 +35,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -37,14 +43,20 @@ from pyspark.sql import functions as F
 
 from harborline.llm import gru
 from harborline.llm.common import Stages, documents, text_of
-from harborline.llm.shingles import MEMORY, word_hashes
+from harborline.llm.shingles import word_hashes
 
 #: Share of the training tokens whose words the network knows; words and
 #: classes at least; input places for other words.
 COVER, KNOWN, CLASSES, OTHERS = 0.7, 512, 16, 64
 #: Weights in a row, where copies are averaged.
 CHUNK = 1 << 13
-ROUNDS, RATE = 2, 0.02
+#: Groups in which copies are averaged first.
+GROUPS = 256
+ROUNDS, RATE = 2, 0.06
+#: Tokens that a copy learns from in a round, on average, at least.
+TASK = 1 << 20
+#: Bytes of text whose words are numbered together (one text at least).
+TOGETHER = 8 << 20
 SHARE = 2_000_000
 FOLDS, HELD_OUT = 5, 1
 
@@ -61,17 +73,31 @@ def tokens(text: bytes) -> np.ndarray:
     return np.append(word_hashes(text.lower().split()), END)
 
 
-class _Places(dict):
-    """Of each word met: its place in the list and one (0: not listed), times
-    ``OTHERS``, and a number below that from its last two bytes."""
-
-    def __init__(self, listed: np.ndarray):
-        self.listed = {h: i for i, h in enumerate(listed.tolist())}
-
-    def __missing__(self, word: bytes) -> int:
-        at = self.listed.get(xxhash.xxh3_64_intdigest(word), -1) + 1
-        code = self[word] = at * OTHERS + (word[-1] * 31 + (word[-2] if len(word) > 1 else 0)) % OTHERS
-        return code
+def numbered(texts: pa.Array):
+    """Some texts at a time: the hashes of their distinct words, the last two
+    bytes of each as a number, each word's place among them, and the number of
+    words of each text."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    upto, start = np.cumsum(sizes), 0
+    while start < len(texts):
+        stop = max(start + 1, int(np.searchsorted(upto, (upto[start - 1] if start else 0) + TOGETHER, "right")))
+        split = pc.ascii_split_whitespace(pc.fill_null(pc.ascii_lower(texts.slice(start, stop - start)), ""))
+        per_text = pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64)
+        coded = split.flatten().dictionary_encode()
+        words = coded.dictionary.cast(pa.binary()).to_pylist()
+        at = coded.indices.to_numpy()
+        length = np.fromiter(map(len, words), np.int64, len(words))
+        joined = np.frombuffer(b"\0" + b"".join(words), np.uint8)
+        last = np.cumsum(length)
+        ends = joined[last].astype(np.int64) * 31 + np.where(length > 1, joined[np.maximum(last - 1, 0)], 0)
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+        if (length == 0).any():  # blanks at an end of a text
+            there = (length > 0)[at]
+            stops = np.cumsum(per_text)
+            kept = np.concatenate([[0], np.cumsum(there)])
+            per_text, at = kept[stops] - kept[stops - per_text], at[there]
+        yield hashes, ends, at, per_text
+        start = stop
 
 
 class Vocabulary:
@@ -97,24 +123,25 @@ class Vocabulary:
     def layout(self) -> gru.Layout:
         return gru.Layout(self.shares, max(CLASSES, math.isqrt(self.n_known)), self.n_known + OTHERS + 1)
 
-    def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k != "places"}
-
-    def steps(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Inputs, words to predict, and place in the list (-1: none) of each
-        token, the end included."""
-        if "places" not in self.__dict__ or len(self.places) > MEMORY:
-            self.places = _Places(self.words)
-            self.end = int(np.append(np.flatnonzero(self.words == END), -1)[0]) + 1
-        code = np.empty(len(words) + 1, np.int64)
-        code[:-1] = np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
-        code[-1] = self.end * OTHERS
-        at = code // OTHERS - 1
+    def places(self, hashes: np.ndarray) -> np.ndarray:
+        """Place in the list of each word (-1: none)."""
+        if not len(self.words):
+            return np.full(len(hashes), -1, np.int64)
+        at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
+        return np.where(self.words[at] == hashes, at, -1)
+
+    def inputs(self, at: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Input of the network for words at these places in the list."""
         known = self.known[at]  # of place -1 the last, which is none
-        x = np.empty(len(code), np.int32)
+        return np.where(known >= 0, known, self.n_known + ends % OTHERS).astype(np.int32)
+
+    def steps(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Inputs and words to predict of a text, whose tokens as inputs are
+        ``codes``, the end included."""
+        x = np.empty(len(codes), np.int32)
         x[0] = self.n_known + OTHERS
-        x[1:] = np.where(known >= 0, known, self.n_known + code % OTHERS)[:-1]
-        return x, np.where(known >= 0, known, self.n_known), at
+        x[1:] = codes[:-1]
+        return x, np.minimum(codes, self.n_known)
 
 
 def _counts(docs: DataFrame) -> DataFrame:
@@ -122,40 +149,92 @@ def _counts(docs: DataFrame) -> DataFrame:
 
     def count(batches):
         for batch in batches:
-            own = [tokens(t) for t in batch.column(0).cast(pa.binary()).to_pylist()]
-            word, n = np.unique(np.concatenate(own) if own else np.empty(0, np.uint64), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n.astype(np.int64))], names=["word", "n"])
+            for hashes, _, at, per_text in numbered(batch.column(0)):
+                n = np.bincount(at, minlength=len(hashes))
+                word, n = np.append(hashes[n > 0], END), np.append(n[n > 0], len(per_text))
+                yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n.astype(np.int64))], names=["word", "n"])
 
     return docs.select("text").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _round(docs: DataFrame, vocabulary, weights: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-    """The mean of the weights that each task has after its texts."""
-    start = docs.sparkSession.sparkContext.broadcast(weights)
+def _texts(codes: pa.Array, vocabulary: Vocabulary) -> list[tuple[np.ndarray, np.ndarray]]:
+    return [vocabulary.steps(np.frombuffer(c, np.int32)) for c in codes.to_pylist()]
+
+
+def _round(rows: DataFrame, vocabulary, weights: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """The mean of the weights that each task has after its texts
+    (``codes``)."""
+    start = rows.sparkSession.sparkContext.broadcast(weights)
 
     def train(batches):
         net = gru.Network(vocabulary.value.layout(), {k: w.copy() for k, w in start.value.items()})
         adam, n = {}, 0
         for batch in batches:
-            texts = [vocabulary.value.steps(t.lower().split())[:2] for t in batch.column(0).cast(pa.binary()).to_pylist()]
-            n += net.train(texts, adam, RATE)
+            n += net.train(_texts(batch.column(0), vocabulary.value), adam, RATE)
         if n:
-            values = gru.flat(net.w)
-            parts = [values[at : at + CHUNK].tobytes() for at in range(0, len(values), CHUNK)]
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(parts))), pa.array(np.full(len(parts), float(n))), pa.array(parts, pa.binary())], names=["chunk", "n", "w"])
+            values, own = gru.flat(net.w), TaskContext.get().partitionId() % GROUPS
+            for at in range(0, len(values), CHUNK):
+                yield pa.RecordBatch.from_arrays([pa.array([at // CHUNK]), pa.array([own]), pa.array([float(n)]), pa.array([values[at : at + CHUNK].astype(np.float64).tobytes()], pa.binary())], names=["chunk", "own", "n", "w"])
 
-    def mean(copies: pa.Table) -> pa.Table:
-        n = copies["n"].to_numpy()
-        total = sum(k * np.frombuffer(w, np.float32).astype(np.float64) for k, w in zip(n, copies["w"].to_pylist()))
-        return pa.table({"chunk": copies["chunk"][:1], "w": pa.array([(total / n.sum()).tobytes()], pa.binary())})
+    def mean(batches):
+        """One mean of a group, whose rows come in batches."""
+        first, n, total = None, 0.0, 0.0
+        for batch in batches:
+            for chunk, own, k, w in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                first, n, total = first or (chunk, own), n + k, total + k * np.frombuffer(w, np.float64)
+        yield pa.RecordBatch.from_arrays([pa.array([first[0]]), pa.array([first[1]]), pa.array([n]), pa.array([(total / n).tobytes()], pa.binary())], names=["chunk", "own", "n", "w"])
 
+    schema = "chunk long, own long, n double, w binary"
+    of_groups = rows.select("codes").mapInArrow(train, schema).groupBy("chunk", "own").applyInArrow(_whole(mean), schema)
     # as many numbers as the network has weights
-    copies = docs.select("text").mapInArrow(train, "chunk long, n double, w binary")
-    got = copies.groupBy("chunk").applyInArrow(mean, "chunk long, w binary").toArrow().sort_by("chunk")
+    got = of_groups.groupBy("chunk").applyInArrow(_whole(mean), schema).select("chunk", "w").toArrow().sort_by("chunk")
     values = np.frombuffer(b"".join(got["w"].to_pylist()), np.float64) if len(got) else gru.flat(weights)
     return gru.unflat(values, weights)
 
 
+def _whole(of_batches):
+    def of_table(group: pa.Table) -> pa.Table:
+        return pa.Table.from_batches(of_batches(group.to_batches()))
+
+    return of_table
+
+
+def _coded(docs: DataFrame, vocabulary) -> DataFrame:
+    """A row for each document, with the sum of the base scores of its listed
+    words, and one for each of its distinct words not listed (``word, n``)."""
+    schema = pa.schema([("key", pa.int64()), ("word", pa.int64()), ("n", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_known", pa.int64()), ("base", pa.float64()), ("codes", pa.binary())])
+
+    def code(batches):
+        v, key = vocabulary.value, TaskContext.get().partitionId() << 40
+        end = v.places(np.array([END]))
+        end_code, end_listed = v.inputs(end, np.zeros(1, np.int64)), int(end[0] >= 0)
+        base_of = np.append(np.log10(v.chance(v.counts)), 0.0)
+        for batch in batches:
+            row = 0
+            for hashes, ends, at, per_text in numbered(batch.column(1)):
+                place = v.places(hashes)
+                codes, base, listed = v.inputs(place, ends)[at], base_of[place][at], (place >= 0)[at]
+                stops = np.cumsum(per_text)
+                n, keys = len(per_text), key + np.arange(len(per_text))
+                upto = [np.concatenate([[0], np.cumsum(x)]) for x in (base, listed)]
+                bases, known = (x[stops] - x[stops - per_text] for x in upto)
+                texts = [np.append(codes[i:j], end_code).tobytes() for i, j in zip((stops - per_text).tolist(), stops.tolist())]
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.nulls(n, pa.int64()), pa.array(per_text + 1), batch.column(0).slice(row, n), batch.column(2).slice(row, n),
+                                                  pa.array(known + end_listed), pa.array(bases + base_of[end[0]]), pa.array(texts, pa.binary())], schema=schema)
+                # of words not listed: how often each text has them
+                of_text, word = np.repeat(np.arange(n), per_text)[~listed], at[~listed]
+                pair, times = np.unique(of_text * max(len(hashes), 1) + word, return_counts=True)
+                owner, word = keys[pair // max(len(hashes), 1)], hashes[pair % max(len(hashes), 1)] if len(hashes) else np.empty(0, np.uint64)
+                if not end_listed:
+                    owner, word, times = np.append(owner, keys), np.append(word, np.full(n, END)), np.append(times, np.ones(n, np.int64))
+                if len(owner):
+                    void = [pa.nulls(len(owner), f.type) for f in list(schema)[3:]]
+                    yield pa.RecordBatch.from_arrays([pa.array(owner), pa.array(word.view(np.int64)), pa.array(times.astype(np.int64)), *void], schema=schema)
+                key, row = key + n, row + n
+
+    return docs.select("doc_id", "text", "held_out").mapInArrow(code, "key long, word long, n long, doc_id long, held_out boolean, n_known long, base double, codes binary")
+
+
 def score(docs: DataFrame) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score,
     score`` of each row of ``docs`` (``doc_id``, ``text``; other columns are
@@ -177,54 +256,32 @@ def score(docs: DataFrame) -> DataFrame:
     vocabulary = spark.sparkContext.broadcast(listed)
     layout = listed.layout()
     weights = layout.start(np.append(listed.shares, listed.rest))
-    half = F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(ROUNDS))
+    coded = stages.write(_coded(docs, vocabulary), "coded")
+    learnt = coded.where("word is null and not held_out").select("key", "codes")
+    tasks = max(1, n_tokens // (ROUNDS * TASK))
     for k in range(ROUNDS if n_tokens else 0):
-        weights = _round(train.where(half == k), vocabulary, weights)
+        weights = _round(learnt.where(F.pmod(F.xxhash64("key"), F.lit(ROUNDS)) == k).coalesce(tasks), vocabulary, weights)
     network = spark.sparkContext.broadcast(weights)
 
     def judge(batches):
-        v, key = vocabulary.value, TaskContext.get().partitionId() << 40
+        v = vocabulary.value
         net = gru.Network(v.layout(), network.value)
-        base_of = np.log10(v.chance(v.counts))
-        known_of = np.log10(v.shares) if v.n_known else np.empty(0)
-        schema = pa.schema([("key", pa.int64()), ("word", pa.int64()), ("n", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_known", pa.int64()), ("base", pa.float64()), ("gain", pa.float64())])
+        base_of = np.append(np.log10(v.shares), math.log10(v.rest))
         for batch in batches:
-            steps, rows, rare, owner = [], [], [], []
-            ids, held = batch.column(0).to_pylist(), batch.column(2).to_pylist()
-            for doc_id, text, out in zip(ids, batch.column(1).cast(pa.binary()).to_pylist(), held):
-                words = text.lower().split()
-                x, y, at = v.steps(words)
-                own = at[at >= 0]
-                rows.append((key, None, len(x), doc_id, out, len(own), float(base_of[own].sum()), 0.0))
-                if len(own) < len(at):
-                    others = word_hashes([words[i] for i in np.flatnonzero(at[:-1] < 0)])
-                    word, n = np.unique(others if at[-1] >= 0 else np.append(others, END), return_counts=True)
-                    rare.append((word, n))
-                    owner.append(np.full(len(word), key))
-                steps.append((x, y))
-                key += 1
-            if not rows:
-                continue
+            texts = _texts(batch.column(6), v)
             # what the network adds to the base model, token by token
-            y = np.concatenate([s[1] for s in steps])
-            base = np.append(known_of, math.log10(v.rest))[y]
-            gain = net.score(steps) / math.log(10) - base
-            sizes = np.array([len(s[0]) for s in steps])
-            gains = np.add.reduceat(gain, np.cumsum(sizes) - sizes)
-            columns = [pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)]
-            columns[-1] = pa.array(gains)
-            yield pa.RecordBatch.from_arrays(columns, schema=schema)
-            if rare:
-                word, n = (np.concatenate([r[i] for r in rare]) for i in (0, 1))
-                void = [pa.nulls(len(word), f.type) for f in list(schema)[3:]]
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(owner)), pa.array(word.view(np.int64)), pa.array(n.astype(np.int64)), *void], schema=schema)
-
-    rows = stages.write(docs.select("doc_id", "text", "held_out").mapInArrow(judge, "key long, word long, n long, doc_id long, held_out boolean, n_known long, base double, gain double"), "rows")
-    rare = rows.where("word is not null").select("key", "word", "n").join(counts.withColumnRenamed("n", "c"), "word", "left")
+            gain = net.score(texts) / math.log(10) - base_of[np.concatenate([y for _, y in texts])] if texts else np.empty(0)
+            sizes = np.array([len(x) for x, _ in texts], np.int64)
+            gains = np.add.reduceat(gain, np.cumsum(sizes) - sizes) if texts else gain
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(6)), pa.array(gains, pa.float64())], names=["key", "n", "doc_id", "held_out", "n_known", "base", "gain"])
+
+    rows = coded.where("word is null").select("key", "n", "doc_id", "held_out", "n_known", "base", "codes")
+    rows = stages.write(rows.mapInArrow(judge, "key long, n long, doc_id long, held_out boolean, n_known long, base double, gain double"), "rows")
+    rare = coded.where("word is not null").select("key", "word", "n").join(counts.withColumnRenamed("n", "c"), "word", "left")
     chance = F.log10((F.coalesce("c", F.lit(0)) + 0.5) / (n_tokens + 0.5 * (n_words + 1)))
     rare = rare.groupBy("key").agg(F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("rare_known"), F.sum(F.col("n") * chance).alias("rare_base"))
     base = F.col("base") + F.coalesce("rare_base", F.lit(0.0))
-    return rows.where("word is null").join(rare, "key", "left").select(
+    return rows.join(rare, "key", "left").select(
         "doc_id", "held_out", F.col("n").alias("n_tokens"), (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
         F.lit(n_tokens).cast("long").alias("train_tokens"), base.alias("base_score"), (base + F.col("gain")).alias("score"),
     )
