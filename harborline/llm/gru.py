@@ -24,6 +24,9 @@ import numpy as np
 HIDDEN = 24
 #: Words of a class for each token that an update of the class takes.
 RIPE = 8
+#: Tokens whose classes are predicted together, so that their chances stay in
+#: a processor's cache.
+BLOCK = 1024
 #: Lanes of a training window at least (if there are as many texts) and at most.
 LANES = 256, 1024
 #: Tokens of a piece of a long text at least, in training.
@@ -33,12 +36,14 @@ SHAPES = ("inputs", "recurrent", "classes", "class_bias", "words", "word_bias")
 
 class Layout:
     """``n_words`` known words in order of frequency, in classes of about the
-    same share of the tokens; ``edges`` bounds each class's words."""
+    same sum of the square roots of their shares: frequent words are in small
+    classes, and a token's class is smaller on average than where classes have
+    equal shares. ``edges`` bounds each class's words."""
 
     def __init__(self, shares: np.ndarray, n_classes: int, n_inputs: int, hidden: int = HIDDEN):
         self.n_words, self.n_inputs, self.hidden = len(shares), n_inputs, hidden
-        upto = np.cumsum(shares) / max(shares.sum(), 1e-300)
-        of = np.minimum((upto - shares / max(shares.sum(), 1e-300) / 2) * n_classes, n_classes - 1).astype(int)
+        roots = np.sqrt(shares) / max(np.sqrt(shares).sum(), 1e-300)
+        of = np.minimum((np.cumsum(roots) - roots / 2) * n_classes, n_classes - 1).astype(int)
         _, of = np.unique(of, return_inverse=True)
         self.class_of = np.concatenate([of, [of.max(initial=-1) + 1]]).astype(np.int64)
         self.n_classes = int(self.class_of[-1]) + 1
@@ -149,14 +154,20 @@ class Network:
         order = np.argsort(layout.class_of[y], kind="stable")
         state, y = state[order], y[order]
         of, at = layout.class_of[y], np.arange(len(y))
-        x, total, found = _powers(state, w["classes"], w["class_bias"], (at, of))
-        back = None
+        found, back = np.empty(len(y), state.dtype), None
         if learn is not None:
-            x[at, of] -= total
-            share = 1 / total
-            learn["classes"], learn["class_bias"], learn["words"] = (state * share[:, None]).T @ x, share @ x, {}
-            back = x @ w["classes"].T
-            back *= share[:, None]
+            learn["classes"], learn["class_bias"], learn["words"] = np.zeros_like(w["classes"]), np.zeros_like(w["class_bias"]), {}
+            back = np.empty_like(state)
+        for i in range(0, len(y), BLOCK):
+            own = state[i : i + BLOCK]
+            target = (at[: len(own)], of[i : i + BLOCK])
+            x, total, found[i : i + BLOCK] = _powers(own, w["classes"], w["class_bias"], target)
+            if learn is not None:
+                x[target] -= total
+                share = 1 / total
+                learn["classes"] += (own * share[:, None]).T @ x
+                learn["class_bias"] += share @ x
+                np.multiply(x @ w["classes"].T, share[:, None], out=back[i : i + BLOCK])
         bounds = np.searchsorted(of, np.arange(layout.n_classes)).tolist()
         words, bias, edges = w["words"], w["word_bias"], layout.edges.tolist()
         for c in range(layout.n_classes - 1):

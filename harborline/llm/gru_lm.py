@@ -5,8 +5,8 @@ word with count ``c`` the chance ``(c + 0.5) / (N + 0.5 (V + 1))``.
 
 *Network.* The most frequent words that make up ``COVER`` of the training
 tokens, ``KNOWN`` at least (and the end of a text), are predicted by a GRU with
-a class-factored softmax (``gru``) of about as many classes as a class has
-words. So the known words grow with the input's vocabulary. All other words
+a class-factored softmax (``gru``), whose classes number about the square root
+of half the words. So the known words grow with the input's vocabulary. All other words
 are one class; within it, the base model's chances hold. So each text has a
 probability, whatever its words. Its inputs are the known words, and of other
 words a number from their last two letters.
@@ -121,7 +121,7 @@ class Vocabulary:
         return (counts + 0.5) / (self.n_tokens + 0.5 * (self.n_words + 1))
 
     def layout(self) -> gru.Layout:
-        return gru.Layout(self.shares, max(CLASSES, math.isqrt(self.n_known)), self.n_known + OTHERS + 1)
+        return gru.Layout(self.shares, max(CLASSES, math.isqrt(self.n_known // 2)), self.n_known + OTHERS + 1)
 
     def places(self, hashes: np.ndarray) -> np.ndarray:
         """Place in the list of each word (-1: none)."""
