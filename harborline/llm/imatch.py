@@ -11,7 +11,8 @@ How much of the lexicon a subset should hold depends on the document: with
 share of subsets agreed on is then close to the Jaccard similarity of the
 lists. So a fingerprint has ``SUBSETS`` hashes for each of ``LEVELS`` shares,
 powers of two around 1/T, and fingerprints are compared on those that both
-have.
+have. A subset's terms on one level include those on the next; for each term of
+the lexicon and each subset, the highest level is looked up in a table.
 
 Terms are the runs of other characters than white space and ASCII punctuation,
 A-Z lower-cased, held as 64-bit hashes. A document none of whose terms are in
@@ -40,6 +41,9 @@ RARE, COMMON = 1 / 2000, 1 / 5
 #: Levels of a fingerprint, and hashes of a level.
 LEVELS, SUBSETS = 4, 32
 
+#: Documents whose fingerprints are made together.
+TOGETHER = 512
+
 _BLANK = bytes(c if c > 127 or chr(c).isalnum() or c < 9 or 13 < c < 32 else 32 for c in range(256)).translate(bytes(c + 32 if 65 <= c <= 90 else c for c in range(256)))
 _SEEDS = np.array([int.from_bytes(hashlib.sha256(b"subset %d" % k).digest()[:8], "little") for k in range(SUBSETS)], np.uint64)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -56,54 +60,120 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _level(kept: np.ndarray, level: int) -> str:
-    """Hashes of the sorted terms in each subset of share ``2**-level``; 0 for
-    a subset without any."""
-    drawn = _mix(kept[None, :] ^ _SEEDS[:, None] ^ np.uint64(level)) >> np.uint64(64 - level) == 0 if level else np.ones((SUBSETS, len(kept)), bool)
-    subset, term = np.nonzero(drawn)
-    sizes = np.bincount(subset, minlength=SUBSETS)
-    starts = np.cumsum(sizes) - sizes
-    place = np.arange(len(term)) - starts[subset]
-    # a polynomial of the list, in its order
-    powers = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(int(sizes.max(initial=0)), _ODD)]))
-    parts = _mix(kept[term]) * powers[place]
-    digests = np.zeros(SUBSETS, np.uint64)
-    some = sizes > 0
-    if some.any():
-        digests[some] = 1 + _mix(np.add.reduceat(parts, starts[some])) % np.uint64(0xFFFF)
-    return digests.astype(">u2").tobytes().hex()
+def _rarity(terms: np.ndarray) -> np.ndarray:
+    """For each term and subset, the highest level on which the subset holds
+    the term: the leading zeros of a hash of both, of 40 bits."""
+    out = np.empty((len(terms), SUBSETS), np.uint8)
+    for k, seed in enumerate(_SEEDS):
+        out[:, k] = 40 - np.frexp((_mix(terms ^ seed) >> np.uint64(24)).astype(np.float64))[1]
+    return out
+
+
+class Lexicon:
+    """Sorted terms, and of each the levels on which it is in the subsets."""
+
+    def __init__(self, terms: np.ndarray):
+        self.terms, self.rarity = terms, _rarity(terms)
+
+    def drawn(self, own: np.ndarray) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
+        """Of a document with these terms: its lowest level, and each term
+        that a subset holds on it (the subset, the term, its highest level),
+        terms ascending within a subset."""
+        kept, rarity = own, None
+        if len(self.terms):
+            at = np.minimum(np.searchsorted(self.terms, own), len(self.terms) - 1)
+            inside = self.terms[at] == own
+            if inside.any():
+                kept, rarity = own[inside], self.rarity[at[inside]]
+        if rarity is None:
+            rarity = _rarity(kept)
+        level = len(kept).bit_length() - 1
+        term, subset = np.nonzero(rarity >= level)
+        order = np.argsort(subset, kind="stable")
+        term, subset = term[order], subset[order]
+        return level, subset, kept[term], rarity[term, subset]
+
+
+class Prints:
+    """Fingerprints of some texts: of each the lowest level (-1: a text
+    without terms), and the hashes of the sorted terms in each subset on each
+    level; 0 for a subset without any."""
+
+    def __init__(self, level: np.ndarray, digests: np.ndarray):
+        self.level, self.digests = level, digests
+
+    @classmethod
+    def of(cls, texts: list[bytes], lexicon: Lexicon) -> Prints:
+        level = np.full(len(texts), -1, np.int64)
+        digests = np.zeros((len(texts) * LEVELS * SUBSETS), np.uint16)
+        parts = []
+        for i, text in enumerate(texts):
+            if len(own := terms(text)):
+                level[i], subset, term, highest = lexicon.drawn(own)
+                parts.append((i * SUBSETS + subset, term, highest - level[i]))
+        if parts:
+            slot, term, above = (np.concatenate([p[k] for p in parts]) for k in range(3))
+            term = _mix(term)
+            for k in range(LEVELS):
+                there = above >= k
+                slot, term, above = slot[there], term[there], above[there]
+                if not len(slot):
+                    break
+                starts = np.flatnonzero(np.diff(slot, prepend=-1))
+                place = np.arange(len(slot)) - np.repeat(starts, np.diff(starts, append=len(slot)))
+                # a polynomial of the list, in its order
+                powers = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(int(place.max()), _ODD)]))
+                hashed = 1 + _mix(np.add.reduceat(term * powers[place], starts)) % np.uint64(0xFFFF)
+                text, subset = slot[starts] // SUBSETS, slot[starts] % SUBSETS
+                digests[(text * LEVELS + k) * SUBSETS + subset] = hashed
+        return cls(level, digests.reshape(-1, LEVELS, SUBSETS))
+
+    def take(self, at) -> Prints:
+        return Prints(self.level[at], self.digests[at])
+
+    def then(self, other: Prints) -> Prints:
+        return Prints(np.concatenate([self.level, other.level]), np.concatenate([self.digests, other.digests]))
+
+    def text(self) -> list[str]:
+        """``level:hashes`` of each level, joined by semicolons; empty for a
+        text without terms."""
+        size, found = 4 * SUBSETS, []
+        for level, own in zip(self.level.tolist(), self.digests.astype(">u2")):
+            hashes = own.tobytes().hex()
+            found.append(";".join(f"{level + k}:{hashes[k * size : (k + 1) * size]}" for k in range(LEVELS)) if level >= 0 else "")
+        return found
+
+    @classmethod
+    def parse(cls, fingerprint: str) -> Prints:
+        if not fingerprint:
+            return cls(np.array([-1]), np.zeros((1, LEVELS, SUBSETS), np.uint16))
+        levels = [x.split(":") for x in fingerprint.split(";")]
+        return cls(np.array([int(levels[0][0])]), np.array([np.frombuffer(bytes.fromhex(h), ">u2") for _, h in levels], np.uint16)[None])
+
+    def likeness(self, other: Prints) -> np.ndarray:
+        """Row by row. Of the subsets that hold a term of either document, on
+        the levels that both fingerprints have, the share agreed on. Equal
+        fingerprints: 1; without a common level: 0."""
+        same, some = (np.zeros(len(self.level), np.int64) for _ in range(2))
+        ahead = other.level - self.level
+        with_terms = (self.level >= 0) & (other.level >= 0)
+        for shift in range(1 - LEVELS, LEVELS):
+            rows = np.flatnonzero(with_terms & (ahead == shift))
+            x = self.digests[rows, max(shift, 0) : LEVELS + min(shift, 0)]
+            y = other.digests[rows, max(-shift, 0) : LEVELS - max(shift, 0)]
+            some[rows] = ((x > 0) | (y > 0)).sum(axis=(1, 2))
+            same[rows] = ((x == y) & (x > 0)).sum(axis=(1, 2))
+        equal = (ahead == 0) & (self.digests == other.digests).all(axis=(1, 2))
+        return np.where(equal, 1.0, same / np.maximum(some, 1))
 
 
 def fingerprint(text: bytes, lexicon: np.ndarray) -> str:
-    """``level:hashes`` of each level, joined by semicolons; empty for a text
-    without terms."""
-    own = terms(text)
-    if not len(own):
-        return ""
-    if len(lexicon):
-        inside = lexicon[np.minimum(np.searchsorted(lexicon, own), len(lexicon) - 1)] == own
-        kept = own[inside] if inside.any() else own
-    else:
-        kept = own
-    level = len(kept).bit_length() - 1
-    return ";".join(f"{k}:{_level(kept, k)}" for k in range(level, level + LEVELS))
+    return Prints.of([text], Lexicon(lexicon)).text()[0]
 
 
 def likeness(a: str, b: str) -> float:
-    """Of the subsets that hold a term of either document, on the levels that
-    both fingerprints have, the share agreed on. Equal fingerprints: 1;
-    without a common level: 0."""
-    if a == b:
-        return 1.0
-    if not a or not b:
-        return 0.0
-    of_a, of_b = (dict(x.split(":") for x in f.split(";")) for f in (a, b))
-    same = some = 0
-    for level in of_a.keys() & of_b.keys():
-        x, y = (np.frombuffer(bytes.fromhex(f[level]), ">u2") for f in (of_a, of_b))
-        some += int(((x > 0) | (y > 0)).sum())
-        same += int(((x == y) & (x > 0)).sum())
-    return same / some if some else 0.0
+    """Of two fingerprints as text."""
+    return float(Prints.parse(a).likeness(Prints.parse(b))[0])
 
 
 def lexicon(docs: DataFrame, rare: float = RARE, common: float = COMMON) -> np.ndarray:
@@ -129,8 +199,9 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     known = docs.sparkSession.sparkContext.broadcast(lexicon(docs))
 
     def mark(batches):
+        lexicon = Lexicon(known.value)
         for batch in batches:
-            found = [fingerprint(t, known.value) for t in batch.column(1).cast(pa.binary()).to_pylist()]
+            found = Prints.of(batch.column(1).cast(pa.binary()).to_pylist(), lexicon).text()
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string())], names=["doc_id", "fingerprint"])
 
     return docs.mapInArrow(mark, "doc_id long, fingerprint string")
@@ -185,22 +256,28 @@ def edited_likeness(docs: DataFrame, share: int = 3) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64())])
 
     def compare(batches):
+        lexicon = Lexicon(known.value)
         last, ended = None, None  # the row that waits for its next; the bucket whose end has come
-        for batch in batches:
-            rows = []
-            for doc_id, text, bucket, after in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                if bucket == ended:
+        for batch in (b.slice(i, TOGETHER) for b in batches for i in range(0, b.num_rows, TOGETHER)):
+            rows = [] if last is None else [last[0]]
+            for row in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                if row[2] == ended:
                     continue  # further rows of the id that comes after
-                own = fingerprint(text.encode(), known.value)
-                if last is not None:
-                    of_id, before, of_print = last
-                    n = len(before)
-                    edit = (before[: n - n // share] + text[: n // share]).encode()
-                    of_edit = fingerprint(edit, known.value)
-                    rows.append((of_id, n, hashlib.sha256(edit).hexdigest(), of_print, of_edit, likeness(of_print, of_edit), likeness(of_print, own)))
-                last = None if after else (doc_id, text, own)
-                ended = bucket if after else None
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
+                rows.append(row)
+                ended = row[2] if row[3] else None
+            own = Prints.of([r[1].encode() for r in rows[last is not None :]], lexicon)
+            if last is not None:
+                own = last[1].then(own)
+            at = np.array([i for i in range(len(rows) - 1) if not rows[i][3]], np.int64)
+            edits = []
+            for i in at.tolist():
+                text, n = rows[i][1], len(rows[i][1]) // share
+                edits.append((text[: len(text) - n] + rows[i + 1][1][:n]).encode())
+            last = (rows[-1], own.take([-1])) if rows and not rows[-1][3] else None
+            of_edits, before = Prints.of(edits, lexicon), own.take(at)
+            columns = [[rows[i][0] for i in at.tolist()], [len(rows[i][1]) for i in at.tolist()], [hashlib.sha256(e).hexdigest() for e in edits],
+                       before.text(), of_edits.text(), before.likeness(of_edits), before.likeness(own.take(at + 1))]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
     return _in_order(docs).mapInArrow(compare, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
 

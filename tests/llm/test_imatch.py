@@ -63,3 +63,47 @@ def test_odd_rows(docs):
     check(docs(rows), rows)
     check(docs(rows[2:3]), rows[2:3])
     assert M.edited_likeness(docs(rows).where("false")).collect() == []
+
+
+def test_against_a_plain_reading(spark):
+    """Fingerprints and likeness of every text, term by term."""
+    rows = [tuple(r) for r in documents(spark, SF).collect()]
+    lexicon = set(M.lexicon(documents(spark, SF)).tolist())
+    mask = (1 << 64) - 1
+
+    def mix(x):
+        x = (x ^ (x >> 30)) * 0xBF58476D1CE4E5B9 & mask
+        x = (x ^ (x >> 27)) * 0x94D049BB133111EB & mask
+        return x ^ (x >> 31)
+
+    seeds = [int.from_bytes(hashlib.sha256(b"subset %d" % k).digest()[:8], "little") for k in range(M.SUBSETS)]
+
+    def plain(text):
+        """{level: hashes of the subsets}"""
+        own = M.terms(text.encode()).tolist()
+        kept = [t for t in own if t in lexicon] or own
+        if not kept:
+            return {}
+        low, found = int(math.log2(len(kept))), {}
+        for level in range(low, low + M.LEVELS):
+            found[level] = []
+            for seed in seeds:
+                inside = [t for t in kept if mix(t ^ seed) >> (64 - level) == 0]
+                total = sum(mix(t) * pow(0x9E3779B97F4A7C15, i, 1 << 64) for i, t in enumerate(inside)) & mask
+                found[level].append(1 + mix(total) % 0xFFFF if inside else 0)
+        return found
+
+    def told(a, b):
+        if a == b:
+            return 1.0
+        both = [(x, y) for k in a.keys() & b.keys() for x, y in zip(a[k], b[k])]
+        some = sum(x > 0 or y > 0 for x, y in both)
+        return sum(x == y > 0 for x, y in both) / some if some else 0.0
+
+    got = {r["doc_id"]: r for r in M.edited_likeness(documents(spark, SF)).collect()}
+    for doc_id, text, after in next_of(rows):
+        edit = text[: len(text) - len(text) // 3] + after[: len(text) // 3]
+        a, b, c = plain(text), plain(edit), plain(after)
+        for field, want in (("fingerprint", a), ("edited_fingerprint", b)):
+            assert got[doc_id][field] == ";".join(f"{k}:" + "".join(f"{h:04x}" for h in v) for k, v in want.items())
+        assert got[doc_id]["near_edited"] == told(a, b) and got[doc_id]["near_next"] == told(a, c)
