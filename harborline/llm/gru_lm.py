@@ -35,15 +35,13 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harborline.llm import gru
 from harborline.llm.common import Stages, documents, text_of
-from harborline.llm.shingles import word_hashes
+from harborline.llm.shingles import numbered, word_hashes
 
 #: Share of the training tokens whose words the network knows; words and
 #: classes at least; input places for other words.
@@ -55,8 +53,6 @@ GROUPS = 256
 ROUNDS, RATE = 2, 0.06
 #: Tokens that a copy learns from in a round, on average, at least.
 TASK = 1 << 20
-#: Bytes of text whose words are numbered together (one text at least).
-TOGETHER = 8 << 20
 SHARE = 2_000_000
 FOLDS, HELD_OUT = 5, 1
 
@@ -73,33 +69,6 @@ def tokens(text: bytes) -> np.ndarray:
     return np.append(word_hashes(text.lower().split()), END)
 
 
-def numbered(texts: pa.Array):
-    """Some texts at a time: the hashes of their distinct words, the last two
-    bytes of each as a number, each word's place among them, and the number of
-    words of each text."""
-    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-    upto, start = np.cumsum(sizes), 0
-    while start < len(texts):
-        stop = max(start + 1, int(np.searchsorted(upto, (upto[start - 1] if start else 0) + TOGETHER, "right")))
-        split = pc.ascii_split_whitespace(pc.fill_null(pc.ascii_lower(texts.slice(start, stop - start)), ""))
-        per_text = pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64)
-        coded = split.flatten().dictionary_encode()
-        words = coded.dictionary.cast(pa.binary()).to_pylist()
-        at = coded.indices.to_numpy()
-        length = np.fromiter(map(len, words), np.int64, len(words))
-        joined = np.frombuffer(b"\0" + b"".join(words), np.uint8)
-        last = np.cumsum(length)
-        ends = joined[last].astype(np.int64) * 31 + np.where(length > 1, joined[np.maximum(last - 1, 0)], 0)
-        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-        if (length == 0).any():  # blanks at an end of a text
-            there = (length > 0)[at]
-            stops = np.cumsum(per_text)
-            kept = np.concatenate([[0], np.cumsum(there)])
-            per_text, at = kept[stops] - kept[stops - per_text], at[there]
-        yield hashes, ends, at, per_text
-        start = stop
-
-
 class Vocabulary:
     """Words of the broadcast list with their counts, and the known ones."""
 

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harborline.llm.common import documents, text_of
-from harborline.llm.shingles import word_hashes
+from harborline.llm.shingles import numbered, word_hashes
 
 RARE, COMMON = 1 / 2000, 1 / 5
 
@@ -54,6 +54,22 @@ def terms(text: bytes) -> np.ndarray:
     return np.unique(word_hashes(text.translate(_BLANK).split()))
 
 
+def _texts(texts: list[bytes]) -> list[pa.Array]:
+    """As Arrow strings, whose words are the terms."""
+    made = pa.array([t.translate(_BLANK) for t in texts], pa.string())
+    return made.chunks if isinstance(made, pa.ChunkedArray) else [made]
+
+
+def all_terms(texts: list[bytes]):
+    """Some texts at a time: the sorted terms of all, and of each text the
+    places of its distinct terms among them, ascending."""
+    for own in _texts(texts):
+        for hashes, _, at, per_text in numbered(own):
+            known, place = np.unique(hashes, return_inverse=True)
+            at, stops = place[at].astype(np.int32), np.cumsum(per_text)
+            yield known, [np.unique(at[i:j]) for i, j in zip((stops - per_text).tolist(), stops.tolist())]
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -75,23 +91,27 @@ class Lexicon:
     def __init__(self, terms: np.ndarray):
         self.terms, self.rarity = terms, _rarity(terms)
 
-    def drawn(self, own: np.ndarray) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
-        """Of a document with these terms: its lowest level, and each term
+    def places(self, terms: np.ndarray) -> np.ndarray:
+        """Of each term; -1: not in the lexicon."""
+        if not len(self.terms):
+            return np.full(len(terms), -1, np.int64)
+        at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
+        return np.where(self.terms[at] == terms, at, -1)
+
+    def drawn(self, own: np.ndarray, places: np.ndarray) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
+        """Of a document with these terms, at these places: its lowest level, and each term
         that a subset holds on it (the subset, the term, its highest level),
         terms ascending within a subset."""
-        kept, rarity = own, None
-        if len(self.terms):
-            at = np.minimum(np.searchsorted(self.terms, own), len(self.terms) - 1)
-            inside = self.terms[at] == own
-            if inside.any():
-                kept, rarity = own[inside], self.rarity[at[inside]]
-        if rarity is None:
-            rarity = _rarity(kept)
+        inside = places >= 0
+        if inside.any():
+            kept, rarity = own[inside], self.rarity[places[inside]]
+        else:
+            kept, rarity = own, _rarity(own)
         level = len(kept).bit_length() - 1
-        term, subset = np.nonzero(rarity >= level)
-        order = np.argsort(subset, kind="stable")
-        term, subset = term[order], subset[order]
-        return level, subset, kept[term], rarity[term, subset]
+        found = np.flatnonzero((rarity >= level).reshape(-1))
+        found = found[np.argsort(found % SUBSETS, kind="stable")]
+        term, subset = found // SUBSETS, found % SUBSETS
+        return level, subset, kept[term], rarity.reshape(-1)[found]
 
 
 class Prints:
@@ -106,11 +126,14 @@ class Prints:
     def of(cls, texts: list[bytes], lexicon: Lexicon) -> Prints:
         level = np.full(len(texts), -1, np.int64)
         digests = np.zeros((len(texts) * LEVELS * SUBSETS), np.uint16)
-        parts = []
-        for i, text in enumerate(texts):
-            if len(own := terms(text)):
-                level[i], subset, term, highest = lexicon.drawn(own)
-                parts.append((i * SUBSETS + subset, term, highest - level[i]))
+        parts, i = [], 0
+        for known, of_texts in all_terms(texts):
+            places = lexicon.places(known)
+            for own in of_texts:
+                if len(own):
+                    level[i], subset, term, highest = lexicon.drawn(known[own], places[own])
+                    parts.append((i * SUBSETS + subset, term, highest - level[i]))
+                i += 1
         if parts:
             slot, term, above = (np.concatenate([p[k] for p in parts]) for k in range(3))
             term = _mix(term)
@@ -181,9 +204,9 @@ def lexicon(docs: DataFrame, rare: float = RARE, common: float = COMMON) -> np.n
 
     def count(batches):
         for batch in batches:
-            own = [terms(t or b"") for t in batch.column(0).cast(pa.binary()).to_pylist()]
-            term, n = np.unique(np.concatenate(own) if own else np.empty(0, np.uint64), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(term.view(np.int64)), pa.array(n.astype(np.int64))], names=["term", "n"])
+            for term, own in all_terms([t or b"" for t in batch.column(0).cast(pa.binary()).to_pylist()]):
+                n = np.bincount(np.concatenate(own), minlength=len(term))
+                yield pa.RecordBatch.from_arrays([pa.array(term.view(np.int64)), pa.array(n.astype(np.int64))], names=["term", "n"])
 
     n = docs.count()
     counts = docs.select("text").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
