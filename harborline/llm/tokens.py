@@ -21,6 +21,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from harborline.llm import memory
+
 #: Chunks of a generation. A worker keeps two: when the younger is full, the
 #: older goes; what is met again moves to the younger.
 MEMORY = 300_000
@@ -61,6 +63,21 @@ class _Generation(dict):
         i = self[chunk]
         return self.ids[self.ends[i] : self.ends[i + 1]]
 
+    def take(self, older: _Generation, chunks: list[bytes]) -> None:
+        """Learn those of ``chunks`` (distinct) that are in ``older``, at once."""
+        found = [c for c in chunks if c in older and c not in self]
+        if not found:
+            return
+        numbers = np.fromiter(map(older.__getitem__, found), np.int64, len(found))
+        ends = np.frombuffer(older.ends, np.int64)
+        sizes = ends[numbers + 1] - ends[numbers]
+        stop = np.cumsum(sizes)
+        places = np.repeat(ends[numbers] - (stop - sizes), sizes) + np.arange(stop[-1])
+        first, before = len(self), len(self.ids)
+        self.ids.frombytes(np.frombuffer(older.ids, np.uint32)[places].tobytes())
+        self.ends.frombytes((stop + before).tobytes())
+        self.update(zip(found, range(first, first + len(found))))
+
     def __missing__(self, chunk: bytes) -> int:
         ids = self.learn(chunk)
         self.ids.extend(ids)
@@ -100,13 +117,16 @@ class WordEncoder:
     def encode(self, text: bytes) -> np.ndarray:
         # the tokenizer lower-cases all but its special tokens
         chunks = (text if b"<|" in text else text.lower()).split()
+        self._turn()
         return self._ids(chunks, np.arange(len(chunks)))[0]
 
+    def _turn(self) -> None:
+        if len(self.known) > self.memory:
+            self.known, self.older = _Generation(self._learn), self.known
+
     def _ids(self, chunks: list[bytes], at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of ``chunks[i]`` for each ``i`` of ``at``, one after the
         other, and where those of each end."""
-        if len(self.known) > self.memory:
-            self.known, self.older = _Generation(self._learn), self.known
         known = self.known
         numbers = np.fromiter(map(known.__getitem__, chunks), np.int64, len(chunks))
         ends = np.frombuffer(known.ends, np.int64)
@@ -137,7 +157,10 @@ class WordEncoder:
         special = pc.fill_null(pc.match_substring(texts, "<|"), False)
         split = pc.ascii_split_whitespace(pc.if_else(special, "", pc.fill_null(pc.ascii_lower(texts), "")))
         numbered = split.flatten().dictionary_encode()
-        chunks = numbered.dictionary.cast(pa.binary()).to_pylist()
+        chunks = numbered.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+        self._turn()
+        if self.older:
+            self.known.take(self.older, chunks)
         ids, ends = self._ids(chunks, numbered.indices.to_numpy())
         ends = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy())])]
         for i, own in enumerate(special.to_pylist()):
@@ -149,6 +172,7 @@ _ENCODERS: dict[str, WordEncoder] = {}
 
 def encoder(path: str) -> WordEncoder:
     """This worker's encoder for a tokenizer file."""
+    memory.hold("tokens", _ENCODERS.clear)
     if path not in _ENCODERS:
         _ENCODERS[path] = WordEncoder(path)
     return _ENCODERS[path]
