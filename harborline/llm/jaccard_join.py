@@ -33,17 +33,18 @@ from pyspark.sql import functions as F
 
 from harborline.llm.common import Stages, documents, text_of
 from harborline.llm.components import components
-from harborline.llm.shingles import shingle_set
+from harborline.llm.shingles import shingle_sets
 
 THRESHOLD = 75
 
 #: Tokens on the list of those met often; of them, those indexed in pairs.
 LISTED, COMBINED = 100_000, 64
-#: A token counts as met often where a batch of documents has it so often.
-OFTEN = 3
+#: A token counts as met often where so many of them (``COUNTED`` at least, if
+#: a task has them) have it so often.
+OFTEN, COUNTED = 3, 1 << 22
 
-#: Bits of the parity bitmap of a set.
-BITS = 1024
+#: Bits of the parity bitmap of a set; sets whose bitmaps are made together.
+BITS, TOGETHER = 1024, 256
 
 _SETS = "doc_id long, n int, node long, bitmap array<long>, token long, often int"
 
@@ -52,31 +53,67 @@ def _set_id(tokens: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(tokens.tobytes())).astype(np.int64))
 
 
-def _bitmap(tokens: np.ndarray) -> list[int]:
-    odd = np.bincount((tokens >> np.uint64(40)).astype(np.int64) % BITS, minlength=BITS) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+def _bitmaps(tokens: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """A row of ``BITS`` bits for each set; the sets stand one after the other."""
+    bit, stops, out = (tokens >> np.uint64(40)).astype(np.int64) % BITS, np.cumsum(sizes), []
+    for i in range(0, len(sizes), TOGETHER):
+        n = sizes[i : i + TOGETHER]
+        own = bit[stops[i] - sizes[i] : stops[i + len(n) - 1]] + np.repeat(np.arange(len(n)) * BITS, n)
+        odd = np.bincount(own, minlength=len(n) * BITS) & 1
+        out.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
+    return np.concatenate(out) if out else np.empty(0, np.int64)
+
+
+def _sets(batches):
+    """Ids and sets of some documents at a time: the tokens, how many each
+    document has, where they begin, and what names the set (0: it has none)."""
+    for batch in batches:
+        row = 0
+        for tokens, sizes in shingle_sets(batch.column(1)):
+            ids, starts = batch.column(0).slice(row, len(sizes)).cast(pa.int64()), np.cumsum(sizes) - sizes
+            there = ids.is_valid().to_numpy(zero_copy_only=False) & (sizes > 0)
+            names = [_set_id(tokens[i : i + n]) if t else 0 for i, n, t in zip(starts.tolist(), sizes.tolist(), there.tolist())]
+            yield ids, tokens, sizes, starts, there, np.array(names, np.int64)
+            row += len(sizes)
+
+
+def _often(tokens: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Those that are there ``OFTEN`` times, and how often."""
+    every = np.concatenate(tokens)
+    tokens.clear()
+    every.sort()
+    found = np.unique(every[OFTEN - 1 :][every[OFTEN - 1 :] == every[: len(every) - OFTEN + 1]])
+    return found, np.searchsorted(every, found, "right") - np.searchsorted(every, found)
 
 
 def _profiles(docs: DataFrame) -> DataFrame:
-    """A row for each document, and rows of tokens met often in a batch."""
+    """A row for each document, and rows of tokens met often in a task."""
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("node", pa.int64()), ("bitmap", pa.list_(pa.int64())), ("token", pa.int64()), ("often", pa.int32())])
+
+    def met(tokens):
+        token, n = _often(tokens)
+        void = [pa.nulls(len(token), f.type) for f in list(schema)[:4]]
+        return pa.RecordBatch.from_arrays([*void, pa.array(token.view(np.int64)), pa.array(n.astype(np.int32))], schema=schema)
 
     def profile(batches):
-        for batch in batches:
-            rows, seen, sets = [], set(), []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
-                tokens = shingle_set(text or b"")
-                node = _set_id(tokens) if len(tokens) and doc_id is not None else None
-                rows.append((doc_id, len(tokens), node, _bitmap(tokens) if node is not None else None, None, None))
-                if node is not None and node not in seen:
-                    seen.add(node)
-                    sets.append(tokens)
-            if sets:
-                token, n = np.unique(np.concatenate(sets), return_counts=True)
-                often = n >= OFTEN
-                rows += [(None, None, None, None, t, c) for t, c in zip(token[often].view(np.int64).tolist(), n[often].tolist())]
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.int32())
-            names = [x.split()[0] for x in _SETS.split(", ")]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
+        seen, kept, n_kept = set(), [], 0
+        for ids, tokens, sizes, starts, there, names in _sets(batches):
+            offsets = pa.array(np.append(np.arange(len(ids)), len(ids)).astype(np.int32) * (BITS // 64))
+            bitmaps = pa.ListArray.from_arrays(offsets, pa.array(_bitmaps(tokens, sizes)), mask=pa.array(~there))
+            void = [pa.nulls(len(ids), f.type) for f in list(schema)[4:]]
+            yield pa.RecordBatch.from_arrays([ids, pa.array(sizes.astype(np.int32)), pa.array(names, mask=~there), bitmaps, *void], schema=schema)
+            # equal sets count once
+            fresh = [i for i, name in enumerate(names.tolist()) if there[i] and not (name in seen or seen.add(name))]
+            if len(fresh) == len(sizes):
+                kept.append(tokens)
+            else:
+                kept += [tokens[starts[i] : starts[i] + sizes[i]].copy() for i in fresh]
+            n_kept += int(sizes[fresh].sum())
+            if n_kept >= COUNTED:
+                yield met(kept)
+                seen, kept, n_kept = set(), [], 0
+        if n_kept:
+            yield met(kept)
 
     return docs.select("doc_id", "text").mapInArrow(profile, _SETS)
 
@@ -105,6 +142,14 @@ def prefix(tokens: np.ndarray, listed: np.ndarray, tier: np.ndarray, percent: in
     return np.concatenate([tokens[:n_rare], pairs]), np.concatenate([np.arange(n_rare), n_rare + i])
 
 
+def _maybe(tokens: np.ndarray, starts: np.ndarray, sizes: np.ndarray, listed: np.ndarray) -> np.ndarray:
+    """Which sets may have a token of ``listed``, by their highest bits."""
+    table = np.zeros(1 << 22, bool)
+    table[(listed >> np.uint64(42)).astype(np.int64)] = True
+    hits = np.concatenate([[0], np.cumsum(table[(tokens >> np.uint64(42)).astype(np.int64)])])
+    return hits[starts + sizes] > hits[starts]
+
+
 def _postings(docs: DataFrame, listed: np.ndarray, tier: np.ndarray, percent: int) -> DataFrame:
     """``sig, node, place``: the signatures of each set; ``place``: its size
     in the upper 32 bits, the signature's place in its order in the lower."""
@@ -113,19 +158,20 @@ def _postings(docs: DataFrame, listed: np.ndarray, tier: np.ndarray, percent: in
     def sign(batches):
         listed, tier = shared.value
         seen = set()
-        for batch in batches:
+        for _, tokens, sizes, starts, there, names in _sets(batches):
+            maybe = _maybe(tokens, starts, sizes, listed)
             sigs, nodes, places = [], [], []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
-                tokens = shingle_set(text or b"")
-                if doc_id is None or not len(tokens) or (node := _set_id(tokens)) in seen:
+            for i, name in enumerate(names.tolist()):
+                if not there[i] or name in seen:
                     continue
-                seen.add(node)
-                sig, place = prefix(tokens, listed, tier, percent)
-                sigs.append(sig.view(np.int64))
-                nodes.append(np.full(len(sig), node, np.int64))
-                places.append((len(tokens) << 32) + place)
+                seen.add(name)
+                own = tokens[starts[i] : starts[i] + sizes[i]]
+                sig, place = prefix(own, listed if maybe[i] else listed[:0], tier, percent)
+                sigs.append(sig)
+                nodes.append(np.full(len(sig), name, np.int64))
+                places.append((len(own) << 32) + place)
             if sigs:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in (sigs, nodes, places)], names=["sig", "node", "place"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in ([s.view(np.int64) for s in sigs], nodes, places)], names=["sig", "node", "place"])
 
     return docs.select("doc_id", "text").mapInArrow(sign, "sig long, node long, place long")
 
@@ -158,9 +204,10 @@ class _Join:
         texts = self.docs.join(wanted, "doc_id").select("node", "text")
 
         def sets(batches):
-            for batch in batches:
-                rows = [(node, tokens.tobytes()) for node, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()) if _set_id(tokens := shingle_set(text)) == node]
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], names=["node", "tokens"])
+            for wanted, tokens, sizes, starts, _, names in _sets(batches):
+                own = np.flatnonzero(names == wanted.to_numpy(zero_copy_only=False))
+                bytes_of = [tokens[i : i + n].tobytes() for i, n in zip(starts[own].tolist(), sizes[own].tolist())]
+                yield pa.RecordBatch.from_arrays([wanted.take(pa.array(own, pa.int64())), pa.array(bytes_of, pa.binary())], names=["node", "tokens"])
 
         tokens = stages.write(texts.mapInArrow(sets, "node long, tokens binary").dropDuplicates(["node"]), f"sets-{k}")
         percent = self.percent
