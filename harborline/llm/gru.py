@@ -27,6 +27,13 @@ RIPE = 8
 #: Tokens whose classes are predicted together, so that their chances stay in
 #: a processor's cache.
 BLOCK = 1024
+#: Rows of an id that are added id by id, where it has as many; those of the
+#: other ids are added to all ids at once, a row of each.
+FEW = 16
+#: Tokens of windows whose words are scored together.
+TOGETHER = 1 << 15
+#: Rows of weights updated together.
+ROWS = 512
 #: Lanes of a training window at least (if there are as many texts) and at most.
 LANES = 256, 1024
 #: Tokens of a piece of a long text at least, in training.
@@ -66,30 +73,42 @@ class Layout:
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     """In place."""
     np.negative(x, out=x)
-    with np.errstate(over="ignore"):
-        np.exp(x, out=x)
+    np.exp(x, out=x)
     x += 1
     return np.reciprocal(x, out=x)
 
 
-def _powers(state: np.ndarray, weights: np.ndarray, bias: np.ndarray, at: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """e to the power of the logits ``state @ weights + bias``, each row's sum
-    of it, and the log-probability of the outputs ``at``. The largest logit of
-    each row is only taken off where the sums would not be finite without."""
+def _powers(state: np.ndarray, weights: np.ndarray, at: np.ndarray, safe: bool, total: np.ndarray, found: np.ndarray) -> np.ndarray:
+    """e to the power of the logits ``state @ weights``. Each row's sum goes to
+    ``total``, the logits at the places ``at`` (read row by row) to ``found``.
+    If ``safe``, the largest logit of each row is taken off first."""
     x = state @ weights
-    x += bias
-    found = x[at]
-    with np.errstate(over="ignore"):
-        np.exp(x, out=x)
-    total = x @ np.ones(x.shape[1], x.dtype)
-    if not (np.isfinite(total).all() and total.min(initial=1) > 1e-30):
-        x = state @ weights + bias
-        top = x.max(axis=1)
-        x = np.exp(x - top[:, None])
-        total = x.sum(axis=1)
-        found -= top
-    found -= np.log(total)
-    return x, total, found
+    if safe:
+        x -= x.max(axis=1)[:, None]
+    x.reshape(-1).take(at, out=found, mode="clip")
+    np.exp(x, out=x)
+    np.dot(x, np.ones(x.shape[1], x.dtype), out=total)
+    return x
+
+
+def _sums(rows: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ``ids`` and the sum of each one's rows."""
+    order = np.argsort(ids, kind="stable")
+    ids, rows = ids[order], rows.take(order, axis=0)
+    at = np.flatnonzero(np.append(len(ids) > 0, ids[1:] != ids[:-1]))
+    size = np.diff(np.append(at, len(ids)))
+    most = np.argsort(-size, kind="stable")  # those with a k-th row come first
+    at, size = at[most], size[most]
+    out = rows.take(at, axis=0)
+    more = np.searchsorted(-size, -np.arange(FEW + 1)).tolist()
+    long = more[FEW]
+    for k in range(1, FEW):
+        if more[k] > long:
+            out[long : more[k]] += rows.take(at[long : more[k]] + k, axis=0)
+    ones = np.ones(size.max(initial=0), rows.dtype)
+    for k, (i, n) in enumerate(zip(at[:long].tolist(), size[:long].tolist())):
+        np.dot(ones[:n], rows[i : i + n], out=out[k])
+    return ids[at], out
 
 
 def lanes(texts: list[np.ndarray], n_lanes: int) -> tuple[np.ndarray, np.ndarray]:
@@ -116,78 +135,119 @@ def lanes(texts: list[np.ndarray], n_lanes: int) -> tuple[np.ndarray, np.ndarray
     return place, first
 
 
+def _those(states: np.ndarray, there: np.ndarray) -> np.ndarray:
+    return states.reshape(there.size, -1) if there.all() else states[there]
+
+
 class Network:
+    """``w`` has the weights by name. Each bias is a further row or column of
+    its weights in memory, so that one product gives both."""
+
     def __init__(self, layout: Layout, weights: dict[str, np.ndarray]):
-        self.layout, self.w = layout, weights
+        n = layout.hidden
+        self.layout = layout
+        self.classes = np.concatenate([weights["classes"], weights["class_bias"][None]])
+        self.words = np.concatenate([weights["words"], weights["word_bias"][:, None]], axis=1)
+        self.w = {
+            "inputs": weights["inputs"], "recurrent": weights["recurrent"], "classes": self.classes[:n],
+            "class_bias": self.classes[n], "words": self.words[:, :n], "word_bias": self.words[:, n],
+        }
+
+    def _gates(self) -> np.ndarray:
+        """Recurrent weights of the two gates and the new state."""
+        n = self.layout.hidden
+        return np.ascontiguousarray(self.w["recurrent"].reshape(n, 3, n).transpose(1, 0, 2))
 
     def _steps(self, x: np.ndarray, fresh: np.ndarray, h: np.ndarray, keep: dict | None = None) -> np.ndarray:
         """States after each step of a window; ``keep`` gets what the way back
-        needs."""
-        n = self.layout.hidden
-        g, u = self.w["inputs"][x], self.w["recurrent"]
+        needs. Gates are apart in memory, so that each step works on whole
+        blocks."""
+        n, u = self.layout.hidden, self._gates()
+        g = self.w["inputs"].reshape(-1, n).take(np.multiply(x, 3, dtype=np.intp) + np.arange(3).reshape(3, 1, 1), axis=0, mode="clip")
         out = np.empty((*x.shape, n), g.dtype)
+        pre = np.empty((len(x) if keep is not None else 1, x.shape[1], n), g.dtype)
         if keep is not None:
-            keep.update(before=np.empty_like(out), pre=np.empty_like(out), gates=g[:, :, : 2 * n], new=g[:, :, 2 * n :])
-        some = fresh.any(axis=1)
-        for t in range(len(x)):
-            if some[t]:
-                h = np.where(fresh[t][:, None], g.dtype.type(0), h)
-            a = h @ u
-            gates, new = g[t, :, : 2 * n], g[t, :, 2 * n :]
-            gates += a[:, : 2 * n]
-            _sigmoid(gates)
-            pre = a[:, 2 * n :]
-            if keep is not None:
-                keep["before"][t], keep["pre"][t] = h, pre
-            new += gates[:, :n] * pre
-            np.tanh(new, out=new)
-            h = np.subtract(h, new, out=out[t])
-            h *= gates[:, n:]
-            h += new
+            keep.update(before=np.empty_like(out), pre=pre, gates=g[:2], new=g[2])
+        some, h = fresh.any(axis=1).tolist(), h.astype(g.dtype)
+        a, own = np.empty((2, *h.shape), g.dtype), np.empty_like(h)
+        with np.errstate(over="ignore"):
+            for t in range(len(x)):
+                if some[t]:
+                    h = np.where(fresh[t][:, None], g.dtype.type(0), h)
+                gates, new, by = g[:2, t], g[2, t], pre[t if keep is not None else 0]
+                np.matmul(h, u[:2], out=a)
+                np.matmul(h, u[2], out=by)
+                gates += a
+                _sigmoid(gates)
+                if keep is not None:
+                    keep["before"][t] = h
+                np.multiply(gates[0], by, out=own)
+                new += own
+                np.tanh(new, out=new)
+                h = np.subtract(h, new, out=out[t])
+                h *= gates[1]
+                h += new
         return out
 
     def _outputs(self, state: np.ndarray, y: np.ndarray, learn: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
         """Log-probabilities of the words ``y``; with ``learn``, gradients of
-        their negative sum are put there (of words: by class met, with its
-        tokens), and those of the states returned."""
-        layout, w = self.layout, self.w
-        order = np.argsort(layout.class_of[y], kind="stable")
-        state, y = state[order], y[order]
-        of, at = layout.class_of[y], np.arange(len(y))
-        found, back = np.empty(len(y), state.dtype), None
+        their negative sum are put there (the bias with its weights; of words:
+        by class met, with its tokens), and those of the states returned."""
+        layout, n = self.layout, self.layout.hidden
+        of = layout.class_of[y]
+        order = np.argsort(of.astype(np.int16) if layout.n_classes < 1 << 15 else of, kind="stable")
+        sorted_state = np.ones((len(y), n + 1), state.dtype)
+        sorted_state[:, :n] = state[order]
+        of, y = of[order], y[order]
+        with np.errstate(over="ignore", invalid="ignore", divide="ignore"):
+            found, total, back = self._sorted(sorted_state, of, y, learn, False)
+            if not (np.isfinite(total).all() and total.min(initial=1) > 1e-30):
+                found, total, back = self._sorted(sorted_state, of, y, learn, True)
+        found -= np.log(total)
+        as_given = np.empty_like(order)
+        as_given[order] = np.arange(len(y))
+        return found.sum(axis=0)[as_given], back if back is None else back[as_given]
+
+    def _sorted(self, state: np.ndarray, of: np.ndarray, y: np.ndarray, learn: dict | None, safe: bool) -> tuple:
+        """Of tokens sorted by class ``of``: logits of their classes and, in
+        these, their words; the sums of the powers of all logits that they
+        were chosen from; gradients of the states. Finite sums are the
+        caller's care, unless ``safe``."""
+        layout, n = self.layout, self.layout.hidden
+        found, total = np.zeros((2, len(y)), state.dtype), np.ones((2, len(y)), state.dtype)
+        back = of_words = None
         if learn is not None:
-            learn["classes"], learn["class_bias"], learn["words"] = np.zeros_like(w["classes"]), np.zeros_like(w["class_bias"]), {}
-            back = np.empty_like(state)
+            learn["classes"], learn["words"] = np.zeros_like(self.classes.T), {}
+            back, of_words = np.empty((len(y), n), state.dtype), np.zeros_like(state)
+        row, n_classes = np.arange(len(y)), layout.n_classes
+        target = row % BLOCK * n_classes + of
         for i in range(0, len(y), BLOCK):
-            own = state[i : i + BLOCK]
-            target = (at[: len(own)], of[i : i + BLOCK])
-            x, total, found[i : i + BLOCK] = _powers(own, w["classes"], w["class_bias"], target)
+            part = slice(i, min(i + BLOCK, len(y)))
+            own, sums, at = state[part], total[0, part], target[part]
+            x = _powers(own, self.classes, at, safe, sums, found[0, part])
             if learn is not None:
-                x[target] -= total
-                share = 1 / total
-                learn["classes"] += (own * share[:, None]).T @ x
-                learn["class_bias"] += share @ x
-                np.multiply(x @ w["classes"].T, share[:, None], out=back[i : i + BLOCK])
-        bounds = np.searchsorted(of, np.arange(layout.n_classes)).tolist()
-        words, bias, edges = w["words"], w["word_bias"], layout.edges.tolist()
-        for c in range(layout.n_classes - 1):
+                x.reshape(-1)[at] -= sums
+                share = (1 / sums)[:, None]
+                learn["classes"] += x.T @ (own * share)
+                np.multiply(x @ self.w["classes"].T, share, out=back[part])
+        bounds, edges = np.searchsorted(of, np.arange(n_classes)), layout.edges
+        target = (row - bounds[of]) * np.append(np.diff(edges), 1)[of] + y - edges[of]
+        bounds, edges = bounds.tolist(), edges.tolist()
+        for c in range(n_classes - 1):
             i, j, lo, hi = bounds[c], bounds[c + 1], edges[c], edges[c + 1]
             if hi - lo < 2 or i == j:
                 continue
-            own = state[i:j]
-            target = (at[: j - i], y[i:j] - lo)
-            x, total, within = _powers(own, words[lo:hi].T, bias[lo:hi], target)
-            found[i:j] += within
+            own, sums, at, words = state[i:j], total[1, i:j], target[i:j], self.words[lo:hi]
+            x = _powers(own, words.T, at, safe, sums, found[1, i:j])
             if learn is not None:
-                x[target] -= total
-                share = 1 / total
-                learn["words"][c] = x.T @ (own * share[:, None]), share @ x, j - i
-                own = x @ words[lo:hi]
-                own *= share[:, None]
-                back[i:j] += own
-        as_given = np.empty_like(order)
-        as_given[order] = at
-        return found[as_given], back if back is None else back[as_given]
+                x.reshape(-1)[at] -= sums
+                learn["words"][c] = x.T @ (own / sums[:, None]), j - i
+                np.dot(x, words, out=of_words[i:j])
+        if learn is not None:
+            of_words /= total[1][:, None]
+            back += of_words[:, :n]
+            learn["classes"] = learn["classes"].T
+        return found, total, back
 
     def windows(self, texts: list[tuple[np.ndarray, np.ndarray]], n_lanes: int, steps: int, least: int = 0):
         """Windows over ``texts`` (inputs and words to predict): inputs, which
@@ -209,62 +269,84 @@ class Network:
     def score(self, texts: list[tuple[np.ndarray, np.ndarray]], n_lanes: int = 512, steps: int = 16) -> np.ndarray:
         """Natural log-probability of each token, text after text."""
         found = np.zeros(sum(len(t[0]) for t in texts), np.float64)
-        h = None
+        h, met, n = None, [], 0
         for x, first, there, place, y in self.windows(texts, n_lanes, steps, 8192):
             h = np.zeros((x.shape[1], self.layout.hidden), np.float32) if h is None else h[: x.shape[1]]
             states = self._steps(x, first, h)
             h = states[-1]
-            found[place] = self._outputs(states[there], y)[0]
+            met.append((_those(states, there), place, y))
+            n += len(y)
+            if n >= TOGETHER:
+                self._judge(met, found)
+                met, n = [], 0
+        self._judge(met, found)
         return found
 
+    def _judge(self, met: list[tuple], found: np.ndarray) -> None:
+        """Puts the log-probabilities of some windows' words at their places."""
+        if met:
+            states, place, y = (np.concatenate(x) for x in zip(*met))
+            found[place] = self._outputs(states, y)[0]
+
     def _back(self, x, first, there, y, h) -> tuple[dict, np.ndarray, float]:
         """Gradients of the negative log-probability of a window's words:
         ``inputs`` as rows met and theirs, ``words`` by class."""
         keep: dict = {}
         states = self._steps(x, first, h, keep)
         learn: dict = {}
-        found, back = self._outputs(states[there], y, learn)
-        n, u = self.layout.hidden, self.w["recurrent"]
-        d_states = np.zeros_like(states)
-        d_states[there] = back
-        before, new = keep["before"], keep["new"]
-        r, z = keep["gates"][:, :, :n], keep["gates"][:, :, n:]
-        by_new = (1 - z) * (1 - new * new)
-        by_z = (before - new) * z * (1 - z)
-        by_r = keep["pre"] * r * (1 - r)
-        d_inputs = np.empty((*x.shape, 3 * n), states.dtype)
-        d_a = np.empty_like(d_inputs)
-        d_next, some = np.zeros_like(states[0]), first.any(axis=1)
+        found, back = self._outputs(_those(states, there), y, learn)
+        n, u = self.layout.hidden, np.ascontiguousarray(self._gates().transpose(0, 2, 1))
+        if len(back) == there.size:
+            d_states = back.reshape(states.shape)
+        else:
+            d_states = np.zeros_like(states)
+            d_states[there] = back
+        d_g = np.empty((3, *states.shape), states.dtype)
+        d_new_a = np.empty_like(states)
+        d_a = np.empty((3, *states[0].shape), states.dtype)
+        d_next, own, some = np.zeros_like(states[0]), np.empty_like(states[0]), first.any(axis=1).tolist()
         for t in range(len(x) - 1, -1, -1):
-            d = d_states[t]
+            before, pre, new, (r, z) = keep["before"][t], keep["pre"][t], keep["new"][t], keep["gates"][:, t]
+            (d_r, d_z, d_new), d = d_g[:, t], d_states[t]
             d += d_next
-            d_g = d_inputs[t]
-            np.multiply(d, by_new[t], out=d_g[:, 2 * n :])
-            np.multiply(d, by_z[t], out=d_g[:, n : 2 * n])
-            np.multiply(d_g[:, 2 * n :], by_r[t], out=d_g[:, :n])
-            d_a[t, :, : 2 * n] = d_g[:, : 2 * n]
-            np.multiply(d_g[:, 2 * n :], r[t], out=d_a[t, :, 2 * n :])
-            d_next = d_a[t] @ u.T
-            d_next += d * z[t]
+            np.multiply(d, z, out=d_next)
+            # z: d * z * (before - new) * (1 - z)
+            np.subtract(before, new, out=d_z)
+            d_z *= d_next
+            np.subtract(1, z, out=own)
+            d_z *= own
+            # new: d * (1 - z) * (1 - new * new)
+            np.multiply(d, own, out=d_new)
+            np.multiply(new, new, out=own)
+            np.subtract(1, own, out=own)
+            d_new *= own
+            # r: d_new * r * pre * (1 - r)
+            by = np.multiply(d_new, r, out=d_new_a[t])
+            np.subtract(1, r, out=own)
+            np.multiply(by, pre, out=d_r)
+            d_r *= own
+            np.matmul(d_g[:2, t], u[:2], out=d_a[:2])
+            np.matmul(by, u[2], out=d_a[2])
+            for d in d_a:
+                d_next += d
             if some[t]:
                 d_next[first[t]] = 0
-        learn["recurrent"] = before.reshape(-1, n).T @ d_a.reshape(-1, 3 * n)
-        order = np.argsort(x.reshape(-1), kind="stable")
-        ids, at = np.unique(x.reshape(-1)[order], return_index=True)
-        rows = np.add.reduceat(d_inputs.reshape(-1, 3 * n)[order], at, axis=0) if len(ids) else d_inputs.reshape(-1, 3 * n)
-        learn["inputs"] = ids, rows
+        before = keep["before"].reshape(-1, n).T
+        learn["recurrent"] = np.concatenate([before @ d.reshape(-1, n) for d in (d_g[0], d_g[1], d_new_a)], axis=1)
+        learn["inputs"] = _sums(d_g.transpose(1, 2, 0, 3).reshape(-1, 3 * n), x.reshape(-1))
         return learn, states[-1], float(-found.sum())
 
     def gradients(self, x, first, there, y, h) -> tuple[dict[str, np.ndarray], np.ndarray, float]:
         """Of the mean negative log-probability of a window's words, of the
         shapes of the weights."""
         learn, h, loss = self._back(x, first, there, y, h)
-        whole = {k: learn[k] if k in learn and k not in ("inputs", "words") else np.zeros_like(self.w[k]) for k in SHAPES}
+        n, whole = self.layout.hidden, {k: np.zeros_like(self.w[k]) for k in SHAPES}
+        whole["recurrent"], whole["classes"], whole["class_bias"] = learn["recurrent"], learn["classes"][:n], learn["classes"][n]
         ids, rows = learn["inputs"]
         whole["inputs"][ids] = rows
-        for c, (of_words, of_bias, _) in learn["words"].items():
+        for c, (of_words, _) in learn["words"].items():
             own = slice(self.layout.edges[c], self.layout.edges[c + 1])
-            whole["words"][own], whole["word_bias"][own] = of_words, of_bias
+            whole["words"][own], whole["word_bias"][own] = of_words[:, :n], of_words[:, n]
         return {k: g / max(len(y), 1) for k, g in whole.items()}, h, loss
 
     def train(self, texts: list[tuple[np.ndarray, np.ndarray]], adam: dict, rate: float, steps: int = 16) -> int:
@@ -276,7 +358,7 @@ class Network:
         n_lanes = int(np.clip(total // 4096, *LANES))
         size = max(PIECE, total // n_lanes)
         texts = [(x[i : i + size], y[i : i + size]) for x, y in texts for i in range(0, len(x), size)]
-        adam = adam.setdefault("adam", Adam(self.layout, self.w))
+        adam = adam.setdefault("adam", Adam(self))
         h = None
         for x, first, there, _, y in self.windows(texts, n_lanes, steps):
             h = np.zeros((x.shape[1], self.layout.hidden), np.float32) if h is None else h[: x.shape[1]]
@@ -286,31 +368,33 @@ class Network:
 
 
 class Adam:
-    """Moments of the weights ``w``, and updates of those that a window has
-    met."""
-
-    def __init__(self, layout: Layout, w: dict[str, np.ndarray]):
-        self.layout, self.w, self.n = layout, w, 0
-        self.m, self.v = ({k: np.zeros_like(w[k]) for k in SHAPES} for _ in range(2))
-        self.last = np.zeros(layout.n_inputs, np.int32)
-        #: By class: gradients of its words not yet applied, tokens, updates.
-        self.waiting: dict[int, list] = {}
-        self.times = np.zeros(layout.n_classes, np.int64)
+    """Moments of the weights of ``net``, and updates of those that a window
+    has met."""
+
+    def __init__(self, net: Network):
+        self.layout, self.n = net.layout, 0
+        self.w = {"inputs": net.w["inputs"], "recurrent": net.w["recurrent"], "classes": net.classes, "words": net.words}
+        self.m, self.v = ({k: np.zeros_like(w) for k, w in self.w.items()} for _ in range(2))
+        self.last = np.zeros(self.layout.n_inputs, np.int32)
+        #: By class: gradients of its words not yet applied, tokens.
+        self.waiting: dict[int, tuple] = {}
+        #: Updates of each class.
+        self.times = np.zeros(self.layout.n_classes, np.int64)
 
     def _rate(self, rate: float, n: int) -> np.float32:
         return np.float32(rate / (1 + self.n / 400) ** 0.5 * (1 - 0.99**n) ** 0.5 / (1 - 0.9**n))
 
     @staticmethod
     def _step(w, m, v, g, rate) -> None:
-        """In place."""
+        """In place. ``m`` is 10 times the first moment, ``v`` 100 times the
+        second, so that what they are multiplied by falls out."""
         m *= np.float32(0.9)
-        m += np.float32(0.1) * g
+        m += g
         v *= np.float32(0.99)
         g *= g
-        g *= np.float32(0.01)
         v += g
         np.sqrt(v, out=g)
-        g += np.float32(1e-6)
+        g += np.float32(1e-5)
         np.divide(m, g, out=g)
         g *= rate
         w -= g
@@ -318,30 +402,43 @@ class Adam:
     def update(self, learn: dict, n_tokens: int, rate: float) -> None:
         self.n += 1
         step, share = self._rate(rate, self.n), np.float32(1 / n_tokens)
-        for k in ("recurrent", "classes", "class_bias"):
+        for k in ("recurrent", "classes"):
             self._step(self.w[k], self.m[k], self.v[k], learn[k] * share, step)
-        ids, rows = learn["inputs"]
-        missed = (self.n - 1 - self.last[ids]).astype(np.float32)[:, None]
-        self.last[ids] = self.n
-        w, m, v = (x["inputs"][ids] for x in (self.w, self.m, self.v))
-        m *= np.float32(0.9) ** missed
-        v *= np.float32(0.99) ** missed
-        self._step(w, m, v, rows * share, step)
-        self.w["inputs"][ids], self.m["inputs"][ids], self.v["inputs"][ids] = w, m, v
-        for c, (of_words, of_bias, n) in learn["words"].items():
-            lo, hi = self.layout.edges[c], self.layout.edges[c + 1]
+        all_ids, all_rows = learn["inputs"]
+        all_rows *= share
+        for i in range(0, len(all_ids), ROWS):
+            ids, rows = all_ids[i : i + ROWS], all_rows[i : i + ROWS]
+            missed = (self.n - 1 - self.last[ids]).astype(np.float32)[:, None]
+            self.last[ids] = self.n
+            w, m, v = (x["inputs"].take(ids, axis=0, mode="clip") for x in (self.w, self.m, self.v))
+            m *= np.float32(0.9) ** missed
+            v *= np.float32(0.99) ** missed
+            self._step(w, m, v, rows, step)
+            self.w["inputs"][ids], self.m["inputs"][ids], self.v["inputs"][ids] = w, m, v
+        edges, run = self.layout.edges.tolist(), []
+        for c, (g, n) in learn["words"].items():
             if (old := self.waiting.pop(c, None)) is not None:
-                of_words += old[0]
-                of_bias += old[1]
-                n += old[2]
-            if n * RIPE < hi - lo:
-                self.waiting[c] = [of_words, of_bias, n]
+                g += old[0]
+                n += old[1]
+            if n * RIPE < len(g):
+                self.waiting[c] = g, n
                 continue
             self.times[c] += 1
-            step_c, share_c = self._rate(rate, int(self.times[c])), np.float32(1 / n)
-            for k, g in (("words", of_words), ("word_bias", of_bias)):
-                g *= share_c
-                self._step(self.w[k][lo:hi], self.m[k][lo:hi], self.v[k][lo:hi], g, step_c)
+            if run and (run[-1][0] != c - 1 or edges[c + 1] - edges[run[0][0]] > 2 * ROWS):
+                self._words(run)
+                run = []
+            run.append((c, g, 1 / n, self._rate(rate, int(self.times[c]))))
+        if run:
+            self._words(run)
+
+    def _words(self, run: list[tuple]) -> None:
+        """Updates the words of classes one after the other: class, gradients,
+        what these and the step are multiplied by."""
+        classes, grads, shares, rates = zip(*run)
+        own, sizes = slice(self.layout.edges[classes[0]], self.layout.edges[classes[-1] + 1]), [len(g) for g in grads]
+        g = np.concatenate(grads)
+        g *= np.repeat(np.array(shares, np.float32), sizes)[:, None]
+        self._step(self.w["words"][own], self.m["words"][own], self.v["words"][own], g, np.repeat(np.array(rates, np.float32), sizes)[:, None])
 
 
 def flat(weights: dict[str, np.ndarray]) -> np.ndarray:
