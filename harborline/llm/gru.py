@@ -31,7 +31,7 @@ BLOCK = 1024
 #: other ids are added to all ids at once, a row of each.
 FEW = 16
 #: Tokens of windows whose words are scored together.
-TOGETHER = 1 << 15
+TOGETHER = 1 << 16
 #: Rows of weights updated together.
 ROWS = 512
 #: Lanes of a training window at least (if there are as many texts) and at most.
@@ -78,7 +78,7 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return np.reciprocal(x, out=x)
 
 
-def _powers(state: np.ndarray, weights: np.ndarray, at: np.ndarray, safe: bool, total: np.ndarray, found: np.ndarray) -> np.ndarray:
+def _powers(state: np.ndarray, weights: np.ndarray, at: np.ndarray, ones: np.ndarray, safe: bool, total: np.ndarray, found: np.ndarray) -> np.ndarray:
     """e to the power of the logits ``state @ weights``. Each row's sum goes to
     ``total``, the logits at the places ``at`` (read row by row) to ``found``.
     If ``safe``, the largest logit of each row is taken off first."""
@@ -87,24 +87,26 @@ def _powers(state: np.ndarray, weights: np.ndarray, at: np.ndarray, safe: bool,
         x -= x.max(axis=1)[:, None]
     x.reshape(-1).take(at, out=found, mode="clip")
     np.exp(x, out=x)
-    np.dot(x, np.ones(x.shape[1], x.dtype), out=total)
+    np.dot(x, ones[: x.shape[1]], out=total)
     return x
 
 
-def _sums(rows: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct ``ids`` and the sum of each one's rows."""
-    order = np.argsort(ids, kind="stable")
-    ids, rows = ids[order], rows.take(order, axis=0)
+def _sums(blocks: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ``ids`` and the sum of each one's rows, which are the
+    rows of all ``blocks`` side by side."""
+    order = np.argsort(ids)
+    ids, places = ids[order], order[:, None] + len(ids) * np.arange(len(blocks))
+    rows = blocks.reshape(-1, blocks.shape[2]).take(places, axis=0, mode="clip").reshape(len(ids), len(blocks) * blocks.shape[2])
     at = np.flatnonzero(np.append(len(ids) > 0, ids[1:] != ids[:-1]))
     size = np.diff(np.append(at, len(ids)))
     most = np.argsort(-size, kind="stable")  # those with a k-th row come first
     at, size = at[most], size[most]
-    out = rows.take(at, axis=0)
+    out = rows.take(at, axis=0, mode="clip")
     more = np.searchsorted(-size, -np.arange(FEW + 1)).tolist()
     long = more[FEW]
     for k in range(1, FEW):
         if more[k] > long:
-            out[long : more[k]] += rows.take(at[long : more[k]] + k, axis=0)
+            out[long : more[k]] += rows.take(at[long : more[k]] + k, axis=0, mode="clip")
     ones = np.ones(size.max(initial=0), rows.dtype)
     for k, (i, n) in enumerate(zip(at[:long].tolist(), size[:long].tolist())):
         np.dot(ones[:n], rows[i : i + n], out=out[k])
@@ -220,25 +222,26 @@ class Network:
             learn["classes"], learn["words"] = np.zeros_like(self.classes.T), {}
             back, of_words = np.empty((len(y), n), state.dtype), np.zeros_like(state)
         row, n_classes = np.arange(len(y)), layout.n_classes
+        ones = np.ones(max(n_classes, np.diff(layout.edges).max()), state.dtype)
         target = row % BLOCK * n_classes + of
         for i in range(0, len(y), BLOCK):
             part = slice(i, min(i + BLOCK, len(y)))
             own, sums, at = state[part], total[0, part], target[part]
-            x = _powers(own, self.classes, at, safe, sums, found[0, part])
+            x = _powers(own, self.classes, at, ones, safe, sums, found[0, part])
             if learn is not None:
                 x.reshape(-1)[at] -= sums
                 share = (1 / sums)[:, None]
                 learn["classes"] += x.T @ (own * share)
                 np.multiply(x @ self.w["classes"].T, share, out=back[part])
         bounds, edges = np.searchsorted(of, np.arange(n_classes)), layout.edges
-        target = (row - bounds[of]) * np.append(np.diff(edges), 1)[of] + y - edges[of]
+        target = (row - bounds[of]) * np.diff(edges)[of] + y - edges[of]
         bounds, edges = bounds.tolist(), edges.tolist()
         for c in range(n_classes - 1):
             i, j, lo, hi = bounds[c], bounds[c + 1], edges[c], edges[c + 1]
             if hi - lo < 2 or i == j:
                 continue
             own, sums, at, words = state[i:j], total[1, i:j], target[i:j], self.words[lo:hi]
-            x = _powers(own, words.T, at, safe, sums, found[1, i:j])
+            x = _powers(own, words.T, at, ones, safe, sums, found[1, i:j])
             if learn is not None:
                 x.reshape(-1)[at] -= sums
                 learn["words"][c] = x.T @ (own / sums[:, None]), j - i
@@ -263,7 +266,8 @@ class Network:
             until = at + max(steps, least // max(n, 1))
             own = place[at:until, :n]
             there = own >= 0
-            yield x[np.maximum(own, 0)], first[at:until, :n], there, own[there], y[own[there]]
+            held = own.reshape(-1) if there.all() else own[there]
+            yield x.take(own, mode="clip"), first[at:until, :n], there, held, y.take(held)
             at = until
 
     def score(self, texts: list[tuple[np.ndarray, np.ndarray]], n_lanes: int = 512, steps: int = 16) -> np.ndarray:
@@ -333,7 +337,7 @@ class Network:
                 d_next[first[t]] = 0
         before = keep["before"].reshape(-1, n).T
         learn["recurrent"] = np.concatenate([before @ d.reshape(-1, n) for d in (d_g[0], d_g[1], d_new_a)], axis=1)
-        learn["inputs"] = _sums(d_g.transpose(1, 2, 0, 3).reshape(-1, 3 * n), x.reshape(-1))
+        learn["inputs"] = _sums(d_g.reshape(3, -1, n), x.reshape(-1))
         return learn, states[-1], float(-found.sum())
 
     def gradients(self, x, first, there, y, h) -> tuple[dict[str, np.ndarray], np.ndarray, float]:
@@ -415,7 +419,7 @@ class Adam:
             v *= np.float32(0.99) ** missed
             self._step(w, m, v, rows, step)
             self.w["inputs"][ids], self.m["inputs"][ids], self.v["inputs"][ids] = w, m, v
-        edges, run = self.layout.edges.tolist(), []
+        edges, run, last, met = self.layout.edges.tolist(), [], -1, 0
         for c, (g, n) in learn["words"].items():
             if (old := self.waiting.pop(c, None)) is not None:
                 g += old[0]
@@ -424,21 +428,20 @@ class Adam:
                 self.waiting[c] = g, n
                 continue
             self.times[c] += 1
-            if run and (run[-1][0] != c - 1 or edges[c + 1] - edges[run[0][0]] > 2 * ROWS):
-                self._words(run)
+            g *= np.float32(1 / n)
+            times = int(self.times[c])
+            if run and (c != last + 1 or times != met or edges[c + 1] - edges[run[0][0]] > 2 * ROWS):
+                self._words(run, self._rate(rate, met))
                 run = []
-            run.append((c, g, 1 / n, self._rate(rate, int(self.times[c]))))
+            run.append((c, g))
+            last, met = c, times
         if run:
-            self._words(run)
-
-    def _words(self, run: list[tuple]) -> None:
-        """Updates the words of classes one after the other: class, gradients,
-        what these and the step are multiplied by."""
-        classes, grads, shares, rates = zip(*run)
-        own, sizes = slice(self.layout.edges[classes[0]], self.layout.edges[classes[-1] + 1]), [len(g) for g in grads]
-        g = np.concatenate(grads)
-        g *= np.repeat(np.array(shares, np.float32), sizes)[:, None]
-        self._step(self.w["words"][own], self.m["words"][own], self.v["words"][own], g, np.repeat(np.array(rates, np.float32), sizes)[:, None])
+            self._words(run, self._rate(rate, met))
+
+    def _words(self, run: list[tuple], step: np.float32) -> None:
+        """Updates the words of classes one after the other by their gradients."""
+        own = slice(self.layout.edges[run[0][0]], self.layout.edges[run[-1][0] + 1])
+        self._step(self.w["words"][own], self.m["words"][own], self.v["words"][own], np.concatenate([g for _, g in run]), step)
 
 
 def flat(weights: dict[str, np.ndarray]) -> np.ndarray:

@@ -47,7 +47,7 @@ from harborline.llm.shingles import numbered, word_hashes
 #: classes at least; input places for other words.
 COVER, KNOWN, CLASSES, OTHERS = 0.7, 512, 16, 64
 #: Weights in a row, where copies are averaged.
-CHUNK = 1 << 13
+CHUNK = 1 << 15
 #: Groups in which copies are averaged first.
 GROUPS = 256
 ROUNDS, RATE = 2, 0.06
@@ -143,27 +143,27 @@ def _round(rows: DataFrame, vocabulary, weights: dict[str, np.ndarray]) -> dict[
         if n:
             values, own = gru.flat(net.w), TaskContext.get().partitionId() % GROUPS
             for at in range(0, len(values), CHUNK):
-                yield pa.RecordBatch.from_arrays([pa.array([at // CHUNK]), pa.array([own]), pa.array([float(n)]), pa.array([values[at : at + CHUNK].astype(np.float64).tobytes()], pa.binary())], names=["chunk", "own", "n", "w"])
+                yield pa.RecordBatch.from_arrays([pa.array([at // CHUNK]), pa.array([own]), pa.array([float(n)]), pa.array([values[at : at + CHUNK].tobytes()], pa.binary())], names=["chunk", "own", "n", "w"])
 
-    def mean(batches):
+    def mean(batches, dtype):
         """One mean of a group, whose rows come in batches."""
         first, n, total = None, 0.0, 0.0
         for batch in batches:
             for chunk, own, k, w in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                first, n, total = first or (chunk, own), n + k, total + k * np.frombuffer(w, np.float64)
+                first, n, total = first or (chunk, own), n + k, total + k * np.frombuffer(w, dtype).astype(np.float64)
         yield pa.RecordBatch.from_arrays([pa.array([first[0]]), pa.array([first[1]]), pa.array([n]), pa.array([(total / n).tobytes()], pa.binary())], names=["chunk", "own", "n", "w"])
 
     schema = "chunk long, own long, n double, w binary"
-    of_groups = rows.select("codes").mapInArrow(train, schema).groupBy("chunk", "own").applyInArrow(_whole(mean), schema)
+    of_groups = rows.select("codes").mapInArrow(train, schema).groupBy("chunk", "own").applyInArrow(_whole(mean, np.float32), schema)
     # as many numbers as the network has weights
-    got = of_groups.groupBy("chunk").applyInArrow(_whole(mean), schema).select("chunk", "w").toArrow().sort_by("chunk")
+    got = of_groups.groupBy("chunk").applyInArrow(_whole(mean, np.float64), schema).select("chunk", "w").toArrow().sort_by("chunk")
     values = np.frombuffer(b"".join(got["w"].to_pylist()), np.float64) if len(got) else gru.flat(weights)
     return gru.unflat(values, weights)
 
 
-def _whole(of_batches):
+def _whole(of_batches, *args):
     def of_table(group: pa.Table) -> pa.Table:
-        return pa.Table.from_batches(of_batches(group.to_batches()))
+        return pa.Table.from_batches(of_batches(group.to_batches(), *args))
 
     return of_table
 
@@ -187,9 +187,11 @@ def _coded(docs: DataFrame, vocabulary) -> DataFrame:
                 n, keys = len(per_text), key + np.arange(len(per_text))
                 upto = [np.concatenate([[0], np.cumsum(x)]) for x in (base, listed)]
                 bases, known = (x[stops] - x[stops - per_text] for x in upto)
-                texts = [np.append(codes[i:j], end_code).tobytes() for i, j in zip((stops - per_text).tolist(), stops.tolist())]
+                codes = np.insert(codes, stops, end_code)
+                edges = pa.array(np.append(0, stops + np.arange(1, n + 1)) * codes.itemsize, pa.int32())  # or fails
+                texts = pa.Array.from_buffers(pa.binary(), n, [None, edges.buffers()[1], pa.py_buffer(codes)])
                 yield pa.RecordBatch.from_arrays([pa.array(keys), pa.nulls(n, pa.int64()), pa.array(per_text + 1), batch.column(0).slice(row, n), batch.column(2).slice(row, n),
-                                                  pa.array(known + end_listed), pa.array(bases + base_of[end[0]]), pa.array(texts, pa.binary())], schema=schema)
+                                                  pa.array(known + end_listed), pa.array(bases + base_of[end[0]]), texts], schema=schema)
                 # of words not listed: how often each text has them
                 of_text, word = np.repeat(np.arange(n), per_text)[~listed], at[~listed]
                 pair, times = np.unique(of_text * max(len(hashes), 1) + word, return_counts=True)

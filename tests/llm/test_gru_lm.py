@@ -117,3 +117,41 @@ def test_chances_sum_to_one():
     state = rng.standard_normal((1, 6))
     p = sum(math.exp(net._outputs(state.copy(), np.array([k]))[0][0]) for k in range(21))
     assert p == pytest.approx(1)
+
+
+def test_sums_of_rows():
+    """Ids met once, some times and often, and none at all."""
+    rng = np.random.default_rng(3)
+    blocks, ids = rng.standard_normal((3, 900, 4)), np.minimum(rng.zipf(1.3, 900), 200)
+    got, rows = gru._sums(blocks, ids)
+    assert sorted(got) == sorted(set(ids.tolist())) and np.bincount(ids).max() > gru.FEW
+    for i, row in zip(got, rows):
+        assert np.allclose(row, blocks[:, ids == i].sum(axis=1).reshape(-1))
+    assert [len(x) for x in gru._sums(blocks[:, :0], ids[:0])] == [0, 0]
+
+
+def test_large_logits():
+    """Where sums of powers are not finite, the largest logit is taken off."""
+    net, _, rng = small(5)
+    state, y = rng.standard_normal((40, 6)), rng.integers(0, 21, 40)
+    for add in (2000, -2000):
+        learn, learn_far = {}, {}
+        want, back = net._outputs(state, y, learn)
+        net.w["class_bias"] += add
+        net.w["word_bias"] += add
+        found, back_far = net._outputs(state, y, learn_far)
+        net.w["class_bias"] -= add
+        net.w["word_bias"] -= add
+        assert np.allclose(found, want) and np.allclose(back_far, back) and np.allclose(learn_far["classes"], learn["classes"])
+        assert all(np.allclose(learn_far["words"][c][0], g) for c, (g, _) in learn["words"].items())
+
+
+def test_windows_scored_together(monkeypatch):
+    """Short windows don't each go through all classes on their own."""
+    net, _, rng = small(4, np.float32)
+    texts = [(rng.integers(0, 24, 3000).astype(np.int32), rng.integers(0, 21, 3000)) for _ in range(20)]
+    apart, calls, whole = net.score(texts[:1]), [], net._outputs
+    monkeypatch.setattr(net, "_outputs", lambda state, y, learn=None: calls.append(len(y)) or whole(state, y, learn))
+    got = net.score(texts)
+    assert sum(calls) == 60000 and len(calls) == 1
+    assert np.allclose(got[:3000], apart, atol=1e-4)
